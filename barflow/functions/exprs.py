@@ -155,6 +155,26 @@ def leading_date(text: Column | str) -> Column:
     return F.coalesce(F.try_to_date(head, "yyyy-MM-dd"), F.try_to_date(head, "yyyyMMdd"))
 
 
+def round_cents(value: Column | str) -> Column:
+    """Round to two places by the exact binary value, ties to even.
+
+    Spark's ``round`` works on the shortest decimal text, which turns 2.675 (held
+    as slightly less) into 2.68. Here ``200 * value`` is formed with its exact
+    rounding error (Dekker's product), so its distance to the half-way point
+    ``2k + 1`` has the true sign.
+    """
+    x = col(value)
+    p = x * 200.0
+    big = x * 134217729.0
+    high = big - (big - x)
+    low = x - high
+    err = (high * 200.0 - p) + low * 200.0
+    k = F.floor(p / 2.0).cast("double")
+    off = (p - (k * 2.0 + 1.0)) + err
+    up = (off > 0) | ((off == 0) & (k % 2.0 != 0))
+    return F.when(up, k + 1.0).otherwise(k) / 100.0
+
+
 def joined(items: Column) -> Column:
     return F.array_join(items, "|")
 

@@ -14,8 +14,8 @@ from barflow.functions.folds import product_fold
 FACTOR_TOLERANCE = 1e-12
 
 # Open interval ends stand for the calendar's ends.
-FIRST_DAY = date(1, 1, 1)
-LAST_DAY = date(9999, 12, 31)
+FIRST_DAY = "0001-01-01"
+LAST_DAY = "9999-12-31"
 
 # Lifecycle statuses.
 BLOCKING_STATUSES = ("VERIFIED_TERMINATED_PUBLIC_LISTING", "VERIFIED_NONTRADABLE_PRIMARY_EXCHANGE")
@@ -162,8 +162,8 @@ def _intervals(aliases: DataFrame) -> DataFrame:
         aliases.select(
             *_alias_key(),
             "security_id",
-            F.coalesce("valid_from", F.lit(FIRST_DAY)).alias("start"),
-            F.coalesce("valid_to", F.lit(LAST_DAY)).alias("end"),
+            F.coalesce("valid_from", F.lit(FIRST_DAY).cast("date")).alias("start"),
+            F.coalesce("valid_to", F.lit(LAST_DAY).cast("date")).alias("end"),
         )
         .filter(F.col("start") <= F.col("end"))
         .groupBy("provider", "provider_ticker", "security_id", "start")

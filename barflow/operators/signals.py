@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.functions.exprs import round_cents
+
 # Bars a pending signal may wait, and an entered one may run.
 PENDING_BARS = 3
 HOLDING_BARS = 10
@@ -33,8 +35,8 @@ def _advance(s: Column, bar: Column, strategy: Column, entry: Column, stop: Colu
     breakout = strategy == "breakout"
     triggered = F.when(breakout, h >= entry).otherwise(lo <= entry)
     stopped = lo <= stop
-    fill = F.round(F.when(breakout, F.greatest(o, entry)).otherwise(F.least(o, entry)), 2)
-    stop_fill = F.round(F.least(o, stop), 2)
+    fill = round_cents(F.when(breakout, F.greatest(o, entry)).otherwise(F.least(o, entry)))
+    stop_fill = round_cents(F.least(o, stop))
 
     def state(status: str | Column, n: Column, filled: Column, left: Column, missed: Column) -> Column:
         return F.struct(
@@ -57,7 +59,7 @@ def _advance(s: Column, bar: Column, strategy: Column, entry: Column, stop: Colu
     entered = (
         F.when(stopped, state("sl_hit", days, same_fill, stop_fill, same_missed))
         .when(h >= target, state("tp_hit", days, same_fill, target, same_missed))
-        .when(days >= HOLDING_BARS, state("closed_timeout", days, same_fill, F.round(c, 2), same_missed))
+        .when(days >= HOLDING_BARS, state("closed_timeout", days, same_fill, round_cents(c), same_missed))
         .otherwise(state("entered", days, same_fill, same_exit, same_missed))
     )
     status = s.getField("status")

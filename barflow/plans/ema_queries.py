@@ -231,13 +231,13 @@ _SIGNAL_WALK = """WITH RECURSIVE keyed AS (SELECT 1), %s,
    CASE WHEN status = 'pending' AND trig THEN 0 ELSE nd END,
    CASE WHEN status = 'pending' AND trig THEN newfill ELSE fill END,
    CASE WHEN status = 'pending' THEN CASE WHEN trig AND stopped THEN least(stopfill, newfill) ELSE xit END
-    ELSE CASE WHEN stopped THEN stopfill WHEN h >= target THEN target WHEN nd >= 10 THEN round(c, 2) ELSE xit END END,
+    ELSE CASE WHEN stopped THEN stopfill WHEN h >= target THEN target WHEN nd >= 10 THEN CAST(printf('%%.2f', c) AS DOUBLE) ELSE xit END END,
    CASE WHEN status = 'pending' AND NOT trig AND stopped THEN 'sl_hit_before_entry' WHEN status = 'pending' AND NOT trig AND nd >= 3 THEN 'expired'
     WHEN status = 'pending' AND stopped AND NOT trig THEN 'sl_hit_before_entry' ELSE missed END
   FROM (SELECT w.signal_id, w.security_id, w.strategy, w.entry, w.stop, w.target, b.rn, w.step + 1 AS step, w.status, w.days + 1 AS nd, w.fill, w.xit, w.missed,
     b.high AS h, b.close AS c, CASE WHEN w.strategy = 'breakout' THEN b.high >= w.entry ELSE b.low <= w.entry END AS trig, b.low <= w.stop AS stopped,
-    round(CASE WHEN w.strategy = 'breakout' THEN greatest(b.open, w.entry) ELSE least(b.open, w.entry) END, 2) AS newfill,
-    round(least(b.open, w.stop), 2) AS stopfill
+    CAST(printf('%%.2f', CASE WHEN w.strategy = 'breakout' THEN greatest(b.open, w.entry) ELSE least(b.open, w.entry) END) AS DOUBLE) AS newfill,
+    CAST(printf('%%.2f', least(b.open, w.stop)) AS DOUBLE) AS stopfill
    FROM walk w JOIN numbered b ON b.security_id = w.security_id AND b.rn = w.rn + 1 WHERE w.status IN ('pending', 'entered'))
  )
  SELECT signal_id, status, days AS days_in_status, fill AS entry_price_actual, xit AS exit_price, missed AS missed_reason
