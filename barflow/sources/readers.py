@@ -163,12 +163,14 @@ def read_bulk_archive(spark: SparkSession, path: str, manifest: DataFrame) -> Da
     reported as ``missing_file``.
     """
     raw = spark.read.option("header", "true").csv(path)
+    needed = ["DATE", "OPEN", "HIGH", "LOW", "CLOSE", "VOL"]
+    bare = {c.strip().upper().strip("<>"): c for c in raw.columns}
     raw = raw.select(
-        *[F.col(f"`{c}`").alias(c.strip().upper().strip("<>")) for c in raw.columns],
+        *[F.col(f"`{bare[c]}`").alias(c) for c in needed if c in bare],
         F.col("_metadata.file_name").alias("filename"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("src_ord"),
     )
-    require_columns(raw, ["DATE", "OPEN", "HIGH", "LOW", "CLOSE", "VOL"], "bulk archive")
+    require_columns(raw, needed, "bulk archive")
     listed = manifest.filter(F.upper("status") == "COPIED").select("security_id", "ticker", "filename")
     number = lambda c: F.col(c).try_cast("double")
     rows = raw.join(listed, "filename").select(
@@ -260,7 +262,11 @@ def parse_provider_json(landed: DataFrame, layout: str) -> DataFrame:
     """
     if layout not in PROVIDER_LAYOUTS:
         raise ValueError(f"layout must be one of {sorted(PROVIDER_LAYOUTS)}")
-    doc = landed.select("symbol", F.from_json("payload", PROVIDER_LAYOUTS[layout]).alias("d"))
+    # from_json wraps a lone object where an array is expected, so look at the text
+    is_list = F.coalesce(F.ltrim("payload").startswith("["), F.lit(False))
+    doc = landed.select(
+        "symbol", is_list.alias("is_list"), F.from_json("payload", PROVIDER_LAYOUTS[layout]).alias("d")
+    )
     if layout == "values":
         failed = (F.col("d.status") == "error") | F.col("d.values").isNull()
         alien = ~F.upper("d.meta.symbol").eqNullSafe(F.upper("symbol"))
@@ -274,7 +280,7 @@ def parse_provider_json(landed: DataFrame, layout: str) -> DataFrame:
     elif layout == "list":
         bars = doc.select(
             "symbol",
-            F.col("d").isNull().alias("failed"),
+            (F.col("d").isNull() | ~F.col("is_list")).alias("failed"),
             F.lit(False).alias("alien"),
             F.explode_outer("d").alias("b"),
         )
