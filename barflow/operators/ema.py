@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from barflow.functions import exprs as X
 from barflow.functions.folds import ema_fold
-from barflow.schemas import EMA_FIELDS, EMA_PERIODS, EMA_STATE_COLUMNS, require_columns
+from barflow.schemas import EMA_FIELDS, EMA_PERIODS, EMA_STATE, EMA_STATE_COLUMNS, require_columns
+from barflow.session import materialize
 
 MIN_BOOTSTRAP_BARS = max(EMA_PERIODS)
 PRICE = "adj_close"
@@ -41,20 +42,24 @@ def _bad_price() -> Column:
     return ~X.is_finite("px") | F.coalesce(F.col("px") <= 0, F.lit(True))
 
 
-def ema_bootstrap(bars: DataFrame, unique_keys: bool = False) -> DataFrame:
-    """State of every security from its full history, with ``outcome``.
-
-    ``outcome`` is ``ok``, ``null_date``, ``duplicate_dates``, ``invalid_price``
-    or ``too_few_bars``; state columns are NULL unless it is ``ok``.
-    """
-    rows = _per_date(bars, unique_keys)
-    packed = rows.groupBy("security_id").agg(
+def _packed(bars: DataFrame, unique_keys: bool) -> DataFrame:
+    """One row per security: its (date, px) series in date order, latest ticker, and flaws."""
+    return _per_date(bars, unique_keys).groupBy("security_id").agg(
         F.max_by("ticker", "date").alias("ticker"),
         F.sort_array(F.collect_list(F.struct("date", "px"))).alias("series"),
         F.bool_or(F.col("n") > 1).alias("dup"),
         F.bool_or(F.col("date").isNull()).alias("no_date"),
         F.bool_or(_bad_price()).alias("bad_price"),
     )
+
+
+def ema_bootstrap(bars: DataFrame, unique_keys: bool = False) -> DataFrame:
+    """State of every security from its full history, with ``outcome``.
+
+    ``outcome`` is ``ok``, ``null_date``, ``duplicate_dates``, ``invalid_price``
+    or ``too_few_bars``; state columns are NULL unless it is ``ok``.
+    """
+    packed = _packed(bars, unique_keys)
     outcome = (
         F.when(F.col("no_date"), "null_date")
         .when(F.col("bad_price"), "invalid_price")
@@ -85,66 +90,67 @@ def bootstrapped(bars: DataFrame, unique_keys: bool = False) -> DataFrame:
     return ema_bootstrap(bars, unique_keys).filter(F.col("outcome") == "ok").select(*EMA_STATE_COLUMNS)
 
 
-def ema_advance(state: DataFrame, rows: DataFrame, unique_keys: bool = False) -> DataFrame:
-    """State carried over the bars newer than its own date.
-
-    Only bars from the state date on are packed. ``needs_rebuild`` is true when
-    the state date has no bar, its price differs from the stored one, or the
-    stored numbers are not positive and finite; ``reason`` says which.
-    """
+def _prior(state: DataFrame) -> DataFrame:
     require_columns(state, EMA_STATE_COLUMNS, "EMA state")
-    prior = state.select(
+    return state.select(
         "security_id",
         F.col("as_of_date").alias("p_date"),
         F.col("last_price").alias("p_price"),
-        F.col("ticker").alias("p_ticker"),
         *[F.col(f).alias(f"p_{f}") for f in EMA_FIELDS],
+        F.lit(True).alias("has_state"),
     )
-    source = _per_date(rows, unique_keys)
-    newer = (
-        source.join(prior.select("security_id", "p_date"), "security_id")
-        .filter(F.col("date") >= F.col("p_date"))
-        .groupBy("security_id")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("date", "px"))).alias("series"),
-            F.max_by("ticker", "date").alias("n_ticker"),
-            F.bool_or(_bad_price() | (F.col("n") > 1)).alias("bad_source"),
-        )
-    )
-    j = prior.join(newer, "security_id", "left")
-    head = F.try_element_at("series", F.lit(1))
+
+
+def _carry(joined: DataFrame) -> DataFrame:
+    """Advance expressions over rows that pair a packed security with its prior state."""
+    newer = F.filter("series", lambda s: s.getField("date") >= F.col("p_date"))
+    j = joined.withColumn("since", newer)
+    head = F.try_element_at("since", F.lit(1))
     on_date = head.getField("date").eqNullSafe(F.col("p_date"))
     price_ok = X.is_close("p_price", head.getField("px"), PRICE_TOLERANCE, PRICE_TOLERANCE)
     state_ok = F.lit(True)
     for f in EMA_FIELDS:
         state_ok = state_ok & X.is_finite(f"p_{f}") & F.coalesce(F.col(f"p_{f}") > 0, F.lit(False))
+    flawed = F.coalesce(F.col("dup") | F.col("no_date") | F.col("bad_price"), F.lit(False))
     reason = (
-        F.when(F.coalesce("bad_source", F.lit(False)), "invalid_source")
+        F.when(flawed, "invalid_source")
         .when(~on_date, "state_date_outside_window")
         .when(~price_ok, "last_price_disagrees")
         .when(~state_ok, "invalid_state")
     )
-    j = j.withColumn("reason", reason)
-    fine = F.col("reason").isNull()
-    prices = F.col("series").getField("px")
+    j = j.withColumn("reason", F.when(F.col("has_state"), reason))
+    fine = F.col("has_state") & F.col("reason").isNull()
+    prices = F.col("since").getField("px")
     seed = F.struct(*[F.col(f"p_{f}").alias(f) for f in EMA_FIELDS])
-    j = j.withColumn(
-        "ema",
-        F.when(fine, ema_fold(F.slice(prices, 2, F.greatest(F.size(prices) - 1, F.lit(0))), seed)),
-    )
-    last = F.try_element_at("series", F.lit(-1))
+    rest = F.slice(prices, 2, F.greatest(F.size(prices) - 1, F.lit(0)))
+    j = j.withColumn("ema", F.when(fine, ema_fold(rest, seed)))
+    last = F.try_element_at("since", F.lit(-1))
     return j.select(
         "security_id",
-        F.when(fine, F.col("n_ticker")).alias("ticker"),
+        F.when(fine, F.col("ticker")).alias("ticker"),
         F.when(fine, last.getField("date")).alias("as_of_date"),
         F.when(fine, last.getField("px")).alias("last_price"),
         *[F.col(f"ema.{f}").alias(f) for f in EMA_FIELDS],
-        F.when(fine, F.size("series") - 1).alias("advanced_bars"),
-        (~fine).alias("needs_rebuild"),
+        F.when(fine, F.size("since") - 1).alias("advanced_bars"),
+        F.when(F.col("has_state"), ~fine).alias("needs_rebuild"),
         "reason",
+        F.try_element_at("series", F.lit(-1)).getField("date").alias("ready_date"),
+        F.try_element_at("series", F.lit(-1)).getField("px").alias("ready_price"),
     )
 
 
+def ema_advance(state: DataFrame, rows: DataFrame, unique_keys: bool = False) -> DataFrame:
+    """State carried over the bars newer than its own date.
+
+    Bars and state meet as one row per security. ``needs_rebuild`` is true when
+    the state date has no bar, its price differs from the stored one, the stored
+    numbers are not positive and finite, or the bars are flawed; ``reason`` says
+    which.
+    """
+    pairs = _prior(state).join(_packed(rows, unique_keys), "security_id", "left")
+    return _carry(pairs).drop("ready_date", "ready_price")
+
+
 def ema_update(
     ready: DataFrame,
     history: DataFrame,
@@ -159,32 +165,30 @@ def ema_update(
     history is read only for bootstrap and rebuild, cut at the security's last
     READY date and checked against its last READY price; a failed check is named
     in ``error`` and leaves the state columns NULL.
+
+    The routed securities, one row each, are written to the shared folder, so the
+    READY rows are read once although two branches follow.
     """
-    latest = ready.groupBy("security_id").agg(
-        F.max("date").alias("ready_date"), F.max_by(PRICE, "date").alias("ready_price")
-    )
+    packed = _packed(ready, unique_keys)
     if state is None:
-        routed = latest.withColumn("route", F.lit("bootstrap"))
-        carried = None
+        state = packed.sparkSession.createDataFrame([], EMA_STATE)
+    pairs = packed.join(_prior(state), "security_id", "left")
+    routed = _carry(pairs)
+    if rebuild_hints is None:
+        routed = routed.withColumn("hinted", F.lit(False))
     else:
-        advanced = ema_advance(
-            state.join(latest.select("security_id"), "security_id", "left_semi"), ready, unique_keys
-        )
-        if rebuild_hints is not None:
-            hints = rebuild_hints.select("security_id").distinct().withColumn("hinted", F.lit(True))
-            advanced = advanced.join(hints, "security_id", "left")
-        else:
-            advanced = advanced.withColumn("hinted", F.lit(None).cast("boolean"))
-        route = (
-            F.when(F.col("needs_rebuild").isNull(), "bootstrap")
-            .when(F.coalesce("hinted", F.lit(False)) | F.col("needs_rebuild"), "rebuild")
-            .when(F.col("advanced_bars") > 0, "recursive")
-            .otherwise("unchanged")
-        )
-        routed = latest.join(advanced, "security_id", "left").withColumn("route", route)
-        carried = routed.filter(F.col("route").isin("recursive", "unchanged")).select(
-            *EMA_STATE_COLUMNS, "route", F.lit(None).cast("string").alias("error")
-        )
+        hints = rebuild_hints.select("security_id").distinct().withColumn("hinted", F.lit(True))
+        routed = routed.join(hints, "security_id", "left")
+    route = (
+        F.when(F.col("needs_rebuild").isNull(), "bootstrap")
+        .when(F.coalesce("hinted", F.lit(False)) | F.col("needs_rebuild"), "rebuild")
+        .when(F.col("advanced_bars") > 0, "recursive")
+        .otherwise("unchanged")
+    )
+    routed = materialize(routed.withColumn("route", route), "ema-routes")
+    carried = routed.filter(F.col("route").isin("recursive", "unchanged")).select(
+        *EMA_STATE_COLUMNS, "route", F.lit(None).cast("string").alias("error")
+    )
     full = routed.filter(F.col("route").isin("bootstrap", "rebuild")).select(
         "security_id", "ready_date", "ready_price", "route"
     )
@@ -212,7 +216,7 @@ def ema_update(
         "route",
         "error",
     )
-    return rebuilt if carried is None else carried.unionByName(rebuilt)
+    return carried.unionByName(rebuilt)
 
 
 def ema_state_checks(state: DataFrame) -> DataFrame:

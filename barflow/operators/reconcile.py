@@ -92,11 +92,9 @@ def parity_metrics(canonical: DataFrame, other: DataFrame) -> DataFrame:
     at = lambda p: F.max(F.when(F.col("probability") == p, F.col("quantile")))
     quantiles = q.agg(at(0.5).alias("median_abs_pct_error"), at(0.95).alias("p95_abs_pct_error"))
     facts = errors.agg(F.count("*").alias("overlap_rows"), F.max("err").alias("max_abs_pct_error"))
-    return quantiles.select(
-        facts.select("overlap_rows").scalar().alias("overlap_rows"),
-        "median_abs_pct_error",
-        "p95_abs_pct_error",
-        facts.select("max_abs_pct_error").scalar().alias("max_abs_pct_error"),
+    both = quantiles.withColumn("f", facts.select(F.struct("*")).scalar())
+    return both.select(
+        "f.overlap_rows", "median_abs_pct_error", "p95_abs_pct_error", "f.max_abs_pct_error"
     )
 
 

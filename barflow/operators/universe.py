@@ -338,15 +338,13 @@ def status_summary(
         F.count_if(c == "ticker_change").alias("ticker_changes"),
     )
     failed = update_failures.agg(F.count("*")).scalar()
-    out = readiness_summary
-    for name in ("added", "removed", "ticker_changes"):
-        out = out.withColumn(name, change.select(name).scalar())
     names = [s.lower() for s in FRESHNESS_STATUSES]
-    for name in names:
-        out = out.withColumn(
-            name,
-            F.lit(None).cast("long") if screening is None else screening.select(name).scalar(),
-        )
+    # one struct per source, so each is evaluated once
+    out = readiness_summary.withColumn("__c", change.select(F.struct("*")).scalar()).select("*", "__c.*").drop("__c")
+    if screening is None:
+        out = out.withColumns({n: F.lit(None).cast("long") for n in names})
+    else:
+        out = out.withColumn("__s", screening.select(F.struct(*names)).scalar()).select("*", "__s.*").drop("__s")
     total = F.col(names[0])
     for name in names[1:]:
         total = total + F.col(name)

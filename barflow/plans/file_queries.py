@@ -141,14 +141,14 @@ def read_bulk_archive(spark, folder):
     landed.repartition("dir").write.partitionBy("dir").option("header", "true").csv(path)
     # the manifest names the file that holds each security
     files = spark.read.option("header", "true").csv(path)
-    found = files.select(F.col("dir").alias("ticker"), F.col("_metadata.file_name").alias("filename")).distinct()
+    found = files.select(F.col("dir").alias("ticker"), R.file_label(2).alias("filename")).distinct()
     manifest = (
         fx.members(spark, folder)
         .select("security_id", "ticker")
         .join(found, "ticker")
         .withColumn("status", F.lit("copied"))
     )
-    out = R.read_bulk_archive(spark, path, manifest)
+    out = R.read_bulk_archive(spark, path, manifest, path_parts=2)
     return out.groupBy("security_id", "verdict").agg(F.count("*").alias("bars"), F.max("date").alias("last_date"))
 
 

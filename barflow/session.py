@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every barflow plan relies on. Dates are derived from UTC
 # timestamps, so the session zone is pinned; AQE sizes the shuffles, splits
@@ -51,6 +51,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back.
+
+    Cuts the lineage of a small frame that several branches of a plan use; the
+    copy survives the loss of an executor.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session that was built elsewhere."""
     for key, value in SETTINGS.items():

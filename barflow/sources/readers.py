@@ -155,11 +155,19 @@ def directory_rows(listed: DataFrame, other: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def read_bulk_archive(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
+def file_label(path_parts: int = 1) -> Column:
+    """The last ``path_parts`` parts of the path a row was read from."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    return F.array_join(F.slice(parts, -path_parts, path_parts), "/")
+
+
+def read_bulk_archive(
+    spark: SparkSession, path: str, manifest: DataFrame, path_parts: int = 1
+) -> DataFrame:
     """Bulk price files of the securities a manifest lists as COPIED, with ``verdict``.
 
-    ``manifest``: security_id, ticker, status, filename. Adjusted close is the
-    close. One bad row rejects its security; a listed security without any row is
+    ``manifest``: security_id, ticker, status, filename, where filename is the
+    last ``path_parts`` parts of the file's path. Adjusted close is the close. One bad row rejects its security; a listed security without any row is
     reported as ``missing_file``.
     """
     raw = spark.read.option("header", "true").csv(path)
@@ -167,7 +175,7 @@ def read_bulk_archive(spark: SparkSession, path: str, manifest: DataFrame) -> Da
     bare = {c.strip().upper().strip("<>"): c for c in raw.columns}
     raw = raw.select(
         *[F.col(f"`{bare[c]}`").alias(c) for c in needed if c in bare],
-        F.col("_metadata.file_name").alias("filename"),
+        file_label(path_parts).alias("filename"),
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("src_ord"),
     )
     require_columns(raw, needed, "bulk archive")
