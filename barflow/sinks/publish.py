@@ -164,20 +164,19 @@ def publish_snapshot(
     else:
         expected = fingerprint(df, columns)[1]
         written = left_over
-    count, actual = fingerprint(written, columns)
+    last = F.max(date_col).cast("string").alias("last")
+    facts = written.agg(*fingerprint_aggregates(columns), last).first().asDict()
+    actual = _digest(facts)
     if actual != expected:
         raise ContractError(f"run {path} does not hold the candidate; pointer unchanged")
-    facts = written.agg(
-        F.max(date_col).cast("string").alias("last"), F.count_distinct("security_id").alias("ids")
-    ).first()
     pointer = Pointer(
         seq=(current.seq + 1) if current else 1,
         schema_version=SCHEMA_VERSION,
         as_of_date=as_of.isoformat(),
         terminal_date_max=facts["last"],
         path=path,
-        rows=count,
-        securities=facts["ids"],
+        rows=facts["rows"],
+        securities=written.select("security_id").distinct().count(),
         fingerprint=actual,
         previous_path=current.path if current else None,
         source_fingerprint=source_fingerprint,

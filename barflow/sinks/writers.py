@@ -14,10 +14,12 @@ def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists") -> DataF
     """Write bars as zstd Parquet clustered by security and return what was written.
 
     Sorting by (security_id, date) within each file gives row-group statistics
-    that later reads by security or date can prune on.
+    that later reads by security or date can prune on. The rebalance splits large
+    partitions and merges small ones to the advisory size.
     """
     require_columns(bars, BAR_COLUMNS, "bars")
-    rows = bars.select(*BAR_COLUMNS).repartition("security_id").sortWithinPartitions("security_id", "date")
+    rows = bars.select(*BAR_COLUMNS).hint("rebalance", "security_id")
+    rows = rows.sortWithinPartitions("security_id", "date")
     rows.write.mode(mode).option("compression", "zstd").parquet(path)
     written = bars.sparkSession.read.schema(BARS).parquet(path)
     if written.isEmpty():
@@ -50,7 +52,8 @@ def upsert_daily(spark: SparkSession, path: str, additions: DataFrame, order_col
     merged.write.parquet(staging)
     staged = spark.read.schema(BARS).parquet(staging)
     (
-        staged.repartition("date")
+        # an update often has one date only: rebalancing still spreads its rows
+        staged.hint("rebalance", "date")
         .sortWithinPartitions("date", "security_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
