@@ -15,7 +15,7 @@ from barflow.plans import fixtures as fx
 from barflow.plans import jobs
 from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
-from barflow.schemas import BAR_COLUMNS, BARS, EMA_STATE_COLUMNS, ContractError
+from barflow.schemas import BAR_COLUMNS, BARS, EMA_STATE_COLUMNS, PRICES, ContractError
 from barflow.session import new_folder
 from barflow.sinks import publish as P
 from barflow.sinks import writers as S
@@ -366,7 +366,8 @@ def daily_update(spark, folder):
 )
 def ready_publication(spark, folder):
     root = new_folder(spark, "ready")
-    rolling = _window(spark, folder, DAY_ONE)
+    # event values may be zero, which is no price
+    rolling = _window(spark, folder, DAY_ONE).withColumns({c: F.col(c) + 1 for c in PRICES})
     members = rolling.select("security_id", "ticker").distinct()
     readiness = W.readiness(members, rolling, None, 15, 14)
     done = jobs.publish_ready_snapshot(spark, rolling, readiness, root, DAY_ONE, 14, 15)

@@ -249,7 +249,7 @@ def splits(spark: SparkSession, folder: str) -> DataFrame:
     copies = F.when(F.col("p_partkey") % 4 == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return base.select("*", F.explode(copies).alias("copy")).select(
         padded("suppkey").alias("security_id"),
-        F.expr("date_add(DATE'1995-06-01', cast(p_partkey % 2000 as int))").alias("date"),
+        F.expr("date_add(DATE'1995-06-01', cast((p_partkey * 13 + (p_partkey div 97) * 31) % 2000 as int))").alias("date"),
         F.expr(
             "CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN 'x'"
             " WHEN p_partkey % 41 = 0 THEN '0' WHEN p_partkey % 6 = 0 THEN '10.0'"
@@ -452,7 +452,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "splits": (
         (),
         f"""SELECT {_sql_id('suppkey')} AS security_id,
-        DATE '1995-06-01' + CAST(p_partkey % 2000 AS INTEGER) AS date,
+        DATE '1995-06-01' + CAST((p_partkey * 13 + (p_partkey // 97) * 31) % 2000 AS INTEGER) AS date,
         CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN 'x'
              WHEN p_partkey % 41 = 0 THEN '0' WHEN p_partkey % 6 = 0 THEN '10.0'
              WHEN p_partkey % 6 = 1 THEN '1.0' WHEN p_partkey % 12 = 8 AND copy = 1 THEN '4.0'

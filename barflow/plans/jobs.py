@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from barflow.operators import continuity, corporate, ema, merge, normalize, windows
 from barflow.operators.universe import data_unavailable, operational
 from barflow.schemas import BAR_COLUMNS, ContractError
+from barflow.session import materialize
 from barflow.sinks.publish import Publication, promote_ema, publish_ready
 
 
 @dataclass(frozen=True)
 class DailyUpdate:
-    """Frames of one daily update; nothing is written yet."""
+    """Frames of one daily update; history itself is not touched yet."""
 
     new_rows: DataFrame
     history: DataFrame
@@ -38,7 +39,8 @@ def daily_update(
 ) -> DailyUpdate:
     """Fold provider rows into history and rebuild the rolling window and readiness.
 
-    ``members`` are eligible. A security whose rows are unusable keeps its stored
+    The accepted provider rows and the new rows are written to the shared folder;
+    the frames returned read them from there. ``members`` are eligible. A security whose rows are unusable keeps its stored
     history (``stale_after_failure``); one that the lifecycle registry blocks is
     not acquired (``lifecycle_excluded``). Write outputs only when ``gate`` allows.
     """
@@ -47,10 +49,11 @@ def daily_update(
     gated = corporate.lifecycle_gate(working.select("security_id", "ticker"), lifecycle, cutoff)
     candidates = gated.filter("allowed").select("security_id")
     offered = lambda raw: raw.join(candidates, "security_id", "left_semi")
-    chosen = normalize.batch_then_single(offered(batch), offered(single))
+    # provider rows and new rows are small beside history and feed several outputs
+    chosen = materialize(normalize.batch_then_single(offered(batch), offered(single)), "provider-rows")
     fetched = normalize.finalized_filter(chosen, cutoff).select(*BAR_COLUMNS)
     failed = normalize.batch_then_single_failed(offered(batch), offered(single), chosen)
-    new_rows = merge.merge_append_rows(history, fetched)
+    new_rows = materialize(merge.merge_append_rows(history, fetched), "new-rows")
     merged = history.select(*BAR_COLUMNS).unionByName(new_rows.select(*BAR_COLUMNS))
     held = merged.join(working.select("security_id"), "security_id", "left_semi")
     reviewed = lifecycle.select("security_id")
