@@ -74,8 +74,9 @@ def following_bars(dates: DataFrame, bars: DataFrame) -> DataFrame:
     sides of the numbering are unique per calendar date.
     """
     dates = dates.select("security_id", F.col("signal_date").alias("date")).distinct()
-    tagged = bars.select("security_id", "date", F.lit(1).alias("is_bar")).unionByName(
-        dates.withColumn("is_bar", F.lit(0))
+    bar = F.struct("open", "high", "low", "close")
+    tagged = bars.select("security_id", "date", F.lit(1).alias("is_bar"), bar.alias("bar")).unionByName(
+        dates.withColumn("is_bar", F.lit(0)), allowMissingColumns=True
     )
     so_far = (
         Window.partitionBy("security_id")
@@ -87,13 +88,11 @@ def following_bars(dates: DataFrame, bars: DataFrame) -> DataFrame:
     wanted = numbered.filter(F.col("is_bar") == 0).select(
         "security_id", F.col("date").alias("signal_date"), F.explode(ahead).alias("seq")
     )
-    places = numbered.filter(F.col("is_bar") == 1).select("security_id", "date", "seq")
-    hits = wanted.join(places, ["security_id", "seq"])
-    values = bars.select("security_id", "date", F.struct("open", "high", "low", "close").alias("bar"))
+    stored = numbered.filter(F.col("is_bar") == 1).select("security_id", "seq", "bar")
     return (
-        hits.join(values, ["security_id", "date"])
+        wanted.join(stored, ["security_id", "seq"])
         .groupBy("security_id", "signal_date")
-        .agg(F.sort_array(F.collect_list(F.struct("date", "bar"))).getField("bar").alias("bars"))
+        .agg(F.sort_array(F.collect_list(F.struct("seq", "bar"))).getField("bar").alias("bars"))
     )
 
 
