@@ -189,7 +189,9 @@ def stage_reconcile(
         )
 
     dates = history.groupBy("security_id", "date").agg(F.count("*").alias("n"))
-    problems = F.sum(F.when(F.col("date").isNull(), F.col("n")).otherwise(F.col("n") - 1))
+    # a missing date counts as missing, and each repeat (also of a missing one) as repeat
+    repeats = F.col("n") - 1
+    problems = F.sum(F.when(F.col("date").isNull(), F.col("n") + repeats).otherwise(repeats))
     hist = dates.groupBy("security_id").agg(
         F.sum("n").alias("history_rows"),
         F.min("date").alias("history_first_date"),

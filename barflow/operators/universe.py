@@ -157,6 +157,17 @@ def repair_queue(
     )
 
 
+def repair_counts(queue: DataFrame) -> DataFrame:
+    """Securities per repair category."""
+    return queue.groupBy("category").agg(F.count("*").alias("securities"))
+
+
+def added_subset(changes: DataFrame, members: DataFrame, history_ids: DataFrame) -> DataFrame:
+    """Newly added securities that are eligible and still without history."""
+    added = changes.filter(F.col("change_type") == "added").select("security_id")
+    return data_unavailable(members.join(added, "security_id", "left_semi"), history_ids)
+
+
 def retry_subset(queue: DataFrame, members: DataFrame) -> DataFrame:
     """Retry candidates that are still eligible members."""
     return queue.filter(F.col("category") == "retry_required").join(

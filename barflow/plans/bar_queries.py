@@ -684,6 +684,23 @@ def session_gap_summary(spark, folder):
     return C.session_gap_summary(fx.event_bars(spark, folder), PREVIOUS, CANDIDATE)
 
 
+@query("expected_sessions", with_ctes("event_bars", f"SELECT DISTINCT date FROM event_bars WHERE {_SPAN}"))
+def expected_sessions(spark, folder):
+    return C.expected_sessions(fx.event_bars(spark, folder), PREVIOUS, CANDIDATE)
+
+
+@query(
+    "session_availability",
+    with_ctes(
+        "raw_rows members",
+        f"""SELECT security_id, CASE WHEN n = 1 AND issues = '' THEN 'valid' WHEN n IS NOT NULL THEN 'partial' ELSE 'missing' END AS availability
+ FROM members LEFT JOIN (SELECT security_id, count(*) AS n, min({qc_sql()}) AS issues FROM raw_rows WHERE date = DATE '{SESSION}' GROUP BY 1) USING (security_id)""",
+    ),
+)
+def session_availability(spark, folder):
+    return N.session_availability(fx.members(spark, folder), N.select_session(fx.raw_rows(spark, folder), SESSION))
+
+
 @query(
     "gap_evidence",
     with_ctes(
@@ -956,6 +973,19 @@ def bar_coverage(spark, folder):
     return R.bar_coverage(fx.dirty_bars(spark, folder))
 
 
+@query(
+    "coverage_fraction",
+    with_ctes(
+        "bars",
+        """SELECT count(*) AS securities, count(*) FILTER (WHERE n >= 252) AS covered, count(*) FILTER (WHERE n >= 252) / count(*) AS coverage_fraction
+ FROM (SELECT security_id, count(*) FILTER (WHERE adj_close > 0) AS n FROM bars WHERE date >= DATE '1998-07-01' GROUP BY 1)""",
+    ),
+)
+def coverage_fraction(spark, folder):
+    recent = fx.bars(spark, folder).filter(F.col("date") >= date(1998, 7, 1))
+    return R.coverage_fraction(R.bar_coverage(recent))
+
+
 def _offers(spark, folder):
     first = fx.bars(spark, folder).filter(F.col("volume") >= 26)
     second = fx.bars(spark, folder)

@@ -217,6 +217,19 @@ def ema_equivalence_report(spark, folder):
     return E.ema_equivalence_report(_equivalence(spark, folder)).drop("max_relative_error")
 
 
+@query(
+    "rebuild_hints",
+    with_ctes(
+        "bars lifecycle",
+        """SELECT security_id FROM equiv WHERE numeric_failures > 0 OR class_mismatch UNION SELECT security_id FROM lifecycle""",
+        fresh=bootstrap_sql("bars"),
+        equiv=_EQUIV,
+    ),
+)
+def rebuild_hints(spark, folder):
+    return E.rebuild_hints(_equivalence(spark, folder), fx.lifecycle(spark, folder))
+
+
 # --- signals, checked with a recursive walk over numbered bars
 _SIGNAL_WALK = """WITH RECURSIVE keyed AS (SELECT 1), %s,
  numbered AS (SELECT *, row_number() OVER (PARTITION BY security_id ORDER BY date) AS rn FROM bars),

@@ -185,6 +185,36 @@ def retry_subset(spark, folder):
     return U.retry_subset(_queue(spark, folder), members).select("security_id", "ticker", "category")
 
 
+@query(
+    "repair_counts",
+    with_ctes("", "SELECT category, count(*) AS securities FROM queue GROUP BY 1", results=RUN_RESULTS, failures=FAILURES, queue=_QUEUE),
+)
+def repair_counts(spark, folder):
+    return U.repair_counts(_queue(spark, folder))
+
+
+@query(
+    "added_subset",
+    with_ctes(
+        "members members_later history_ids",
+        """SELECT security_id, ticker FROM members_later WHERE sharia_compliance = 'COMPLIANT' AND security_id NOT IN (SELECT security_id FROM history_ids)
+ AND security_id NOT IN (SELECT security_id FROM members WHERE sharia_compliance = 'COMPLIANT')""",
+    ),
+)
+def added_subset(spark, folder):
+    later = U.eligible(fx.members(spark, folder, later=True))
+    changes = S.membership_diff(fx.eligible_members(spark, folder), later)
+    return U.added_subset(changes, later, fx.history_ids(spark, folder)).select("security_id", "ticker")
+
+
+@query(
+    "removed_securities",
+    with_ctes("members history_ids", "SELECT security_id FROM members WHERE security_id NOT IN (SELECT security_id FROM history_ids)"),
+)
+def removed_securities(spark, folder):
+    return S.removed_securities(fx.members(spark, folder), fx.history_ids(spark, folder))
+
+
 @query(
     "membership_diff",
     with_ctes(
