@@ -60,6 +60,17 @@ def split_events(rows: DataFrame, factor_col: str = "split_factor") -> DataFrame
     )
 
 
+def split_event_issues(events: DataFrame) -> DataFrame:
+    """Events that lack an identity or whose factor is no split."""
+    blank = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
+    factor = F.col("split_factor")
+    sound = X.is_finite(factor) & (factor > 0) & (factor != 1)
+    issue = F.when(blank("security_id") | blank("provider_ticker"), "identity_required").when(
+        ~sound, "invalid_split_factor"
+    )
+    return events.withColumn("issue", issue).filter(F.col("issue").isNotNull())
+
+
 def split_dedupe(events: DataFrame) -> DataFrame:
     """One row per (security, effective date); ``conflict`` when factors disagree."""
     return (

@@ -190,7 +190,7 @@ ATOL = 1e-9
 def benchmark_verdicts(old: DataFrame, new: DataFrame) -> DataFrame:
     """Per benchmark: may the new bars extend the old ones, and by which rebase factor?
 
-    Closes must agree on the overlap. A change of the adjustment ratio passes
+    Both sides must be sound bars with unique dates. Closes must agree on the overlap. A change of the adjustment ratio passes
     only when it is one finite factor over at least two overlap rows; the factor
     of the first overlap row is then both the anchor of the comparison and the
     multiplier for the old adjusted closes.
@@ -217,9 +217,10 @@ def benchmark_verdicts(old: DataFrame, new: DataFrame) -> DataFrame:
             F.max("anchor").alias("anchor"),
         )
     )
-    ids = old.select("security_id").union(new.select("security_id")).distinct()
+    ids = benchmark_input_checks(old, new)
     verdict = (
-        F.when(F.col("overlap_rows").isNull(), "no_overlap")
+        F.when(F.col("invalid_input"), "invalid_bars")
+        .when(F.col("overlap_rows").isNull(), "no_overlap")
         .when(~F.col("closes_agree"), "historical_closes_revised")
         .when(F.col("ratios_agree"), "append")
         .when((F.col("overlap_rows") >= 2) & F.col("uniform"), "rebase")
@@ -233,6 +234,17 @@ def benchmark_verdicts(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def benchmark_input_checks(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Per benchmark of either side: does it hold an unsound bar, or a missing or repeated date?"""
+    side = lambda df, n: df.select(*BAR_COLUMNS, F.lit(n).alias("side"))
+    rows = side(old, 0).unionByName(side(new, 1)).withColumn("bad", ~X.is_sound())
+    per_date = rows.groupBy("security_id", "side", "date").agg(
+        F.count("*").alias("n"), F.bool_or("bad").alias("bad")
+    )
+    flaw = F.col("bad") | (F.col("n") > 1) | F.col("date").isNull()
+    return per_date.groupBy("security_id").agg(F.bool_or(flaw).alias("invalid_input"))
+
+
 def benchmark_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old and new benchmark bars of every accepted benchmark, new winning per date."""
     verdicts = benchmark_verdicts(old, new).filter(F.col("verdict").isin("append", "rebase"))

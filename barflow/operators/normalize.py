@@ -252,6 +252,15 @@ def batch_then_single_failed(batch: DataFrame, single: DataFrame, chosen: DataFr
     return ids.join(chosen.select("security_id").distinct(), "security_id", "left_anti")
 
 
+# Adjustment failures in the order they are reported.
+ADJUST_ISSUES = (
+    "invalid_adjustment_factor",
+    "adjusted_nonfinite_or_nonpositive",
+    "adjusted_high_violates_range",
+    "adjusted_low_violates_range",
+)
+
+
 def adjusted_ohlc(bars: DataFrame) -> DataFrame:
     """O/H/L/C scaled by adj_close/close, the factor, and ``adjust_issue`` (NULL when sound)."""
     factor = X.safe_ratio("adj_close", "close")
@@ -263,11 +272,11 @@ def adjusted_ohlc(bars: DataFrame) -> DataFrame:
     issue = (
         F.when(
             ~X.is_finite("adjustment_factor") | (F.col("adjustment_factor") <= 0),
-            "invalid_adjustment_factor",
+            ADJUST_ISSUES[0],
         )
-        .when(~whole | (F.least(o, h, lo, c) <= 0), "adjusted_nonfinite_or_nonpositive")
-        .when(h < F.greatest(o, lo, c), "adjusted_high_violates_range")
-        .when(lo > F.least(o, h, c), "adjusted_low_violates_range")
+        .when(~whole | (F.least(o, h, lo, c) <= 0), ADJUST_ISSUES[1])
+        .when(h < F.greatest(o, lo, c), ADJUST_ISSUES[2])
+        .when(lo > F.least(o, h, c), ADJUST_ISSUES[3])
     )
     return scaled.withColumn("adjust_issue", issue)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.functions import exprs as X
-from barflow.operators.normalize import adjusted_ohlc, monotonic_check
+from barflow.operators.normalize import ADJUST_ISSUES, adjusted_ohlc, monotonic_check
 from barflow.schemas import BAR_COLUMNS, require_columns
 
 
@@ -159,12 +159,17 @@ def history_gate(
     qc = X.is_sound()
     base = rows.withColumn("bad_qc", ~qc)
     adjusted = adjusted_ohlc(base)
+    # issues as numbers in report order: the smallest wins, and hash aggregation is kept
+    names = F.array(*[F.lit(n) for n in ADJUST_ISSUES])
+    adjusted = adjusted.withColumn(
+        "issue_no", F.when(F.col("adjust_issue").isNotNull(), F.array_position(names, F.col("adjust_issue")))
+    )
     # first reduce to one row per (security, date): repeated dates show as n > 1
     per_date = adjusted.groupBy("security_id", "date").agg(
         F.count("*").alias("n"),
         F.bool_or(~F.col("ticker").eqNullSafe(F.col("expected_ticker"))).alias("alien"),
         F.bool_or("bad_qc").alias("bad_qc"),
-        F.min(F.col("adjust_issue")).alias("adjust_issue"),
+        F.min("issue_no").alias("issue_no"),
         F.min("adjustment_factor").alias("fmin"),
         F.max("adjustment_factor").alias("fmax"),
         F.min("close").alias("close"),
@@ -178,7 +183,7 @@ def history_gate(
         F.bool_or("alien").alias("alien"),
         F.bool_or((F.col("n") > 1) | F.col("date").isNull()).alias("bad_dates"),
         F.bool_or("bad_qc").alias("bad_qc"),
-        F.min("adjust_issue").alias("adjust_issue"),
+        F.min("issue_no").alias("issue_no"),
         F.count("close_benchmark").alias("shared_rows"),
         F.max(F.when(F.col("close_benchmark").isNotNull(), F.col("date"))).alias("shared_last_date"),
         F.min("fmin").alias("factor_min"),
@@ -193,7 +198,7 @@ def history_gate(
         .when(F.col("alien"), "identity_mismatch")
         .when(F.col("bad_dates"), "invalid_duplicate_or_unordered_dates")
         .when(F.col("bad_qc"), "qc_rejected")
-        .when(F.col("adjust_issue").isNotNull(), F.col("adjust_issue"))
+        .when(F.col("issue_no").isNotNull(), F.try_element_at(names, F.col("issue_no").cast("int")))
         .when(F.col("shared_rows") < minimum_shared, "fewer_than_21_shared_bars")
     )
     return (

@@ -464,7 +464,9 @@ def _restated(spark, folder):
     """Newer bars of every security: some with restated adjusted closes, some with revised closes."""
     k = fx.keyed_bars(spark, folder).filter(F.col("date") >= OVERLAP_DAY)
     return k.select(
-        "date", "security_id", "ticker", "open", "high", "low",
+        "date", "security_id", "ticker", "open",
+        F.expr("CASE WHEN suppkey % 10 = 3 THEN high + 1 WHEN suppkey % 10 = 6 AND n % 9 = 0 THEN low * 0.5D ELSE high END")
+        .alias("high"), "low",
         F.expr("CASE WHEN suppkey % 10 = 3 THEN close + 1 ELSE close END").alias("close"),
         F.expr("CASE WHEN suppkey % 10 = 3 THEN adj_close + 1 WHEN suppkey % 10 = 4 THEN adj_close * 0.5D"
                " WHEN suppkey % 10 = 5 AND n % 2 = 0 THEN adj_close * 0.5D ELSE adj_close END").alias("adj_close"),
@@ -476,7 +478,8 @@ def _stored(spark, folder):
     return fx.bars(spark, folder).filter(F.col("date") <= SPLIT_DAY)
 
 
-_RESTATED = f"""SELECT date, security_id, ticker, open, high, low, CASE WHEN suppkey % 10 = 3 THEN close + 1 ELSE close END AS close,
+_RESTATED = f"""SELECT date, security_id, ticker, open,
+ CASE WHEN suppkey % 10 = 3 THEN high + 1 WHEN suppkey % 10 = 6 AND n % 9 = 0 THEN low * 0.5 ELSE high END AS high, low, CASE WHEN suppkey % 10 = 3 THEN close + 1 ELSE close END AS close,
  CASE WHEN suppkey % 10 = 3 THEN adj_close + 1 WHEN suppkey % 10 = 4 THEN adj_close * 0.5
   WHEN suppkey % 10 = 5 AND n % 2 = 0 THEN adj_close * 0.5 ELSE adj_close END AS adj_close, volume
  FROM keyed_bars WHERE date >= DATE '{OVERLAP_DAY}'"""
@@ -486,10 +489,10 @@ _OVERLAP = f"""SELECT *, rn / ro AS rev, first_value(rn / ro) OVER (PARTITION BY
  (SELECT o.security_id, o.date, o.close AS oc, n.close AS nc, o.adj_close / o.close AS ro, n.adj_close / n.close AS rn
   FROM stored o JOIN restated n ON o.security_id = n.security_id AND o.date = n.date)"""
 _VERDICTS = f"""SELECT i.security_id, coalesce(n, 0) AS overlap_rows,
- CASE WHEN n IS NULL THEN 'no_overlap' WHEN NOT closes THEN 'historical_closes_revised' WHEN ratios THEN 'append'
+ CASE WHEN i.bad THEN 'invalid_bars' WHEN n IS NULL THEN 'no_overlap' WHEN NOT closes THEN 'historical_closes_revised' WHEN ratios THEN 'append'
   WHEN n >= 2 AND uniform THEN 'rebase' ELSE 'adjustment_basis_changed' END AS verdict,
- CASE WHEN n IS NOT NULL AND closes AND NOT ratios AND n >= 2 AND uniform THEN anchor ELSE 1.0 END AS rebase_factor
- FROM (SELECT security_id FROM stored UNION SELECT security_id FROM restated) i LEFT JOIN
+ CASE WHEN NOT i.bad AND n IS NOT NULL AND closes AND NOT ratios AND n >= 2 AND uniform THEN anchor ELSE 1.0 END AS rebase_factor
+ FROM (SELECT security_id, bool_or({qc_sql()} <> '') AS bad FROM (SELECT * FROM stored UNION ALL SELECT * FROM restated) GROUP BY 1) i LEFT JOIN
  (SELECT security_id, count(*) AS n, bool_and({_close('oc', 'nc')}) AS closes, bool_and({_close('ro', 'rn')}) AS ratios,
   bool_and({_close('rev', 'anchor')}) AS uniform, max(anchor) AS anchor FROM overlap_rows GROUP BY 1) c USING (security_id)"""
 

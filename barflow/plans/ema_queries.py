@@ -272,6 +272,27 @@ def split_extract(spark, folder):
     return K.split_extract(fx.splits(spark, folder)).drop("factor")
 
 
+@query(
+    "split_event_issues",
+    with_ctes(
+        "splits",
+        """SELECT security_id, effective_date, split_factor, CASE WHEN split_factor > 0 AND split_factor <> 1 THEN 'identity_required' ELSE
+ CASE WHEN provider_ticker IS NULL THEN 'identity_required' ELSE 'invalid_split_factor' END END AS issue
+ FROM (SELECT security_id, date AS effective_date, try_cast(split_factor AS DOUBLE) AS split_factor,
+   CASE WHEN day(date) = 1 THEN NULL ELSE provider_ticker END AS provider_ticker FROM splits)
+ WHERE provider_ticker IS NULL OR NOT coalesce(split_factor > 0 AND split_factor <> 1, false)""",
+    ),
+)
+def split_event_issues(spark, folder):
+    stated = fx.splits(spark, folder).select(
+        "security_id",
+        F.col("date").alias("effective_date"),
+        F.col("split_factor").try_cast("double").alias("split_factor"),
+        F.when(F.dayofmonth("date") != 1, F.col("provider_ticker")).alias("provider_ticker"),
+    )
+    return K.split_event_issues(stated).drop("provider_ticker")
+
+
 _EVENTS = f"SELECT security_id, date AS effective_date, try_cast(split_factor AS DOUBLE) AS split_factor, provider_ticker FROM splits WHERE {_CLASS} = 'event'"
 
 

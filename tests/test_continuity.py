@@ -119,9 +119,12 @@ def test_history_gate_reports_first_failure(bars, spark):
     rows = [r | ({"high": 1.0} if r["security_id"] == "B" and r["date"] == d[3] else {}) for r in rows]
     rows = [r | ({"ticker": "ZZ"} if r["security_id"] == "C" and r["date"] == d[3] else {}) for r in rows]
     rows += [bar("D", d[0])]
-    expected = spark.createDataFrame([(s, f"T{s}") for s in "ABCDFG"], "security_id string, ticker string")
+    # two different adjustment failures: the factor is reported, being checked first
+    rows += [bar("H", x, adj_close=1e308 if i == 3 else 10.0, close=1e-5 if i == 3 else 10.0, low=1e-6 if i == 3 else 9.0) for i, x in enumerate(d)]
+    expected = spark.createDataFrame([(s, f"T{s}") for s in "ABCDFGH"], "security_id string, ticker string")
     out = W.history_gate(bars(rows), bench, expected)
     assert dict(rows_of(out, "security_id", "error")) == {
         "A": None, "B": "qc_rejected", "C": "identity_mismatch", "D": "invalid_duplicate_or_unordered_dates",
         "F": "fewer_than_21_shared_bars", "G": "no_history",
+        "H": "invalid_adjustment_factor",
     }

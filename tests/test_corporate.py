@@ -19,6 +19,13 @@ def test_extract_classifies_every_source_row(spark):
     assert rows_of(K.split_events(df), "split_factor") == [(0.1,), (10.0,)]
 
 
+def test_event_issues(spark):
+    d = day("2024-01-02")
+    rows = [("A", d, 2.0, "a"), ("A", d, 1.0, "a"), (" ", d, 2.0, "a"), ("A", d, 2.0, None), ("A", d, float("nan"), "a"), ("A", d, -1.0, "a")]
+    got = [r[0] for r in rows_of(K.split_event_issues(spark.createDataFrame(rows, EVENTS)), "issue")]
+    assert got == ["identity_required"] * 2 + ["invalid_split_factor"] * 3
+
+
 def test_dedupe_marks_conflicts(spark):
     d = day("2024-06-10")
     df = spark.createDataFrame([("A", d, 10.0, "a"), ("A", d, 10.0 + 1e-13, "a"), ("B", d, 10.0, "b"), ("B", d, 5.0, "b")], EVENTS)

@@ -106,6 +106,10 @@ def test_benchmark_verdicts_and_rebase(bars):
         "U": (2, "rebase", 0.5), "P": (2, "adjustment_basis_changed", 1.0), "R": (2, "historical_closes_revised", 1.0),
         "O": (2, "append", 1.0), "S": (1, "adjustment_basis_changed", 1.0), "N": (0, "no_overlap", 1.0),
     }
+    twice = M.benchmark_verdicts(old, new.unionByName(new.filter("security_id = 'O'")))
+    assert twice.filter("security_id = 'O'").first()["verdict"] == "invalid_bars"
+    unsound = M.benchmark_verdicts(old.replace(101.0, -1.0, ["low", "close"]), new)
+    assert {r["verdict"] for r in unsound.collect()} >= {"invalid_bars"}
     merged = M.benchmark_merge(old, new)
     assert rows_of(merged.filter("security_id = 'U'"), "adj_close") == [(50.0,), (50.5,), (51.0,), (51.5,)]
     assert {r[0] for r in merged.select("security_id").distinct().collect()} == {"U", "O"}
