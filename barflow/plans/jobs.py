@@ -12,7 +12,15 @@ from barflow.operators import continuity, corporate, ema, merge, normalize, wind
 from barflow.operators.universe import data_unavailable, operational
 from barflow.schemas import BAR_COLUMNS, ContractError
 from barflow.session import materialize
-from barflow.sinks.publish import Publication, promote_ema, publish_ready
+from barflow.sinks.publish import (
+    Publication,
+    fingerprint,
+    load_snapshot,
+    promote_ema,
+    publish_ready,
+    publish_snapshot,
+    read_pointer,
+)
 
 
 @dataclass(frozen=True)
@@ -118,6 +126,42 @@ def publish_ready_snapshot(
     return publish_ready(spark, final, root, quarantined)
 
 
+def update_benchmark(spark: SparkSession, raw: DataFrame, root: str, cutoff: date) -> Publication:
+    """Extend the published benchmark bars by a delivery and publish the result.
+
+    Incomplete source rows are left out, but every other row must survive
+    normalisation. The merge must be provably continuous for each benchmark; an
+    unchanged result is reused, and a changed one of the same day is a new run.
+    """
+    labelled = normalize.split_incomplete(raw)
+    checks = normalize.split_incomplete_checks(labelled)
+    merge.raise_on_rows(checks.filter(F.col("duplicate_valid_dates") > 0), "benchmark dates repeated")
+    typed = normalize.normalize_history(raw)
+    merge.raise_on_rows(typed.filter(F.col("verdict") != "accepted"), "benchmark rows rejected")
+    kept = typed.groupBy("security_id").agg(F.count("*").alias("kept"))
+    lost = checks.join(kept, "security_id", "left").filter(
+        F.col("valid_rows") != F.coalesce("kept", F.lit(0))
+    )
+    merge.raise_on_rows(lost, "benchmark rows lost in normalisation")
+    new = normalize.finalized_filter(normalize.accepted(typed), cutoff)
+    pointer = read_pointer(spark, root)
+    if pointer is None:
+        result = new
+    else:
+        old, _ = load_snapshot(spark, root)
+        verdicts = merge.benchmark_verdicts(old, new)
+        merge.raise_on_rows(
+            verdicts.filter(~F.col("verdict").isin("append", "rebase")), "benchmark continuity rejected"
+        )
+        result = merge.benchmark_merge(old, new)
+    as_of = result.agg(F.max("date").alias("d")).first()["d"]
+    if as_of is None:
+        raise ContractError("benchmark delivery holds no finalized bar")
+    same_day = pointer is not None and pointer.as_of_date == as_of.isoformat()
+    changed = same_day and fingerprint(result, BAR_COLUMNS)[1] != pointer.fingerprint
+    return publish_snapshot(spark, result, root, as_of, recovery=changed)
+
+
 def build_and_promote_ema(
     spark: SparkSession,
     ready: DataFrame,

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from barflow.functions import exprs as X
 from barflow.functions.keep import keep_last
 from barflow.operators.merge import raise_on_rows
-from barflow.operators.universe import eligible
+from barflow.operators.universe import deferred_issues, eligible, review_registry_issues
 from barflow.schemas import BAR_COLUMNS, BARS, MEMBER, ContractError, require_columns
 
 
@@ -380,38 +380,73 @@ def latest_failure_log(results: DataFrame, repair_prefix: str = "repair-run-") -
     )
 
 
-LIFECYCLE = T.StructType(
-    [
-        T.StructField("security_id", T.StringType()),
-        T.StructField("ticker", T.StringType()),
-        T.StructField("lifecycle_status", T.StringType()),
-        T.StructField("effective_date", T.DateType()),
-        T.StructField("reason", T.StringType()),
-        T.StructField("successor_security_id", T.StringType()),
-        T.StructField("successor_ticker", T.StringType()),
-    ]
-)
+def _text_fields(*names: str, dates: tuple[str, ...] = ()) -> T.StructType:
+    return T.StructType([T.StructField(n, T.DateType() if n in dates else T.StringType()) for n in names])
 
 
-def read_lifecycle_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Lifecycle records of a registry document; ids must be present and unique."""
+LIFECYCLE = _text_fields(
+    "security_id", "ticker", "lifecycle_status", "effective_date", "reason", "successor_security_id",
+    "successor_ticker", dates=("effective_date",),
+)
+CANDIDATE = _text_fields("security_id", "ticker")
+DEFERRED = _text_fields("security_id", "ticker", "reason", "event_date", "detail", "source", "reviewed_at")
+REVIEW = _text_fields(
+    "security_id", "ticker", "scope", "snapshot_date", "reviewed_at", "finding", "detail", "source_url", "event_date",
+    "resolution",
+)
+QUARANTINE = _text_fields("ready_as_of_date", "ready_sha256", "last_known_good_as_of_date", "reason")
+
+
+def read_records(
+    spark: SparkSession, path: str, field: str, record: T.StructType, version: int | None = None
+) -> DataFrame:
+    """Rows of the array ``field`` of registry documents; the array must be there.
+
+    With ``version`` the document's schema_version must equal it.
+    """
     schema = T.StructType(
-        [T.StructField("schema_version", T.IntegerType()), T.StructField("records", T.ArrayType(LIFECYCLE))]
+        [T.StructField("schema_version", T.IntegerType()), T.StructField(field, T.ArrayType(record))]
     )
     docs = spark.read.schema(schema).option("multiLine", "true").json(path)
-    raise_on_rows(
-        docs.filter(~F.col("schema_version").eqNullSafe(F.lit(1)) | F.col("records").isNull()).select(
-            "schema_version"
-        ),
-        "lifecycle registry rejected",
-    )
-    rows = docs.select(F.explode("records").alias("r")).select("r.*")
-    key = F.coalesce(F.trim("security_id"), F.lit(""))
-    bad = rows.groupBy(key.alias("security_id")).agg(F.count("*").alias("n"))
-    raise_on_rows(bad.filter((F.col("security_id") == "") | (F.col("n") > 1)), "lifecycle ids missing or repeated")
+    bad = F.col(field).isNull()
+    if version is not None:
+        bad = bad | ~F.col("schema_version").eqNullSafe(F.lit(version))
+    raise_on_rows(docs.filter(bad).select("schema_version"), f"document without usable {field}")
+    return docs.select(F.explode(field).alias("r")).select("r.*")
+
+
+def _unique_ids(rows: DataFrame, what: str) -> DataFrame:
+    raise_on_rows(deferred_issues(rows).select("security_id", "issue"), f"{what} rejected")
     return rows
 
 
+def read_lifecycle_registry(spark: SparkSession, path: str) -> DataFrame:
+    """Lifecycle records; ids must be present and unique."""
+    return _unique_ids(read_records(spark, path, "records", LIFECYCLE, 1), "lifecycle registry")
+
+
+def read_onboarding_plan(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(candidates, deferred) of a reviewed onboarding plan; deferred ids must be present and unique."""
+    deferred = _unique_ids(read_records(spark, path, "deferred", DEFERRED), "deferred list")
+    return read_records(spark, path, "candidates", CANDIDATE), deferred
+
+
+def read_review_registry(spark: SparkSession, path: str) -> DataFrame:
+    """Recorded reviews; raises when a record may not be used."""
+    rows = read_records(spark, path, "records", REVIEW, 1)
+    raise_on_rows(review_registry_issues(rows), "review registry rejected")
+    return rows
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Known-bad snapshots in the form :func:`trusted_predecessor` takes."""
+    return read_records(spark, path, "quarantined_ready", QUARANTINE).select(
+        F.col("ready_as_of_date").alias("as_of_date"),
+        F.col("ready_sha256").alias("fingerprint"),
+        F.col("last_known_good_as_of_date").alias("last_known_good"),
+    )
+
+
 def incremental_start(last_date: date | Column, overlap_days: int = 7) -> Column:
     """First date an incremental fetch asks for: the last stored date minus an overlap."""
     day = F.lit(last_date) if isinstance(last_date, date) else last_date

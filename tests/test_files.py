@@ -175,6 +175,51 @@ def test_lifecycle_registry(spark, tmp_path):
             R.read_lifecycle_registry(spark, str(path))
 
 
+def test_registry_documents(spark, tmp_path):
+    def land(**doc):
+        (tmp_path / "d.json").write_text(json.dumps(doc))
+        return str(tmp_path / "d.json")
+
+    plan = land(candidates=[{"security_id": "A", "ticker": "TA"}], deferred=[{"security_id": "B", "reason": "merged", "event_date": "2026-01-01"}])
+    candidates, deferred = R.read_onboarding_plan(spark, plan)
+    assert rows_of(candidates) == [("A", "TA")] and rows_of(deferred, "security_id", "reason") == [("B", "merged")]
+    with pytest.raises(ContractError):
+        R.read_onboarding_plan(spark, land(candidates=[], deferred=[{"security_id": "B"}, {"security_id": "B"}]))
+    review = dict(security_id="A", ticker="TA", scope="market_data", snapshot_date="s", reviewed_at="r", finding="f", source_url="https://e.org/x", resolution="FOLLOW_UP_REQUIRED")
+    assert R.read_review_registry(spark, land(schema_version=1, records=[review])).count() == 1
+    for broken in ({"source_url": "ftp://e.org"}, {"finding": ""}, {"resolution": "DONE"}):
+        with pytest.raises(ContractError):
+            R.read_review_registry(spark, land(schema_version=1, records=[review | broken]))
+    with pytest.raises(ContractError):
+        R.read_review_registry(spark, land(schema_version=1))
+    q = R.read_quarantine(spark, land(quarantined_ready=[{"ready_as_of_date": "d", "ready_sha256": "f", "last_known_good_as_of_date": "g"}]))
+    assert rows_of(q) == [("d", "f", "g")]
+
+
+def test_benchmark_job(bars, spark, tmp_path):
+    root = str(tmp_path / "bench")
+    ordered = lambda rows: bars(rows).withColumn("src_ord", F.unix_date("date"))
+    rows = [bar("K", d, 100.0 + i) for i, d in enumerate(days("2024-01-01", 10))]
+    first = jobs.update_benchmark(spark, ordered(rows[:6]), root, day("2024-01-05"))
+    assert (first.decision, first.pointer.rows) == ("CREATE", 5)
+    assert jobs.update_benchmark(spark, ordered(rows[2:6]), root, day("2024-01-05")).decision == "REUSE"
+    halved = [r | {"adj_close": r["close"] / 2} for r in rows[2:8]] + [bar("K", "2024-01-09", close=None)]
+    second = jobs.update_benchmark(spark, ordered(halved), root, day("2024-01-31"))
+    data, pointer = P.load_snapshot(spark, root)
+    assert pointer == second.pointer and pointer.rows == 8
+    assert [c for _, c in rows_of(data, "date", "adj_close")] == [r["close"] / 2 for r in rows[:8]]
+    same_day = [r | {"volume": 7, "adj_close": r["close"] / 2} for r in rows[6:8]]
+    assert jobs.update_benchmark(spark, ordered(same_day), root, day("2024-01-31")).decision == "CREATE"
+    for bad, message in [
+        ([r | {"close": r["close"] + 0.5} for r in rows[6:9]], "continuity"),
+        ([rows[8], rows[8]], "repeated"),
+        ([rows[7], rows[8] | {"high": 1.0}], "rejected"),
+        ([rows[9]], "continuity"),
+    ]:
+        with pytest.raises(ContractError, match=message):
+            jobs.update_benchmark(spark, ordered(bad), root, day("2024-01-31"))
+
+
 def test_incremental_start(spark):
     assert str(spark.range(1).select(R.incremental_start(day("2024-01-10"))).first()[0]) == "2024-01-03"
 
