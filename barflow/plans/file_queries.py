@@ -378,6 +378,18 @@ def ready_publication(spark, folder):
     )
 
 
+@query(
+    "update_benchmark",
+    with_ctes("benchmark_bars", f"SELECT {NAMES} FROM benchmark_bars WHERE date <= DATE '2001-10-31'"),
+)
+def update_benchmark(spark, folder):
+    root = new_folder(spark, "benchmark")
+    bars = fx.benchmark_bars(spark, folder).withColumn("src_ord", F.unix_date("date"))
+    jobs.update_benchmark(spark, bars.filter(F.col("date") <= B.SPLIT_DAY), root, B.SPLIT_DAY)
+    jobs.update_benchmark(spark, bars.filter(F.col("date") >= B.OVERLAP_DAY), root, date(2001, 10, 31))
+    return P.load_snapshot(spark, root)[0].select(*BAR_COLUMNS)
+
+
 @query("ema_promotion", with_ctes("bars", "SELECT * FROM state", state=Q.bootstrap_sql("bars")))
 def ema_promotion(spark, folder):
     root = new_folder(spark, "ema")
