@@ -290,9 +290,16 @@ def load_snapshot(spark, folder):
     return P.load_snapshot(spark, root)[0].select(*BAR_COLUMNS)
 
 
-@query("fingerprint")
+@query(
+    "fingerprint",
+    with_ctes(
+        "bars",
+        """SELECT v AS variant, CASE WHEN v = 'repeated' THEN (SELECT count(*) FROM bars) + (SELECT count(*) FROM bars WHERE date = (SELECT min(date) FROM bars))
+ ELSE (SELECT count(*) FROM bars) END AS rows, v IN ('plain', 'reordered') AS same_as_plain FROM unnest(['plain', 'reordered', 'changed', 'repeated']) AS t(v)""",
+    ),
+)
 def fingerprint(spark, folder):
-    """Content fingerprints of the bars as they are, reordered, changed and repeated."""
+    """Do the bars as they are, reordered, changed and repeated share one fingerprint?"""
     bars = fx.bars(spark, folder)
     first = bars.agg(F.min("date")).scalar()
     variants = {
@@ -302,7 +309,8 @@ def fingerprint(spark, folder):
         "repeated": bars.unionByName(bars.filter(F.col("date") == first)),
     }
     frames = [P.fingerprint_frame(df, BAR_COLUMNS).withColumn("variant", F.lit(name)) for name, df in variants.items()]
-    return B._union(frames)
+    plain = P.fingerprint_frame(bars, BAR_COLUMNS).select("fingerprint").scalar()
+    return B._union(frames).select("variant", "rows", (F.col("fingerprint") == plain).alias("same_as_plain"))
 
 
 # --- jobs
