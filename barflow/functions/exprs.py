@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barflow.schemas import BAR_VALUES, PRICES
+from barflow.schemas import BAR_VALUES
 
 INF = float("inf")
 

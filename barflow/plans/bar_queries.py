@@ -126,8 +126,7 @@ _INDEX_JUDGED = """SELECT *, max(CASE WHEN volume < 0 THEN 1 ELSE 0 END) OVER p
     ),
 )
 def normalize_index_bars(spark, folder):
-    rows = _index_rows(spark, folder).withColumn("src_ord", F.col("src_ord"))
-    out = N.normalize_index_bars(rows, "PROVIDER", "v1")
+    out = N.normalize_index_bars(_index_rows(spark, folder), "PROVIDER", "v1")
     return out.groupBy("index_id", "source_provider", "verdict").agg(
         F.count("*").alias("bars"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
     )
@@ -629,8 +628,8 @@ def _gate_bars(spark, folder):
  history_rows, first_date, last_date, shared_rows, factor_min, factor_max FROM members_later m JOIN
  (SELECT b.security_id, count(*) AS history_rows, min(b.date) AS first_date, max(b.date) AS last_date, count(k.date) AS shared_rows,
   min(adj_close / b.close) AS factor_min, max(adj_close / b.close) AS factor_max,
-  CASE WHEN bool_or(b.ticker <> x.ticker) THEN 'identity_mismatch' WHEN bool_or({qc_sql().replace('high', 'b.high').replace('b.high_below', 'high_below').replace('close_or_b.high', 'close_or_high')} <> '') THEN 'qc_rejected' END AS error
-  FROM gate_bars b JOIN members_later x USING (security_id) LEFT JOIN (SELECT date FROM benchmark_bars) k ON b.date = k.date
+  CASE WHEN bool_or(b.ticker <> x.ticker) THEN 'identity_mismatch' WHEN bool_or(b.issues <> '') THEN 'qc_rejected' END AS error
+  FROM (SELECT *, {qc_sql()} AS issues FROM gate_bars) b JOIN members_later x USING (security_id) LEFT JOIN (SELECT date FROM benchmark_bars) k ON b.date = k.date
   GROUP BY 1) g USING (security_id)""",
         gate_bars=_GATE_BARS,
     ),
@@ -767,9 +766,6 @@ def ready_selection(spark, folder):
     return C.ready_selection(ready, later, excluded, -1, later.count())
 
 
-READY_SPLIT = "SELECT security_id, n FROM (SELECT security_id, count(*) AS n FROM bars GROUP BY 1)"
-
-
 @query(
     "ready_filter",
     with_ctes(

@@ -1,4 +1,3 @@
-import datetime as dt
 import math
 import random
 
@@ -69,7 +68,6 @@ def test_is_close_follows_numpy(spark):
     ],
 )
 def test_finalized_through(spark, utc, expected):
-    df = spark.createDataFrame([(dt.datetime.fromisoformat(utc),)], "ts timestamp")
     df = spark.createDataFrame([(utc,)], "t string").select(F.col("t").cast("timestamp").alias("ts"))
     assert str(df.select(X.finalized_through("ts")).first()[0]) == expected
 
