@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bpe_codec, quality, token_count, url_filter
+from barflow.llm import bpe_codec, decontaminate, line_dedup, quality, token_count, url_filter, warc
 from barflow.llm.registry import query
 from barflow.llm.shared import table
+from barflow.session import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
@@ -111,3 +112,103 @@ def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     out = bpe_codec.digests(docs, BYTE_BPE)
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+OP6_SQL = r"""
+WITH RECURSIVE cleaned AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, list_aggregate(w[i:i + least(len(w), 10) - 1], 'string_agg', ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, i, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM cleaned, sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, p.i, p.n, item_id FROM places p JOIN windows v ON p.n = v.n AND p.g = v.g),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+SELECT c.doc_id, len(w)::BIGINT AS n_words, coalesce(v.n, 0)::BIGINT AS n_hit, coalesce(l.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(l.ids, '')) AS items_sha256, coalesce(v.n, 0) > 0 AS contaminated
+FROM cleaned c LEFT JOIN covered v ON v.doc_id = c.doc_id LEFT JOIN listed l ON l.doc_id = c.doc_id
+"""
+
+
+@query("op6_decontamination", OP6_SQL)
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows that occur in each document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP8_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, l, translate(regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, generate_subscripts(s, 1) AS i, unnest(s) AS l
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+frequent AS (
+  SELECT k, max(doc_id) AS last_doc FROM lines WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT doc_id, i, l, f.k IS NOT NULL AND doc_id <> last_doc AS gone FROM lines LEFT JOIN frequent f USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@query("op8_line_dedup", OP8_SQL)
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that many documents repeat, dropped but for the last document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs)
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP10_SQL = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+  FROM pages)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM p
+"""
+
+
+@query("op10_warc", OP10_SQL)
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives of all pages, written and read back."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    archive = new_folder(spark, "llm-warc")
+    warc.write_warc(pages, archive)
+    records = warc.read_warc(spark, archive).filter("warc_type <> 'warcinfo'")
+    page = r"<urn:page:(-?\d+)>"
+    digest = F.when(F.col("warc_type") == "response", F.sha1("payload")).otherwise(
+        F.regexp_replace("payload_digest", "^sha1:", "")
+    )
+    size = F.when(F.col("warc_type") == "response", F.octet_length("payload")).otherwise(F.col("payload_bytes"))
+    return records.select(
+        F.nullif(F.regexp_extract("record_id", page, 1), F.lit("")).cast("long").alias("page_id"),
+        size.cast("long").alias("payload_bytes"),
+        digest.alias("payload_digest"),
+        F.col("warc_type").alias("record_type"),
+        F.nullif(F.regexp_extract("refers_to", page, 1), F.lit("")).cast("long").alias("refers_to"),
+    )
