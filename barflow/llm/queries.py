@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bpe_codec, decontaminate, line_dedup, quality, token_count, url_filter, warc
+from barflow.llm import bpe_codec, decontaminate, line_dedup, quality, simhash, token_count, url_filter, warc
 from barflow.llm.registry import query
 from barflow.llm.shared import table
 from barflow.session import new_folder
@@ -14,6 +14,15 @@ from barflow.session import new_folder
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = simhash.near_duplicates(docs)
+    mark = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return out.select("doc_id", mark.alias("fingerprint"), "component_id")
+
+
 OP2_SQL = r"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS body FROM documents),
 toks AS (
