@@ -19,7 +19,7 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     out = simhash.near_duplicates(docs)
-    mark = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    mark = F.lower(F.lpad(F.hex("fp0"), 16, "0"))
     return out.select("doc_id", mark.alias("fingerprint"), "component_id")
 
 
