@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bpe_codec, decontaminate, line_dedup, quality, simhash, token_count, url_filter, warc
+from barflow.llm import bpe_codec, decontaminate, line_dedup, quality, simhash, substring, token_count, url_filter, warc
 from barflow.llm.registry import query
 from barflow.llm.shared import table
 from barflow.session import new_folder
@@ -78,6 +78,34 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(F.col("row.doc_id").alias("doc_id"), *quality.MEASURES, "base_failed", "kept")
 
 
+OP4_SQL = r"""
+WITH toks AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(list_aggregate(w[i:i + 49], 'string_agg', ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM toks WHERE len(w) >= 50)),
+first AS (SELECT g, min(doc_id) AS low FROM windows GROUP BY g),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN first USING (g) WHERE doc_id > low),
+words AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM toks),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM toks t LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""
+
+
+@query("op4_substring_dedup", OP4_SQL)
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of passages that an earlier document holds, removed."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = substring.dedup_substrings(docs)
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and byte-level BPE tokens of every document."""
