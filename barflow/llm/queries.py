@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bpe_codec, decontaminate, line_dedup, quality, simhash, substring, token_count, url_filter, warc
+from barflow.llm import bpe_codec, decontaminate, line_dedup, lm_score, quality, simhash, substring, token_count, url_filter, warc
 from barflow.llm.registry import query
 from barflow.llm.shared import table
 from barflow.session import new_folder
@@ -78,6 +78,42 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(F.col("row.doc_id").alias("doc_id"), *quality.MEASURES, "base_failed", "kept")
 
 
+OP3_SQL = r"""
+WITH toks AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+words AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM toks),
+total AS (SELECT count(*) AS t FROM words),
+known AS (SELECT word, count(*) AS n FROM words, total GROUP BY word, t HAVING count(*) > t / 1048576),
+mapped AS (
+  SELECT doc_id, p, coalesce(k.word, '') AS word FROM words LEFT JOIN known k ON k.word = words.word),
+c1 AS (SELECT word, count(*) AS n FROM mapped GROUP BY word),
+pairs AS (
+  SELECT doc_id, p, lag(word) OVER (PARTITION BY doc_id ORDER BY p) AS a, word AS b FROM mapped),
+c2 AS (SELECT a, b, count(*) AS n FROM pairs WHERE a IS NOT NULL GROUP BY a, b),
+own AS (SELECT doc_id, a, b, count(*) AS k FROM pairs WHERE a IS NOT NULL GROUP BY doc_id, a, b),
+terms AS (
+  SELECT doc_id, k * CASE WHEN c2.n > k THEN floor(ln((c2.n - k) / ca.n) * 1e6 + 0.5)
+    ELSE floor(ln(0.4::DOUBLE * cb.n / t) * 1e6 + 0.5) END AS m
+  FROM own JOIN c2 USING (a, b) JOIN c1 ca ON ca.word = a JOIN c1 cb ON cb.word = b, total
+  UNION ALL
+  SELECT doc_id, floor(ln(c1.n / t) * 1e6 + 0.5) FROM pairs JOIN c1 ON c1.word = b, total WHERE a IS NULL),
+sums AS (SELECT doc_id, sum(m)::BIGINT AS m FROM terms GROUP BY doc_id)
+SELECT toks.doc_id, len(w)::BIGINT AS n_words, coalesce(m, 0)::BIGINT AS log_score,
+  CASE WHEN len(w) > 0 THEN m / 1e6::DOUBLE / len(w) END AS score
+FROM toks LEFT JOIN sums ON sums.doc_id = toks.doc_id
+"""
+
+
+@query("op3_lm_score", OP3_SQL)
+def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Stupid-backoff score of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = lm_score.backoff_scores(docs)
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_words", "log_score", "score")
+
+
 OP4_SQL = r"""
 WITH toks AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
