@@ -211,6 +211,8 @@ def dedup_lines(docs: DataFrame, store: LineStore | None = None, min_chars: int
         refs = references(docs, min_chars)
     gone = staged(dropped_keys(store, refs), "dropped").withColumnRenamed("doc_id", "of")
     rows = docs.select(packed(docs.drop("text")).alias("row"), docs["doc_id"].alias("doc_id"), utf8("text").alias("text"))
+    # What is dropped grows with the documents, so it is never broadcast, also where it happens to be small.
+    gone = gone.hint("merge")
     joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["of"]), "left").select("row", "text", "dropped")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
