@@ -30,26 +30,16 @@ def utf8(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
 
 
+# Rows and bytes of an Arrow batch. Batches of the default 10,000 texts are
+# copied several times on both sides of the pipe and take most of a worker's memory.
+BATCH_ROWS = 500
+BATCH_BYTES = 8 << 20
+
+
 def require(docs: DataFrame, *names: str) -> None:
+    """Check the columns, and keep the session's batches of texts small."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     missing = [n for n in names if n not in docs.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-
-
-def with_text(docs: DataFrame, row: str, text: str) -> list[Column]:
-    """The columns of ``docs`` out of the struct ``row``, with the text replaced.
-
-    ``n_chars`` follows the new text where the table has that column.
-    """
-    out = []
-    for name in docs.columns:
-        if name == "text":
-            out.append(F.col(text).alias(name))
-        elif name == "n_chars":
-            kept = F.col(f"{row}.n_chars")
-            same = F.col(f"{row}.text").eqNullSafe(F.col(text))
-            count = F.length(F.col(text)).cast(docs.schema[name].dataType)
-            out.append(F.when(same, kept).otherwise(count).alias(name))
-        else:
-            out.append(F.col(row)[name].alias(name))
-    return out
