@@ -80,7 +80,7 @@ SIMILAR = Measure(shingle=5, words=4, radius=42, segments=20, own_reach=0)
 SEED = 42
 # Fingerprints that fit the trees; fingerprints of a shard on average; a shard's block.
 SAMPLE = 1 << 14
-LEAF = 2048
+LEAF = 4096
 MOST_DEPTH = 12
 BLOCK = 8192
 ROWS = 1 << 15
@@ -249,21 +249,20 @@ def near_links(nodes: DataFrame, measure: Measure = CLOSE) -> DataFrame:
     sizes = dealt.groupBy(*key).agg(F.sum(F.col("home").cast("long")).alias("held"), F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.greatest("held", F.col("n") - F.col("held")) / BLOCK).cast("int")
     large = staged(sizes.select(*key, blocks.alias("k")).filter("k > 1"), "large")
-    # A member of block x is the base of units (x, j) and probes units (i, x) up
-    # to its own; a query of block x probes all units (i, x).
-    keyed = dealt.join(large, key, "left").withColumn("k", F.coalesce("k", F.lit(1)))
-    keyed = keyed.withColumn("x", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    keyed = dealt.join(large, key, "left")
+    whole = keyed.filter("k IS NULL").select(*key, F.lit(0).alias("i"), F.lit(0).alias("j"), "home", "id", *names)
+    # In a large shard a member of block x is the base of units (x, j) and
+    # probes units (i, x) before its own; a query of block x probes all (i, x).
+    keyed = keyed.filter("k > 1").withColumn("x", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
     steps = F.sequence(F.lit(0), F.col("k") - 1)
+    probe = F.lit(False).alias("home")
     as_base = keyed.filter("home").select(*key, F.col("x").alias("i"), F.explode(steps).alias("j"), "home", "id", *names)
-    as_probe = keyed.filter("NOT home OR k > 1").select(
-        *key, F.explode(steps).alias("i"), F.col("x").alias("j"), "home", "id", *names
-    )
-    as_probe = as_probe.filter("NOT home OR i < j")
-    base, probe = F.lit(True).alias("base"), F.lit(False).alias("base")
+    as_probe = keyed.select(*key, F.explode(steps).alias("i"), F.col("x").alias("j"), "home", "id", *names)
+    as_probe = as_probe.filter("NOT home OR i < j").select(*key, "i", "j", probe, "id", *names)
 
     def link(unit: pd.DataFrame) -> pd.DataFrame:
         marks = np.stack([unit[c].to_numpy().view(np.uint64) for c in names], axis=1)
-        ids, held = unit["id"].to_numpy(), unit["base"].to_numpy()
+        ids, held = unit["id"].to_numpy(), unit["home"].to_numpy()
         links = []
         if (~held).any():
             own, other = ids[~held], ids[held]
@@ -274,7 +273,7 @@ def near_links(nodes: DataFrame, measure: Measure = CLOSE) -> DataFrame:
             links += [(own[p], other[b]) for p, b in inner_links(marks[held], measure.radius)]
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
-    units = as_base.select("*", base).unionByName(as_probe.select("*", probe)).groupBy(*key, "i", "j")
+    units = whole.unionByName(as_base).unionByName(as_probe).groupBy(*key, "i", "j")
     return units.applyInPandas(link, "a bigint, b bigint")
 
 
@@ -307,11 +306,9 @@ def near_components(marked: DataFrame, measure: Measure = CLOSE) -> DataFrame:
     nodes = staged(nodes, "fingerprints")
     roots = components(near_links(nodes, measure)).withColumnRenamed("node", "id")
     named = staged(nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "roots")
-    # only components of several fingerprints need a second look
-    shared = named.filter("root <> id").select("root").distinct()
-    least = named.join(shared, "root", "left_semi").groupBy("root").agg(F.min("least").alias("component_id"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of_mark = named.join(least, "root", "left")
-    of_mark = of_mark.select(*names, "root", F.coalesce("component_id", "least").alias("component_id"))
+    of_mark = of_mark.select(*names, "root", "component_id")
     return marked.join(staged(of_mark, "components"), names, "left")
 
 
@@ -327,5 +324,6 @@ def one_of_each(docs: DataFrame, measure: Measure = SIMILAR) -> DataFrame:
     judged = near_components(marked.drop("row"), measure)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
     kept = judged.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.rid").alias("rid"))
-    out = marked.join(kept, "rid", "left_semi")
+    # what stays grows with the documents, so it is never broadcast
+    out = marked.join(kept.hint("merge"), "rid", "left_semi")
     return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -107,7 +107,8 @@ def _spans(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     key = ["ord", "mark"]
     per_doc = wanted.groupBy(*key).agg(F.collect_set(F.struct("place", "anchor", "hot")).alias("places"))
-    rows = docs.select("ord", "mark", "text").join(per_doc, key).select("ord", "mark", "text", "places")
+    # what is wanted grows with the documents, so it is never broadcast
+    rows = docs.select("ord", "mark", "text").join(per_doc.hint("merge"), key).select("ord", "mark", "text", "places")
     return rows.mapInArrow(
         cut, "hot boolean, hi bigint, lo bigint, ord bigint, mark bigint, start bigint, span binary"
     )
@@ -188,7 +189,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ).withColumn("mark", F.xxhash64("text"))
     found = staged(repeated_windows(rows, length), "repeats")
     per_doc = found.groupBy("ord", "mark").agg(F.collect_set(F.struct("a", "b")).alias("hits"))
-    joined = rows.join(per_doc, ["ord", "mark"], "left").select("row", "text", "hits")
+    joined = rows.join(per_doc.hint("merge"), ["ord", "mark"], "left").select("row", "text", "hits")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
