@@ -177,8 +177,3 @@ def round_cents(value: Column | str) -> Column:
 
 def joined(items: Column) -> Column:
     return F.array_join(items, "|")
-
-
-def error_text(text: Column | str, limit: int = 500) -> Column:
-    return F.substring(col(text), 1, limit)
-

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions import exprs as X
+from barflow.functions.keep import keep_last
 from barflow.schemas import BAR_COLUMNS, BAR_KEY, BAR_VALUES, require_columns
 
 
@@ -148,7 +149,8 @@ def gap_evidence(gaps: DataFrame, history: DataFrame) -> DataFrame:
     latest = source.groupBy("security_id").agg(
         F.max("date").alias("history_latest_date"), F.count("*").alias("history_rows")
     )
-    rows = source.select("security_id", F.col("date").alias("missing_session"), *BAR_VALUES)
+    # a date that history repeats must not multiply the gap
+    rows = keep_last(source.select(*BAR_KEY, *BAR_VALUES), BAR_KEY, BAR_VALUES).withColumnRenamed("date", "missing_session")
     return (
         gaps.join(rows.withColumn("in_history", F.lit(True)), ["security_id", "missing_session"], "left")
         .join(latest, "security_id", "left")

@@ -39,7 +39,11 @@ def explorer_view(securities: DataFrame, fundamentals: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ExplorerRequest:
-    """Filters, sort and page of one screening query."""
+    """Filters, sort and page of one screening query.
+
+    A page holds at most ``max_limit`` rows and an unknown sort column means the
+    ticker; what was applied comes back with the rows.
+    """
 
     q: str = ""
     compliance: str | None = None
@@ -50,6 +54,11 @@ class ExplorerRequest:
     descending: bool = False
     page: int = 1
     limit: int | None = None
+    max_limit: int = MAX_LIMIT
+
+    @property
+    def page_number(self) -> int:
+        return max(self.page or 1, 1)
 
     @property
     def sort_column(self) -> str:
@@ -57,11 +66,11 @@ class ExplorerRequest:
 
     @property
     def page_size(self) -> int:
-        return min(max(self.limit or DEFAULT_LIMIT, 1), MAX_LIMIT)
+        return min(max(self.limit or DEFAULT_LIMIT, 1), self.max_limit)
 
     @property
     def offset(self) -> int:
-        return (max(self.page or 1, 1) - 1) * self.page_size
+        return (self.page_number - 1) * self.page_size
 
 
 RANGE_COLUMNS = ("eps_yoy_latest", "revenue_yoy_latest", "annual_eps_growth")
@@ -72,7 +81,8 @@ def explorer_matches(view: DataFrame, request: ExplorerRequest) -> DataFrame:
     test: Column = F.lit(True)
     q = request.q.strip()
     if q:
-        # % and _ keep their wildcard meaning, as in the served query
+        # % and _ keep their wildcard meaning, as in the served query; a backslash has none
+        q = q.replace("\\", "\\\\")
         test = test & (F.col("ticker").ilike(q.upper() + "%") | F.col("company_name").ilike("%" + q + "%"))
     if request.compliance:
         test = test & (F.col("sharia_compliance") == request.compliance.upper())
@@ -87,13 +97,19 @@ def explorer_matches(view: DataFrame, request: ExplorerRequest) -> DataFrame:
 
 
 def explorer_query(view: DataFrame, request: ExplorerRequest) -> DataFrame:
-    """One page of matches in sort order, each row with the ``total`` of all matches."""
+    """One page of matches in sort order, each row with the ``total`` of all matches and the page applied."""
     hits = explorer_matches(view, request)
     total = hits.agg(F.count("*")).scalar()
     key = F.col(request.sort_column)
     order = [key.desc() if request.descending else key.asc(), F.col("ticker").asc(), F.col("security_id").asc()]
     page = hits.orderBy(*order).offset(request.offset).limit(request.page_size)
-    return page.withColumn("total", total)
+    applied = {
+        "page": F.lit(request.page_number),
+        "limit": F.lit(request.page_size),
+        "sort": F.lit(request.sort_column),
+        "order": F.lit("desc" if request.descending else "asc"),
+    }
+    return page.withColumns({"total": total, **applied})
 
 
 def prefix_rollup(inventory: DataFrame, depth: int | None = None) -> DataFrame:

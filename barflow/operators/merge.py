@@ -7,20 +7,22 @@ reshuffled as wide rows where only its keys are needed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions import exprs as X
-from barflow.functions.keep import keep_last
+from barflow.functions.keep import keep_first, keep_last
 from barflow.schemas import BAR_COLUMNS, BAR_KEY, BAR_VALUES, ContractError, require_columns
 
 
-def merge_append_rows(history: DataFrame, downloaded: DataFrame) -> DataFrame:
+def merge_append_rows(history: DataFrame, downloaded: DataFrame, order_col: str | None = None) -> DataFrame:
     """Rows of ``downloaded`` that history lacks, labelled ``addition`` or ``backfill``.
 
+    Rows without a date are dropped, and a date downloaded twice keeps its first
+    row by ``order_col`` (without one, the smallest values).
+
     Stored dates are canonical and never rewritten. Only the keys of history
     within the downloaded date range are compared, and only one row per security
     is needed for its last stored date.
@@ -30,16 +32,19 @@ def merge_append_rows(history: DataFrame, downloaded: DataFrame) -> DataFrame:
     first_new = downloaded.agg(F.min("date")).scalar()
     keys = history.filter(F.col("date") >= first_new).select(*BAR_KEY)
     last = history.groupBy("security_id").agg(F.max("date").alias("last_date"))
-    fresh = downloaded.select(*BAR_COLUMNS).join(keys, BAR_KEY, "left_anti")
+    order = [order_col] if order_col else [c for c in BAR_COLUMNS if c not in BAR_KEY]
+    extra = [c for c in order if c not in BAR_COLUMNS]
+    dated = downloaded.select(*BAR_COLUMNS, *extra).filter(F.col("date").isNotNull())
+    fresh = keep_first(dated.join(keys, BAR_KEY, "left_anti"), BAR_KEY, order)
     is_backfill = F.col("date") <= F.col("last_date")
     return fresh.join(last, "security_id", "left").select(
         *BAR_COLUMNS, F.when(is_backfill, "backfill").otherwise("addition").alias("merge_class")
     )
 
 
-def merge_append(history: DataFrame, downloaded: DataFrame) -> DataFrame:
+def merge_append(history: DataFrame, downloaded: DataFrame, order_col: str | None = None) -> DataFrame:
     """History plus the later and the missing internal dates of ``downloaded``."""
-    rows = merge_append_rows(history, downloaded).select(*BAR_COLUMNS)
+    rows = merge_append_rows(history, downloaded, order_col).select(*BAR_COLUMNS)
     return history.select(*BAR_COLUMNS).unionByName(rows)
 
 
@@ -260,7 +265,11 @@ def benchmark_merge(old: DataFrame, new: DataFrame) -> DataFrame:
             *BAR_COLUMNS, F.lit(1).alias("rank")
         )
     )
-    return keep_last(rows, BAR_KEY, ["rank"]).select(*BAR_COLUMNS)
+    merged = keep_last(rows, BAR_KEY, ["rank"]).select(*BAR_COLUMNS)
+    # a rebase can leave the range of sound prices
+    bad = merged.filter(~X.is_sound()).select(*BAR_KEY)
+    raise_on_rows(bad, "benchmark bars unsound after the merge")
+    return merged
 
 
 def raise_on_rows(violations: DataFrame, what: str, samples: int = 5) -> None:
@@ -279,7 +288,3 @@ def set_algebra(left: DataFrame, right: DataFrame, key: str = "security_id") ->
         F.when((F.max("l") == 1) & (F.max("r") == 1), "both").when(F.max("l") == 1, "left_only").otherwise("right_only")
     )
     return tagged.groupBy(key).agg(side.alias("side"))
-
-
-def union_ids(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("security_id",)) -> DataFrame:
-    return left.select(*keys).union(right.select(*keys)).distinct()

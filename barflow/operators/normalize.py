@@ -7,6 +7,7 @@ of a job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,9 +30,13 @@ def exchange_session(ts: Column | str, zone: str = X.EXCHANGE_ZONE) -> Column:
     return F.to_date(F.from_utc_timestamp(X.col(ts), zone))
 
 
-def typed_rows(raw: DataFrame) -> DataFrame:
+def typed_rows(raw: DataFrame, session: Callable[[Column], Column] = utc_session) -> DataFrame:
     """Coerce source columns; values that do not parse become NULL.
 
+    A date is read as a timestamp (with its zone, if it names one) and
+    ``session`` says which day that is: :func:`utc_session` or
+    :func:`exchange_session`.
+
     ``adj_close`` falls back to ``close`` only where the source has no such
     column. A missing volume counts as zero.
     """
@@ -41,7 +46,7 @@ def typed_rows(raw: DataFrame) -> DataFrame:
     extra = [c for c in raw.columns if c not in BAR_COLUMNS]
     volume = number("volume")
     return raw.select(
-        F.col("date").try_cast("date").alias("date"),
+        session(F.col("date").try_cast("timestamp")).alias("date"),
         "security_id",
         "ticker",
         *[number(c).alias(c) for c in OHLC],
@@ -58,7 +63,9 @@ def _complete() -> Column:
     return ok
 
 
-def normalize_history(raw: DataFrame, order_col: str = "src_ord") -> DataFrame:
+def normalize_history(
+    raw: DataFrame, order_col: str = "src_ord", session: Callable[[Column], Column] = utc_session
+) -> DataFrame:
     """Bars of accepted securities plus ``verdict``; see :func:`accepted`.
 
     Rows lacking a date or one of O/H/L/C are dropped, a repeated date keeps its
@@ -67,7 +74,7 @@ def normalize_history(raw: DataFrame, order_col: str = "src_ord") -> DataFrame:
     one row per calendar date.
     """
     require_columns(raw, [order_col], "provider rows")
-    rows = typed_rows(raw).filter(_complete())
+    rows = typed_rows(raw, session).filter(_complete())
     rows = keep_last(rows.select(*BAR_COLUMNS, order_col), ["security_id", "date"], [order_col])
     negative = F.least(*OHLC) < 0
     inverted = F.col("high") < F.col("low")

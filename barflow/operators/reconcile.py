@@ -78,7 +78,8 @@ def parity_errors(canonical: DataFrame, other: DataFrame) -> DataFrame:
     """Absolute relative error of adjusted closes on shared (ticker, date) rows."""
     left = canonical.select("ticker", "date", "adj_close")
     right = other.select("ticker", "date", F.col("adj_close").alias("other_adj_close"))
-    j = left.join(right, ["ticker", "date"]).filter(F.abs("adj_close") > 0)
+    # NaN sorts above every number, so it has to be ruled out by name
+    j = left.join(right, ["ticker", "date"]).filter((F.abs("adj_close") > 0) & ~F.isnan("adj_close"))
     return j.select(
         "ticker", "date", (F.abs(F.col("other_adj_close") - F.col("adj_close")) / F.abs("adj_close")).alias("err")
     )
@@ -91,7 +92,7 @@ def parity_metrics(canonical: DataFrame, other: DataFrame) -> DataFrame:
     q = exact_quantiles(usable, "err", [0.5, 0.95])
     at = lambda p: F.max(F.when(F.col("probability") == p, F.col("quantile")))
     quantiles = q.agg(at(0.5).alias("median_abs_pct_error"), at(0.95).alias("p95_abs_pct_error"))
-    facts = errors.agg(F.count("*").alias("overlap_rows"), F.max("err").alias("max_abs_pct_error"))
+    facts = errors.agg(F.count("*").alias("overlap_rows"), F.max(F.when(~F.isnan("err"), F.col("err"))).alias("max_abs_pct_error"))
     both = quantiles.withColumn("f", facts.select(F.struct("*")).scalar())
     return both.select(
         "f.overlap_rows", "median_abs_pct_error", "p95_abs_pct_error", "f.max_abs_pct_error"

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow.schemas import BAR_KEY
 
@@ -13,24 +14,46 @@ VALUES = ["ticker", "open", "high", "low", "close", "adj_close", "volume"]
 
 
 def _differs(column: str) -> Column:
-    """Changed value; NULL equals NULL and NaN equals NaN, as in the source's NA test."""
-    return ~F.col(f"o.{column}").eqNullSafe(F.col(f"n.{column}"))
+    """Changed value; missing equals missing, be it NULL or NaN."""
+    return ~F.col(f"o_{column}").eqNullSafe(F.col(f"n_{column}"))
+
+
+def _missing_columns(canonical: DataFrame, candidate: DataFrame) -> bool:
+    needed = {*BAR_KEY, *VALUES}
+    return not (needed <= set(canonical.columns) and needed <= set(candidate.columns))
 
 
 def _key_rows(canonical: DataFrame, candidate: DataFrame) -> DataFrame:
-    """One row per key: how often each side has it and which value columns differ.
+    """One row per key: how often each side has it and the values of either side.
 
     Both sides are tagged, united and grouped by key, so duplicates on either
-    side are counted instead of multiplied by a join.
+    side are counted instead of multiplied by a join. The ticker takes part as
+    its hash: all buffers have a fixed width, so the aggregate hashes and needs
+    no sort.
     """
-    side = lambda df, tag: df.select(*BAR_KEY, F.lit(tag).alias("tag"), F.struct(*VALUES).alias("v"))
-    rows = side(canonical, 0).unionByName(side(candidate, 1))
-    old, new = F.col("tag") == 0, F.col("tag") == 1
+
+    def side(df: DataFrame, old: bool) -> DataFrame:
+        values = []
+        for c in VALUES:
+            kind = df.schema[c].dataType
+            if c == "ticker":
+                value = F.when(F.col(c).isNotNull(), F.xxhash64(c))
+            elif isinstance(kind, (T.DoubleType, T.FloatType)):
+                value = F.when(~F.isnan(c), F.col(c).cast("double"))
+            else:
+                value = F.col(c)
+            values += [value.alias(f"o_{c}" if old else f"n_{c}"), F.lit(None).cast(value_type(c)).alias(f"n_{c}" if old else f"o_{c}")]
+        counts = [F.lit(int(old)).alias("old_n"), F.lit(int(not old)).alias("new_n")]
+        return df.select(*BAR_KEY, *counts, *values)
+
+    def value_type(c: str) -> str:
+        return "bigint" if c in ("ticker", "volume") else "double"
+
+    rows = side(canonical, True).unionByName(side(candidate, False))
     return rows.groupBy(*BAR_KEY).agg(
-        F.count_if(old).alias("old_n"),
-        F.count_if(new).alias("new_n"),
-        F.max_by("v", F.when(old, 0)).alias("o"),
-        F.max_by("v", F.when(new, 0)).alias("n"),
+        F.sum("old_n").alias("old_n"),
+        F.sum("new_n").alias("new_n"),
+        *[F.max(f"{s}_{c}").alias(f"{s}_{c}") for s in "on" for c in VALUES],
     )
 
 
@@ -40,8 +63,7 @@ def window_advance_diff(canonical: DataFrame, candidate: DataFrame, as_of: date)
     ``reason`` is the first of the rules that fails, in their fixed order, or
     ``pure_late_arrival_window_advance``; ``detail`` names the column or security.
     """
-    missing = {*BAR_KEY, *VALUES} - set(canonical.columns) | {*BAR_KEY, *VALUES} - set(candidate.columns)
-    if missing:
+    if _missing_columns(canonical, candidate):
         spark = canonical.sparkSession
         return spark.range(1).select(
             F.lit(False).alias("safe"),
@@ -122,6 +144,13 @@ def window_advance_details(canonical: DataFrame, candidate: DataFrame) -> DataFr
 
 def set_reduction_diff(canonical: DataFrame, candidate: DataFrame) -> DataFrame:
     """One row: is the candidate the canonical snapshot minus whole securities?"""
+    if _missing_columns(canonical, candidate):
+        return canonical.sparkSession.range(1).select(
+            F.lit(False).alias("safe"),
+            F.lit("missing_required_columns").alias("reason"),
+            F.lit(None).cast("string").alias("detail"),
+            F.lit(0).cast("long").alias("removed_securities"),
+        )
     keys = _key_rows(canonical, candidate)
     both = (F.col("old_n") > 0) & (F.col("new_n") > 0)
     per_id = keys.groupBy("security_id").agg(

@@ -10,14 +10,19 @@ from barflow.operators.normalize import ADJUST_ISSUES, adjusted_ohlc, monotonic_
 from barflow.schemas import BAR_COLUMNS, require_columns
 
 
-def rolling_tail(bars: DataFrame, n: int = 300) -> DataFrame:
-    """The last ``n`` bars per security of bars that are unique per date.
+def rolling_tail(bars: DataFrame, n: int = 300, order_col: str | None = None) -> DataFrame:
+    """The bars of the last ``n`` dates per security, one per date.
 
-    Spark plans a group limit below the shuffle, so each map task sends at most
-    ``n`` rows of a security.
+    A repeated date keeps its row with the greatest ``order_col`` (without one,
+    the greatest values). Spark plans a group limit below the shuffle, so each
+    map task sends the rows of at most ``n`` dates of a security; picking one row
+    per date needs no further shuffle.
     """
     latest = Window.partitionBy("security_id").orderBy(F.col("date").desc())
-    return bars.withColumn("__rn", F.row_number().over(latest)).filter(F.col("__rn") <= n).drop("__rn")
+    order = [order_col] if order_col else [c for c in BAR_COLUMNS if c in bars.columns and c not in ("security_id", "date")]
+    per_date = Window.partitionBy("security_id", "date").orderBy(*[F.col(c).desc() for c in order])
+    tail = bars.withColumn("__rank", F.dense_rank().over(latest)).filter(F.col("__rank") <= n)
+    return tail.withColumn("__rn", F.row_number().over(per_date)).filter("__rn = 1").drop("__rank", "__rn")
 
 
 def readiness(

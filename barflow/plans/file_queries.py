@@ -45,15 +45,15 @@ def write_bars(spark, folder):
     with_ctes(
         "event_bars",
         f"""SELECT date, security_id, ticker, open, high, low, close, adj_close,
- CASE WHEN date >= DATE '2024-01-18' THEN volume + 1 ELSE volume END AS volume FROM event_bars WHERE date <= DATE '2024-01-25'""",
+ CASE WHEN date >= DATE '2024-01-18' THEN volume + 1 ELSE volume END AS volume FROM event_bars""",
     ),
 )
 def upsert_daily(spark, folder):
     path = new_folder(spark, "daily")
     bars = fx.event_bars(spark, folder)
-    S.upsert_daily(spark, path, bars.filter(F.col("date") <= date(2024, 1, 20)))
-    newer = bars.filter(F.col("date").between(date(2024, 1, 18), date(2024, 1, 25)))
-    S.upsert_daily(spark, path, newer.withColumn("volume", F.col("volume") + 1))
+    S.upsert_daily(spark, path, bars.filter(F.col("date") <= date(2024, 1, 20)), "volume")
+    newer = bars.filter(F.col("date") >= date(2024, 1, 18))
+    S.upsert_daily(spark, path, newer.withColumn("volume", F.col("volume") + 1), "volume")
     return R.read_bars(spark, path)
 
 
@@ -418,10 +418,13 @@ def ema_promotion(spark, folder):
     " arg_max(value, o) AS close, count(*) AS volume FROM e GROUP BY 1, 2",
 )
 def stream_daily_bars(spark, folder):
-    schema = fx.table(spark, folder, "events").schema
-    stream = T.read_files_as_stream(spark, folder, schema, "events.parquet")
+    # the events land as files in shuffled time order, so most ticks come late
+    base = new_folder(spark, "stream")
+    events = fx.table(spark, folder, "events")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(f"{base}/landed")
+    stream = T.read_files_as_stream(spark, f"{base}/landed", events.schema, files_per_trigger=1)
     ticks = stream.select(F.col("user_id").alias("security_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
-    return T.stream_daily_bars(ticks, new_folder(spark, "stream"))
+    return T.stream_daily_bars(ticks, f"{base}/run")
 
 
 def _land_in_order(spark, folder, path):

@@ -494,7 +494,7 @@ _WHERE = """sharia_compliance = 'COMPLIANT' AND (ticker ILIKE 'CUSTOMER#0%' OR c
     "explorer_query",
     with_ctes(
         "explorer",
-        f"""SELECT *, (SELECT count(*) FROM explorer WHERE {_WHERE}) AS total FROM explorer WHERE {_WHERE}
+        f"""SELECT *, (SELECT count(*) FROM explorer WHERE {_WHERE}) AS total, 2 AS page, 25 AS "limit", 'revenue_yoy_latest' AS sort, 'asc' AS "order" FROM explorer WHERE {_WHERE}
  ORDER BY revenue_yoy_latest NULLS FIRST, ticker, security_id LIMIT 25 OFFSET 25""",
     ),
 )

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barflow.schemas import ContractError
+
 # Runtime settings every barflow plan relies on. Dates are derived from UTC
 # timestamps, so the session zone is pinned; AQE sizes the shuffles, splits
 # skewed join partitions and picks broadcast joins from measured sizes, which is
@@ -33,14 +36,18 @@ def build_session(app_name: str = "barflow", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) is a local
-    temporary folder chosen and remembered for the rest of the session.
+    Only in local mode (tests on one machine), where the session names none, is
+    a local temporary folder chosen and remembered for the rest of the session;
+    on a cluster executors could not read it, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     folder = spark.conf.get("spark.barflow.folder", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^-]*\])?", master):
+            raise ContractError(f"spark.checkpoint.dir must name a shared folder on {master}")
         folder = tempfile.mkdtemp(prefix="barflow-")
         spark.conf.set("spark.barflow.folder", folder)
     return folder

@@ -27,16 +27,17 @@ def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists") -> DataF
     return written
 
 
-def upsert_daily(spark: SparkSession, path: str, additions: DataFrame, order_col: str | None = None) -> DataFrame:
+def upsert_daily(spark: SparkSession, path: str, additions: DataFrame, order_col: str) -> DataFrame:
     """Merge new bars into the per-date cross-sections below ``path``; the new row wins.
 
-    Only the partitions of the added dates are read and replaced. The merged
+    Of a bar added twice the row with the greatest ``order_col`` counts. Only the
+    partitions of the added dates are read and replaced. The merged
     partitions are first written to the shared folder, so the final overwrite
     never reads what it replaces. Returns the dates and rows written.
     """
-    new = additions.select(*BAR_COLUMNS, *([order_col] if order_col else []))
+    extra = [order_col] if order_col not in BAR_COLUMNS else []
     key = ["date", "security_id"]
-    new = keep_last(new, key, [order_col]).select(*BAR_COLUMNS) if order_col else new.dropDuplicates(key)
+    new = keep_last(additions.select(*BAR_COLUMNS, *extra), key, [order_col]).select(*BAR_COLUMNS)
     try:
         stored = spark.read.schema(BARS).parquet(path)
     except Exception as exc:  # the first run has no folder yet

@@ -18,7 +18,7 @@ from barflow.schemas import BAR_COLUMNS, BARS, MEMBER, ContractError, require_co
 def read_bars(spark: SparkSession, path: str, security_ids: DataFrame | None = None) -> DataFrame:
     """Stored bars with valid dates; the nine columns are required, others are not read."""
     df = require_columns(spark.read.parquet(path), BAR_COLUMNS, path)
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BARS.fields])
+    typed = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in BARS.fields])
     bars = typed.filter(F.col("date").isNotNull())
     if security_ids is None:
         return bars
@@ -161,6 +161,28 @@ def file_label(path_parts: int = 1) -> Column:
     return F.array_join(F.slice(parts, -path_parts, path_parts), "/")
 
 
+def _rows_by_own_header(spark: SparkSession, path: str, path_parts: int, needed: list[str]) -> DataFrame:
+    """Comma-separated files whose column orders may differ: each value under its own file's header.
+
+    A header is the line that names the first needed column; names are compared
+    without case, blanks and angle brackets. Raises when a file lacks a column.
+    """
+    lines = spark.read.text(path).select(
+        F.split("value", ",").alias("cells"),
+        file_label(path_parts).alias("filename"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("src_ord"),
+    )
+    names = F.transform("cells", lambda c: F.upper(F.trim(F.translate(c, "<>", ""))))
+    lines = lines.withColumn("names", names).withColumn("is_header", F.array_contains(names, needed[0]))
+    # one short row per file
+    headers = lines.groupBy("filename").agg(F.max(F.when(F.col("is_header"), F.col("names"))).alias("header"))
+    lacking = F.array_except(F.array(*map(F.lit, needed)), F.coalesce("header", F.array().cast("array<string>")))
+    raise_on_rows(headers.filter(F.size(lacking) > 0).select("filename", lacking.alias("lacks")), "bulk archive lacks columns")
+    rows = lines.filter(~F.col("is_header") & (F.trim(F.array_join("cells", "")) != "")).join(headers, "filename")
+    cell = lambda c: F.trim(F.get("cells", (F.array_position("header", c) - 1).cast("int")))
+    return rows.select(*[cell(c).alias(c) for c in needed], "filename", "src_ord")
+
+
 def read_bulk_archive(
     spark: SparkSession, path: str, manifest: DataFrame, path_parts: int = 1
 ) -> DataFrame:
@@ -170,15 +192,8 @@ def read_bulk_archive(
     last ``path_parts`` parts of the file's path. Adjusted close is the close. One bad row rejects its security; a listed security without any row is
     reported as ``missing_file``.
     """
-    raw = spark.read.option("header", "true").csv(path)
     needed = ["DATE", "OPEN", "HIGH", "LOW", "CLOSE", "VOL"]
-    bare = {c.strip().upper().strip("<>"): c for c in raw.columns}
-    raw = raw.select(
-        *[F.col(f"`{bare[c]}`").alias(c) for c in needed if c in bare],
-        file_label(path_parts).alias("filename"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("src_ord"),
-    )
-    require_columns(raw, needed, "bulk archive")
+    raw = _rows_by_own_header(spark, path, path_parts, needed)
     listed = manifest.filter(F.upper("status") == "COPIED").select("security_id", "ticker", "filename")
     number = lambda c: F.col(c).try_cast("double")
     rows = raw.join(listed, "filename").select(
@@ -233,7 +248,7 @@ def unpivot_provider(wide: DataFrame, date_col: str = "Date", sep: str = "|") ->
     cells = [c for c in wide.columns if c != date_col and sep in c]
     if not cells:
         raise ContractError("provider frame has no symbol|field columns")
-    long = wide.select(date_col, *[F.col(f"`{c}`").cast("double").alias(c) for c in cells]).unpivot(
+    long = wide.select(date_col, *[F.col(f"`{c}`").try_cast("double").alias(c) for c in cells]).unpivot(
         [date_col], [f"`{c}`" for c in cells], "cell", "value"
     )
     left = F.split_part("cell", F.lit(sep), F.lit(1))
@@ -242,7 +257,7 @@ def unpivot_provider(wide: DataFrame, date_col: str = "Date", sep: str = "|") ->
     named = long.filter(F.col("value").isNotNull() & ~F.isnan("value")).select(
         F.when(field_first, right).otherwise(left).alias("symbol"),
         F.when(field_first, left).otherwise(right).alias("field"),
-        F.col(date_col).cast("date").alias("date"),
+        F.col(date_col).try_cast("date").alias("date"),
         "value",
     )
     return (
@@ -294,9 +309,10 @@ def parse_provider_json(landed: DataFrame, layout: str) -> DataFrame:
         )
         day, names, adj = "b.date", {c: f"b.{c}" for c in X.PROVIDER_FIELDS}, "b.adjClose"
     else:
-        per_symbol = doc.select(F.col("d.bars").isNull().alias("failed"), F.explode_outer("d.bars").alias("symbol", "list"))
+        # a payload without any symbol of its own answers for the symbol it was landed under
+        per_symbol = doc.select("symbol", F.col("d.bars").isNull().alias("failed"), F.explode_outer("d.bars").alias("named", "list"))
         bars = per_symbol.select(
-            "symbol", "failed", F.lit(False).alias("alien"), F.explode_outer("list").alias("b")
+            F.coalesce("named", "symbol").alias("symbol"), "failed", F.lit(False).alias("alien"), F.explode_outer("list").alias("b")
         )
         names = dict(zip(X.PROVIDER_FIELDS, ("b.o", "b.h", "b.l", "b.c", "b.v")))
         day, adj = "b.t", None

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barflow.functions.keep import keep_last
 from barflow.operators.ema import ema_advance
 from barflow.schemas import BARS, EMA_STATE, EMA_STATE_COLUMNS
 
@@ -61,21 +60,45 @@ def _run(stream: DataFrame, folder: str, mode: str, per_batch) -> None:
     query.awaitTermination()
 
 
-def stream_daily_bars(ticks: DataFrame, folder: str, delay: str = "1 day") -> DataFrame:
+def _partial_bars(ticks: DataFrame) -> DataFrame:
+    """What one micro-batch knows of each bar, in a form that merges with other batches in any order."""
+    order = F.struct("ts", "event_id")
+    return ticks.groupBy("security_id", F.to_date("ts").alias("date")).agg(
+        F.min_by(F.struct("ts", "event_id", "value"), order).alias("first"),
+        F.max_by(F.struct("ts", "event_id", "value"), order).alias("last"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+        F.count("*").alias("volume"),
+    )
+
+
+def _merged_bars(parts: DataFrame) -> DataFrame:
+    at = lambda c: F.struct(f"{c}.ts", f"{c}.event_id")
+    return parts.groupBy("security_id", "date").agg(
+        F.min_by("first.value", at("first")).alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("last.value", at("last")).alias("close"),
+        F.sum("volume").alias("volume"),
+    )
+
+
+def stream_daily_bars(ticks: DataFrame, folder: str) -> DataFrame:
     """Run the tick stream to its end and return the bars it produced.
 
-    Update mode rewrites a day's bar whenever late ticks reach it, and the newest
-    batch of a bar wins. A batch folder is overwritten as a whole, so a retried
-    batch leaves no duplicate behind.
+    No tick is too late: there is no watermark and no state that expires. Each
+    micro-batch is reduced to one partial row per security and day, written to
+    its own folder (overwritten as a whole, so a retried batch leaves no
+    duplicate behind), and the partial rows of all batches merge into the bars.
     """
     spark = ticks.sparkSession
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/bars/batch={batch_id}")
+        _partial_bars(batch).write.mode("overwrite").parquet(f"{folder}/bars/batch={batch_id}")
 
-    _run(daily_bars(ticks.withWatermark("ts", delay)), folder, "update", save)
+    _run(ticks, folder, "append", save)
     rows = spark.read.option("basePath", f"{folder}/bars").parquet(f"{folder}/bars")
-    return keep_last(rows, ["security_id", "date"], ["batch"]).drop("batch")
+    return _merged_bars(rows)
 
 
 def stream_ema(bars: DataFrame, initial_state: DataFrame, folder: str) -> DataFrame:

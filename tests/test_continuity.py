@@ -128,3 +128,16 @@ def test_history_gate_reports_first_failure(bars, spark):
         "F": "fewer_than_21_shared_bars", "G": "no_history",
         "H": "invalid_adjustment_factor",
     }
+
+
+def test_tail_counts_dates_not_rows(bars):
+    df = bars([bar("A", "2024-01-01"), bar("A", "2024-01-02", 1.0), bar("A", "2024-01-02", 2.0), bar("A", "2024-01-03")])
+    assert rows_of(W.rolling_tail(df, 3), "date", "close") == [(day("2024-01-01"), 10.0), (day("2024-01-02"), 2.0), (day("2024-01-03"), 10.0)]
+    first = df.withColumn("n", -df["close"])
+    assert rows_of(W.rolling_tail(first, 2, "n"), "date", "close") == [(day("2024-01-02"), 1.0), (day("2024-01-03"), 10.0)]
+
+
+def test_repeated_history_does_not_multiply_gaps(bars, spark):
+    gaps = spark.createDataFrame([("B", day("2024-01-08"))], "security_id string, missing_session date")
+    history = bars([bar("B", "2024-01-08", 7.0), bar("B", "2024-01-08", 7.0)])
+    assert rows_of(C.gap_evidence(gaps, history), "in_history", "close", "history_rows") == [(True, 7.0, 2)]

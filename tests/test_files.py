@@ -97,6 +97,9 @@ def test_bulk_archive_judges_per_security(spark, tmp_path):
     assert dict(rows_of(out.select("security_id", "verdict").distinct())) == {
         "A": "staged", "B": "invalid_date", "C": "null_or_non_numeric", "D": "qc_rejected", "F": "missing_file",
     }
+    (src / "good.txt").write_text("<TICKER>,<DATE>,<LOW>,<HIGH>,<OPEN>,<CLOSE>,<VOL>\nX.US,20240102,9,11,10,10,5\nX.US,20240103,9,11,10,10,7\n")
+    out = R.read_bulk_archive(spark, str(src), manifest)
+    assert rows_of(out.filter("security_id = 'A'"), "open", "low", "verdict") == [(10.0, 9.0, "staged")] * 2
     kept = out.filter("security_id = 'A'")
     assert rows_of(kept, "date", "close", "adj_close", "volume", "ticker") == [
         (day("2024-01-02"), 10.0, 10.0, 5, "TA"), (day("2024-01-03"), 10.0, 10.0, 7, "TA"),
@@ -146,6 +149,9 @@ def test_parse_provider_json(spark):
     page = json.dumps({"bars": {"M": [{"t": "2024-01-02T05:00:00Z", "o": 10, "h": 11, "l": 9, "c": 10, "v": 5}], "N": []}})
     got = R.parse_provider_json(spark.createDataFrame([("page-1", page)], "symbol string, payload string"), "map")
     assert dict(rows_of(got, "symbol", "verdict")) == {"M": "accepted", "N": "empty"}
+    lone = [("X", '{"message": "no"}'), ("Y", '{"bars": {}}')]
+    got = R.parse_provider_json(spark.createDataFrame(lone, "symbol string, payload string"), "map")
+    assert rows_of(got, "symbol", "verdict") == [("X", "response_error"), ("Y", "empty")]
     with pytest.raises(ValueError):
         R.parse_provider_json(df, "xml")
 
@@ -226,9 +232,9 @@ def test_incremental_start(spark):
 
 def test_upsert_daily_touches_only_its_dates(bars, spark, tmp_path):
     path = str(tmp_path / "daily")
-    S.upsert_daily(spark, path, bars([bar(s, d) for s in "AB" for d in ("2024-01-01", "2024-01-02")]))
+    S.upsert_daily(spark, path, bars([bar(s, d) for s in "AB" for d in ("2024-01-01", "2024-01-02")]), "volume")
     before = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "daily" / "date=2024-01-01").iterdir()}
-    done = S.upsert_daily(spark, path, bars([bar("B", "2024-01-02", 20.0), bar("C", "2024-01-02"), bar("C", "2024-01-03")]))
+    done = S.upsert_daily(spark, path, bars([bar("B", "2024-01-02", 20.0), bar("C", "2024-01-02"), bar("C", "2024-01-03")]), "volume")
     assert rows_of(done) == [(day("2024-01-02"), 3), (day("2024-01-03"), 1)]
     out = dict(((r["security_id"], str(r["date"])), r["close"]) for r in R.read_bars(spark, path).collect())
     assert len(out) == 6 and out[("B", "2024-01-02")] == 20.0
@@ -352,3 +358,32 @@ def test_ema_promotion_needs_equivalence(bars, spark, tmp_path):
     report = E.ema_equivalence_report(E.ema_equivalence(state, bars(rows), state, last))
     with pytest.raises(ContractError, match="equivalence"):
         P.promote_ema(spark, state, report, root, last, "fp")
+
+
+def test_one_bad_cell_does_not_stop_a_reader(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    rows = [("2024-01-02", "A", "T", "n/a", "11", "9", "10", "10", "5"), ("never", "A", "T", "10", "11", "9", "10", "10", "5")]
+    spark.createDataFrame(rows, "date string, security_id string, ticker string, open string, high string, low string, close string, adj_close string, volume string").write.parquet(path)
+    assert rows_of(R.read_bars(spark, path), "open", "high") == [(None, 11.0)]
+    wide = spark.createDataFrame([("2024-01-02", "x", "2")], "Date string, `A|Open` string, `A|Close` string")
+    assert rows_of(R.unpivot_provider(wide), "symbol", "open", "close") == [("A", None, 2.0)]
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    from barflow import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ContractError, match="shared folder"):
+        session.shared_folder(Cluster())
+    Cluster.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ContractError, match="shared folder"):
+        session.shared_folder(Cluster())

@@ -118,7 +118,25 @@ def test_benchmark_verdicts_and_rebase(bars):
 def test_set_algebra_and_violation_gate(bars):
     left, right = bars([bar("A", "2024-01-02"), bar("B", "2024-01-02")]), bars([bar("B", "2024-01-02"), bar("C", "2024-01-02")])
     assert rows_of(M.set_algebra(left, right)) == [("A", "left_only"), ("B", "both"), ("C", "right_only")]
-    assert M.union_ids(left, right).count() == 3
     with pytest.raises(ContractError):
         M.raise_on_rows(left.select(*BAR_COLUMNS), "must be empty")
     M.raise_on_rows(left.limit(0), "must be empty")
+
+
+def test_append_takes_a_repeated_download_once_and_needs_a_date(bars):
+    history = bars([bar("A", "2024-01-01")])
+    fresh = bars([bar("A", "2024-01-02", 11.0), bar("A", "2024-01-02", 10.0), bar("A", None)])
+    assert rows_of(M.merge_append(history, fresh), "date", "close") == [(day("2024-01-01"), 10.0), (day("2024-01-02"), 10.0)]
+    ordered = fresh.withColumn("n", -fresh["close"])
+    assert rows_of(M.merge_append_rows(history, ordered, "n"), "close", "merge_class") == [(11.0, "addition")]
+
+
+def test_benchmark_merge_refuses_an_unsound_result(bars):
+    old = bars([bar("O", d, 100.0, adj_close=1e-300) for d in days("2024-01-01", 3)])
+    new = bars([bar("O", d, 100.0, adj_close=1e-305) for d in days("2024-01-02", 3)])
+    merged = M.benchmark_merge(old.filter("date < '2024-01-02'").unionByName(old.filter("date >= '2024-01-02'")), new)
+    assert {r["adj_close"] > 0 for r in merged.collect()} == {True}
+    far = bars([bar("O", d, 100.0, adj_close=1e-310) for d in days("2024-01-01", 1)] + [bar("O", d, 100.0, adj_close=1e-5) for d in days("2024-01-02", 2)])
+    tiny = bars([bar("O", d, 100.0, adj_close=1e-30) for d in days("2024-01-02", 3)])
+    with pytest.raises(ContractError, match="unsound after the merge"):
+        M.benchmark_merge(far, tiny)

@@ -195,3 +195,10 @@ def test_normalize_existing_keeps_last(spark):
     rows = [{**bar("A", "2024-01-02"), "src_ord": 1}, {**bar("A", "2024-01-02", close=20.0), "src_ord": 2}, {**bar("A", "2024-01-03"), "date": None, "src_ord": 3}]
     df = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], schema)
     assert rows_of(N.normalize_existing(df, "src_ord"), "close") == [(20.0,)]
+
+
+def test_session_date_follows_the_zone(spark):
+    rows = [text_row("A", "2024-01-01T23:00:00-05:00", 1), text_row("A", "2024-01-03", 2), text_row("A", "no date", 3)]
+    assert rows_of(N.normalize_history(raw(spark, rows)), "date") == [(day("2024-01-02"),), (day("2024-01-03"),)]
+    local = N.normalize_history(raw(spark, rows[:1]), session=N.exchange_session)
+    assert rows_of(local, "date") == [(day("2024-01-01"),)]

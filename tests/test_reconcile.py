@@ -74,3 +74,11 @@ def test_universe_symbols_and_sample(spark):
     assert [r["symbol"] for r in R.hash_sample(many.repartition(3), 7, "seed").collect()] == want
     with pytest.raises(ValueError):
         R.hash_sample(many, 0, "seed")
+
+
+def test_parity_leaves_nan_out(bars):
+    nan = float("nan")
+    a = bars([bar("A", d, 10.0, adj_close=v) for d, v in zip(days("2024-01-01", 4), (10.0, 10.0, nan, 10.0))])
+    b = bars([bar("A", d, 10.0, adj_close=v) for d, v in zip(days("2024-01-01", 4), (10.0, 12.0, 10.0, nan))])
+    row = R.parity_metrics(a, b).first()
+    assert (row["overlap_rows"], row["max_abs_pct_error"]) == (3, 0.2)

@@ -123,3 +123,22 @@ def test_membership_diff(spark):
         ("B", "ticker_change", "b", "bb"), ("C", "removed", "c", None), ("D", "added", None, "d"),
     ]
     assert S.membership_diff(None, new).count() == 0
+
+
+def test_missing_columns_and_missing_values(bars):
+    base = frame(bars, BASE)
+    assert S.set_reduction_diff(base, base.drop("volume")).first()["reason"] == "missing_required_columns"
+    assert S.window_advance_diff(base.drop("ticker"), base, day("2024-01-04")).first()["reason"] == "missing_required_columns"
+    null = bars([bar(s, d, c, adj_close=None) for s, d, c in BASE])
+    nan = bars([bar(s, d, c, adj_close=float("nan")) for s, d, c in BASE[:2]])
+    row = S.set_reduction_diff(null, nan).first()
+    assert (row["safe"], row["removed_securities"]) == (True, 1)
+    named = bars([bar(s, d, c, ticker="other") for s, d, c in BASE[:2]])
+    row = S.set_reduction_diff(base, named).first()
+    assert (row["reason"], row["detail"]) == ("retained_values_changed", "ticker")
+
+
+def test_diffs_hash_and_do_not_sort(bars):
+    base = frame(bars, BASE)
+    plan = S.window_advance_diff(base, base, day("2024-01-04"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate(key=[security_id" not in plan

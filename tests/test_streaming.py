@@ -16,10 +16,21 @@ def test_daily_bars_stream_equals_batch(spark, tmp_path):
     for part in range(4):
         df.filter(f"event_id % 4 = {part}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = T.read_files_as_stream(spark, str(tmp_path / "in"), T.TICKS, files_per_trigger=1)
-    out = T.stream_daily_bars(stream, str(tmp_path / "run"), "30 days")
+    out = T.stream_daily_bars(stream, str(tmp_path / "run"))
     assert rows_of(out) == rows_of(T.daily_bars(df))
 
 
+def test_no_tick_is_too_late(spark, tmp_path):
+    ticks = [(1, dt.datetime(2024, 1, d, h), n, float(v)) for n, (d, h, v) in enumerate([(1, 9, 1), (9, 9, 2), (10, 9, 3), (11, 9, 4), (1, 15, 5), (9, 8, 6)])]
+    df = spark.createDataFrame(ticks, T.TICKS)
+    for part in range(len(ticks)):
+        df.filter(f"event_id = {part}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = T.read_files_as_stream(spark, str(tmp_path / "in"), T.TICKS, files_per_trigger=1)
+    out = T.stream_daily_bars(stream, str(tmp_path / "run"))
+    assert rows_of(out) == rows_of(T.daily_bars(df))
+    assert rows_of(out.filter("date = '2024-01-01'"), "open", "close", "volume") == [(1.0, 5.0, 2)]
+
+
 def land(bars, path, *deliveries):
     for rows in deliveries:
         bars(rows).coalesce(1).write.mode("append").parquet(path)

@@ -137,6 +137,11 @@ def test_explorer_filters_sort_and_pages(view):
     want = sorted((i for i in range(200) if i % 2 and i % 3 and i / 10 >= 5.0), reverse=True)
     assert [r["security_id"] for r in page] == [f"S{i:03d}" for i in want[10:20]]
     assert {r["total"] for r in page} == {len(want)}
+    assert {(r["page"], r["limit"], r["sort"], r["order"]) for r in page} == {(2, 10, "eps_yoy_latest", "desc")}
+    clamped = P.explorer_query(view, P.ExplorerRequest(sort="nothing", limit=999)).first()
+    assert (clamped["limit"], clamped["sort"]) == (200, "ticker")
+    assert P.explorer_query(view, P.ExplorerRequest(limit=999, max_limit=1000)).count() == 250
+    assert P.explorer_matches(view, P.ExplorerRequest(q="ac\\me")).count() == 0
     nulls_first = P.explorer_query(view, P.ExplorerRequest(sort="revenue_yoy_latest", limit=5)).collect()
     assert all(r["revenue_yoy_latest"] is None for r in nulls_first)
     prefix = P.explorer_matches(view, P.ExplorerRequest(q="tk3"))
