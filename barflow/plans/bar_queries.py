@@ -239,12 +239,11 @@ def batch_then_single(spark, folder):
   WHEN least(open * f, high * f, low * f, close * f) <= 0 THEN 'adjusted_nonfinite_or_nonpositive'
   WHEN high * f < greatest(open * f, low * f, close * f) THEN 'adjusted_high_violates_range'
   WHEN low * f > least(open * f, high * f, close * f) THEN 'adjusted_low_violates_range' END AS adjust_issue
- FROM (SELECT *, adj_close / close AS f FROM dirty_bars WHERE NOT coalesce(isnan(adj_close), false))""",
+ FROM (SELECT *, adj_close / close AS f FROM dirty_bars)""",
     ),
 )
 def adjusted_ohlc(spark, folder):
-    rows = fx.dirty_bars(spark, folder).filter(~F.coalesce(F.isnan("adj_close"), F.lit(False)))
-    return N.adjusted_ohlc(rows).select(
+    return N.adjusted_ohlc(fx.dirty_bars(spark, folder)).select(
         "security_id", "date", "open", "high", "low", "close", "adjustment_factor", "adjust_issue"
     )
 
@@ -284,15 +283,16 @@ def nth_bar(spark, folder):
     "index_source_checks",
     with_ctes(
         "dirty_bars",
-        """SELECT o.security_id AS index_id, o.rows, t.sample_rows, t.recent_ohlc_complete, t.recent_ohlc_valid,
- t.recent_volume_nonnegative, t.recent_volume_varies,
+        """SELECT o.security_id AS index_id, o.rows, first_date, last_date, true AS dates_parseable, true AS dates_unique, true AS dates_monotonic,
+ t.sample_rows, t.recent_ohlc_complete, t.recent_ohlc_valid, t.recent_volume_complete,
+ t.recent_volume_nonnegative, t.some_volume AS recent_volume_not_all_zero, t.recent_volume_varies,
  CASE WHEN t.recent_ohlc_complete AND t.recent_ohlc_valid AND t.recent_volume_nonnegative AND t.recent_volume_varies
   AND t.some_volume THEN 'PASS' ELSE 'FAIL' END AS status
- FROM (SELECT security_id, count(*) AS rows FROM dirty_bars GROUP BY 1) o JOIN
+ FROM (SELECT security_id, count(*) AS rows, min(date) AS first_date, max(date) AS last_date FROM dirty_bars GROUP BY 1) o JOIN
  (SELECT security_id, count(*) AS sample_rows, bool_and(close IS NOT NULL) AS recent_ohlc_complete,
    bool_and(coalesce(high >= greatest(open, close, low) AND low <= least(open, close, high)
      AND least(open, high, low, close) > 0, false) AND close IS NOT NULL) AS recent_ohlc_valid,
-   bool_and(volume >= 0) AS recent_volume_nonnegative, count(DISTINCT volume) >= 2 AS recent_volume_varies,
+   bool_and(volume IS NOT NULL) AS recent_volume_complete, bool_and(volume >= 0) AS recent_volume_nonnegative, count(DISTINCT volume) >= 2 AS recent_volume_varies,
    bool_or(volume > 0) AS some_volume
   FROM (SELECT *, row_number() OVER (PARTITION BY security_id ORDER BY date DESC) AS rn FROM dirty_bars) WHERE rn <= 60 GROUP BY 1) t
  ON o.security_id = t.security_id""",
@@ -300,10 +300,7 @@ def nth_bar(spark, folder):
 )
 def index_source_checks(spark, folder):
     rows = fx.dirty_bars(spark, folder).withColumnRenamed("security_id", "index_id")
-    return N.index_source_checks(rows).select(
-        "index_id", "rows", "sample_rows", "recent_ohlc_complete", "recent_ohlc_valid",
-        "recent_volume_nonnegative", "recent_volume_varies", "status",
-    )
+    return N.index_source_checks(rows)
 
 
 # --- merges: history ends on this day, the download overlaps it by two months
@@ -418,15 +415,16 @@ def merge_replace_bad_plan(spark, folder):
     with_ctes(
         "dirty_bars bars",
         """SELECT d.date, d.security_id, d.ticker, CASE WHEN p.action = 'replaced' THEN b.open ELSE d.open END AS open,
- CASE WHEN p.action = 'replaced' THEN b.high ELSE d.high END AS high, d.volume
+ CASE WHEN p.action = 'replaced' THEN b.high ELSE d.high END AS high, CASE WHEN p.action = 'replaced' THEN b.low ELSE d.low END AS low,
+ CASE WHEN p.action = 'replaced' THEN b.close ELSE d.close END AS close, CASE WHEN p.action = 'replaced' THEN b.adj_close ELSE d.adj_close END AS adj_close,
+ CASE WHEN p.action = 'replaced' THEN b.volume ELSE d.volume END AS volume
  FROM dirty_bars d LEFT JOIN plan p ON d.security_id = p.security_id AND d.date = p.date
  LEFT JOIN bars b ON d.security_id = b.security_id AND d.date = b.date""",
         plan=_PLAN,
     ),
 )
 def merge_replace_bad(spark, folder):
-    merged = M.merge_replace_bad(*_bad_evidence(spark, folder))
-    return merged.select("date", "security_id", "ticker", "open", "high", "volume")
+    return M.merge_replace_bad(*_bad_evidence(spark, folder))
 
 
 UPSERT_DAY = date(1999, 3, 3)
@@ -446,17 +444,15 @@ def merge_upsert_date(spark, folder):
 @query(
     "merge_upsert_date_report",
     with_ctes(
-        "bars provider_b",
-        f"""SELECT b.security_id, b.close AS after_close, a.close AS before_close, b.volume AS after_volume, a.volume AS before_volume,
- CASE WHEN a.security_id IS NULL THEN 'added' WHEN a.close <> b.close OR a.volume <> b.volume THEN 'changed' ELSE 'same' END AS change
+        "provider_a provider_b",
+        f"""SELECT b.security_id, {', '.join(f'b.{c} AS after_{c}, a.{c} AS before_{c}' for c in BAR_VALUES)},
+ CASE WHEN a.security_id IS NULL THEN 'added' WHEN {' OR '.join(f'a.{c} IS DISTINCT FROM b.{c}' for c in BAR_VALUES)} THEN 'changed' ELSE 'same' END AS change
  FROM (SELECT * FROM provider_b WHERE date = DATE '{UPSERT_DAY}') b
- LEFT JOIN (SELECT * FROM bars WHERE date = DATE '{UPSERT_DAY}' AND volume > 10) a USING (security_id)""",
+ LEFT JOIN (SELECT * FROM provider_a WHERE date = DATE '{UPSERT_DAY}') a USING (security_id)""",
     ),
 )
 def merge_upsert_date_report(spark, folder):
-    stored = fx.bars(spark, folder).filter(F.col("volume") > 10)
-    out = M.merge_upsert_date_report(stored, fx.provider_b(spark, folder), UPSERT_DAY)
-    return out.select("security_id", "after_close", "before_close", "after_volume", "before_volume", "change")
+    return M.merge_upsert_date_report(fx.provider_a(spark, folder), fx.provider_b(spark, folder), UPSERT_DAY)
 
 
 def _restated(spark, folder):
@@ -894,23 +890,24 @@ _CLASS = """CASE WHEN aid IS NOT NULL AND b_issues = '' THEN 'common' WHEN aid I
  WHEN aid IS NOT NULL THEN 'only_in_a' WHEN b_issues = '' THEN 'only_in_b' ELSE 'b_invalid' END"""
 
 
+_DELTAS = ", ".join(
+    f"CASE WHEN row_class = 'common' THEN a{s} - b{s} END AS {c}_delta,"
+    f" CASE WHEN row_class = 'common' AND b{s} <> 0 THEN (a{s} - b{s}) / b{s} END AS {c}_relative"
+    for c, s in zip(("open", "high", "low", "close", "volume"), "ohlcv")
+)
+
+
 @query(
     "provider_compare",
     with_ctes(
         "provider_a provider_b",
-        f"""SELECT security_id, date, row_class, CASE WHEN row_class = 'common' THEN ac - bc END AS close_delta,
- CASE WHEN row_class = 'common' AND bc <> 0 THEN (ac - bc) / bc END AS close_relative,
- CASE WHEN row_class = 'common' THEN av - bv END AS volume_delta, CASE WHEN row_class = 'common' AND bv <> 0 THEN (av - bv) / bv END AS volume_relative,
+        f"""SELECT security_id, date, row_class, {_DELTAS},
  CASE WHEN row_class = 'common' THEN aa - ba END AS adj_close_delta, b_issues FROM (SELECT *, {_CLASS} AS row_class FROM cmp)""",
         cmp=_CMP,
     ),
 )
 def provider_compare(spark, folder):
-    out = R.provider_compare(fx.provider_a(spark, folder), fx.provider_b(spark, folder))
-    return out.select(
-        "security_id", "date", "row_class", "close_delta", "close_relative", "volume_delta", "volume_relative",
-        "adj_close_delta", "b_issues",
-    )
+    return R.provider_compare(fx.provider_a(spark, folder), fx.provider_b(spark, folder))
 
 
 @query(
@@ -977,29 +974,27 @@ def bar_coverage(spark, folder):
     with_ctes(
         "bars",
         """SELECT count(*) AS securities, count(*) FILTER (WHERE n >= 252) AS covered, count(*) FILTER (WHERE n >= 252) / count(*) AS coverage_fraction
- FROM (SELECT security_id, count(*) FILTER (WHERE adj_close > 0) AS n FROM bars WHERE date >= DATE '1998-07-01' GROUP BY 1)""",
+ FROM (SELECT security_id, count(*) FILTER (WHERE adj_close > 0) AS n FROM bars GROUP BY 1)""",
     ),
 )
 def coverage_fraction(spark, folder):
-    recent = fx.bars(spark, folder).filter(F.col("date") >= date(1998, 7, 1))
-    return R.coverage_fraction(R.bar_coverage(recent))
+    return R.coverage_fraction(R.bar_coverage(fx.bars(spark, folder)))
 
 
 def _offers(spark, folder):
-    first = fx.bars(spark, folder).filter(F.col("volume") >= 26)
-    second = fx.bars(spark, folder)
+    first, second = fx.provider_a(spark, folder), fx.provider_b(spark, folder)
     tag = lambda df, p, n: df.withColumns({"provider": F.lit(p), "priority": F.lit(n)})
-    return tag(first, "FIRST", 1).unionByName(tag(second.filter(F.col("date") >= date(1998, 7, 10)), "SECOND", 2))
+    return tag(first, "FIRST", 1).unionByName(tag(second, "SECOND", 2))
 
 
 @query(
     "provider_fallback",
     with_ctes(
-        "bars members",
+        "provider_a provider_b members",
         """SELECT m.security_id, CASE WHEN coalesce(a.n, 0) >= 252 THEN 'FIRST' WHEN coalesce(b.n, 0) >= 252 THEN 'SECOND' ELSE 'UNRESOLVED' END AS selected_provider,
  CASE WHEN coalesce(a.n, 0) >= 252 THEN a.n WHEN coalesce(b.n, 0) >= 252 THEN b.n ELSE 0 END AS adjusted_close_rows
- FROM members m LEFT JOIN (SELECT security_id, count(*) AS n FROM bars WHERE volume >= 26 AND adj_close > 0 GROUP BY 1) a USING (security_id)
- LEFT JOIN (SELECT security_id, count(*) AS n FROM bars WHERE date >= DATE '1998-07-10' AND adj_close > 0 GROUP BY 1) b USING (security_id)""",
+ FROM members m LEFT JOIN (SELECT security_id, count(*) AS n FROM provider_a WHERE adj_close > 0 GROUP BY 1) a USING (security_id)
+ LEFT JOIN (SELECT security_id, count(*) AS n FROM provider_b WHERE adj_close > 0 GROUP BY 1) b USING (security_id)""",
     ),
 )
 def provider_fallback(spark, folder):

@@ -63,13 +63,11 @@ def ema_bootstrap(spark, folder):
     with_ctes(
         "dirty_bars",
         """SELECT security_id, CASE WHEN bool_or(adj_close IS NULL OR isnan(adj_close) OR isinf(adj_close) OR adj_close <= 0) THEN 'invalid_price'
- WHEN count(*) < 200 THEN 'too_few_bars' ELSE 'ok' END AS outcome FROM recent GROUP BY 1""",
-        recent="SELECT * FROM dirty_bars WHERE date >= DATE '1999-08-01'",
+ WHEN count(*) < 200 THEN 'too_few_bars' ELSE 'ok' END AS outcome FROM dirty_bars GROUP BY 1""",
     ),
 )
 def ema_bootstrap_outcome(spark, folder):
-    recent = fx.dirty_bars(spark, folder).filter(F.col("date") >= date(1999, 8, 1))
-    return E.ema_bootstrap(recent).select("security_id", "outcome")
+    return E.ema_bootstrap(fx.dirty_bars(spark, folder)).select("security_id", "outcome")
 
 
 @query(
@@ -108,7 +106,7 @@ def _ready(spark, folder):
     with_ctes(
         "bars",
         f"""SELECT o.security_id, r.ticker, r.as_of_date, r.last_price, {', '.join(_fold('px', 'o.'))},
- CAST(len(px) AS INTEGER) AS advanced_bars, false AS needs_rebuild
+ CAST(len(px) AS INTEGER) AS advanced_bars, false AS needs_rebuild, NULL AS reason
  FROM old_state o JOIN (SELECT t.security_id, arg_max(t.ticker, t.date) AS ticker, max(t.date) AS as_of_date, arg_max(t.adj_close, t.date) AS last_price,
   coalesce(list(t.adj_close ORDER BY t.date) FILTER (WHERE t.date > s.as_of_date), []) AS px FROM tail t JOIN old_state s USING (security_id) GROUP BY 1) r
  USING (security_id)""",
@@ -117,8 +115,7 @@ def _ready(spark, folder):
     ),
 )
 def ema_advance(spark, folder):
-    out = E.ema_advance(_old_state(spark, folder), _ready(spark, folder), UNIQUE)
-    return out.drop("reason")
+    return E.ema_advance(_old_state(spark, folder), _ready(spark, folder), UNIQUE)
 
 
 def _mixed_state(spark, folder):
@@ -140,7 +137,7 @@ _ROUTE = """SELECT i.security_id, CASE WHEN o.security_id IS NULL THEN 'bootstra
     "ema_update",
     with_ctes(
         "bars history_ids lifecycle",
-        "SELECT f.*, route FROM fresh f JOIN routes USING (security_id)",
+        "SELECT f.*, route, NULL AS error FROM fresh f JOIN routes USING (security_id)",
         old_state=_OLD,
         routes=_ROUTE,
         fresh=bootstrap_sql("bars"),
@@ -148,8 +145,7 @@ _ROUTE = """SELECT i.security_id, CASE WHEN o.security_id IS NULL THEN 'bootstra
 )
 def ema_update(spark, folder):
     hints = fx.lifecycle(spark, folder).select("security_id")
-    out = E.ema_update(_ready(spark, folder), fx.bars(spark, folder), _mixed_state(spark, folder), hints, UNIQUE)
-    return out.drop("error")
+    return E.ema_update(_ready(spark, folder), fx.bars(spark, folder), _mixed_state(spark, folder), hints, UNIQUE)
 
 
 @query(
