@@ -363,11 +363,28 @@ def daily_update(spark, folder):
     return u.readiness.join(u.update_status, "security_id", "left").drop("first_rolling_date")
 
 
+@query(
+    "daily_update_rolling",
+    with_ctes(
+        "bars raw_rows dirty_bars eligible_members lifecycle",
+        f"""SELECT r.security_id, r.date, coalesce(l.successor_ticker, m.ticker) AS ticker, r.open, r.high, r.low, r.close, r.adj_close, r.volume
+ FROM (SELECT * FROM merged QUALIFY row_number() OVER (PARTITION BY security_id ORDER BY date DESC) <= 540) r
+ JOIN eligible_members m ON m.security_id = r.security_id
+ LEFT JOIN (SELECT * FROM lifecycle WHERE lifecycle_status = 'VERIFIED_TICKER_CHANGE_SAME_SECURITY' AND effective_date <= DATE '2001-10-31' AND trim(successor_ticker) <> '') l
+ ON l.security_id = r.security_id WHERE r.security_id IN (SELECT security_id FROM hist)""",
+        **_UPDATE_CTES,
+    ),
+)
+def daily_update_rolling(spark, folder):
+    return _update(spark, folder).rolling
+
+
 @query(
     "ready_publication",
     with_ctes(
         "event_bars",
-        """SELECT 'CREATE' AS decision, CAST(DATE '2024-01-20' AS VARCHAR) AS as_of_date, count(*) AS rows, count(DISTINCT security_id) AS securities
+        """SELECT security_id, date, ticker, open + 1 AS open, high + 1 AS high, low + 1 AS low, close + 1 AS close, adj_close + 1 AS adj_close, volume,
+ 'CREATE' AS decision, CAST(DATE '2024-01-20' AS VARCHAR) AS as_of_date
  FROM one WHERE security_id IN (SELECT security_id FROM one GROUP BY 1 HAVING count(*) >= 14)""",
         one=_SNAP % DAY_ONE,
     ),
@@ -378,12 +395,14 @@ def ready_publication(spark, folder):
     rolling = _window(spark, folder, DAY_ONE).withColumns({c: F.col(c) + 1 for c in PRICES})
     members = rolling.select("security_id", "ticker").distinct()
     readiness = W.readiness(members, rolling, None, 15, 14)
-    done = jobs.publish_ready_snapshot(spark, rolling, readiness, root, DAY_ONE, 14, 15)
-    p = done.pointer
-    return spark.createDataFrame(
-        [(done.decision, p.as_of_date, p.rows, p.securities)],
-        "decision string, as_of_date string, rows long, securities long",
-    )
+    listed, held = readiness.filter("status = 'ready'").count(), members.count()
+    done = jobs.ready_job(spark, rolling, readiness, members, listed, held, _no_quarantine(spark), root, DAY_ONE, 14, 15)
+    published = P.load_snapshot(spark, root)[0]
+    return published.withColumns({"decision": F.lit(done.decision), "as_of_date": F.lit(done.pointer.as_of_date)})
+
+
+def _no_quarantine(spark):
+    return spark.createDataFrame([], "as_of_date string, fingerprint string, last_known_good string")
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -21,6 +22,7 @@ from barflow.sinks.publish import (
     publish_snapshot,
     read_pointer,
 )
+from barflow.sinks.writers import upsert_daily
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,9 @@ def daily_update(
     failed = normalize.batch_then_single_failed(offered(batch), offered(single), chosen)
     new_rows = materialize(merge.merge_append_rows(history, fetched), "new-rows")
     merged = history.select(*BAR_COLUMNS).unionByName(new_rows.select(*BAR_COLUMNS))
-    held = merged.join(working.select("security_id"), "security_id", "left_semi")
+    # stored bars carry the ticker under which the security is acquired today
+    names = gated.select("security_id", "acquisition_ticker")
+    held = merged.join(names, "security_id").withColumn("ticker", F.col("acquisition_ticker")).select(*BAR_COLUMNS)
     reviewed = lifecycle.select("security_id")
     status = (
         gated.select("security_id", "allowed")
@@ -87,6 +91,22 @@ def daily_update(
     )
 
 
+def write_daily_update(spark: SparkSession, update: DailyUpdate, root: str) -> None:
+    """Write rolling rows, readiness, daily sections and history, if the gate allows.
+
+    History comes last and is only appended to: until then the update can be run
+    again from the same history, and afterwards its rows are found there.
+    """
+    gate = update.gate.first()
+    if not gate["publish_allowed"]:
+        raise ContractError(f"daily update refused: {gate['failed']} of {gate['attempted']} acquisitions failed")
+    update.rolling.write.mode("overwrite").parquet(f"{root}/rolling")
+    update.readiness.write.mode("overwrite").parquet(f"{root}/readiness")
+    new = update.new_rows.select(*BAR_COLUMNS)
+    upsert_daily(spark, f"{root}/daily", new, "volume")
+    new.sortWithinPartitions("security_id", "date").write.mode("append").parquet(f"{root}/history")
+
+
 def bootstrap_queue(
     members: DataFrame, history_ids: DataFrame, deferred: DataFrame
 ) -> DataFrame:
@@ -106,16 +126,18 @@ def publish_ready_snapshot(
     maximum: int,
     previous_as_of: date | None = None,
     quarantined: bool = False,
+    source_unchanged: Callable[[], bool] | None = None,
 ) -> Publication:
     """Check, cut at the finalization date, test continuity and publish READY.
 
-    Every check yields violation rows; the first non-empty one stops the job.
+    Every check yields violation rows; the first non-empty one stops the job. The
+    candidate is written once, and all later checks and the publication read it.
     """
     selected = readiness.filter(F.col("status") == "ready")
     frame = continuity.ready_filter(rolling, selected)
     bad = continuity.ready_filter_violations(rolling, selected, readiness, minimum, maximum)
     merge.raise_on_rows(bad, "READY rows rejected")
-    final = normalize.finalized_filter(frame, cutoff)
+    final = materialize(normalize.finalized_filter(frame, cutoff), "ready-candidate")
     short = continuity.finalized_coverage_violations(final, selected, minimum)
     merge.raise_on_rows(short, "READY coverage rejected after finalization")
     if previous_as_of is not None:
@@ -123,9 +145,47 @@ def publish_ready_snapshot(
         if as_of is not None and as_of > previous_as_of:
             gaps = continuity.session_gaps(final, previous_as_of, as_of)
             merge.raise_on_rows(gaps, "READY recent-session continuity rejected")
+    if source_unchanged is not None and not source_unchanged():
+        raise ContractError("the source of READY changed while it was checked")
     return publish_ready(spark, final, root, quarantined)
 
 
+def ready_job(
+    spark: SparkSession,
+    rolling: DataFrame,
+    readiness: DataFrame,
+    members: DataFrame,
+    declared_ready: int,
+    declared_compliant: int,
+    quarantine: DataFrame,
+    root: str,
+    cutoff: date,
+    minimum: int,
+    maximum: int,
+) -> Publication:
+    """READY from its declared list, its predecessor and its quarantine registry.
+
+    The list must agree with membership, continuity starts from the predecessor
+    that is to be trusted, and the rolling rows must be the same before and after.
+    """
+    by_status = lambda ready: readiness.filter((F.col("status") == "ready") == ready)
+    bad = continuity.ready_selection(by_status(True), members, by_status(False), declared_ready, declared_compliant)
+    merge.raise_on_rows(bad, "READY list rejected")
+    previous, quarantined = None, False
+    pointer = read_pointer(spark, root)
+    if pointer is not None:
+        current = spark.createDataFrame([(pointer.as_of_date, pointer.fingerprint)], "as_of_date string, fingerprint string")
+        trusted = continuity.trusted_predecessor(current, quarantine).first()
+        if trusted["verdict"] != "usable":
+            raise ContractError(f"READY predecessor rejected: {trusted['verdict']}")
+        previous, quarantined = date.fromisoformat(trusted["previous_as_of"]), trusted["quarantined"]
+    source = fingerprint(rolling, BAR_COLUMNS)
+    return publish_ready_snapshot(
+        spark, rolling, readiness, root, cutoff, minimum, maximum, previous, quarantined,
+        lambda: fingerprint(rolling, BAR_COLUMNS) == source,
+    )
+
+
 def update_benchmark(spark: SparkSession, raw: DataFrame, root: str, cutoff: date) -> Publication:
     """Extend the published benchmark bars by a delivery and publish the result.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict, dataclass
 from datetime import UTC, date, datetime
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from barflow.operators.continuity import terminal_summary
 from barflow.operators.ema import ema_state_checks
 from barflow.operators.snapshots import set_reduction_diff, window_advance_diff
-from barflow.schemas import BAR_COLUMNS, EMA_STATE_COLUMNS, ContractError
+from barflow.schemas import BAR_COLUMNS, EMA_PERIODS, EMA_STATE_COLUMNS, ContractError
 
 SCHEMA_VERSION = 2
 _CHUNKS = 4
@@ -31,8 +32,11 @@ POINTER = T.StructType(
         T.StructField("previous_path", T.StringType()),
         T.StructField("source_fingerprint", T.StringType()),
         T.StructField("created_at", T.StringType()),
+        T.StructField("evidence", T.StringType()),
     ]
 )
+# What an EMA state must say of itself before it may be loaded.
+EMA_EVIDENCE = {"price_basis": "adj_close", "periods": list(EMA_PERIODS), "policy": "recursive_then_verified"}
 
 
 @dataclass(frozen=True)
@@ -48,6 +52,7 @@ class Pointer:
     previous_path: str | None
     source_fingerprint: str | None
     created_at: str
+    evidence: str | None = None
 
 
 def _row_hash(columns: list[str]) -> Column:
@@ -131,6 +136,7 @@ def publish_snapshot(
     date_col: str = "date",
     source_fingerprint: str | None = None,
     recovery: bool = False,
+    evidence: dict | None = None,
 ) -> Publication:
     """Write an immutable run, verify it by reading it back, then move the pointer.
 
@@ -181,6 +187,7 @@ def publish_snapshot(
         previous_path=current.path if current else None,
         source_fingerprint=source_fingerprint,
         created_at=datetime.now(UTC).isoformat(),
+        evidence=None if evidence is None else json.dumps(evidence, sort_keys=True),
     )
     _write_pointer(spark, root, pointer)
     return Publication("CREATE", pointer)
@@ -248,17 +255,35 @@ def promote_ema(
     """Publish EMA state only after its checks and its equivalence report passed."""
     if not ema_state_checks(state).first()["valid"]:
         raise ContractError("EMA state is empty or unsound")
-    report = equivalence_report.first()
+    report = equivalence_report.first().asDict()
     if not report["passed"]:
         raise ContractError("EMA equivalence did not pass; pointer unchanged")
+    evidence = {**EMA_EVIDENCE, "equivalence": report}
     return publish_snapshot(
-        spark, state, root, as_of, EMA_STATE_COLUMNS, "as_of_date", source_fingerprint
+        spark, state, root, as_of, EMA_STATE_COLUMNS, "as_of_date", source_fingerprint, evidence=evidence
     )
 
 
+def ema_evidence_issues(pointer: Pointer) -> list[str]:
+    """What is missing or failing in the promotion evidence of an EMA state."""
+    held = json.loads(pointer.evidence or "{}")
+    issues = [name for name, value in EMA_EVIDENCE.items() if held.get(name) != value]
+    report = held.get("equivalence") or {}
+    if not report.get("verified", 0) > 0:
+        issues.append("verified")
+    issues += [n for n in ("numeric_failures", "classification_mismatches") if report.get(n) != 0]
+    if report.get("passed") is not True:
+        issues.append("passed")
+    if not pointer.source_fingerprint:
+        issues.append("source_fingerprint")
+    return issues
+
+
 def load_ema_state(spark: SparkSession, root: str, source_fingerprint: str | None = None) -> DataFrame:
-    """Published EMA state; optionally only if it was built from the named source."""
+    """Published EMA state with sound promotion evidence; optionally only if built from the named source."""
     state, pointer = load_snapshot(spark, root, EMA_STATE_COLUMNS)
+    if issues := ema_evidence_issues(pointer):
+        raise ContractError(f"EMA promotion evidence missing or failing: {', '.join(issues)}")
     if source_fingerprint is not None and pointer.source_fingerprint != source_fingerprint:
         raise ContractError("EMA state was built from another source")
     if not ema_state_checks(state).first()["valid"]:

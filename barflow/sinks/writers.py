@@ -11,15 +11,16 @@ from barflow.session import new_folder
 
 
 def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
-    """Write bars as zstd Parquet clustered by security and return what was written.
+    """Write bars as zstd Parquet clustered by year and security and return what was written.
 
-    Sorting by (security_id, date) within each file gives row-group statistics
-    that later reads by security or date can prune on. The rebalance splits large
-    partitions and merges small ones to the advisory size.
+    Rows are dealt out by ranges of (year, security_id) and sorted so within each
+    file. A file spans few years and few securities, so its statistics let later
+    reads by date or by security skip it. Ranges follow the data, so no year and
+    no security makes a large file alone.
     """
     require_columns(bars, BAR_COLUMNS, "bars")
-    rows = bars.select(*BAR_COLUMNS).hint("rebalance", "security_id")
-    rows = rows.sortWithinPartitions("security_id", "date")
+    cluster = [F.year("date"), F.col("security_id")]
+    rows = bars.select(*BAR_COLUMNS).repartitionByRange(*cluster).sortWithinPartitions(*cluster, "date")
     rows.write.mode(mode).option("compression", "zstd").parquet(path)
     written = bars.sparkSession.read.schema(BARS).parquet(path)
     if written.isEmpty():

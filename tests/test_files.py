@@ -387,3 +387,82 @@ def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
     Cluster.sparkContext.master = "local-cluster[2,1,1024]"
     with pytest.raises(ContractError, match="shared folder"):
         session.shared_folder(Cluster())
+
+
+def test_ready_job_trusts_only_the_right_predecessor(bars, spark, tmp_path):
+    from barflow.operators import windows as W
+
+    none = spark.createDataFrame([], "as_of_date string, fingerprint string, last_known_good string")
+    root = str(tmp_path / "ready")
+
+    def run(rows, cutoff, quarantine=none, listed=2):
+        df = bars(rows)
+        members = df.select("security_id", "ticker").distinct()
+        return jobs.ready_job(spark, df, W.readiness(members, df, None, 6, 4), members, listed, 2, quarantine, root, cutoff, 4, 6)
+
+    rows = [bar(s, d) for s in "AB" for d in days("2024-01-01", 6)]
+    with pytest.raises(ContractError, match="list rejected"):
+        run(rows, day("2024-01-06"), listed=3)
+    first = run(rows, day("2024-01-06")).pointer
+    later = [bar(s, d) for s in "AB" for d in days("2024-01-03", 6) if (s, d) != ("B", day("2024-01-07"))]
+    with pytest.raises(ContractError, match="continuity"):
+        run(later, day("2024-01-08"))
+    bad = spark.createDataFrame([(first.as_of_date, first.fingerprint, None)], none.schema)
+    with pytest.raises(ContractError, match="predecessor rejected"):
+        run(rows, day("2024-01-06"), bad)
+    with pytest.raises(ContractError, match="changed while"):
+        df = bars(rows)
+        detail = W.readiness(df.select("security_id", "ticker").distinct(), df, None, 6, 4)
+        jobs.publish_ready_snapshot(spark, df, detail, str(tmp_path / "x"), day("2024-01-06"), 4, 6, source_unchanged=lambda: False)
+
+
+def test_ema_state_is_refused_without_its_evidence(bars, spark, tmp_path):
+    import dataclasses
+
+    rows = [bar("A", d, 100.0 + i % 9) for i, d in enumerate(days("2023-01-01", 260))]
+    root = str(tmp_path / "ema")
+    done = jobs.build_and_promote_ema(spark, bars(rows[-60:]), "fp", bars(rows), None, root, str(tmp_path / "cand"), rows[-1]["date"])
+    assert P.ema_evidence_issues(done.pointer) == []
+    held = json.loads(done.pointer.evidence)
+    for name in ("price_basis", "periods", "policy", "equivalence"):
+        broken = dataclasses.replace(done.pointer, evidence=json.dumps({k: v for k, v in held.items() if k != name}))
+        assert P.ema_evidence_issues(broken)
+    failing = {**held, "equivalence": {**held["equivalence"], "numeric_failures": 1}}
+    assert P.ema_evidence_issues(dataclasses.replace(done.pointer, evidence=json.dumps(failing))) == ["numeric_failures"]
+    assert "source_fingerprint" in P.ema_evidence_issues(dataclasses.replace(done.pointer, source_fingerprint=None))
+    P.publish_snapshot(spark, E.bootstrapped(bars(rows)), str(tmp_path / "bare"), rows[-1]["date"], EMA_STATE_COLUMNS, "as_of_date", "fp")
+    with pytest.raises(ContractError, match="evidence"):
+        P.load_ema_state(spark, str(tmp_path / "bare"))
+
+
+def test_daily_update_is_written_behind_its_gate(bars, spark, tmp_path):
+    root = str(tmp_path)
+    history = bars([bar(s, d) for s in "AB" for d in days("2024-01-01", 3)])
+    history.write.parquet(f"{root}/history")
+    stored = R.read_bars(spark, f"{root}/history")
+    members = spark.createDataFrame([("A", "TA"), ("B", "TB")], "security_id string, ticker string")
+    life = spark.createDataFrame(
+        [("B", "TB", "VERIFIED_TICKER_CHANGE_SAME_SECURITY", day("2024-01-02"), "r", None, "NEW")], R.LIFECYCLE
+    )
+    fetched = bars([bar(s, d) for s in "AB" for d in days("2024-01-03", 2)]).withColumn("src_ord", F.lit(1))
+    update = jobs.daily_update(members, stored, fetched, fetched.limit(0), life, day("2024-01-04"), 3, 2)
+    jobs.write_daily_update(spark, update, root)
+    rolling = spark.read.parquet(f"{root}/rolling")
+    assert rows_of(rolling, "security_id", "date", "ticker") == [(s, d, t) for s, t in (("A", "TA"), ("B", "NEW")) for d in days("2024-01-02", 3)]
+    assert R.read_bars(spark, f"{root}/history").count() == 8
+    assert R.read_bars(spark, f"{root}/daily").count() == 2
+    broken = jobs.daily_update(members, stored, fetched.withColumn("high", F.lit(1.0)), fetched.limit(0), life, day("2024-01-04"), 3, 2)
+    with pytest.raises(ContractError, match="refused"):
+        jobs.write_daily_update(spark, broken, root)
+
+
+def test_stored_history_is_laid_out_by_year_and_security(bars, spark, tmp_path):
+    rows = [bar(s, d) for s in "ABCDEFGH" for d in days("2020-01-01", 60, 30)]
+    path = str(tmp_path / "bars")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        S.write_bars(bars(rows), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spans = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).agg(F.min(F.year("date")).alias("a"), F.max(F.year("date")).alias("b")).collect()
+    assert len(spans) > 2 and all(r["b"] - r["a"] <= 2 for r in spans)
