@@ -414,12 +414,12 @@ INDEX_CHECKS = (
 )
 
 
-def index_source_checks(rows: DataFrame, recent: int = 60) -> DataFrame:
+def index_source_checks(rows: DataFrame, recent: int = 60, requested: DataFrame | None = None) -> DataFrame:
     """Per index: source checks over all rows and over the most recent ones.
 
     Dates are compared after sorting, so they are monotonic exactly when every
-    date parses. Being present at all is the ``nonempty`` and
-    ``required_columns`` check of each index listed here.
+    date parses. An index of ``requested`` (index_id) without any row is listed
+    with ``nonempty`` false, no facts and status FAIL.
     """
     require_columns(rows, ["index_id", "date", *OHLC, "volume"], "index source")
     typed = rows.select(
@@ -462,11 +462,17 @@ def index_source_checks(rows: DataFrame, recent: int = 60) -> DataFrame:
             "recent_volume_not_all_zero"
         ),
         (F.count_distinct(F.when(has_volume, F.col("volume"))) >= 2).alias("recent_volume_varies"),
+        F.min(F.when(has_volume, F.col("volume"))).alias("volume_recent_min"),
+        F.max(F.when(has_volume, F.col("volume"))).alias("volume_recent_max"),
+        F.count_distinct(F.when(has_volume, F.col("volume"))).alias("volume_recent_unique"),
     )
     joined = overall.join(window, "index_id")
     passed = F.lit(True)
     for name in INDEX_CHECKS:
         passed = passed & F.col(name)
-    return joined.withColumn("status", F.when(passed, "PASS").otherwise("FAIL"))
+    if requested is not None:
+        joined = requested.select("index_id").distinct().join(joined, "index_id", "full_outer")
+    nonempty = F.col("rows").isNotNull()
+    return joined.withColumns({"nonempty": nonempty, "status": F.when(nonempty & passed, "PASS").otherwise("FAIL")})
 
 

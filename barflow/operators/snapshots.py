@@ -61,7 +61,8 @@ def window_advance_diff(canonical: DataFrame, candidate: DataFrame, as_of: date)
     """One row: does the candidate only move some securities' windows forward?
 
     ``reason`` is the first of the rules that fails, in their fixed order, or
-    ``pure_late_arrival_window_advance``; ``detail`` names the column or security.
+    ``pure_late_arrival_window_advance``; ``detail`` names the column or security and
+    ``changed_rows`` counts the rows in which that column changed.
     """
     if _missing_columns(canonical, candidate):
         spark = canonical.sparkSession
@@ -69,6 +70,7 @@ def window_advance_diff(canonical: DataFrame, candidate: DataFrame, as_of: date)
             F.lit(False).alias("safe"),
             F.lit("missing_required_columns").alias("reason"),
             F.lit(None).cast("string").alias("detail"),
+            F.lit(None).cast("long").alias("changed_rows"),
             *[F.lit(0).cast("long").alias(c) for c in ("removed_rows", "added_rows", "affected_securities")],
         )
     keys = _key_rows(canonical, candidate)
@@ -125,6 +127,10 @@ def window_advance_diff(canonical: DataFrame, candidate: DataFrame, as_of: date)
         (reason == "pure_late_arrival_window_advance").alias("safe"),
         reason.alias("reason"),
         detail.alias("detail"),
+        F.when(
+            reason == "overlap_values_changed",
+            F.coalesce(*[F.when(F.col(f"chg_{c}") > 0, F.col(f"chg_{c}")) for c in VALUES]),
+        ).alias("changed_rows"),
         "removed_rows",
         "added_rows",
         "affected_securities",

@@ -285,7 +285,8 @@ def nth_bar(spark, folder):
         "dirty_bars",
         """SELECT o.security_id AS index_id, o.rows, first_date, last_date, true AS dates_parseable, true AS dates_unique, true AS dates_monotonic,
  t.sample_rows, t.recent_ohlc_complete, t.recent_ohlc_valid, t.recent_volume_complete,
- t.recent_volume_nonnegative, t.some_volume AS recent_volume_not_all_zero, t.recent_volume_varies,
+ t.recent_volume_nonnegative, t.some_volume AS recent_volume_not_all_zero, t.recent_volume_varies, true AS nonempty,
+ volume_recent_min, volume_recent_max, volume_recent_unique,
  CASE WHEN t.recent_ohlc_complete AND t.recent_ohlc_valid AND t.recent_volume_nonnegative AND t.recent_volume_varies
   AND t.some_volume THEN 'PASS' ELSE 'FAIL' END AS status
  FROM (SELECT security_id, count(*) AS rows, min(date) AS first_date, max(date) AS last_date FROM dirty_bars GROUP BY 1) o JOIN
@@ -293,7 +294,8 @@ def nth_bar(spark, folder):
    bool_and(coalesce(high >= greatest(open, close, low) AND low <= least(open, close, high)
      AND least(open, high, low, close) > 0, false) AND close IS NOT NULL) AS recent_ohlc_valid,
    bool_and(volume IS NOT NULL) AS recent_volume_complete, bool_and(volume >= 0) AS recent_volume_nonnegative, count(DISTINCT volume) >= 2 AS recent_volume_varies,
-   bool_or(volume > 0) AS some_volume
+   bool_or(volume > 0) AS some_volume, CAST(min(volume) AS DOUBLE) AS volume_recent_min, CAST(max(volume) AS DOUBLE) AS volume_recent_max,
+   count(DISTINCT volume) AS volume_recent_unique
   FROM (SELECT *, row_number() OVER (PARTITION BY security_id ORDER BY date DESC) AS rn FROM dirty_bars) WHERE rn <= 60 GROUP BY 1) t
  ON o.security_id = t.security_id""",
     ),
@@ -831,11 +833,11 @@ _GONE = "SELECT count(*) AS n FROM (SELECT DISTINCT security_id FROM canon) WHER
     "window_advance_diff",
     with_ctes(
         "bars history_ids",
-        """SELECT 'advance' AS scenario, true AS safe, 'pure_late_arrival_window_advance' AS reason, NULL AS detail, removed_rows, added_rows, affected_securities FROM moved
- UNION ALL SELECT 'changed_value', false, 'overlap_values_changed', 'close', removed_rows, added_rows, affected_securities FROM moved
- UNION ALL SELECT 'before_as_of', false, 'added_after_as_of', NULL, removed_rows, added_rows, affected_securities FROM moved
- UNION ALL SELECT 'identical', false, 'not_balanced_window_shift', NULL, 0, 0, 0
- UNION ALL SELECT 'fewer_securities', false, 'security_set_changed', NULL, (SELECT count(*) FROM canon WHERE security_id NOT IN (SELECT security_id FROM history_ids)), 0, 0""",
+        """SELECT 'advance' AS scenario, true AS safe, 'pure_late_arrival_window_advance' AS reason, NULL AS detail, NULL AS changed_rows, removed_rows, added_rows, affected_securities FROM moved
+ UNION ALL SELECT 'changed_value', false, 'overlap_values_changed', 'close', (SELECT count(*) FROM canon JOIN cand USING (security_id, date) WHERE date = DATE '2001-09-28'), removed_rows, added_rows, affected_securities FROM moved
+ UNION ALL SELECT 'before_as_of', false, 'added_after_as_of', NULL, NULL, removed_rows, added_rows, affected_securities FROM moved
+ UNION ALL SELECT 'identical', false, 'not_balanced_window_shift', NULL, NULL, 0, 0, 0
+ UNION ALL SELECT 'fewer_securities', false, 'security_set_changed', NULL, NULL, (SELECT count(*) FROM canon WHERE security_id NOT IN (SELECT security_id FROM history_ids)), 0, 0""",
         canon=_CANON, cand=_CAND, moved=_MOVED,
     ),
 )

@@ -202,3 +202,11 @@ def test_session_date_follows_the_zone(spark):
     assert rows_of(N.normalize_history(raw(spark, rows)), "date") == [(day("2024-01-02"),), (day("2024-01-03"),)]
     local = N.normalize_history(raw(spark, rows[:1]), session=N.exchange_session)
     assert rows_of(local, "date") == [(day("2024-01-01"),)]
+
+
+def test_requested_index_without_rows_fails(bars, spark):
+    rows = bars([bar("I", d, volume=v) for d, v in zip(days("2024-01-01", 3), (5, 7, 7))]).withColumnRenamed("security_id", "index_id")
+    out = N.index_source_checks(rows, requested=spark.createDataFrame([("I",), ("J",)], "index_id string"))
+    assert rows_of(out, "index_id", "nonempty", "status", "volume_recent_min", "volume_recent_max", "volume_recent_unique") == [
+        ("I", True, "PASS", 5.0, 7.0, 2), ("J", False, "FAIL", None, None, None),
+    ]
