@@ -32,12 +32,24 @@ REVIEWED_SYMBOLS = [
 ]
 
 
-def split_extract(rows: DataFrame, factor_col: str = "split_factor") -> DataFrame:
-    """Source rows with ``event_class``: ``event``, ``none`` (factor 1) or the error."""
+def split_extract(rows: DataFrame, factor_col: str = "split_factor", adjustments: bool = False) -> DataFrame:
+    """Source rows with ``event_class``: ``event``, ``none`` (factor 1) or the error.
+
+    With ``adjustments`` the column is one of a price table, where 0 or nothing
+    means no split on that day. A table without the column is a gap in the
+    acquisition, not an absence of splits: ``missing_split_column``.
+    """
+    if factor_col not in rows.columns:
+        return rows.withColumns({"event_class": F.lit("missing_split_column"), "factor": F.lit(None).cast("double")})
     raw = F.col(factor_col)
     number = raw.try_cast("double")
+    if adjustments:
+        quiet = raw.isNull() | F.isnan(number) | (number == 0)
+    else:
+        quiet = F.lit(False)
     label = (
-        F.when(raw.isNull(), "null_split_factor")
+        F.when(quiet, "none")
+        .when(raw.isNull(), "null_split_factor")
         .when(number.isNull(), "non_numeric_split_factor")
         .when(~X.is_finite(number) | (number <= 0), "invalid_split_factor")
         .when(number == 1.0, "none")
@@ -46,10 +58,10 @@ def split_extract(rows: DataFrame, factor_col: str = "split_factor") -> DataFram
     return rows.withColumn("event_class", label).withColumn("factor", number)
 
 
-def split_events(rows: DataFrame, factor_col: str = "split_factor") -> DataFrame:
+def split_events(rows: DataFrame, factor_col: str = "split_factor", adjustments: bool = False) -> DataFrame:
     """(security_id, effective_date, split_factor, provider_ticker) of the event rows."""
     return (
-        split_extract(rows, factor_col)
+        split_extract(rows, factor_col, adjustments)
         .filter(F.col("event_class") == "event")
         .select(
             "security_id",

@@ -148,3 +148,13 @@ def test_factors_of_a_security_with_many_events(bars, spark):
     for _ in d:
         want *= 1.01
     assert row[0] == want
+
+
+def test_splits_from_an_adjustment_column(spark):
+    rows = spark.createDataFrame(
+        [("A", day("2024-01-01"), "0.0"), ("A", day("2024-01-02"), "2.0"), ("A", day("2024-01-03"), None), ("A", day("2024-01-04"), "-1"), ("A", day("2024-01-05"), "x")],
+        "security_id string, date date, splits string",
+    )
+    out = K.split_extract(rows, "splits", adjustments=True)
+    assert [r[0] for r in out.orderBy("date").select("event_class").collect()] == ["none", "event", "none", "invalid_split_factor", "non_numeric_split_factor"]
+    assert {r[0] for r in K.split_extract(rows, "absent", adjustments=True).select("event_class").collect()} == {"missing_split_column"}
