@@ -176,7 +176,7 @@ def retry_subset(queue: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def screening_freshness(rows: DataFrame, snapshot: date | Column, as_of: date | Column) -> DataFrame:
-    """Adds ``freshness_status`` from next_earnings_date, updated_at and updated_date.
+    """Adds ``freshness_status`` and ``freshness_reason`` from next_earnings_date, updated_at and updated_date.
 
     A recorded earnings date in the future awaits; today's is unknown; one from
     the snapshot on that has passed is potentially stale, and so is an earlier one
@@ -187,15 +187,17 @@ def screening_freshness(rows: DataFrame, snapshot: date | Column, as_of: date |
     today = F.lit(as_of) if isinstance(as_of, date) else as_of
     earnings = X.leading_date("next_earnings_date")
     updated = F.greatest(X.leading_date("updated_at"), X.leading_date("updated_date"))
-    status = (
-        F.when(earnings.isNull(), "UNKNOWN")
-        .when(earnings > today, "AWAITING_NEXT_EARNINGS")
-        .when(earnings == today, "UNKNOWN")
-        .when(earnings >= snap, "POTENTIALLY_STALE")
-        .when(updated < earnings, "POTENTIALLY_STALE")
-        .otherwise("UNKNOWN")
-    )
-    return rows.withColumn("freshness_status", status)
+    cases = [
+        (earnings.isNull(), "UNKNOWN", "no_usable_earnings_date"),
+        (earnings > today, "AWAITING_NEXT_EARNINGS", "earnings_date_ahead"),
+        (earnings == today, "UNKNOWN", "earnings_date_today"),
+        (earnings >= snap, "POTENTIALLY_STALE", "earnings_since_snapshot"),
+        (updated < earnings, "POTENTIALLY_STALE", "earnings_after_updates"),
+        (F.lit(True), "UNKNOWN", "updates_prove_nothing"),
+    ]
+    status = F.coalesce(*[F.when(test, F.lit(name)) for test, name, _ in cases])
+    reason = F.coalesce(*[F.when(test, F.lit(why)) for test, _, why in cases])
+    return rows.withColumns({"freshness_status": status, "freshness_reason": reason})
 
 
 def screening_report(members: DataFrame, master: DataFrame, snapshot: date, as_of: date) -> DataFrame:
@@ -221,7 +223,7 @@ def screening_counts(report: DataFrame) -> DataFrame:
 
 QUEUE_COLUMNS = [
     "security_id", "ticker", "category", "reason",
-    "recorded_earnings_date", "last_market_date",
+    "recorded_earnings_date", "last_market_date", "screening_updated_at",
 ]
 
 
@@ -242,7 +244,9 @@ def review_queue(
     none = F.lit(None)
     d = readiness_detail.select("security_id", "ticker", "rolling_bars", "last_date", "status")
 
-    def part(df: DataFrame, category: Column, reason: Column, earnings: Column, last: Column) -> DataFrame:
+    def part(
+        df: DataFrame, category: Column, reason: Column, earnings: Column, last: Column, updated: Column = none
+    ) -> DataFrame:
         return df.select(
             "security_id",
             "ticker",
@@ -250,6 +254,7 @@ def review_queue(
             reason.cast("string").alias("reason"),
             earnings.cast("string").alias("recorded_earnings_date"),
             last.cast("date").alias("last_market_date"),
+            updated.cast("string").alias("screening_updated_at"),
         )
 
     status_category = (
@@ -268,7 +273,14 @@ def review_queue(
     if freshness is not None:
         f = freshness.filter(F.col("freshness_status").isin("POTENTIALLY_STALE", "UNKNOWN"))
         queue = queue.unionByName(
-            part(f, F.col("freshness_status"), none, F.col("next_earnings_date"), none)
+            part(
+                f,
+                F.col("freshness_status"),
+                F.col("freshness_reason"),
+                F.col("next_earnings_date"),
+                none,
+                F.coalesce("updated_at", "updated_date"),
+            )
         )
     if updates is not None:
         u = updates.filter(F.col("update_status").isin("lifecycle_excluded", "stale_after_failure"))

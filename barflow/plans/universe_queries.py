@@ -320,11 +320,15 @@ _UPD = "greatest(try_cast(substring(updated_at, 1, 10) AS DATE), try_cast(substr
 _STATUS = f"""CASE WHEN {_E} IS NULL THEN 'UNKNOWN' WHEN {_E} > DATE '{AS_OF}' THEN 'AWAITING_NEXT_EARNINGS' WHEN {_E} = DATE '{AS_OF}' THEN 'UNKNOWN'
  WHEN {_E} >= DATE '{SNAPSHOT}' THEN 'POTENTIALLY_STALE' WHEN {_UPD} < {_E} THEN 'POTENTIALLY_STALE' ELSE 'UNKNOWN' END"""
 
+_REASON = f"""CASE WHEN {_E} IS NULL THEN 'no_usable_earnings_date' WHEN {_E} > DATE '{AS_OF}' THEN 'earnings_date_ahead' WHEN {_E} = DATE '{AS_OF}' THEN 'earnings_date_today'
+ WHEN {_E} >= DATE '{SNAPSHOT}' THEN 'earnings_since_snapshot' WHEN {_UPD} < {_E} THEN 'earnings_after_updates' ELSE 'updates_prove_nothing' END"""
+_FRESH = f"{_STATUS} AS freshness_status, {_REASON} AS freshness_reason"
 
-@query("screening_freshness", with_ctes("earnings", f"SELECT security_id, next_earnings_date, {_STATUS} AS freshness_status FROM earnings"))
+
+@query("screening_freshness", with_ctes("earnings", f"SELECT security_id, next_earnings_date, {_FRESH} FROM earnings"))
 def screening_freshness(spark, folder):
     out = U.screening_freshness(fx.earnings(spark, folder), SNAPSHOT, AS_OF)
-    return out.select("security_id", "next_earnings_date", "freshness_status")
+    return out.select("security_id", "next_earnings_date", "freshness_status", "freshness_reason")
 
 
 def _screening(spark, folder):
@@ -334,7 +338,7 @@ def _screening(spark, folder):
     return U.screening_report(U.eligible(fx.securities(spark, folder)), master, SNAPSHOT, AS_OF)
 
 
-_REPORT = f"""SELECT s.security_id, s.ticker, e.next_earnings_date, e.updated_at, e.updated_date, {_STATUS} AS freshness_status, e.security_id IS NOT NULL AS in_master
+_REPORT = f"""SELECT s.security_id, s.ticker, e.next_earnings_date, e.updated_at, e.updated_date, {_FRESH}, e.security_id IS NOT NULL AS in_master
  FROM securities s LEFT JOIN (SELECT * FROM earnings WHERE security_id IN (SELECT security_id FROM fundamentals)) e USING (security_id) WHERE s.sharia_compliance = 'COMPLIANT'"""
 
 
@@ -377,15 +381,15 @@ def _member_screening(spark, folder):
     return U.screening_report(fx.eligible_members(spark, folder), master, SNAPSHOT, AS_OF)
 
 
-_MEMBER_REPORT = f"""SELECT m.security_id, m.ticker, e.next_earnings_date, {_STATUS} AS freshness_status FROM eligible_members m
+_MEMBER_REPORT = f"""SELECT m.security_id, m.ticker, e.next_earnings_date, coalesce(e.updated_at, e.updated_date) AS updated, {_FRESH} FROM eligible_members m
  LEFT JOIN (SELECT 'S' || substring(security_id, 2, 10) AS security_id, next_earnings_date, updated_at, updated_date FROM earnings) e USING (security_id)"""
-_REVIEW = f"""SELECT security_id, ticker, category, reason, recorded_earnings_date, last_market_date FROM (
+_REVIEW = f"""SELECT security_id, ticker, category, reason, recorded_earnings_date, last_market_date, screening_updated_at FROM (
  SELECT security_id, ticker, CASE status WHEN 'insufficient' THEN 'INSUFFICIENT_HISTORY' WHEN 'unavailable' THEN 'DATA_UNAVAILABLE' ELSE 'REVIEWED_NO_RETRY' END AS category,
   CASE status WHEN 'insufficient' THEN CAST(rolling_bars AS VARCHAR) || ' of {B.READY_MINIMUM} minimum bars ({B.READY_TARGET} target)' WHEN 'unavailable' THEN 'No historical OHLCV data available' END AS reason,
-  CAST(NULL AS VARCHAR) AS recorded_earnings_date, CASE WHEN status = 'insufficient' THEN last_date END AS last_market_date FROM detail WHERE status <> 'ready'
- UNION ALL SELECT security_id, ticker, freshness_status, NULL, next_earnings_date, NULL FROM report WHERE freshness_status IN ('POTENTIALLY_STALE', 'UNKNOWN')
+  CAST(NULL AS VARCHAR) AS recorded_earnings_date, CASE WHEN status = 'insufficient' THEN last_date END AS last_market_date, CAST(NULL AS VARCHAR) AS screening_updated_at FROM detail WHERE status <> 'ready'
+ UNION ALL SELECT security_id, ticker, freshness_status, freshness_reason, next_earnings_date, NULL, updated FROM report WHERE freshness_status IN ('POTENTIALLY_STALE', 'UNKNOWN')
  UNION ALL SELECT l.security_id, m.ticker, CASE WHEN starts_with(lifecycle_status, 'VERIFIED') THEN 'LIFECYCLE_EXCLUDED' ELSE 'DAILY_UPDATE_FAILED' END,
-  CASE WHEN starts_with(lifecycle_status, 'VERIFIED') THEN 'Verified lifecycle state; daily acquisition skipped' ELSE 'Daily update failed; data held at last known state' END, NULL, d.last_date
+  CASE WHEN starts_with(lifecycle_status, 'VERIFIED') THEN 'Verified lifecycle state; daily acquisition skipped' ELSE 'Daily update failed; data held at last known state' END, NULL, d.last_date, NULL
   FROM lifecycle l JOIN history_ids USING (security_id) JOIN members m ON m.security_id = l.security_id LEFT JOIN detail d ON d.security_id = l.security_id)"""
 _REVIEW_BASE = "bars members eligible_members lifecycle history_ids earnings"
 _REVIEW_CTES = dict(detail=B.READINESS, report=_MEMBER_REPORT, review=_REVIEW)
@@ -417,7 +421,7 @@ _REGISTRY = """SELECT l.security_id, m.ticker, 'market_data' AS scope, CASE WHEN
     "attach_reviews",
     with_ctes(
         _REVIEW_BASE,
-        """SELECT q.security_id, q.ticker, q.category, q.scope, CASE WHEN r.security_id IS NULL THEN 'DETECTED_ONLY' ELSE 'REVIEWED_FOLLOW_UP_REQUIRED' END AS review_status,
+        """SELECT q.security_id, q.ticker, q.category, q.scope, q.reason, q.recorded_earnings_date, q.last_market_date, q.screening_updated_at, CASE WHEN r.security_id IS NULL THEN 'DETECTED_ONLY' ELSE 'REVIEWED_FOLLOW_UP_REQUIRED' END AS review_status,
  r.reviewed_at, r.finding, r.source_url FROM (SELECT *, CASE WHEN category IN ('DATA_UNAVAILABLE', 'INSUFFICIENT_HISTORY', 'DAILY_UPDATE_FAILED') THEN 'market_data' ELSE 'screening' END AS scope FROM review) q
  LEFT JOIN (SELECT * FROM registry WHERE snapshot_date = '2001-04-01') r ON q.security_id = r.security_id AND q.ticker = r.ticker AND q.scope = r.scope""",
         **_REVIEW_CTES,
@@ -425,8 +429,7 @@ _REGISTRY = """SELECT l.security_id, m.ticker, 'market_data' AS scope, CASE WHEN
     ),
 )
 def attach_reviews(spark, folder):
-    out = U.attach_reviews(_review(spark, folder), _registry(spark, folder), "2001-04-01")
-    return out.drop("reason", "recorded_earnings_date", "last_market_date")
+    return U.attach_reviews(_review(spark, folder), _registry(spark, folder), "2001-04-01")
 
 
 @query(

@@ -88,7 +88,10 @@ def test_review_queue_reviews_and_status(spark):
         [("A", None, 100, day("2024-01-02"), "insufficient"), ("B", "TB", 0, None, "unavailable"), ("C", "TC", 300, day("2024-01-03"), "ready"), ("D", "TD", 0, None, "reviewed_no_retry")],
         "security_id string, ticker string, rolling_bars long, last_date date, status string",
     )
-    fresh = spark.createDataFrame([("C", "TC", "UNKNOWN", "x"), ("A", "TA", "AWAITING_NEXT_EARNINGS", "y")], "security_id string, ticker string, freshness_status string, next_earnings_date string")
+    fresh = spark.createDataFrame(
+        [("C", "TC", "UNKNOWN", "why", "x", None, "2024-01-01"), ("A", "TA", "AWAITING_NEXT_EARNINGS", "why", "y", None, None)],
+        "security_id string, ticker string, freshness_status string, freshness_reason string, next_earnings_date string, updated_at string, updated_date string",
+    )
     updates = spark.createDataFrame([("C", "stale_after_failure"), ("A", "lifecycle_excluded"), ("B", "updated")], "security_id string, update_status string")
     queue = U.review_queue(fresh, detail, ids(spark, "ABCD"), updates)
     ordered = [(r["category"], r["ticker"], r["security_id"]) for r in U.queue_order(queue).collect()]
@@ -97,6 +100,8 @@ def test_review_queue_reviews_and_status(spark):
         ("LIFECYCLE_EXCLUDED", "TA", "A"), ("REVIEWED_NO_RETRY", "TD", "D"), ("UNKNOWN", "TC", "C"),
     ]
     assert queue.filter("category = 'INSUFFICIENT_HISTORY'").first()["reason"] == "100 of 250 minimum bars (300 target)"
+    screened = queue.filter("category = 'UNKNOWN'").first()
+    assert (screened["reason"], screened["screening_updated_at"]) == ("why", "2024-01-01")
     assert U.review_queue(None, detail, ids(spark, "ABCD")).count() == 3
     schema = "security_id string, ticker string, scope string, snapshot_date string, reviewed_at string, finding string, source_url string, resolution string"
     good = ("B", "TB", "market_data", "s1", "2024-01-05", "gone", "https://example.org/x", "FOLLOW_UP_REQUIRED")
