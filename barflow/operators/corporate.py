@@ -21,16 +21,6 @@ LAST_DAY = "9999-12-31"
 BLOCKING_STATUSES = ("VERIFIED_TERMINATED_PUBLIC_LISTING", "VERIFIED_NONTRADABLE_PRIMARY_EXCHANGE")
 TICKER_CHANGE_STATUS = "VERIFIED_TICKER_CHANGE_SAME_SECURITY"
 
-# Reviewed provider symbols, keyed by security and ticker.
-REVIEWED_SYMBOLS = [
-    ("US60744M1062", "MBGL WI", "MBGL"),
-    ("US20459V1052", "CMPO", "GPGI"),
-    ("US74624M1027", "PSTG", "P"),
-    ("US8248891090", "SCVL", "SHOE"),
-    ("US9118053076", "USEG", "BSIN"),
-    ("US29414V3087", "EVTV", "AZIO"),
-]
-
 
 def split_extract(rows: DataFrame, factor_col: str = "split_factor", adjustments: bool = False) -> DataFrame:
     """Source rows with ``event_class``: ``event``, ``none`` (factor 1) or the error.
@@ -313,7 +303,3 @@ def provider_symbol(members: DataFrame, symbols: DataFrame) -> DataFrame:
         *[F.col(c) for c in members.columns],
         F.coalesce("reviewed_symbol", F.replace(F.col("__t"), F.lit("."), F.lit("-"))).alias("symbol"),
     )
-
-
-def reviewed_symbols(spark) -> DataFrame:
-    return spark.createDataFrame(REVIEWED_SYMBOLS, "security_id string, ticker string, symbol string")

@@ -401,6 +401,7 @@ def nth_bar(bars: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+# Names of the source checks of an index.
 INDEX_CHECKS = (
     "dates_parseable",
     "dates_unique",

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from barflow.schemas import BAR_KEY
 
+# The compared columns in the order in which a change is reported. The
+# reasons below (``duplicate_keys`` to ``pure_security_set_reduction``) are fixed too.
 VALUES = ["ticker", "open", "high", "low", "close", "adj_close", "volume"]
 
 

@@ -221,6 +221,11 @@ def screening_counts(report: DataFrame) -> DataFrame:
     )
 
 
+# Reasons that the queue's readers know.
+NO_DATA = "No historical OHLCV data available"
+SKIPPED = "Verified lifecycle state; daily acquisition skipped"
+HELD = "Daily update failed; data held at last known state"
+
 QUEUE_COLUMNS = [
     "security_id", "ticker", "category", "reason",
     "recorded_earnings_date", "last_market_date", "screening_updated_at",
@@ -266,7 +271,7 @@ def review_queue(
         F.col("rolling_bars").cast("string"), F.lit(f" of {minimum} minimum bars ({target} target)")
     )
     reason = F.when(F.col("status") == "insufficient", bars_text).when(
-        F.col("status") == "unavailable", "No historical OHLCV data available"
+        F.col("status") == "unavailable", NO_DATA
     )
     held = F.when(F.col("status") == "insufficient", F.col("last_date"))
     queue = part(d.filter(F.col("status") != "ready"), status_category, reason, none, held)
@@ -290,9 +295,7 @@ def review_queue(
             part(
                 u,
                 F.when(excluded, "LIFECYCLE_EXCLUDED").otherwise("DAILY_UPDATE_FAILED"),
-                F.when(excluded, "Verified lifecycle state; daily acquisition skipped").otherwise(
-                    "Daily update failed; data held at last known state"
-                ),
+                F.when(excluded, SKIPPED).otherwise(HELD),
                 none,
                 F.col("last_date"),
             )

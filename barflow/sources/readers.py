@@ -365,9 +365,13 @@ RUN_MANIFEST = T.StructType(
 )
 
 
-def manifest_results(spark: SparkSession, path: str) -> DataFrame:
-    """Result rows of all run manifests in a folder, with the manifest's file name."""
-    docs = spark.read.schema(RUN_MANIFEST).option("multiLine", "true").json(path)
+def manifest_results(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Result rows of all run manifests in a folder, with the manifest's file name.
+
+    ``multi_line`` reads one document per file, otherwise one per line, which
+    also splits large files.
+    """
+    docs = spark.read.schema(RUN_MANIFEST).option("multiLine", multi_line).json(path)
     return docs.select(
         F.col("_metadata.file_name").alias("manifest_key"), F.posexplode("results").alias("pos", "r")
     ).select("manifest_key", "pos", "r.*").filter(F.coalesce("security_id", F.lit("")) != "")
@@ -414,16 +418,17 @@ QUARANTINE = _text_fields("ready_as_of_date", "ready_sha256", "last_known_good_a
 
 
 def read_records(
-    spark: SparkSession, path: str, field: str, record: T.StructType, version: int | None = None
+    spark: SparkSession, path: str, field: str, record: T.StructType, version: int | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Rows of the array ``field`` of registry documents; the array must be there.
 
-    With ``version`` the document's schema_version must equal it.
+    With ``version`` the document's schema_version must equal it; for
+    ``multi_line`` see :func:`manifest_results`.
     """
     schema = T.StructType(
         [T.StructField("schema_version", T.IntegerType()), T.StructField(field, T.ArrayType(record))]
     )
-    docs = spark.read.schema(schema).option("multiLine", "true").json(path)
+    docs = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     bad = F.col(field).isNull()
     if version is not None:
         bad = bad | ~F.col("schema_version").eqNullSafe(F.lit(version))

@@ -136,7 +136,8 @@ def test_lifecycle_gate_boundaries(spark):
 
 def test_provider_symbol_needs_both_keys(spark):
     members = spark.createDataFrame([("US74624M1027", " pstg "), ("OTHER", "PSTG"), ("X", "brk.b")], "security_id string, ticker string")
-    out = K.provider_symbol(members, K.reviewed_symbols(spark))
+    registry = spark.createDataFrame([("US74624M1027", "PSTG", "P")], "security_id string, ticker string, symbol string")
+    out = K.provider_symbol(members, registry)
     assert rows_of(out, "security_id", "symbol") == [("OTHER", "PSTG"), ("US74624M1027", "P"), ("X", "BRK-B")]
 
 
