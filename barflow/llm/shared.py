@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.session import materialize
+from barflow.session import new_folder
 
 # The ASCII space characters that end a word.
 SPACES = " \t\n\x0b\x0c\r"
@@ -20,9 +23,40 @@ def packed(docs: DataFrame) -> Column:
     return F.struct(*[docs[c] for c in docs.columns])
 
 
+# Folders staged since a pipeline stage began, by the session's application.
+_OPEN: dict[str, list[str]] = {}
+# Those of the stage before, to be deleted when the next begins.
+_DONE: dict[str, list[str]] = {}
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write below the shared folder and read back; survives a lost executor."""
-    return materialize(df, f"llm-{label}")
+    spark = df.sparkSession
+    path = new_folder(spark, f"llm-{label}")
+    df.write.parquet(path)
+    app = spark.sparkContext.applicationId
+    if app in _OPEN:
+        _OPEN[app].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stage_of_pipeline(spark: SparkSession) -> Iterator[None]:
+    """Staged tables made inside belong to one pipeline stage.
+
+    A stage's result is written and read again before the next stage begins, so
+    what the one before has staged is deleted then. Tables staged outside of
+    pipeline stages are left alone.
+    """
+    app = spark.sparkContext.applicationId
+    for path in _DONE.pop(app, []):
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _OPEN[app] = []
+    try:
+        yield
+    finally:
+        _DONE[app] = _OPEN.pop(app)
 
 
 def utf8(name: str) -> Column:
