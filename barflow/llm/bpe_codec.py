@@ -19,8 +19,8 @@ rows are encoded each; an empty table gives no rows; other columns travel in
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +83,7 @@ class Codec:
         if self.fast:
             self.pre_tokens = PreTokens(self.tokenizer)
             self.units = Units(self._unit)
-        self.chunks: dict[bytes, tuple[str, list[int], str]] = {}
+        self.chunks: dict[bytes, tuple[str, bytes, str]] = {}
         self.held = 0
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.names = [str(i) for i in range(size)]
@@ -98,10 +98,12 @@ class Codec:
             out.append(word.encode() if i in added or word is None else bytes(back[c] for c in word))
         return out
 
-    def _unit(self, text: str) -> tuple[int, ...]:
-        return tuple(t.id for part in self.pre_tokens(text) for t in self.tokenizer.model.tokenize(part))
+    def _unit(self, text: str) -> bytes:
+        """Ids of a unit, four bytes each: a cache of many tuples of numbers would take three times the memory."""
+        ids = [t.id for part in self.pre_tokens(text) for t in self.tokenizer.model.tokenize(part)]
+        return array("I", ids).tobytes()
 
-    def _chunk(self, data: bytes) -> tuple[str, list[int], str]:
+    def _chunk(self, data: bytes) -> tuple[str, bytes, str]:
         """Text before the first safe boundary, ids up to the last, text after it."""
         found = self.chunks.get(data)
         if found is not None:
@@ -109,10 +111,10 @@ class Codec:
         text = data.decode()
         first = SAFE.search(text)
         if first is None:
-            found = (text, [], "")
+            found = (text, b"", "")
         else:
             a, b = first.start(), last_safe(text)
-            ids = list(chain.from_iterable(self.units.after_space(text[a:b]))) if b > a else []
+            ids = b"".join(self.units.after_space(text[a:b])) if b > a else b""
             found = (text[:a], ids, text[b:])
         self.held += len(data)
         if self.held > CHUNK_BYTES:
@@ -127,7 +129,7 @@ class Codec:
         if not self.fast or any(token in text for token in self.added):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         data = text.encode()
-        ids: list[int] = []
+        ids: list[bytes] = []
         start, open_end = 0, []
         for end in cuts(data):
             head, middle, tail = self._chunk(data[start:end])
@@ -135,15 +137,11 @@ class Codec:
             open_end.append(head)
             if not tail:
                 continue  # no safe boundary in the chunk: the join reaches on
-            self._join(open_end, ids)
-            ids += middle
+            ids += self.units.of("".join(open_end))
+            ids.append(middle)
             open_end = [tail]
-        self._join(open_end, ids)
-        return ids
-
-    def _join(self, parts: list[str], ids: list[int]) -> None:
-        for unit in self.units.of("".join(parts)):
-            ids += unit
+        ids += self.units.of("".join(open_end))
+        return array("I", b"".join(ids)).tolist()
 
     def decode(self, ids: list[int]) -> str:
         if self.bytes is None:

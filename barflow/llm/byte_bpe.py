@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 # Entries that a worker's cache holds at most.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 600_000
 
 
 class UnsafePieceError(Exception):
@@ -80,7 +80,7 @@ class PreTokens:
 
 
 class Units:
-    """Values of a text's units, in order. ``make`` gets a string that tokenizes alone.
+    """Values of a text's units, in order. ``make`` gets a string that tokenizes alone; values can be added up.
 
     The cache has two generations of half the entries each; a full young one
     becomes the old one, and what is still used moves over again.
