@@ -10,7 +10,7 @@ import pyarrow.compute
 import xxhash
 
 # Words that a worker's cache holds before it is emptied.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 # Text bytes that are worked on at once.
 SLICE_BYTES = 4 << 20
 
