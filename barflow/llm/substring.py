@@ -15,8 +15,9 @@ the automaton of one anchor at a time.
 
 An anchor with more than ``HOT`` runs (a passage that very many documents
 hold) would make a shard too long. Its windows are dealt out singly, each under
-its own 128-bit digest, where the smallest doc_id is found with map-side
-aggregation: what is left of the automaton for one window is equality.
+its own 128-bit digest (once per document), where the smallest doc_id is found
+with map-side aggregation: what is left of the automaton for one window is
+equality.
 
 Defined results: null text has no words; a null doc_id sorts before all others
 and equal ids are not earlier than each other, so repeated rows keep the same
@@ -83,23 +84,28 @@ def _spans(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Words of the wanted runs: whole spans, or digests of single windows where the anchor is hot."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hot", "hi", "lo", "ord", "mark", "start", "span"]
-        kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["hot", "hi", "lo", "ord", "mark", "starts", "span"]
+        kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for ord_, mark, text, places in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 words = text.split()
+                singles: dict[bytes, list[int]] = {}
                 for item in places:
                     start, n = item["place"] >> 7, item["place"] & 127
                     if item["hot"]:
                         for i in range(start, start + n):
-                            hi, lo = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words[i : i + length])), "<i8").tolist()
-                            for column, value in zip(out, (True, hi, lo, ord_, mark, i, None), strict=True):
-                                column.append(value)
+                            digest = xxhash.xxh3_128_digest(b" ".join(words[i : i + length]))
+                            singles.setdefault(digest, []).append(i)
                     else:
                         span = b" ".join(words[start : start + n + length - 1])
-                        for column, value in zip(out, (False, item["anchor"], 0, ord_, mark, start, span), strict=True):
+                        for column, value in zip(out, (False, item["anchor"], 0, ord_, mark, [start], span), strict=True):
                             column.append(value)
+                # a document repeats no window here, however often its text does
+                for digest, starts in singles.items():
+                    hi, lo = np.frombuffer(digest, "<i8").tolist()
+                    for column, value in zip(out, (True, hi, lo, ord_, mark, starts, None), strict=True):
+                        column.append(value)
                 if len(out[0]) > 5000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
                     out = [[] for _ in names]
@@ -110,7 +116,7 @@ def _spans(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     # what is wanted grows with the documents, so it is never broadcast
     rows = docs.select("ord", "mark", "text").join(per_doc.hint("merge"), key).select("ord", "mark", "text", "places")
     return rows.mapInArrow(
-        cut, "hot boolean, hi bigint, lo bigint, ord bigint, mark bigint, start bigint, span binary"
+        cut, "hot boolean, hi bigint, lo bigint, ord bigint, mark bigint, starts array<bigint>, span binary"
     )
 
 
@@ -140,7 +146,7 @@ def repeats(spans: list[tuple[int, list[bytes]]], length: int) -> list[list[tupl
 def _matched(spans: DataFrame, length: int) -> DataFrame:
     """(ord, mark, a, b): intervals of windows, from the shards of the anchors."""
     parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = spans.select("hi", "ord", "mark", "start", "span").repartition(parts, "hi")
+    dealt = spans.select("hi", "ord", "mark", F.col("starts")[0].alias("start"), "span").repartition(parts, "hi")
     ordered = dealt.sortWithinPartitions("hi", "ord")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -173,10 +179,11 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
     shared = shared.filter("low < high").select("anchor", (F.col("n") > HOT).alias("hot"))
     spans = staged(_spans(docs, own.join(shared, "anchor"), length), "spans")
     matched = _matched(spans.filter("NOT hot"), length)
-    windows = spans.filter("hot").select("hi", "lo", "ord", "mark", "start")
+    windows = spans.filter("hot").select("hi", "lo", "ord", "mark", "starts")
     first = windows.groupBy("hi", "lo").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).filter("low < high")
     singles = windows.join(first.drop("high"), ["hi", "lo"]).filter("ord > low")
-    return matched.unionByName(singles.select("ord", "mark", F.col("start").alias("a"), (F.col("start") + 1).alias("b")))
+    singles = singles.select("ord", "mark", F.explode("starts").alias("a"))
+    return matched.unionByName(singles.withColumn("b", F.col("a") + 1))
 
 
 def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
