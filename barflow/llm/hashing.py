@@ -63,6 +63,18 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Join small batches to ones of at least ``rows`` rows, for narrow columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
     """Cut batches where their texts exceed SLICE_BYTES; a longer text stands alone."""
     for batch in batches:

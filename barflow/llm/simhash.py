@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.components import components
+from barflow.llm.hashing import gathered
 from barflow.llm.shared import packed, require, staged, utf8
 
 @dataclass(frozen=True)
@@ -84,6 +85,8 @@ LEAF = 4096
 MOST_DEPTH = 12
 BLOCK = 8192
 ROWS = 1 << 15
+# Fingerprints that are routed through the trees at once.
+ROUTED = 1 << 16
 
 
 def fingerprint(text: bytes, measure: Measure = CLOSE) -> list[int]:
@@ -228,7 +231,8 @@ def near_links(nodes: DataFrame, measure: Measure = CLOSE) -> DataFrame:
     trees = spark.sparkContext.broadcast(fit_trees(sample, measure, depth))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # every node of the trees is visited for each batch, so batches should be long
+        for batch in gathered(batches, ROUTED):
             marks = _marks(batch, measure)
             for tree, (cut, nodes) in enumerate(zip(cuts, trees.value, strict=True)):
                 parts = list(route(_segment(marks, cut), nodes, measure.reach))
