@@ -69,6 +69,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is; a missing one is no error."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session that was built elsewhere."""
     for key, value in SETTINGS.items():

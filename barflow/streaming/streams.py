@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from barflow.operators.ema import ema_advance
 from barflow.schemas import BARS, EMA_STATE, EMA_STATE_COLUMNS
+from barflow.session import remove_folder
 
 TICKS = T.StructType(
     [
@@ -135,6 +136,8 @@ def stream_ema(bars: DataFrame, initial_state: DataFrame, folder: str) -> DataFr
         good = moved.filter(~F.col("needs_rebuild")).select(*EMA_STATE_COLUMNS)
         kept = state.join(held.select("security_id"), "security_id", "left_semi").select(*EMA_STATE_COLUMNS)
         good.unionByName(kept).write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+        # a retry of this batch reads the one before; older states are of no use
+        remove_folder(spark, f"{folder}/state/batch={batch_id - 2}")
 
     _run(bars, folder, "append", save)
     schema = T.StructType([*EMA_STATE.fields, T.StructField("batch", T.LongType())])
