@@ -17,6 +17,7 @@ from barflow.plans import fixtures as fx
 from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
 from barflow.schemas import BAR_COLUMNS, BAR_VALUES
+from barflow.session import materialize
 
 BARS = ", ".join(BAR_COLUMNS)
 
@@ -800,10 +801,15 @@ CANONICAL_DAY, NEXT_DAY = date(2001, 10, 1), date(2001, 10, 2)
 SCENARIOS = ("advance", "changed_value", "before_as_of", "identical", "fewer_securities")
 
 
-def _snapshot_pair(spark, folder, scenario):
+def _snapshots(spark, folder):
+    """Both windows, written once: several scenarios read them."""
     b = fx.bars(spark, folder)
-    canonical = W.rolling_tail(b.filter(F.col("date") <= CANONICAL_DAY))
-    candidate = W.rolling_tail(b.filter(F.col("date") <= NEXT_DAY))
+    windows = {"canonical": CANONICAL_DAY, "candidate": NEXT_DAY}
+    return [materialize(W.rolling_tail(b.filter(F.col("date") <= day)), name) for name, day in windows.items()]
+
+
+def _snapshot_pair(spark, folder, scenario, held):
+    canonical, candidate = held
     if scenario == "changed_value":
         hit = F.col("date") == date(2001, 9, 28)
         candidate = candidate.withColumn("close", F.when(hit, F.col("close") * 2).otherwise(F.col("close")))
@@ -843,8 +849,9 @@ _GONE = "SELECT count(*) AS n FROM (SELECT DISTINCT security_id FROM canon) WHER
 )
 def window_advance_diff(spark, folder):
     frames = []
+    held = _snapshots(spark, folder)
     for name in SCENARIOS:
-        canonical, candidate, as_of = _snapshot_pair(spark, folder, name)
+        canonical, candidate, as_of = _snapshot_pair(spark, folder, name, held)
         frames.append(S.window_advance_diff(canonical, candidate, as_of).withColumn("scenario", F.lit(name)))
     return _union(frames)
 
@@ -861,8 +868,9 @@ def window_advance_diff(spark, folder):
 )
 def set_reduction_diff(spark, folder):
     frames = []
+    held = _snapshots(spark, folder)
     for name in ("advance", "identical", "fewer_securities"):
-        canonical, candidate, _ = _snapshot_pair(spark, folder, name)
+        canonical, candidate, _ = _snapshot_pair(spark, folder, name, held)
         frames.append(S.set_reduction_diff(canonical, candidate).withColumn("scenario", F.lit(name)))
     return _union(frames).select("scenario", "safe", "reason", "removed_securities")
 
@@ -879,7 +887,7 @@ def set_reduction_diff(spark, folder):
     ),
 )
 def window_advance_details(spark, folder):
-    canonical, candidate, _ = _snapshot_pair(spark, folder, "advance")
+    canonical, candidate, _ = _snapshot_pair(spark, folder, "advance", _snapshots(spark, folder))
     return S.window_advance_details(canonical, candidate)
 
 
