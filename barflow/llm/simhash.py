@@ -45,23 +45,17 @@ from barflow.llm.shared import packed, require, staged, utf8
 
 @dataclass(frozen=True)
 class Measure:
-    """Words per shingle, 64-bit words per fingerprint, and the most differing bits of a link.
-
-    ``reach`` is how far a query asks beyond its own region of a segment's tree.
-    By default it is what makes the search exact.
-    """
+    """Words per shingle, 64-bit words per fingerprint, and the most differing bits of a link."""
 
     shingle: int = 4
     words: int = 1
     radius: int = 4
     segments: int = 3
-    own_reach: int | None = None
 
     @property
     def reach(self) -> int:
-        """Differing bits that some segment of linked fingerprints has at most, or less where so set."""
-        exact = self.radius // self.segments
-        return exact if self.own_reach is None else min(exact, self.own_reach)
+        """Differing bits that some segment of linked fingerprints has at most; asking so far makes the search exact."""
+        return self.radius // self.segments
 
     def cuts(self) -> list[tuple[int, int, int]]:
         """(word, shift, width) of each segment; no segment spans two words."""
@@ -71,13 +65,11 @@ class Measure:
 
 
 CLOSE = Measure()
-# 256 bits tell similarities apart that 64 cannot: of texts whose shingle sets
-# have a Jaccard similarity of 0.8 (cosine 8/9) 15.2 % of the bits differ, 39 of
-# 256 with a deviation of 6, where unrelated texts differ in 128 with one of 8.
-# Within 42 bits a ball reaches every branch of every tree, so each tree is
-# asked for the home shard only: twenty trees make up for it. A pair at 0.8 has
-# an equal segment with a chance of 92 % at least, one at 0.9 of 99.8 %.
-SIMILAR = Measure(shingle=5, words=4, radius=42, segments=20, own_reach=0)
+# 256 bits: of texts whose shingle sets have a Jaccard similarity of 0.8 (cosine
+# 8/9) 15.2 % of the bits differ, 39 on average with a deviation of 6. A radius is
+# no exact limit of the similarity, so the pipeline uses ``near_sets`` instead.
+# The search is exact, but a ball reaches most branches of every tree.
+SIMILAR = Measure(shingle=5, words=4, radius=42, segments=20)
 SEED = 42
 # Fingerprints that fit the trees; fingerprints of a shard on average; a shard's block.
 SAMPLE = 1 << 14
