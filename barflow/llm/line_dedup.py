@@ -100,8 +100,14 @@ class LineStore:
         return self._moved(staged(left, "references"))
 
     def _moved(self, refs: DataFrame) -> LineStore:
-        """Filters brought to new references: keys that crossed the limit go in or out."""
+        """Filters brought to new references: keys that crossed the limit go in or out.
+
+        Where the shards have become too large, all are built anew under a larger number.
+        """
         frequent = staged(_frequent(refs, self.min_docs), "frequent")
+        keys = frequent.count()
+        if keys > 2 * SHARD_KEYS * self.shards:
+            return _built(refs, frequent, keys, self.min_docs)
         key = ["hi", "lo"]
         gained = frequent.join(self.frequent, key, "left_anti").select(*key, F.lit(True).alias("added"))
         lost = self.frequent.join(frequent, key, "left_anti").select(*key, F.lit(False).alias("added"))
@@ -113,8 +119,13 @@ def line_store(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     """The store of these documents."""
     refs = staged(references(docs, min_chars), "references")
     frequent = staged(_frequent(refs, min_docs), "frequent")
-    shards = max(1, -(-frequent.count() // SHARD_KEYS))
-    none = docs.sparkSession.createDataFrame([], "shard int, filter binary")
+    return _built(refs, frequent, frequent.count(), min_docs)
+
+
+def _built(refs: DataFrame, frequent: DataFrame, n_keys: int, min_docs: int) -> LineStore:
+    """A store whose filters are made of all ``n_keys`` frequent keys."""
+    shards = max(1, -(-n_keys // SHARD_KEYS))
+    none = refs.sparkSession.createDataFrame([], "shard int, filter binary")
     keys = frequent.select("hi", "lo", F.lit(True).alias("added"))
     filters = staged(_moved_filters(none, keys, frequent.limit(0), shards), "filters")
     return LineStore(refs, frequent, filters, shards, min_docs)
