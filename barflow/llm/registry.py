@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from barflow.llm import queries  # noqa: F401
+    from barflow.llm import model_queries, queries  # noqa: F401

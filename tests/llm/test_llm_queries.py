@@ -9,7 +9,7 @@ from llm_tables import SMALL, awkward, by_repr, docs_of, pairs
 from barflow.llm import registry, simhash
 
 registry.load()
-TABLES = "documents pages benchmark".split()
+TABLES = "documents pages benchmark embeddings labels".split()
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +20,8 @@ def duck():
     return con
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES) == list(range(1, 11))
+def test_all_operators_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
