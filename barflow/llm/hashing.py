@@ -63,12 +63,12 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """Join small batches to ones of at least ``rows`` rows, for narrow columns."""
+def gathered(batches: Iterator[pa.RecordBatch], rows: int, size: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Join small batches to ones of at least ``rows`` rows or ``size`` bytes."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= rows:
+        if sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size:
             yield pa.concat_batches(held)
             held = []
     if held:

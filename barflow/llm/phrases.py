@@ -6,7 +6,9 @@ pairs of a run fall into is counted as a dense array with ``numpy.bincount``,
 the cells of all other tiles as sorted coordinates. Spark sums equal cells over
 all tasks, so no tile is gathered anywhere. Pairs that stay are ranked anew and
 paired with the word that follows, and so on up to the longest phrase: a phrase
-can only be frequent if the two phrases that it begins and ends with are.
+can only be frequent if the two phrases that it begins and ends with are. Texts
+are split twice, to count words and to write their ids; each length then reads
+the places that the one before left.
 
 What tasks are sent is bounded at any size of the corpus: the HEAD most frequent
 keys of each length with their ranks, and for the other frequent keys one bit
@@ -203,16 +205,56 @@ def _stream(batch: pa.RecordBatch, held: dict[str, _Ids], ranks: Ranks) -> np.nd
     return np.concatenate(parts) if parts else end
 
 
-def _pairs(ids: np.ndarray, levels: list[Ranks]) -> tuple[np.ndarray, np.ndarray]:
-    """(left, right) of each place where the phrase there and the next are frequent; right is the last word."""
-    phrase = ids
-    for k, ranks in enumerate(levels[1:], 2):
-        left, right = phrase[:-1], ids[k - 1 :]
-        both = np.flatnonzero((left >= 0) & (phrase[1:] >= 0))
-        phrase = np.full(len(left), -1, np.int64)
-        phrase[both] = ranks.ids(pair_keys(left[both], right[both]))
-    both = np.flatnonzero((phrase[:-1] >= 0) & (phrase[1:] >= 0))
-    return phrase[both], ids[len(levels) :][both]
+def _spelled(ids: np.ndarray) -> bytes:
+    """Ids as bytes, four each where they fit; the first byte tells."""
+    small = not len(ids) or ids.max() < 1 << 31
+    return b"4" + ids.astype("<i4").tobytes() if small else b"8" + ids.astype("<i8").tobytes()
+
+
+def _read(held: bytes) -> np.ndarray:
+    return np.frombuffer(held, f"<i{held[:1].decode()}", offset=1).astype(np.int64)
+
+
+def _places(left: bytes, right: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """(left, right) of consecutive places: a phrase and the word behind it; left is -1 where places break off."""
+    if right is not None:
+        return _read(left), _read(right)
+    ids = _read(left)
+    return np.where(ids[1:] < 0, -1, ids[:-1]), ids[1:]
+
+
+def _word_places(rows: DataFrame, ranks: Ranks) -> DataFrame:
+    """Places of batches of texts, of which only the word ids are kept: each is also the one behind the last."""
+    sent = rows.sparkSession.sparkContext.broadcast(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, _Ids] = {}
+        for batch in slices(batches, 1):
+            left = pa.array([_spelled(_stream(batch, held, sent.value))], pa.binary())
+            yield pa.RecordBatch.from_arrays([left, pa.nulls(1, pa.binary())], ["left", "right"])
+
+    return rows.mapInArrow(run, "left binary, right binary")
+
+
+def _longer_places(places: DataFrame, ranks: Ranks) -> DataFrame:
+    """Places of phrases one word longer, where this one and the next are frequent."""
+    sent = places.sparkSession.sparkContext.broadcast(ranks)
+
+    def longer(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, held = np.full(len(left), -1, np.int64), np.flatnonzero(left >= 0)
+        ids[held] = sent.value.ids(pair_keys(left[held], right[held]))
+        both = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        ends = np.flatnonzero(np.diff(both) != 1) + 1
+        return np.insert(ids[both], ends, -1), np.insert(right[both + 1], ends, -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            found = [longer(*_places(*p)) for p in pairs]
+            columns = [pa.array([_spelled(f[i]) for f in found], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["left", "right"])
+
+    return places.mapInArrow(run, "left binary, right binary")
 
 
 def tiled_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,25 +284,26 @@ def tiled_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nd
     return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
 
 
-def _pair_counts(rows: DataFrame, levels: list[Ranks]) -> DataFrame:
-    """(left, right, n) of the phrases one word longer than the last of ``levels``."""
-    sent = rows.sparkSession.sparkContext.broadcast(levels)
+def _pair_counts(places: DataFrame) -> DataFrame:
+    """(left, right, n) of all places."""
 
     def flushed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         left, right = (np.concatenate([h[i] for h in held]) if held else np.empty(0, np.int64) for i in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in tiled_counts(left, right)], ["left", "right", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, ids, held, size = sent.value, {}, [], 0
-        for batch in slices(batches, 1):
-            held.append(_pairs(_stream(batch, ids, levels[0]), levels))
-            size += len(held[-1][0])
-            if size > RUN:
-                yield flushed(held)
-                held, size = [], 0
+        held, size = [], 0
+        for batch in batches:
+            for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                left, right = _places(*pair)
+                held.append((left[left >= 0], right[left >= 0]))
+                size += len(held[-1][0])
+                if size > RUN:
+                    yield flushed(held)
+                    held, size = [], 0
         yield flushed(held)
 
-    made = rows.mapInArrow(count, "left bigint, right bigint, n bigint")
+    made = places.mapInArrow(count, "left bigint, right bigint, n bigint")
     return made.groupBy("left", "right").agg(F.sum("n").alias("n"))
 
 
@@ -308,20 +351,22 @@ def counted_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
     counts = staged(_word_counts(rows), "words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     table = staged(_word_keyed(counts.filter(F.col("n") >= least)), "frequent")
-    levels = [ranked(table, head, bits)]
-    named = _with_ids(table, levels[0]).select("id", "lang", F.col("word").cast("string").alias("word"), "n")
-    single = staged(named, "named")
+    ranks = ranked(table, head, bits)
+    places = staged(_word_places(rows, ranks), "places-1")
+    single = staged(_with_ids(table, ranks).select("id", "lang", F.col("word").cast("string").alias("word"), "n"), "named")
     of_word = single.select(F.col("id").alias("right"), "word")
     known = single.select("id", "lang", F.array("word").alias("phrase"), "n")
     found = [known]
     for k in range(2, longest + 1):
-        table = staged(_keyed(_pair_counts(rows, levels).filter(F.col("n") >= least)), f"pairs-{k}")
-        levels.append(ranked(table, head, bits))
-        longer = _with_ids(table, levels[-1]).select("id", "left", "right", "n")
+        table = staged(_keyed(_pair_counts(places).filter(F.col("n") >= least)), f"pairs-{k}")
+        ranks = ranked(table, head, bits)
+        longer = _with_ids(table, ranks).select("id", "left", "right", "n")
         begun = known.select(F.col("id").alias("left"), "lang", "phrase")
         longer = longer.join(begun, "left").join(of_word, "right")
         known = staged(longer.select("id", "lang", F.concat("phrase", F.array("word")).alias("phrase"), "n"), f"known-{k}")
         found.append(known)
+        if k < longest:
+            places = staged(_longer_places(places, ranks), f"places-{k}")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barflow.llm.hashing import gathered
 from barflow.llm.shared import packed, require
 
 SCALE = 1024
@@ -44,8 +45,9 @@ ENTRIES = 256
 ROUNDS = 4
 # Components from which a scaled vector is refused.
 LARGEST = 1 << 27
-# Vectors that search at once.
+# Vectors that search at once, and bytes of a run of rows.
 BATCH = 1 << 16
+BATCH_BYTES = 64 << 20
 # Entries, spread over the numbers, of which the nearest is where a search begins.
 STARTS = 16
 # Places of a neighbour list at which the first look ends; the next end at four times as many.
@@ -162,9 +164,9 @@ def _kept(vectors: DataFrame, vector: str) -> DataFrame:
 
 
 def _searched(batches: Iterator[pa.RecordBatch], at: int, books: Codebooks):
-    """(batch, codes by part and row, squared distances likewise, parts) of slices of the batches."""
+    """(batch, codes by part and row, squared distances likewise, parts) of runs of the batches."""
     search = [Codebook(e) for e in books.entries]
-    for whole in batches:
+    for whole in gathered(batches, BATCH, BATCH_BYTES):
         for start in range(0, whole.num_rows, BATCH):
             batch = whole.slice(start, BATCH)
             parts = books.cut(whole_numbers(batch.column(at), books.length))
