@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.llm.bits import bit_table, marked
 from barflow.llm.hashing import mixed, slices
 from barflow.llm.shared import require, staged, utf8
 
@@ -130,9 +131,8 @@ class Ranks:
             out[found] = self.ranks[at[found]]
         if self.bits is not None:
             rest = np.flatnonzero(out < 0)
-            own = keys[rest]
-            on = self.bits[(own >> np.uint64(6)) & np.uint64(len(self.bits) - 1)] >> (own & np.uint64(63)) & np.uint64(1)
-            out[rest[on == 1]] = tail_ids(own[on == 1])
+            rest = rest[marked(self.bits, keys[rest])]
+            out[rest] = tail_ids(keys[rest])
         return out
 
 
@@ -158,24 +158,7 @@ def ranked(table: DataFrame, head: int, bits: int) -> Ranks:
     ranks = np.empty(len(keys), np.int64)
     ranks[by_count] = np.arange(len(keys))
     order = np.argsort(keys)
-    return Ranks(keys[order], ranks[order], None if whole else _bit_table(table.select("key"), bits))
-
-
-def _bit_table(keys: DataFrame, bits: int) -> np.ndarray:
-    """One bit for each key, in a table of a fixed size; at most a row for 64 bits comes to the driver."""
-    size = bits >> 6
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column(0).to_numpy().view(np.uint64)
-            at = ((own >> np.uint64(6)) & np.uint64(size - 1)).astype(np.int64)
-            bit = np.left_shift(np.uint64(1), own & np.uint64(63)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bit)], ["at", "bit"])
-
-    made = keys.mapInArrow(mark, "at bigint, bit bigint").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
-    out = np.zeros(size, np.uint64)
-    out[made.column("at").to_numpy()] = made.column("bit").to_numpy().view(np.uint64)
-    return out
+    return Ranks(keys[order], ranks[order], None if whole else bit_table(table.select("key"), bits))
 
 
 class _Ids(dict):

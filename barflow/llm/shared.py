@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.session import new_folder
+from barflow.session import new_folder, remove_folder
 
 # The ASCII space characters that end a word.
 SPACES = " \t\n\x0b\x0c\r"
@@ -33,11 +33,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write below the shared folder and read back; survives a lost executor."""
     spark = df.sparkSession
     path = new_folder(spark, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     app = spark.sparkContext.applicationId
     if app in _OPEN:
         _OPEN[app].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing yet to run reads; what was made of them must have been written."""
+    for df in tables:
+        remove_folder(df.sparkSession, df.staged_at)
 
 
 @contextmanager
@@ -50,8 +58,7 @@ def stage_of_pipeline(spark: SparkSession) -> Iterator[None]:
     """
     app = spark.sparkContext.applicationId
     for path in _DONE.pop(app, []):
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        remove_folder(spark, path)
     _OPEN[app] = []
     try:
         yield

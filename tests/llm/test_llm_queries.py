@@ -5,8 +5,9 @@ import corpus_pipeline
 import duckdb
 import pytest
 from llm_tables import SMALL, awkward, by_repr, docs_of, pairs
+from test_llm_near_sets import plain_kept
 
-from barflow.llm import registry, simhash
+from barflow.llm import registry
 
 registry.load()
 TABLES = "documents pages benchmark embeddings labels".split()
@@ -64,27 +65,10 @@ def test_quality_uses_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-def similar_groups(docs):
-    """Indexes that stay: the smallest doc_id of each group of similar fingerprints."""
-    marks = [simhash.fingerprint((t or "").encode(), simhash.SIMILAR) for _, t in docs]
-    group = list(range(len(docs)))
-    for i in range(len(docs)):
-        for j in range(i):
-            apart = sum((a ^ b).bit_count() for a, b in zip(marks[i], marks[j], strict=True))
-            if apart <= simhash.SIMILAR.radius and group[i] != group[j]:
-                old, new = group[i], group[j]
-                group = [new if g == old else g for g in group]
-    first = {}
-    for i, g in enumerate(group):
-        rank = (docs[i][0] is None, docs[i][0] or 0, i)
-        first[g] = min(rank, first.get(g, rank))
-    return {rank[2] for rank in first.values()}
-
-
 def plain_pipeline(docs, items):
     kept = [(d, t) for d, t in docs if not brute.quality(t)[5]]
     kept = [(d, text) for d, _, _, text in brute.lines(kept)]
-    stay = similar_groups(kept)
+    stay = plain_kept(kept)
     kept = [p for i, p in enumerate(kept) if i in stay]
     hits = [hit for _, _, hit, _ in brute.contamination(kept, items)]
     return [p for p, hit in zip(kept, hits, strict=True) if not hit]
