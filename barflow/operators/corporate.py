@@ -267,39 +267,55 @@ def resolve_alias(events: DataFrame, aliases: DataFrame) -> DataFrame:
     )
 
 
+def repeated_keys(registry: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that a registry names more than once, with the number of their rows; must be empty."""
+    return registry.groupBy(*keys).agg(F.count("*").alias("rows")).filter("rows > 1")
+
+
 def lifecycle_gate(members: DataFrame, registry: DataFrame, as_of: date | Column) -> DataFrame:
     """Members with ``allowed`` and the ``acquisition_ticker`` to use on ``as_of``.
 
     Blocking statuses bite from their effective date on; without one they never
     bite. A verified ticker change hands over to its successor from its date on.
+    Each member gives one row: where a security is registered more than once
+    (see ``repeated_keys``), any row in force may block it, and the row that
+    came into force last gives status and ticker.
     """
     day = F.lit(as_of) if isinstance(as_of, date) else as_of
-    reg = registry.select("security_id", "lifecycle_status", "effective_date", "successor_ticker")
-    j = members.join(reg, "security_id", "left")
     begun = F.coalesce(day >= F.col("effective_date"), F.lit(False))
-    blocked = F.coalesce(F.col("lifecycle_status").isin(*BLOCKING_STATUSES), F.lit(False)) & begun
-    successor = F.trim("successor_ticker")
+    blocks = F.coalesce(F.col("lifecycle_status").isin(*BLOCKING_STATUSES), F.lit(False)) & begun
+    facts = F.struct("lifecycle_status", "effective_date", "successor_ticker")
+    order = F.struct(begun.alias("begun"), "effective_date", "lifecycle_status", "successor_ticker")
+    reg = registry.groupBy("security_id").agg(F.bool_or(blocks).alias("__blocked"), F.max_by(facts, order).alias("__last"))
+    j = members.join(reg, "security_id", "left")
+    status, successor = F.col("__last.lifecycle_status"), F.trim("__last.successor_ticker")
     moved = (
-        F.col("lifecycle_status").eqNullSafe(F.lit(TICKER_CHANGE_STATUS))
-        & begun
+        status.eqNullSafe(F.lit(TICKER_CHANGE_STATUS))
+        & F.coalesce(day >= F.col("__last.effective_date"), F.lit(False))
         & (F.coalesce(successor, F.lit("")) != "")
     )
     return j.select(
         *[F.col(c) for c in members.columns],
-        "lifecycle_status",
-        (~blocked).alias("allowed"),
+        status.alias("lifecycle_status"),
+        (~F.coalesce("__blocked", F.lit(False))).alias("allowed"),
         F.when(moved, successor).otherwise(F.col("ticker")).alias("acquisition_ticker"),
     )
 
 
+def provider_symbol_conflicts(symbols: DataFrame) -> DataFrame:
+    """(security, ticker) keys registered more than once, as ``provider_symbol`` reads them; must be empty."""
+    return repeated_keys(symbols.select("security_id", F.upper(F.trim("ticker")).alias("ticker")), ["security_id", "ticker"])
+
+
 def provider_symbol(members: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Members with ``symbol``: the reviewed one for (security, ticker), else dots as dashes."""
+    """Members with ``symbol``: the reviewed one for (security, ticker), else dots as dashes.
+
+    Each member gives one row. Where a key is registered with different symbols
+    none of them can be trusted, and ``symbol`` is null.
+    """
     source = F.upper(F.trim("ticker"))
-    reg = symbols.select(
-        "security_id", F.upper(F.trim("ticker")).alias("__t"), F.col("symbol").alias("reviewed_symbol")
-    )
+    reg = symbols.groupBy("security_id", source.alias("__t")).agg(F.min("symbol").alias("__lo"), F.max("symbol").alias("__hi"))
     j = members.withColumn("__t", source).join(reg, ["security_id", "__t"], "left")
-    return j.select(
-        *[F.col(c) for c in members.columns],
-        F.coalesce("reviewed_symbol", F.replace(F.col("__t"), F.lit("."), F.lit("-"))).alias("symbol"),
-    )
+    dashed = F.replace(F.col("__t"), F.lit("."), F.lit("-"))
+    symbol = F.when(F.col("__lo") != F.col("__hi"), F.lit(None)).otherwise(F.coalesce("__lo", dashed))
+    return j.select(*[F.col(c) for c in members.columns], symbol.alias("symbol"))

@@ -110,10 +110,11 @@ def merge_replace_bad_plan(bars: DataFrame, evidence: DataFrame, replacements: D
 
     ``replaced`` only when the stored bar is unsound, equals the submitted
     evidence in all six values, and the replacement is sound. A stored bar that
-    is already sound is ``unchanged``; the rest names the refusal.
+    is already sound is ``unchanged``; the rest names the refusal. Evidence or a
+    replacement given twice counts once; where the repeats differ, the bar is
+    refused (``conflicting_evidence``, ``conflicting_replacement``).
     """
-    old = evidence.select(*BAR_KEY, *[F.col(c).alias(f"ev_{c}") for c in BAR_VALUES])
-    new = replacements.select(*BAR_KEY, *[F.col(c).alias(f"new_{c}") for c in BAR_VALUES])
+    old, new = _one_per_key(evidence, "ev"), _one_per_key(replacements, "new")
     stored = bars.join(old.select(*BAR_KEY), BAR_KEY, "left_semi")
     counts = stored.groupBy(*BAR_KEY).agg(
         F.count("*").alias("stored_rows"), F.min_by(F.struct(*BAR_VALUES), "ticker").alias("s")
@@ -133,6 +134,8 @@ def merge_replace_bad_plan(bars: DataFrame, evidence: DataFrame, replacements: D
     action = (
         F.when(~F.col("stored_rows").eqNullSafe(F.lit(1)), "not_exactly_one_row")
         .when(F.col("stored_ok"), "unchanged")
+        .when(F.col("ev_differ"), "conflicting_evidence")
+        .when(F.coalesce("new_differ", F.lit(False)), "conflicting_replacement")
         .when(~F.col("same"), "differs_from_evidence")
         .when(~new_ok, "invalid_replacement")
         .otherwise("replaced")
@@ -140,6 +143,14 @@ def merge_replace_bad_plan(bars: DataFrame, evidence: DataFrame, replacements: D
     return checked.select(*BAR_KEY, action.alias("action"), *[F.col(c) for c in BAR_VALUES])
 
 
+def _one_per_key(rows: DataFrame, side: str) -> DataFrame:
+    """One row per key with its prefixed values, and whether the rows of the key differ."""
+    values = F.struct(*BAR_VALUES)
+    held = rows.groupBy(*BAR_KEY).agg(F.min(values).alias("lo"), F.max(values).alias("hi"))
+    flat = [F.col(f"lo.{c}").alias(f"{side}_{c}") for c in BAR_VALUES]
+    return held.select(*BAR_KEY, *flat, (~F.col("lo").eqNullSafe(F.col("hi"))).alias(f"{side}_differ"))
+
+
 def merge_replace_bad(bars: DataFrame, evidence: DataFrame, replacements: DataFrame) -> DataFrame:
     """Bars with proven-bad values replaced; never adds, deletes or moves a row."""
     plan = merge_replace_bad_plan(bars, evidence, replacements).filter(F.col("action") == "replaced")
@@ -152,32 +163,45 @@ def merge_replace_bad(bars: DataFrame, evidence: DataFrame, replacements: DataFr
     return merged.select("date", "security_id", "ticker", *values)
 
 
+def _fresh_of(fresh: DataFrame, session: date) -> DataFrame:
+    """One row per security of the session's fresh bars: how many there are, and the bar where it is one."""
+    rest = [c for c in BAR_COLUMNS if c != "security_id"]
+    held = fresh.filter(F.col("date") == F.lit(session)).groupBy("security_id")
+    one = held.agg(F.count("*").alias("fresh_rows"), F.min(F.struct(*rest)).alias("f"))
+    bar = F.when(F.col("fresh_rows") == 1, F.col("f"))
+    return one.select("security_id", "fresh_rows", *[bar.getField(c).alias(c) for c in rest])
+
+
 def merge_upsert_date_report(bars: DataFrame, fresh: DataFrame, session: date) -> DataFrame:
     """Per security on ``session``: before, after and what the upsert does.
 
-    ``changed`` rows differ in at least one value, ``added`` ones were absent.
+    ``changed`` rows differ in at least one value, ``added`` ones were absent. A
+    security with several fresh rows is left alone (``not_exactly_one_row``).
     """
-    day = F.col("date") == F.lit(session)
-    new = fresh.filter(day).select("security_id", *[F.col(c).alias(f"after_{c}") for c in BAR_VALUES])
-    old = bars.filter(day).select("security_id", *[F.col(c).alias(f"before_{c}") for c in BAR_VALUES], F.lit(True).alias("had"))
+    new = _fresh_of(fresh, session).select("security_id", "fresh_rows", *[F.col(c).alias(f"after_{c}") for c in BAR_VALUES])
+    stored = bars.filter(F.col("date") == F.lit(session))
+    old = stored.select("security_id", *[F.col(c).alias(f"before_{c}") for c in BAR_VALUES], F.lit(True).alias("had"))
     differs = F.lit(False)
     for c in BAR_VALUES:
         differs = differs | ~F.col(f"before_{c}").eqNullSafe(F.col(f"after_{c}"))
-    return (
-        new.join(old, "security_id", "left")
-        .withColumn(
-            "change", F.when(F.col("had").isNull(), "added").when(differs, "changed").otherwise("same")
-        )
-        .drop("had")
+    change = (
+        F.when(F.col("fresh_rows") > 1, "not_exactly_one_row")
+        .when(F.col("had").isNull(), "added")
+        .when(differs, "changed")
+        .otherwise("same")
     )
+    return new.join(old, "security_id", "left").withColumn("change", change).drop("had", "fresh_rows")
 
 
 def merge_upsert_date(
     bars: DataFrame, fresh: DataFrame, session: date, only_if_absent: bool = False
 ) -> DataFrame:
-    """Replace (or, with ``only_if_absent``, only add) the bar of one session."""
+    """Replace (or, with ``only_if_absent``, only add) the bar of one session.
+
+    A security takes part only with exactly one fresh row, so keys stay unique.
+    """
     day = F.col("date") == F.lit(session)
-    new = fresh.filter(day).select(*BAR_COLUMNS)
+    new = _fresh_of(fresh, session).filter("fresh_rows = 1").select(*BAR_COLUMNS)
     stored = bars.select(*BAR_COLUMNS)
     if only_if_absent:
         present = stored.filter(day).select("security_id")

@@ -56,6 +56,11 @@ def readiness(
         F.try_element_at("__dates", rolling.cast("int")).alias("first_rolling_date"),
         "last_date",
     )
+    return readiness_of(members, facts, reviewed, minimum)
+
+
+def readiness_of(members: DataFrame, facts: DataFrame, reviewed: DataFrame | None, minimum: int) -> DataFrame:
+    """Members with their facts (counts and dates of the window) and status."""
     rows = members.select("security_id", "ticker").join(facts, "security_id", "left")
     if reviewed is not None:
         rows = rows.join(

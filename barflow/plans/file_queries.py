@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators import ema as E
 from barflow.operators import normalize as N
+from barflow.operators import tails as TL
 from barflow.operators import windows as W
 from barflow.plans import bar_queries as B
 from barflow.plans import ema_queries as Q
@@ -16,7 +17,7 @@ from barflow.plans import jobs
 from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
 from barflow.schemas import BAR_COLUMNS, BARS, EMA_STATE_COLUMNS, PRICES, ContractError
-from barflow.session import new_folder
+from barflow.session import materialize, new_folder
 from barflow.sinks import publish as P
 from barflow.sinks import writers as S
 from barflow.sources import readers as R
@@ -123,13 +124,12 @@ def read_symbol_directory(spark, folder):
     with_ctes(
         "dirty_bars",
         f"""SELECT security_id, CASE WHEN bool_or(close IS NULL) THEN 'null_or_non_numeric' WHEN bool_or({B.qc_sql(B.SHORT)} <> '') THEN 'qc_rejected' ELSE 'staged' END AS verdict,
- count(*) AS bars, max(date) AS last_date FROM recent GROUP BY 1""",
-        recent="SELECT * FROM dirty_bars WHERE date >= DATE '2001-09-15'",
+ count(*) AS bars, max(date) AS last_date FROM dirty_bars GROUP BY 1""",
     ),
 )
 def read_bulk_archive(spark, folder):
     path = new_folder(spark, "archive")
-    rows = fx.dirty_bars(spark, folder).filter(F.col("date") >= date(2001, 9, 15))
+    rows = fx.dirty_bars(spark, folder)
     number = lambda c: F.col(c).cast("string")
     landed = rows.select(
         F.col("ticker").alias("dir"),
@@ -320,14 +320,20 @@ def _provider_rows(spark, folder):
     return batch, single
 
 
-def _update(spark, folder):
+def _update(spark, folder, stored=None):
     batch, single = _provider_rows(spark, folder)
     return jobs.daily_update(
         fx.eligible_members(spark, folder), B._history(spark, folder), batch, single,
-        fx.lifecycle(spark, folder), date(2001, 10, 31), 540, 500,
+        fx.lifecycle(spark, folder), date(2001, 10, 31), 540, 500, stored,
     )
 
 
+def _stored_window(spark, folder):
+    """The window and counts that an earlier update left."""
+    history = B._history(spark, folder)
+    return materialize(W.rolling_tail(history, 540), "tail"), materialize(TL.bar_counts(history), "counts")
+
+
 _RAW_NEW = B._RAW_COMPLETE.replace("FROM raw_rows", f"FROM (SELECT * FROM raw_rows WHERE date >= DATE '{B.OVERLAP_DAY}')")
 _UPDATE_CTES = dict(
     hist=B._HIST,
@@ -346,39 +352,53 @@ _UPDATE_CTES = dict(
 )
 
 
-@query(
-    "daily_update",
-    with_ctes(
-        "bars raw_rows dirty_bars eligible_members lifecycle",
-        """SELECT m.security_id, m.ticker, coalesce(b.n, 0) AS available_bars, CASE WHEN b.n IS NULL THEN 0 ELSE least(b.n, 540) END AS rolling_bars, b.d AS last_date,
+_UPDATE_SQL = with_ctes(
+    "bars raw_rows dirty_bars eligible_members lifecycle",
+    """SELECT m.security_id, m.ticker, coalesce(b.n, 0) AS available_bars, CASE WHEN b.n IS NULL THEN 0 ELSE least(b.n, 540) END AS rolling_bars, b.d AS last_date,
  CASE WHEN b.n >= 500 THEN 'ready' ELSE 'insufficient' END AS status,
  CASE WHEN m.security_id NOT IN (SELECT security_id FROM allowed) THEN 'lifecycle_excluded'
   WHEN m.security_id NOT IN (SELECT security_id FROM batch WHERE ok = 1) AND m.security_id NOT IN (SELECT security_id FROM single_ok) THEN 'stale_after_failure' ELSE 'updated' END AS update_status
  FROM eligible_members m LEFT JOIN (SELECT security_id, count(*) AS n, max(date) AS d FROM merged GROUP BY 1) b USING (security_id)""",
-        **_UPDATE_CTES,
-    ),
+    **_UPDATE_CTES,
 )
+
+
+@query("daily_update", _UPDATE_SQL)
 def daily_update(spark, folder):
-    u = _update(spark, folder)
+    return _update_facts(_update(spark, folder))
+
+
+@query("daily_update_incremental", _UPDATE_SQL)
+def daily_update_incremental(spark, folder):
+    """The same facts from the stored window and counts."""
+    return _update_facts(_update(spark, folder, _stored_window(spark, folder)))
+
+
+def _update_facts(u):
     return u.readiness.join(u.update_status, "security_id", "left").drop("first_rolling_date")
 
 
-@query(
-    "daily_update_rolling",
-    with_ctes(
-        "bars raw_rows dirty_bars eligible_members lifecycle",
-        f"""SELECT r.security_id, r.date, coalesce(l.successor_ticker, m.ticker) AS ticker, r.open, r.high, r.low, r.close, r.adj_close, r.volume
+_ROLLING_SQL = with_ctes(
+    "bars raw_rows dirty_bars eligible_members lifecycle",
+    f"""SELECT r.security_id, r.date, coalesce(l.successor_ticker, m.ticker) AS ticker, r.open, r.high, r.low, r.close, r.adj_close, r.volume
  FROM (SELECT * FROM merged QUALIFY row_number() OVER (PARTITION BY security_id ORDER BY date DESC) <= 540) r
  JOIN eligible_members m ON m.security_id = r.security_id
  LEFT JOIN (SELECT * FROM lifecycle WHERE lifecycle_status = 'VERIFIED_TICKER_CHANGE_SAME_SECURITY' AND effective_date <= DATE '2001-10-31' AND trim(successor_ticker) <> '') l
  ON l.security_id = r.security_id WHERE r.security_id IN (SELECT security_id FROM hist)""",
-        **_UPDATE_CTES,
-    ),
+    **_UPDATE_CTES,
 )
+
+
+@query("daily_update_rolling", _ROLLING_SQL)
 def daily_update_rolling(spark, folder):
     return _update(spark, folder).rolling
 
 
+@query("daily_update_rolling_incremental", _ROLLING_SQL)
+def daily_update_rolling_incremental(spark, folder):
+    return _update(spark, folder, _stored_window(spark, folder)).rolling
+
+
 @query(
     "ready_publication",
     with_ctes(

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.operators import continuity, corporate, ema, merge, normalize, windows
+from barflow.operators import continuity, corporate, ema, merge, normalize, tails, windows
 from barflow.operators.universe import data_unavailable, operational
 from barflow.schemas import BAR_COLUMNS, ContractError
 from barflow.session import materialize
@@ -46,8 +46,13 @@ def daily_update(
     cutoff: date,
     n: int = 300,
     minimum: int = 250,
+    stored: tuple[DataFrame, DataFrame] | None = None,
 ) -> DailyUpdate:
-    """Fold provider rows into history and rebuild the rolling window and readiness.
+    """Fold provider rows into history and bring the rolling window and readiness up to date.
+
+    With ``stored``, the window of ``history`` for the same ``n`` and its
+    ``bar_counts``, only these and the new rows are read for both; without it
+    they are rebuilt from history.
 
     The accepted provider rows and the new rows are written to the shared folder;
     the frames returned read them from there. ``members`` are eligible. A security whose rows are unusable keeps its stored
@@ -67,8 +72,15 @@ def daily_update(
     merged = history.select(*BAR_COLUMNS).unionByName(new_rows.select(*BAR_COLUMNS))
     # stored bars carry the ticker under which the security is acquired today
     names = gated.select("security_id", "acquisition_ticker")
-    held = merged.join(names, "security_id").withColumn("ticker", F.col("acquisition_ticker")).select(*BAR_COLUMNS)
+    named = lambda df: df.join(names, "security_id").withColumn("ticker", F.col("acquisition_ticker")).select(*BAR_COLUMNS)
     reviewed = lifecycle.select("security_id")
+    if stored is None:
+        held = named(merged)
+        rolling, ready = windows.rolling_tail(held, n), windows.readiness(members, held, reviewed, n, minimum)
+    else:
+        rolling = tails.advance_tail(named(stored[0]), named(new_rows), n)
+        counts = tails.advance_counts(stored[1].join(names.select("security_id"), "security_id", "left_semi"), new_rows)
+        ready = tails.readiness_from_tail(members, rolling, counts, reviewed, n, minimum)
     status = (
         gated.select("security_id", "allowed")
         .join(failed.withColumn("failed", F.lit(True)), "security_id", "left")
@@ -84,8 +96,8 @@ def daily_update(
     return DailyUpdate(
         new_rows=new_rows,
         history=merged,
-        rolling=windows.rolling_tail(held, n),
-        readiness=windows.readiness(members, held, reviewed, n, minimum),
+        rolling=rolling,
+        readiness=ready,
         update_status=status,
         gate=normalize.failure_rate_gate(status.select(outcome.alias("status"))),
     )

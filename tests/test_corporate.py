@@ -159,3 +159,22 @@ def test_splits_from_an_adjustment_column(spark):
     out = K.split_extract(rows, "splits", adjustments=True)
     assert [r[0] for r in out.orderBy("date").select("event_class").collect()] == ["none", "event", "none", "invalid_split_factor", "non_numeric_split_factor"]
     assert {r[0] for r in K.split_extract(rows, "absent", adjustments=True).select("event_class").collect()} == {"missing_split_column"}
+
+
+def test_repeated_registry_rows_give_one_row_a_member(spark):
+    members = spark.createDataFrame([("A", "TA"), ("B", "TB"), ("C", "x.y")], "security_id string, ticker string")
+    kind = "security_id string, lifecycle_status string, effective_date date, successor_ticker string"
+    block, change = K.BLOCKING_STATUSES[0], K.TICKER_CHANGE_STATUS
+    registry = spark.createDataFrame(
+        [("A", block, day("2024-01-02"), None), ("A", block, day("2024-01-02"), None), ("A", change, day("2024-01-03"), "NEW"),
+         ("B", change, day("2024-01-01"), "OLD"), ("B", change, day("2024-01-03"), "NEW"), ("B", change, day("2025-01-01"), "LATER")],
+        kind,
+    )
+    gate = K.lifecycle_gate(members, registry, day("2024-06-01"))
+    assert rows_of(gate, "security_id", "allowed", "acquisition_ticker") == [("A", False, "NEW"), ("B", True, "NEW"), ("C", True, "x.y")]
+    assert rows_of(K.repeated_keys(registry, ["security_id"])) == [("A", 3), ("B", 3)]
+    symbols = spark.createDataFrame(
+        [("A", "ta", "SA"), ("A", " TA ", "SA"), ("B", "TB", "S1"), ("B", "tb", "S2")], "security_id string, ticker string, symbol string"
+    )
+    assert rows_of(K.provider_symbol(members, symbols), "security_id", "symbol") == [("A", "SA"), ("B", None), ("C", "X-Y")]
+    assert rows_of(K.provider_symbol_conflicts(symbols), "security_id", "ticker") == [("A", "TA"), ("B", "TB")]

@@ -140,3 +140,27 @@ def test_benchmark_merge_refuses_an_unsound_result(bars):
     tiny = bars([bar("O", d, 100.0, adj_close=1e-30) for d in days("2024-01-02", 3)])
     with pytest.raises(ContractError, match="unsound after the merge"):
         M.benchmark_merge(far, tiny)
+
+
+def test_repeated_evidence_and_replacements_add_no_row(bars):
+    stored = bars([bar("A", "2024-01-02", high=1.0), bar("B", "2024-01-02", high=1.0), bar("C", "2024-01-02", high=1.0)])
+    new = bars([bar(s, "2024-01-02") for s in "ABC"])
+    evidence = stored.unionByName(stored.filter("security_id = 'A'")).unionByName(bars([bar("C", "2024-01-02", high=2.0)]))
+    replacements = new.unionByName(new).unionByName(bars([bar("B", "2024-01-02", 12.0)]))
+    plan = dict(rows_of(M.merge_replace_bad_plan(stored, evidence, replacements), "security_id", "action"))
+    assert plan == {"A": "replaced", "B": "conflicting_replacement", "C": "conflicting_evidence"}
+    merged = M.merge_replace_bad(stored, evidence, replacements)
+    assert rows_of(merged, "security_id", "high") == [("A", 11.0), ("B", 1.0), ("C", 1.0)]
+
+
+def test_upsert_date_takes_exactly_one_fresh_row(bars):
+    stored = bars([bar("A", "2024-01-02"), bar("B", "2024-01-02"), bar("B", "2024-01-03")])
+    fresh = bars([bar("A", "2024-01-02", 12.0), bar("A", "2024-01-02", 12.0), bar("B", "2024-01-02", 12.0), bar("N", "2024-01-02"), bar("N", "2024-01-02")])
+    when = day("2024-01-02")
+    assert dict(rows_of(M.merge_upsert_date_report(stored, fresh, when), "security_id", "change")) == {
+        "A": "not_exactly_one_row", "B": "changed", "N": "not_exactly_one_row",
+    }
+    assert rows_of(M.merge_upsert_date(stored, fresh, when), "security_id", "date", "close") == [
+        ("A", when, 10.0), ("B", when, 12.0), ("B", day("2024-01-03"), 10.0),
+    ]
+    assert rows_of(M.merge_upsert_date(stored, fresh, when, only_if_absent=True)) == rows_of(stored)
