@@ -23,6 +23,20 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def shuffled_scans(plan):
+    """Scans of stores that stand below a shuffle."""
+    found, above = [], []
+    for line in plan.splitlines():
+        node = line.lstrip(" :+-*()0123456789")
+        depth = len(line) - len(node)
+        above = [d for d in above if d < depth]
+        if node.startswith("Exchange"):
+            above.append(depth)
+        if node.startswith("FileScan parquet spark_catalog") and above:
+            found.append(node)
+    return found
+
+
 @pytest.fixture
 def stored(bars, spark, tmp_path):
     rows = [bar(s, d, 10.0 + i % 7) for s in "ABCDEF" for i, d in enumerate(days("2023-01-01", 260))]
@@ -45,14 +59,19 @@ def test_stored_bars_meet_without_a_shuffle(stored, spark):
     assert "Exchange" in plan_of(W.rolling_tail(plain, 20))
 
 
-def test_history_gate_and_merge_of_tables_keep_the_buckets(stored, spark, bars):
+def test_history_gate_leaves_the_bars_in_their_buckets(stored, spark, bars, tmp_path):
     held, _, plain = stored
-    benchmark = bars([bar("X", d) for d in days("2023-01-01", 260)])
-    expected = spark.createDataFrame([(s, f"T{s}") for s in "ABCDEF"], "security_id string, ticker string")
+    # read from files, so that their size is known when the join is planned
+    bars([bar("X", d) for d in days("2023-01-01", 260)]).write.parquet(str(tmp_path / "benchmark"))
+    benchmark = spark.read.parquet(str(tmp_path / "benchmark"))
+    names = spark.createDataFrame([(s, f"T{s}") for s in "ABCDEF"], "security_id string, ticker string")
+    names.write.parquet(str(tmp_path / "expected"))
+    expected = spark.read.parquet(str(tmp_path / "expected"))
     gate = W.history_gate(held, benchmark, expected)
     assert rows_of(gate) == rows_of(W.history_gate(plain, benchmark, expected))
-    moved = [line for line in plan_of(gate).splitlines() if "Exchange hashpartitioning(security_id" in line]
-    assert moved == []
+    # the expected list is moved to the buckets, never the bars
+    assert shuffled_scans(plan_of(gate)) == []
+    assert shuffled_scans(plan_of(W.rolling_tail(held.repartition(3, "date"), 5))) != []
 
 
 def test_store_keeps_one_bar_a_date_and_grows(bars, spark, tmp_path):
