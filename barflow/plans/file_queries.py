@@ -18,6 +18,7 @@ from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
 from barflow.schemas import BAR_COLUMNS, BARS, EMA_STATE_COLUMNS, PRICES, ContractError
 from barflow.session import materialize, new_folder
+from barflow.sinks import digests as D
 from barflow.sinks import publish as P
 from barflow.sinks import writers as S
 from barflow.sources import readers as R
@@ -313,6 +314,50 @@ def fingerprint(spark, folder):
     return B._union(frames).select("variant", "rows", (F.col("fingerprint") == plain).alias("same_as_plain"))
 
 
+# --- snapshots with a tree of digests
+_SNAPSHOT_LAST = "security_id = (SELECT max(security_id) FROM bars)"
+
+
+def _digested(spark, folder):
+    """Two stored snapshots: the candidate lacks a day, has a new security and one changed volume and close."""
+    bars = materialize(fx.bars(spark, folder), "bars")
+    last = bars.agg(F.max("security_id").alias("s")).first().s
+    day = F.col("date")
+    candidate = bars.filter(day != F.lit(date(1999, 3, 3))).withColumns(
+        {
+            "volume": F.when((F.col("security_id") == last) & (F.dayofyear(day) == 200), F.col("volume") + 1).otherwise(F.col("volume")),
+            "close": F.when((F.col("security_id") == last) & (F.dayofyear(day) == 200), F.col("close") + 1).otherwise(F.col("close")),
+        }
+    )
+    new = bars.filter((F.col("security_id") == last) & (F.year(day) == 2000)).withColumn("security_id", F.lit("new"))
+    one, other = new_folder(spark, "canonical"), new_folder(spark, "candidate")
+    D.write_digested(bars, one, 16)
+    D.write_digested(candidate.unionByName(new), other, 16)
+    return one, other
+
+
+@query(
+    "snapshot_changed_bars",
+    with_ctes(
+        "bars",
+        f"""SELECT security_id, date, 'removed' AS change, CAST(NULL AS VARCHAR) AS fields FROM bars WHERE date = DATE '1999-03-03'
+ UNION ALL SELECT security_id, date, 'changed', 'close|volume' FROM bars WHERE {_SNAPSHOT_LAST} AND dayofyear(date) = 200 AND date <> DATE '1999-03-03'
+ UNION ALL SELECT 'new', date, 'added', NULL FROM bars WHERE {_SNAPSHOT_LAST} AND year(date) = 2000""",
+    ),
+)
+def snapshot_changed_bars(spark, folder):
+    """What differs between two snapshots, read from unequal leaves only."""
+    return D.changed_bars(spark, *_digested(spark, folder))
+
+
+@query("snapshot_load_years", with_ctes("bars", f"SELECT {NAMES} FROM bars WHERE year(date) IN (1997, 1999)"))
+def snapshot_load_years(spark, folder):
+    """Two years of a snapshot, after a check of their leaves alone."""
+    path = new_folder(spark, "digested")
+    D.write_digested(fx.bars(spark, folder), path, 16)
+    return D.load_digested(spark, path, [1997, 1999], parts=16)
+
+
 # --- jobs
 def _provider_rows(spark, folder):
     batch = fx.raw_rows(spark, folder).filter(F.col("date") >= B.OVERLAP_DAY)
