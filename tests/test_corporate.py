@@ -88,6 +88,31 @@ def test_resolution_is_date_bounded_and_fails_closed(spark):
     assert all((out[i]["resolution"] == "RESOLVED") == (e[3] is not None) for i, e in enumerate(events))
 
 
+def test_resolution_equals_all_pairs(spark):
+    """Random spans, open and reversed ones among them, and one ticker with thousands of spans and most events."""
+    rng = random.Random(12)
+    first = date(1999, 12, 1)
+    rows, events = [], []
+    for i in range(3000):
+        a = first + timedelta(days=rng.randrange(900))
+        b = a + timedelta(days=rng.choice([-2, 0, 1, 2, 5, 63, 64, 400]))
+        ticker = "HOT" if i < 2600 else f"T{rng.randrange(25)}"
+        rows.append((f"S{rng.randrange(3) if ticker == 'HOT' else rng.randrange(9)}", "eod", ticker, None if i % 97 == 96 and ticker != "HOT" else a, None if i % 89 == 88 and ticker != "HOT" else b, "e"))
+    # days on which HOT is one security's alone
+    rows = [r for r in rows if r[2] != "HOT" or r[0] == "S0" or r[3].year > 2000]
+    for i in range(1500):
+        events.append((i, "eod", "HOT" if i % 3 else f"T{rng.randrange(27)}", first + timedelta(days=rng.randrange(-30, 1300))))
+    events += [(9000, "eod", "T1", None), (9001, None, "T1", first), (9002, "eod", "T1", date(1, 1, 1)), (9003, "eod", "T2", date(9999, 12, 31))]
+    want = {}
+    for i, p, t, d in events:
+        ids = {r[0] for r in rows if d and p and r[2] == t and (r[3] or date.min) <= d <= (r[4] or date.max)}
+        want[i] = ids.pop() if len(ids) == 1 else None
+    df = spark.createDataFrame(events, "i int, provider string, provider_ticker string, event_date date")
+    got = {r["i"]: r["security_id"] for r in K.resolve_alias(df, spark.createDataFrame(rows, ALIASES)).collect()}
+    assert got == want
+    assert 100 < sum(v is not None for v in want.values()) < len(want) - 100
+
+
 def test_alias_overlaps_against_all_pairs(spark):
     rng = random.Random(11)
     rows = []
