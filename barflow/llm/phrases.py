@@ -331,17 +331,17 @@ def counted_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
     if longest < 2 or least < 1:
         raise ValueError("phrases have two words or more and occur at least once")
     rows = _rows(docs)
-    counts = staged(_word_counts(rows), "words")
+    counts = staged(_word_counts(rows), "words", "zstd")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     table = staged(_word_keyed(counts.filter(F.col("n") >= least)), "frequent")
     ranks = ranked(table, head, bits)
-    places = staged(_word_places(rows, ranks), "places-1")
+    places = staged(_word_places(rows, ranks), "places-1", "zstd")
     single = staged(_with_ids(table, ranks).select("id", "lang", F.col("word").cast("string").alias("word"), "n"), "named")
     of_word = single.select(F.col("id").alias("right"), "word")
     known = single.select("id", "lang", F.array("word").alias("phrase"), "n")
     found = [known]
     for k in range(2, longest + 1):
-        table = staged(_keyed(_pair_counts(places).filter(F.col("n") >= least)), f"pairs-{k}")
+        table = staged(_keyed(_pair_counts(places).filter(F.col("n") >= least)), f"pairs-{k}", "zstd")
         ranks = ranked(table, head, bits)
         longer = _with_ids(table, ranks).select("id", "left", "right", "n")
         begun = known.select(F.col("id").alias("left"), "lang", "phrase")
@@ -349,7 +349,7 @@ def counted_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
         known = staged(longer.select("id", "lang", F.concat("phrase", F.array("word")).alias("phrase"), "n"), f"known-{k}")
         found.append(known)
         if k < longest:
-            places = staged(_longer_places(places, ranks), f"places-{k}")
+            places = staged(_longer_places(places, ranks), f"places-{k}", "zstd")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

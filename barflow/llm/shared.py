@@ -29,11 +29,11 @@ _OPEN: dict[str, list[str]] = {}
 _DONE: dict[str, list[str]] = {}
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write below the shared folder and read back; survives a lost executor."""
     spark = df.sparkSession
     path = new_folder(spark, f"llm-{label}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     app = spark.sparkContext.applicationId
     if app in _OPEN:
         _OPEN[app].append(path)
