@@ -1,24 +1,22 @@
 """Stupid-backoff scores of documents, from n-gram counts over the whole corpus.
 
-The vocabulary are the words that make up more than one in 2**20 of all words;
-there are fewer than 2**20 of them whatever the corpus, so their counts can be
-sent to all tasks. Rarer words share one entry. A bigram is then an exact
-40-bit number.
-
-Bigrams are counted with partial sums in each task and summed by key. Those
-that are more than one in 2**20 of all (again fewer than 2**20, and the only
-ones that could make a partition hot) are sent to all tasks and scored where the
-document is. The count table of the others is partitioned by hash; documents
-are exploded into their bigrams, packed per partition and slice of documents as
-byte strings of five bytes a bigram, and joined with the counts of the
-partition; the answers of all partitions meet in their slice and are summed per
-document.
-
-A bigram's count leaves out the document's own, or nothing would ever back off:
-``c(ab) - own`` over ``c(a)`` where that is positive, else ``0.4 * c(b)`` over
-all words; a first word has no context and counts as ``c(b)`` over all words.
-Logarithms are summed in whole millionths, so the sum does not depend on its
-order.
+Every word and every n-gram up to the order has a 64-bit key (two of them share
+one with a chance of one in 2**64) and an exact count: there is no vocabulary
+and nothing is cut or broadcast, so what is gathered grows with the corpus.
+
+n-grams are counted with partial sums in each task and summed by key; those
+that occur once are left out, as a missing one is known to occur once. The table
+is partitioned by hash. Documents are taken in slices of some megabytes: a slice
+asks each partition once for its different n-grams, so a word of every second
+text is one number per slice and no partition is hot. Answers return in the
+order of the questions, a byte each where they are small, and meet in their
+slice, where the logarithms are summed per document.
+
+A count of an n-gram leaves out the document's own, or nothing would ever back
+off: ``S(c|ab) = (c(abc) - own) / c(ab)`` where that is positive, else ``0.4 *
+S(c|b)``; a word alone is ``c(c)`` over all words. Words at the start of a
+document have the shorter context that is there. Logarithms are summed in whole
+millionths, so the sum does not depend on its order.
 
 Defined results: null or empty text has no words and a null score; repeated
 rows get the same score (each is another document to the other); null doc_ids
@@ -29,6 +27,7 @@ travel in ``row``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,105 +36,67 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.hashing import WordHashes, slices
+from barflow.llm.hashing import WordHashes, gram_hashes, slices
 from barflow.llm.shared import packed, require, staged, utf8
 
-SHARE_BITS = 20
+ORDER = 3
 ALPHA = 0.4
 MICRO = 1e6
-# Bytes of packed bigrams in a partition of the join, on average.
+# Bytes of keys that a partition of the join is asked for, on average.
 PART_BYTES = 12 << 20
-# Keys that a task gathers before it sums them.
+# Words that a task gathers before it sums their n-grams.
 GATHER = 2_000_000
-KEY_BYTES = 5
+# The key of the empty n-gram, which stands at every word: its count is the number of all words.
+EMPTY = 0
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): hash and number of each word, in all documents."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = WordHashes(), []
-        for batch in slices(batches, 0):
-            for text in batch.column(0).to_pylist():
-                held.append(hashes.of(text.lower().split()))
-            if sum(map(len, held)) > GATHER:
-                yield _summed(held, "word")
-                held = []
-        yield _summed(held, "word")
-
-    rows = docs.select("text").mapInArrow(count, "word bigint, n bigint")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _summed(parts: list[np.ndarray], name: str) -> pa.RecordBatch:
-    keys = np.concatenate(parts) if parts else np.empty(0, np.int64)
-    keys, counts = np.unique(keys.view(np.int64), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], [name, "n"])
-
-
-class Vocabulary:
-    """Ids 1.. of the frequent words in order of their hashes; 0 is every other word."""
-
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int) -> None:
-        order = np.argsort(hashes)
-        self.hashes, self.total = hashes[order], total
-        self.counts = np.append(max(total - int(counts.sum()), 1), counts[order])
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.searchsorted(self.hashes, hashes)
-        at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == hashes, at + 1, 0)
-
-    def first(self, word: np.ndarray) -> np.ndarray:
-        return _micro(self.counts[word] / self.total)
-
-    def score(self, keys: np.ndarray, own: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Millionths of the logarithm of each bigram, given its counts in all documents and the own."""
-        a, b = keys >> SHARE_BITS, keys & ((1 << SHARE_BITS) - 1)
-        rest = np.maximum(counts - own, 0)
-        found = np.where(rest > 0, rest, 1) / self.counts[a]
-        return np.where(rest > 0, _micro(found), _micro(ALPHA * self.counts[b] / self.total))
+def _tokens(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and how many each text has."""
+    words = [text.lower().split() for text in texts]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    return np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum())), sizes
 
 
-def _micro(ratio: np.ndarray) -> np.ndarray:
-    return np.floor(np.log(ratio) * MICRO + 0.5).astype(np.int64)
-
+def _places(sizes: np.ndarray) -> np.ndarray:
+    """Place of each word in its text."""
+    starts = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) - np.repeat(starts, sizes)
 
-def vocabulary(counts: DataFrame) -> Vocabulary | None:
-    """The frequent words of a written count table; fewer than 2**SHARE_BITS rows come here. None without words."""
-    total = counts.agg(F.sum("n")).first()[0]
-    if not total:
-        return None
-    frequent = counts.filter(F.col("n") > total / (1 << SHARE_BITS)).toArrow()
-    return Vocabulary(frequent.column("word").to_numpy(), frequent.column("n").to_numpy(), total)
 
+def _keys(words: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """Key of the n-gram that ends at each word, EMPTY where the text begins too late for one."""
+    out = np.zeros(len(words), np.int64)
+    if len(words) >= n:
+        out[n - 1 :] = gram_hashes(words, n).view(np.int64)
+    out[place < n - 1] = EMPTY
+    return out
 
-def _doc_ids(text: bytes, hashes: WordHashes, words: Vocabulary) -> np.ndarray:
-    return words.ids(hashes.of(text.lower().split()).view(np.int64))
 
+def _gram_counts(docs: DataFrame, order: int) -> DataFrame:
+    """(key, n) of the n-grams that occur more than once, and of the empty one."""
 
-def _bigrams(ids: np.ndarray) -> np.ndarray:
-    return ids[:-1] << SHARE_BITS | ids[1:]
-
-
-def _bigram_counts(docs: DataFrame, words) -> DataFrame:
-    """(key, n) of the bigrams that occur more than once; a missing one cannot help another document."""
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        words, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+        place = _places(sizes)
+        yield pa.RecordBatch.from_pydict({"key": pa.array([EMPTY], pa.int64()), "n": pa.array([len(words)], pa.int64())})
+        for n in range(1, order + 1):
+            keys = _keys(words, place, n)
+            keys, counts = np.unique(keys[keys != EMPTY], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size = WordHashes(), [], 0
         for batch in slices(batches, 0):
-            for text in batch.column(0).to_pylist():
-                held.append(_bigrams(_doc_ids(text, hashes, words.value)))
-                size += len(held[-1])
+            held.append(_tokens(batch.column(0).to_pylist(), hashes))
+            size += len(held[-1][0])
             if size > GATHER:
-                yield _summed(held, "key")
+                yield from summed(held)
                 held, size = [], 0
-        yield _summed(held, "key")
+        if held:
+            yield from summed(held)
 
     rows = docs.select("text").mapInArrow(count, "key bigint, n bigint")
-    return rows.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    return rows.groupBy("key").agg(F.sum("n").alias("n")).filter((F.col("n") > 1) | (F.col("key") == EMPTY))
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -143,72 +104,81 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return (mixed % np.uint64(parts)).astype(np.int64)
 
 
-PACK = "part int, slice bigint, held binary, sizes binary, keys binary, own binary, head binary"
-FOUND = "slice bigint, held binary, micro binary, head binary"
+def _questions(words: np.ndarray, place: np.ndarray, order: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different n-grams of a slice by partition and key, and where each partition's begin."""
+    keys = np.unique(np.concatenate([_keys(words, place, n) for n in range(1, order + 1)]))
+    keys = keys[keys != EMPTY]
+    part = _part(keys, parts)
+    by_part = np.argsort(part, kind="stable")
+    return keys[by_part], np.searchsorted(part[by_part], np.arange(parts + 1))
+
 
+PACK = "part int, slice bigint, keys binary, head binary, vocabulary binary, words binary"
+FOUND = "part int, slice bigint, small binary, big binary, head binary, vocabulary binary, words binary"
+SCORED = "ord bigint, mark bigint, micro bigint, n_words bigint, copies bigint"
 
-def _packs(docs: DataFrame, words, hot, parts: int) -> DataFrame:
-    """The bigrams of each slice of documents that a partition of the counts is asked for.
 
-    ``held`` are places in the slice and ``sizes`` their numbers of bigrams. One
-    row of a slice has its ``head``: ids, marks, what is known already, words.
+def _packs(docs: DataFrame, order: int, parts: int) -> DataFrame:
+    """What each slice of documents asks the partitions of the counts.
+
+    One row of a slice also carries it: (ord, mark, words) of its documents, its
+    different words and the numbers of its words among them.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        hot_keys, hot_counts = hot.value
         for batch in slices(batches, 2):
-            docs_n = batch.num_rows
-            keys, own, doc, micro, n_words = [], [], [], np.zeros(docs_n, np.int64), np.zeros(docs_n, np.int64)
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                ids = _doc_ids(text, hashes, words.value)
-                n_words[i] = len(ids)
-                if not len(ids):
-                    continue
-                key, tf = np.unique(_bigrams(ids), return_counts=True)
-                micro[i] = words.value.first(ids[:1])[0]
-                at = np.searchsorted(hot_keys, key)
-                at[at == len(hot_keys)] = 0
-                known = hot_keys[at] == key if len(hot_keys) else np.zeros(len(key), bool)
-                micro[i] += (words.value.score(key[known], tf[known], hot_counts[at[known]]) * tf[known]).sum()
-                keys.append(key[~known])
-                own.append(tf[~known])
-                doc.append(np.full((~known).sum(), i))
-            key, tf, of = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (keys, own, doc))
-            part = _part(key, parts)
-            order = np.argsort(part, kind="stable")
-            key, tf, of, part = key[order], tf[order], of[order], part[order]
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            ids = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]).astype("<i8").tobytes()
-            number = xxhash.xxh64_intdigest(ids) >> 1
-            head = ids + np.stack([micro, n_words]).astype("<i8").tobytes()
-            out: list[list] = [[] for _ in range(7)]
-            for p in range(parts):
-                here = slice(edges[p], edges[p + 1])
-                home = p == number % parts
-                if edges[p] == edges[p + 1] and not home:
-                    continue
-                sizes = np.bincount(of[here], minlength=docs_n)
-                held = np.flatnonzero(sizes)
-                columns = (
-                    p,
-                    number,
-                    held.astype("<u4").tobytes(),
-                    sizes[held].astype("<u4").tobytes(),
-                    key[here].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes(),
-                    np.minimum(tf[here], 0xFFFFFFFF).astype("<u4").tobytes(),
-                    head if home else None,
-                )
-                for column, value in zip(out, columns, strict=True):
-                    column.append(value)
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
-            names = [c.split()[0] for c in PACK.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+            words, sizes = _tokens(batch.column(2).to_pylist(), hashes)
+            keys, edges = _questions(words, _places(sizes), order, parts)
+            head = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy(), sizes]).astype("<i8").tobytes()
+            number = xxhash.xxh64_intdigest(head) >> 1
+            home = number % parts
+            vocabulary, word = np.unique(words, return_inverse=True)
+            word = word.astype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
+            out = []
+            for p in sorted({home, *np.flatnonzero(np.diff(edges)).tolist()}):
+                asked = keys[edges[p] : edges[p + 1]].astype("<i8").tobytes()
+                carried = (head, vocabulary.astype("<u8").tobytes(), word.tobytes()) if p == home else (None,) * 3
+                out.append((p, number, asked, *carried))
+            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in PACK.split(", ")])
 
     return docs.select("ord", "mark", "text").mapInArrow(pack, PACK)
 
 
-def _joined(packs: DataFrame, counts: DataFrame, words, parts: int) -> DataFrame:
+def _micro(ratio: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(ratio) * MICRO + 0.5).astype(np.int64)
+
+
+def _log_scores(words: np.ndarray, sizes: np.ndarray, order: int, total: int, count_of) -> np.ndarray:
+    """Summed millionths of each document; ``count_of`` gives the corpus counts of keys."""
+    if not len(words):
+        return np.zeros(len(sizes), np.int64)
+    place, doc = _places(sizes), np.repeat(np.arange(len(sizes)), sizes)
+    context = count_of(_keys(words, place, 1))
+    score = context / total
+    for n in range(2, order + 1):
+        keys = _keys(words, place, n)
+        there = keys != EMPTY
+        counts = np.ones(len(keys), np.int64)
+        counts[there] = count_of(keys[there])
+        rest = np.zeros(len(keys), np.int64)
+        # one that occurs once is the document's own
+        often = np.flatnonzero(there & (counts > 1))
+        _, number = np.unique(keys[often], return_inverse=True)
+        pair = doc[often] * (len(often) + 1) + number
+        _, at, own = np.unique(pair, return_inverse=True, return_counts=True)
+        rest[often] = counts[often] - own[at]
+        before = np.append(1, context[:-1])
+        score = np.where(rest > 0, rest / before, np.where(there, ALPHA * score, score))
+        context = counts
+    summed = np.append(0, np.cumsum(_micro(score)))
+    ends = np.cumsum(sizes)
+    return summed[ends] - summed[ends - sizes]
+
+
+def _joined(packs: DataFrame, counts: DataFrame, order: int, total: int, parts: int) -> DataFrame:
     """(ord, mark, micro, n_words, copies) of each document."""
 
     def look_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -216,34 +186,38 @@ def _joined(packs: DataFrame, counts: DataFrame, words, parts: int) -> DataFrame
         known, n = right["key"].to_numpy(), right["n"].to_numpy()
         out = []
         for row in left.itertuples():
-            sizes = np.frombuffer(row.sizes, "<u4").astype(np.int64)
-            raw = np.zeros((int(sizes.sum()), 8), np.uint8)
-            raw[:, :KEY_BYTES] = np.frombuffer(row.keys, np.uint8).reshape(-1, KEY_BYTES)
-            keys, own = raw.reshape(-1).view("<i8"), np.frombuffer(row.own, "<u4").astype(np.int64)
-            at = np.searchsorted(known, keys)
-            at[at == len(known)] = 0
-            count = np.where(known[at] == keys, n[at], 0) if len(known) else np.zeros(len(keys), np.int64)
-            total = np.append(0, np.cumsum(words.value.score(keys, own, count) * own))
-            ends = np.cumsum(sizes)
-            out.append((row.slice, row.held, (total[ends] - total[ends - sizes]).astype("<i8").tobytes(), row.head))
+            keys = np.frombuffer(row.keys, "<i8")
+            count = np.ones(len(keys), np.int64)
+            if len(known):
+                at = np.searchsorted(known, keys)
+                at[at == len(known)] = 0
+                count = np.where(known[at] == keys, n[at], 1)
+            big = count[count >= 255].astype("<i8").tobytes()
+            small = np.minimum(count, 255).astype(np.uint8).tobytes()
+            out.append((row.part, row.slice, small, big, row.head, row.vocabulary, row.words))
         return pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
 
     def summed(rows: pd.DataFrame) -> pd.DataFrame:
-        heads = [np.frombuffer(h, "<i8").reshape(4, -1) for h in rows["head"] if h is not None]
-        ords, marks, micro, n_words = heads[0]
-        # equal slices have one number; each has its head
-        micro = micro * len(heads)
-        for held, part in zip(rows["held"], rows["micro"], strict=True):
-            np.add.at(micro, np.frombuffer(held, "<u4").astype(np.int64), np.frombuffer(part, "<i8"))
-        return pd.DataFrame(
-            {"ord": ords, "mark": marks, "micro": micro, "n_words": n_words * len(heads), "copies": len(heads)}
-        )
-
-    keyed = counts.mapInArrow(_parted(parts), "part int, key bigint, n bigint")
+        # equal slices have one number; each has its head, and asked the same
+        carriers = rows[rows["head"].notna()]
+        first = carriers.iloc[0]
+        ords, marks, sizes = np.frombuffer(first["head"], "<i8").reshape(3, -1)
+        vocabulary = np.frombuffer(first["vocabulary"], "<u8").astype(np.uint64)
+        words = vocabulary[np.frombuffer(first["words"], "<u2" if len(vocabulary) <= 1 << 16 else "<u4")]
+        keys, _ = _questions(words, _places(sizes), order, parts)
+        answers = rows.drop_duplicates("part").sort_values("part")
+        counts = np.frombuffer(b"".join(answers["small"]), np.uint8).astype(np.int64)
+        counts[counts == 255] = np.frombuffer(b"".join(answers["big"]), "<i8")
+        by_key = np.argsort(keys)
+        keys, counts = keys[by_key], counts[by_key]
+        micro = _log_scores(words, sizes, order, total, lambda asked: counts[np.searchsorted(keys, asked)])
+        one = pd.DataFrame({"ord": ords, "mark": marks, "micro": micro, "n_words": sizes, "copies": 1})
+        one[["micro", "n_words", "copies"]] *= len(carriers)
+        return one
+
+    keyed = counts.filter(F.col("key") != EMPTY).mapInArrow(_parted(parts), "part int, key bigint, n bigint")
     found = packs.groupBy("part").cogroup(keyed.groupBy("part")).applyInPandas(look_up, FOUND)
-    return found.groupBy("slice").applyInPandas(
-        summed, "ord bigint, mark bigint, micro bigint, n_words bigint, copies bigint"
-    )
+    return found.groupBy("slice").applyInPandas(summed, SCORED)
 
 
 def _parted(parts: int):
@@ -255,26 +229,21 @@ def _parted(parts: int):
     return run
 
 
-def backoff_scores(docs: DataFrame) -> DataFrame:
+def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """``row`` (the other columns), n_words, log_score (millionths, summed) and score (mean logarithm per word)."""
     require(docs, "doc_id", "text")
-    spark = docs.sparkSession
     rows = docs.select(
         packed(docs.drop("text")).alias("row"),
         F.coalesce(docs["doc_id"].cast("bigint"), F.lit(-(1 << 63))).alias("ord"),
         utf8("text").alias("text"),
     ).withColumn("mark", F.xxhash64("text"))
-    words = vocabulary(staged(_word_counts(rows), "words"))
-    if words is None:
+    counts = staged(_gram_counts(rows, order), "grams")
+    empty = counts.filter(F.col("key") == EMPTY).first()
+    if empty is None or not empty["n"]:
         zero, none = F.lit(0).cast("long"), F.lit(None).cast("double")
         return rows.select("row", zero.alias("n_words"), zero.alias("log_score"), none.alias("score"))
-    sent = spark.sparkContext.broadcast(words)
-    counts = staged(_bigram_counts(rows, sent), "bigrams")
-    limit = words.total / (1 << SHARE_BITS)
-    frequent = counts.filter(F.col("n") > limit).orderBy("key").toArrow()
-    hot = spark.sparkContext.broadcast((frequent.column("key").to_numpy(), frequent.column("n").to_numpy()))
-    parts = max(1, -(-words.total * (KEY_BYTES + 4) // PART_BYTES))
-    found = _joined(_packs(rows, sent, hot, parts), counts.filter(F.col("n") <= limit), sent, parts)
+    parts = max(1, -(-empty["n"] * order * 8 // PART_BYTES))
+    found = _joined(_packs(rows, order, parts), counts, order, empty["n"], parts)
     total = found.groupBy("ord", "mark").agg(*[F.sum(c).alias(c) for c in ("micro", "n_words", "copies")])
     joined = rows.select("row", "ord", "mark").join(staged(total, "scores"), ["ord", "mark"])
     return joined.select(

@@ -83,22 +83,28 @@ WITH toks AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
-words AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM toks),
+words AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS c FROM toks),
 total AS (SELECT count(*) AS t FROM words),
-known AS (SELECT word, count(*) AS n FROM words, total GROUP BY word, t HAVING count(*) > t / 1048576),
-mapped AS (
-  SELECT doc_id, p, coalesce(k.word, '') AS word FROM words LEFT JOIN known k ON k.word = words.word),
-c1 AS (SELECT word, count(*) AS n FROM mapped GROUP BY word),
-pairs AS (
-  SELECT doc_id, p, lag(word) OVER (PARTITION BY doc_id ORDER BY p) AS a, word AS b FROM mapped),
-c2 AS (SELECT a, b, count(*) AS n FROM pairs WHERE a IS NOT NULL GROUP BY a, b),
-own AS (SELECT doc_id, a, b, count(*) AS k FROM pairs WHERE a IS NOT NULL GROUP BY doc_id, a, b),
+grams AS (
+  SELECT doc_id, lag(c, 2) OVER d AS a, lag(c) OVER d AS b, c FROM words
+  WINDOW d AS (PARTITION BY doc_id ORDER BY p)),
+c1 AS (SELECT c, count(*) AS n FROM grams GROUP BY c),
+c2 AS (SELECT b, c, count(*) AS n FROM grams WHERE b IS NOT NULL GROUP BY b, c),
+c3 AS (SELECT a, b, c, count(*) AS n FROM grams WHERE a IS NOT NULL GROUP BY a, b, c),
+own AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS k3, count(*) OVER (PARTITION BY doc_id, b, c) AS k2
+  FROM grams),
+one AS (
+  SELECT own.*, c1.n / t AS s1, cb.n AS nb, c2.n AS n2, cab.n AS nab, c3.n AS n3
+  FROM own JOIN c1 ON c1.c = own.c LEFT JOIN c1 cb ON cb.c = own.b
+    LEFT JOIN c2 ON c2.b = own.b AND c2.c = own.c LEFT JOIN c2 cab ON cab.b = own.a AND cab.c = own.b
+    LEFT JOIN c3 ON c3.a = own.a AND c3.b = own.b AND c3.c = own.c, total),
+two AS (
+  SELECT *, CASE WHEN b IS NULL THEN s1 WHEN n2 > k2 THEN (n2 - k2) / nb ELSE 0.4::DOUBLE * s1 END AS s2 FROM one),
 terms AS (
-  SELECT doc_id, k * CASE WHEN c2.n > k THEN floor(ln((c2.n - k) / ca.n) * 1e6 + 0.5)
-    ELSE floor(ln(0.4::DOUBLE * cb.n / t) * 1e6 + 0.5) END AS m
-  FROM own JOIN c2 USING (a, b) JOIN c1 ca ON ca.word = a JOIN c1 cb ON cb.word = b, total
-  UNION ALL
-  SELECT doc_id, floor(ln(c1.n / t) * 1e6 + 0.5) FROM pairs JOIN c1 ON c1.word = b, total WHERE a IS NULL),
+  SELECT doc_id, floor(ln(
+    CASE WHEN a IS NULL THEN s2 WHEN n3 > k3 THEN (n3 - k3) / nab ELSE 0.4::DOUBLE * s2 END) * 1e6 + 0.5) AS m
+  FROM two),
 sums AS (SELECT doc_id, sum(m)::BIGINT AS m FROM terms GROUP BY doc_id)
 SELECT toks.doc_id, len(w)::BIGINT AS n_words, coalesce(m, 0)::BIGINT AS log_score,
   CASE WHEN len(w) > 0 THEN m / 1e6::DOUBLE / len(w) END AS score

@@ -56,22 +56,27 @@ def quality(text):
     return (n, sum(map(len, own)), len(re.findall(r"[#*$%&|<>]", body)), len(lines) - len(set(lines)), len(covered), failed)
 
 
-def scores(docs):
-    """[(n_words, log_score)] where all words are in the vocabulary."""
+def scores(docs, order):
+    """[(n_words, log_score)] of stupid backoff over all words, own occurrences left out."""
     own = [words((t or "").translate(LOWER)) for _, t in docs]
     total = sum(map(len, own))
-    one = Counter(w for ws in own for w in ws)
-    two = Counter(p for ws in own for p in zip(ws, ws[1:], strict=False))
+
+    def grams(ws):
+        return Counter(tuple(ws[i : i + n]) for n in range(1, order + 1) for i in range(len(ws) - n + 1))
+
+    every = sum(map(grams, own), Counter())
+
+    def ratio(gram, mine):
+        if len(gram) == 1:
+            return every[gram] / total
+        rest = every[gram] - mine[gram]
+        return rest / every[gram[:-1]] if rest > 0 else 0.4 * ratio(gram[1:], mine)
+
     out = []
     for ws in own:
-        mine, score = Counter(zip(ws, ws[1:], strict=False)), 0
-        if ws:
-            score += math.floor(math.log(one[ws[0]] / total) * 1e6 + 0.5)
-        for (a, b), k in mine.items():
-            rest = two[a, b] - k
-            ratio = rest / one[a] if rest > 0 else 0.4 * one[b] / total
-            score += k * math.floor(math.log(ratio) * 1e6 + 0.5)
-        out.append((len(ws), score))
+        mine = grams(ws)
+        at = [tuple(ws[max(0, i - order + 1) : i + 1]) for i in range(len(ws))]
+        out.append((len(ws), sum(math.floor(math.log(ratio(g, mine)) * 1e6 + 0.5) for g in at)))
     return out
 
 

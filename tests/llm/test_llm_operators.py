@@ -127,21 +127,34 @@ def test_bad_host_takes_its_documents_along(spark):
 # -- scores ------------------------------------------------------------------
 
 
-def test_backoff_scores(docs, nothing):
-    out = lm_score.backoff_scores(docs)
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_scores(docs, nothing, order):
+    out = lm_score.backoff_scores(docs, order)
     clash_kept(out)
     got = out.select("row.doc_id", "n_words", "log_score").collect()
-    exp = [(d, *s) for (d, _), s in zip(pairs(ROWS), brute.scores(pairs(ROWS)), strict=True)]
+    exp = [(d, *s) for (d, _), s in zip(pairs(ROWS), brute.scores(pairs(ROWS), order), strict=True)]
     assert by_repr(got) == by_repr(exp)
-    assert lm_score.backoff_scores(nothing).collect() == []
+    assert lm_score.backoff_scores(nothing, order).collect() == []
 
 
-def test_scores_with_a_bounded_vocabulary_and_hot_bigrams(docs, monkeypatch):
-    monkeypatch.setattr(lm_score, "SHARE_BITS", 9)
+def test_scores_from_many_partitions_and_slices(spark, monkeypatch):
+    """Counts beyond a byte, words of every document and words of one, in equal and unequal slices."""
+    rows = [(i, " ".join(["the"] * (i % 5) + prose(i % 90, 30) + [f"own{i}"]), "a") for i in range(400)]
+    rows += [(1000 + i, t, s) for i, t, s in rows[:50]]
     monkeypatch.setattr(lm_score, "PART_BYTES", 9000)
-    out = lm_score.backoff_scores(docs).select("n_words", "log_score", "score").collect()
-    assert all((r.score is None) == (r.n_words == 0) for r in out)
-    assert all(r.score is None or abs(r.score - r.log_score / 1e6 / r.n_words) < 1e-12 for r in out)
+    docs = docs_of(spark, rows).repartition(3)
+    out = lm_score.backoff_scores(docs).select("row.doc_id", "n_words", "log_score", "score").collect()
+    exp = [(d, *s) for (d, _), s in zip(pairs(rows), brute.scores(pairs(rows), lm_score.ORDER), strict=True)]
+    assert by_repr([r[:3] for r in out]) == by_repr(exp)
+    assert all(abs(r.score - r.log_score / 1e6 / r.n_words) < 1e-12 for r in out)
+
+
+def test_a_word_seen_once_is_told_from_a_frequent_one(spark):
+    """No word is mapped to a common entry: fresh words score below known ones."""
+    rows = [(i, " ".join(prose(i % 7, 200)), "a") for i in range(60)]
+    rows += [(100, " ".join(f"fresh{i}" for i in range(200)), "a"), (101, " ".join(prose(3, 200)), "a")]
+    got = {r[0]: r[1] for r in lm_score.backoff_scores(docs_of(spark, rows)).select("row.doc_id", "score").collect()}
+    assert min(got, key=got.get) == 100 and got[101] > got[100] + 5
 
 
 # -- substrings --------------------------------------------------------------
