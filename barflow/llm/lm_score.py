@@ -4,13 +4,15 @@ Every word and every n-gram up to the order has a 64-bit key (two of them share
 one with a chance of one in 2**64) and an exact count: there is no vocabulary
 and nothing is cut or broadcast, so what is gathered grows with the corpus.
 
-n-grams are counted with partial sums in each task and summed by key; those
-that occur once are left out, as a missing one is known to occur once. The table
-is partitioned by hash. Documents are taken in slices of some megabytes: a slice
-asks each partition once for its different n-grams, so a word of every second
-text is one number per slice and no partition is hot. Answers return in the
-order of the questions, a byte each where they are small, and meet in their
-slice, where the logarithms are summed per document.
+Documents are taken in slices of some megabytes, written as numbers of words. A
+slice sends each partition of the keys its different n-grams there, once, with
+how often it has them; so a word of every second text is one number per slice,
+and no partition is hot. A partition sums them to its count table, joins the
+table to the n-grams of each slice and answers in their order, a byte each where
+counts are small. The answers meet in their slice, where the logarithms are
+summed per document. The n-grams of all documents are several times the input,
+so the keys are worked on in ROUNDS ranges, one after the other, and the answers
+of each are written, after which its shuffle files go.
 
 A count of an n-gram leaves out the document's own, or nothing would ever back
 off: ``S(c|ab) = (c(abc) - own) / c(ab)`` where that is positive, else ``0.4 *
@@ -27,27 +29,27 @@ travel in ``row``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.hashing import WordHashes, gram_hashes, slices
-from barflow.llm.shared import packed, require, staged, utf8
+from barflow.llm.shared import discard, packed, require, shuffles_deleted, staged, utf8
 
 ORDER = 3
 ALPHA = 0.4
 MICRO = 1e6
-# Bytes of keys that a partition of the join is asked for, on average.
+# Bytes of keys that a partition gets, at most on average.
 PART_BYTES = 12 << 20
-# Words that a task gathers before it sums their n-grams.
-GATHER = 2_000_000
-# The key of the empty n-gram, which stands at every word: its count is the number of all words.
-EMPTY = 0
+# Ranges of keys that are counted one after the other; more need less disk at a time.
+ROUNDS = 3
+# The key of no n-gram.
+NONE = np.uint64(0)
 
 
 def _tokens(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -64,169 +66,160 @@ def _places(sizes: np.ndarray) -> np.ndarray:
 
 
 def _keys(words: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
-    """Key of the n-gram that ends at each word, EMPTY where the text begins too late for one."""
-    out = np.zeros(len(words), np.int64)
+    """Key of the n-gram that ends at each word, NONE where the text begins too late for one."""
+    out = np.zeros(len(words), np.uint64)
     if len(words) >= n:
-        out[n - 1 :] = gram_hashes(words, n).view(np.int64)
-    out[place < n - 1] = EMPTY
+        out[n - 1 :] = gram_hashes(words, n)
+    out[place < n - 1] = NONE
     return out
 
 
-def _gram_counts(docs: DataFrame, order: int) -> DataFrame:
-    """(key, n) of the n-grams that occur more than once, and of the empty one."""
+def _grams(words: np.ndarray, sizes: np.ndarray, order: int, low: int = 1, high: int = 1 << 64):
+    """The different n-grams of a slice with keys from low to below high, sorted, and how often it has each."""
+    place = _places(sizes)
+    keys = np.concatenate([_keys(words, place, n) for n in range(1, order + 1)])
+    return np.unique(keys[(keys >= np.uint64(low)) & (keys <= np.uint64(high - 1))], return_counts=True)
 
-    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        words, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
-        place = _places(sizes)
-        yield pa.RecordBatch.from_pydict({"key": pa.array([EMPTY], pa.int64()), "n": pa.array([len(words)], pa.int64())})
-        for n in range(1, order + 1):
-            keys = _keys(words, place, n)
-            keys, counts = np.unique(keys[keys != EMPTY], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = WordHashes(), [], 0
-        for batch in slices(batches, 0):
-            held.append(_tokens(batch.column(0).to_pylist(), hashes))
-            size += len(held[-1][0])
-            if size > GATHER:
-                yield from summed(held)
-                held, size = [], 0
-        if held:
-            yield from summed(held)
+def _bounds(parts: int) -> list[int]:
+    """Lowest key of each partition, and the end; a partition is a range of keys, which are hashes."""
+    return [1, *[(p << 64) // parts for p in range(1, parts)], 1 << 64]
 
-    rows = docs.select("text").mapInArrow(count, "key bigint, n bigint")
-    return rows.groupBy("key").agg(F.sum("n").alias("n")).filter((F.col("n") > 1) | (F.col("key") == EMPTY))
 
+def _gaps(keys: np.ndarray) -> bytes:
+    """Sorted keys as gaps, byte by byte, so that the upper bytes are zeros and compress away."""
+    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return gaps.view(np.uint8).reshape(-1, 8).T.tobytes()
 
-def _part(keys: np.ndarray, parts: int) -> np.ndarray:
-    mixed = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-    return (mixed % np.uint64(parts)).astype(np.int64)
 
+def _from_gaps(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view("<u8"), dtype=np.uint64)
 
-def _questions(words: np.ndarray, place: np.ndarray, order: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different n-grams of a slice by partition and key, and where each partition's begin."""
-    keys = np.unique(np.concatenate([_keys(words, place, n) for n in range(1, order + 1)]))
-    keys = keys[keys != EMPTY]
-    part = _part(keys, parts)
-    by_part = np.argsort(part, kind="stable")
-    return keys[by_part], np.searchsorted(part[by_part], np.arange(parts + 1))
 
+def _small(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts as a byte each; those of 255 and more apart."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype("<i8").tobytes()
 
-PACK = "part int, slice bigint, keys binary, head binary, vocabulary binary, words binary"
-FOUND = "part int, slice bigint, small binary, big binary, head binary, vocabulary binary, words binary"
-SCORED = "ord bigint, mark bigint, micro bigint, n_words bigint, copies bigint"
 
+def _from_small(small: bytes, big: bytes) -> np.ndarray:
+    counts = np.frombuffer(small, np.uint8).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(big, "<i8")
+    return counts
 
-def _packs(docs: DataFrame, order: int, parts: int) -> DataFrame:
-    """What each slice of documents asks the partitions of the counts.
 
-    One row of a slice also carries it: (ord, mark, words) of its documents, its
-    different words and the numbers of its words among them.
-    """
+SLICE = "head binary, vocabulary binary, words binary, n bigint"
+PACK = "part int, slice bigint, keys binary, small binary, big binary"
+FOUND = "part int, slice bigint, small binary, big binary"
+SCORED = "ord bigint, mark bigint, micro bigint, n_words bigint"
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    kinds = [{"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}[t] for t in types]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], list(names))
+
+
+def _slices(docs: DataFrame) -> DataFrame:
+    """Slices of documents: (ord, mark, words) of each, the different words, the numbers of the words among them."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, 2):
             words, sizes = _tokens(batch.column(2).to_pylist(), hashes)
-            keys, edges = _questions(words, _places(sizes), order, parts)
             head = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy(), sizes]).astype("<i8").tobytes()
-            number = xxhash.xxh64_intdigest(head) >> 1
-            home = number % parts
             vocabulary, word = np.unique(words, return_inverse=True)
             word = word.astype("<u2" if len(vocabulary) <= 1 << 16 else "<u4")
-            out = []
-            for p in sorted({home, *np.flatnonzero(np.diff(edges)).tolist()}):
-                asked = keys[edges[p] : edges[p + 1]].astype("<i8").tobytes()
-                carried = (head, vocabulary.astype("<u8").tobytes(), word.tobytes()) if p == home else (None,) * 3
-                out.append((p, number, asked, *carried))
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-            arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in PACK.split(", ")])
+            yield _rows([(head, vocabulary.astype("<u8").tobytes(), word.tobytes(), len(words))], SLICE)
 
-    return docs.select("ord", "mark", "text").mapInArrow(pack, PACK)
+    return docs.select("ord", "mark", "text").mapInArrow(cut, SLICE).withColumn("slice", F.monotonically_increasing_id())
+
+
+def _words_of(head: bytes, vocabulary: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ord, mark, words) of the documents of a slice, and the hashes of its words."""
+    known = np.frombuffer(vocabulary, "<u8").astype(np.uint64)
+    return np.frombuffer(head, "<i8").reshape(3, -1), known[np.frombuffer(words, "<u2" if len(known) <= 1 << 16 else "<u4")]
+
+
+def _packs(slices_: DataFrame, order: int, bounds: list[int], first: int) -> DataFrame:
+    """The n-grams that each slice has in the partitions from ``first`` on, whose bounds are given."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                facts, words = _words_of(row["head"], row["vocabulary"], row["words"])
+                keys, counts = _grams(words, facts[2], order, bounds[0], bounds[-1])
+                inner = np.array([b - 1 for b in bounds[1:]], np.uint64)
+                edges = np.append(0, np.searchsorted(keys, inner, "right"))
+                out = []
+                for p in np.flatnonzero(np.diff(edges)).tolist():
+                    here = slice(edges[p], edges[p + 1])
+                    out.append((first + p, row["slice"], _gaps(keys[here]), *_small(counts[here])))
+                yield _rows(out, PACK)
+
+    return slices_.select("slice", "head", "vocabulary", "words").mapInArrow(pack, PACK)
 
 
 def _micro(ratio: np.ndarray) -> np.ndarray:
     return np.floor(np.log(ratio) * MICRO + 0.5).astype(np.int64)
 
 
-def _log_scores(words: np.ndarray, sizes: np.ndarray, order: int, total: int, count_of) -> np.ndarray:
-    """Summed millionths of each document; ``count_of`` gives the corpus counts of keys."""
-    if not len(words):
-        return np.zeros(len(sizes), np.int64)
+def _log_scores(
+    words: np.ndarray, sizes: np.ndarray, order: int, total: int, keys: np.ndarray, counts: np.ndarray
+) -> np.ndarray:
+    """Summed millionths of each document of a slice, given the corpus counts of its n-grams."""
     place, doc = _places(sizes), np.repeat(np.arange(len(sizes)), sizes)
-    context = count_of(_keys(words, place, 1))
+    context = counts[np.searchsorted(keys, _keys(words, place, 1))]
     score = context / total
     for n in range(2, order + 1):
-        keys = _keys(words, place, n)
-        there = keys != EMPTY
-        counts = np.ones(len(keys), np.int64)
-        counts[there] = count_of(keys[there])
-        rest = np.zeros(len(keys), np.int64)
+        asked = _keys(words, place, n)
+        there = np.flatnonzero(asked != NONE)
+        number = np.searchsorted(keys, asked[there])
+        known = np.ones(len(words), np.int64)
+        known[there] = counts[number]
         # one that occurs once is the document's own
-        often = np.flatnonzero(there & (counts > 1))
-        _, number = np.unique(keys[often], return_inverse=True)
-        pair = doc[often] * (len(often) + 1) + number
-        _, at, own = np.unique(pair, return_inverse=True, return_counts=True)
-        rest[often] = counts[often] - own[at]
-        before = np.append(1, context[:-1])
-        score = np.where(rest > 0, rest / before, np.where(there, ALPHA * score, score))
-        context = counts
+        often = known[there] > 1
+        at, number = there[often], number[often]
+        _, which, own = np.unique(doc[at] * len(keys) + number, return_inverse=True, return_counts=True)
+        rest = known[at] - own[which]
+        score[there] *= ALPHA
+        at, rest = at[rest > 0], rest[rest > 0]
+        score[at] = rest / context[at - 1]
+        context = known
     summed = np.append(0, np.cumsum(_micro(score)))
     ends = np.cumsum(sizes)
     return summed[ends] - summed[ends - sizes]
 
 
-def _joined(packs: DataFrame, counts: DataFrame, order: int, total: int, parts: int) -> DataFrame:
-    """(ord, mark, micro, n_words, copies) of each document."""
-
-    def look_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("key")
-        known, n = right["key"].to_numpy(), right["n"].to_numpy()
-        out = []
-        for row in left.itertuples():
-            keys = np.frombuffer(row.keys, "<i8")
-            count = np.ones(len(keys), np.int64)
-            if len(known):
-                at = np.searchsorted(known, keys)
-                at[at == len(known)] = 0
-                count = np.where(known[at] == keys, n[at], 1)
-            big = count[count >= 255].astype("<i8").tobytes()
-            small = np.minimum(count, 255).astype(np.uint8).tobytes()
-            out.append((row.part, row.slice, small, big, row.head, row.vocabulary, row.words))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
-
-    def summed(rows: pd.DataFrame) -> pd.DataFrame:
-        # equal slices have one number; each has its head, and asked the same
-        carriers = rows[rows["head"].notna()]
-        first = carriers.iloc[0]
-        ords, marks, sizes = np.frombuffer(first["head"], "<i8").reshape(3, -1)
-        vocabulary = np.frombuffer(first["vocabulary"], "<u8").astype(np.uint64)
-        words = vocabulary[np.frombuffer(first["words"], "<u2" if len(vocabulary) <= 1 << 16 else "<u4")]
-        keys, _ = _questions(words, _places(sizes), order, parts)
-        answers = rows.drop_duplicates("part").sort_values("part")
-        counts = np.frombuffer(b"".join(answers["small"]), np.uint8).astype(np.int64)
-        counts[counts == 255] = np.frombuffer(b"".join(answers["big"]), "<i8")
-        by_key = np.argsort(keys)
-        keys, counts = keys[by_key], counts[by_key]
-        micro = _log_scores(words, sizes, order, total, lambda asked: counts[np.searchsorted(keys, asked)])
-        one = pd.DataFrame({"ord": ords, "mark": marks, "micro": micro, "n_words": sizes, "copies": 1})
-        one[["micro", "n_words", "copies"]] *= len(carriers)
-        return one
-
-    keyed = counts.filter(F.col("key") != EMPTY).mapInArrow(_parted(parts), "part int, key bigint, n bigint")
-    found = packs.groupBy("part").cogroup(keyed.groupBy("part")).applyInPandas(look_up, FOUND)
-    return found.groupBy("slice").applyInPandas(summed, SCORED)
-
-
-def _parted(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = _part(batch.column(0).to_numpy(), parts).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], ["part", "key", "n"])
+def _counted(packs: DataFrame) -> DataFrame:
+    """Corpus counts of the n-grams that were asked for, in their order."""
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        own = [_from_small(*x) for x in zip(rows["small"], rows["big"], strict=True)]
+        keys = np.concatenate([_from_gaps(raw) for raw in rows["keys"]])
+        _, which = np.unique(keys, return_inverse=True)
+        table = np.zeros(int(which.max()) + 1, np.int64)
+        np.add.at(table, which, np.concatenate(own))
+        answers = np.split(table[which], np.cumsum([len(x) for x in own])[:-1])
+        rows = rows.drop(columns="keys")
+        rows["small"], rows["big"] = zip(*map(_small, answers), strict=True)
+        return rows
+
+    return packs.groupBy("part").applyInPandas(count, FOUND)
+
+
+def _scored(slices_: DataFrame, answers: DataFrame, order: int, total: int) -> DataFrame:
+    """(ord, mark, micro, n_words) of each document."""
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        (ords, marks, sizes), words = _words_of(*left.iloc[0][["head", "vocabulary", "words"]])
+        right = right.sort_values("part")
+        counts = [_from_small(*x) for x in zip(right["small"], right["big"], strict=True)]
+        keys, _ = _grams(words, sizes, order)
+        micro = _log_scores(words, sizes, order, total, keys, np.concatenate([np.empty(0, np.int64), *counts]))
+        return pd.DataFrame({"ord": ords, "mark": marks, "micro": micro, "n_words": sizes})
 
-    return run
+    return slices_.groupBy("slice").cogroup(answers.groupBy("slice")).applyInPandas(score, SCORED)
 
 
 def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -237,15 +230,23 @@ def backoff_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
         F.coalesce(docs["doc_id"].cast("bigint"), F.lit(-(1 << 63))).alias("ord"),
         utf8("text").alias("text"),
     ).withColumn("mark", F.xxhash64("text"))
-    counts = staged(_gram_counts(rows, order), "grams")
-    empty = counts.filter(F.col("key") == EMPTY).first()
-    if empty is None or not empty["n"]:
+    cut = staged(_slices(rows), "slices", "zstd")
+    n = cut.agg(F.sum("n")).first()[0]
+    if not n:
         zero, none = F.lit(0).cast("long"), F.lit(None).cast("double")
         return rows.select("row", zero.alias("n_words"), zero.alias("log_score"), none.alias("score"))
-    parts = max(1, -(-empty["n"] * order * 8 // PART_BYTES))
-    found = _joined(_packs(rows, order, parts), counts, order, empty["n"], parts)
-    total = found.groupBy("ord", "mark").agg(*[F.sum(c).alias(c) for c in ("micro", "n_words", "copies")])
-    joined = rows.select("row", "ord", "mark").join(staged(total, "scores"), ["ord", "mark"])
+    parts = -(-n * order * 8 // PART_BYTES)
+    bounds, per_round = _bounds(parts), -(-parts // ROUNDS)
+    answers = []
+    with shuffles_deleted(docs.sparkSession):
+        for first in range(0, parts, per_round):
+            packs = _packs(cut, order, bounds[first : first + per_round + 1], first)
+            answers.append(staged(_counted(packs), "answers"))
+        found = _scored(cut, reduce(DataFrame.union, answers), order, n)
+        sums = [F.sum("micro").alias("micro"), F.sum("n_words").alias("n_words"), F.count("*").alias("copies")]
+        total = staged(found.groupBy("ord", "mark").agg(*sums), "scores")
+    discard(cut, *answers)
+    joined = rows.select("row", "ord", "mark").join(total, ["ord", "mark"])
     return joined.select(
         "row",
         (F.col("n_words") / F.col("copies")).cast("long").alias("n_words"),

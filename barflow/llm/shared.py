@@ -66,6 +66,18 @@ def stage_of_pipeline(spark: SparkSession) -> Iterator[None]:
         _DONE[app] = _OPEN.pop(app)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside leave no shuffle files behind; the setting is put back after."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def utf8(name: str) -> Column:
     """Text as UTF-8 bytes, null as no bytes."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
