@@ -511,15 +511,13 @@ def stream_daily_bars(spark, folder):
     return T.stream_daily_bars(ticks, f"{base}/run")
 
 
-def _land_in_order(spark, folder, path):
-    """Bars after the state day, landed as three deliveries in date order."""
-    bars = fx.bars(spark, folder).filter(F.col("date") > Q.STATE_DAY)
-    edges = [date(2001, 8, 1), date(2001, 9, 15), date(2002, 1, 1)]
-    start = Q.STATE_DAY
-    for end in edges:
-        part = bars.filter((F.col("date") > start) & (F.col("date") <= end))
+def _land_in_order(spark, bars, path):
+    """Bars landed as three deliveries in date order, from the first date to the last."""
+    edges = [None, date(2001, 8, 1), date(2001, 9, 15), None]
+    for start, end in zip(edges, edges[1:]):
+        part = bars if start is None else bars.filter(F.col("date") > start)
+        part = part if end is None else part.filter(F.col("date") <= end)
         part.repartition("security_id").write.mode("append").parquet(path)
-        start = end
     return T.read_files_as_stream(spark, path, BARS, files_per_trigger=8)
 
 
@@ -528,21 +526,33 @@ def stream_ema(spark, folder):
     base = new_folder(spark, "stream")
     before = fx.bars(spark, folder).filter(F.col("date") <= Q.STATE_DAY)
     state = E.bootstrapped(before, True)
-    return T.stream_ema(_land_in_order(spark, folder, f"{base}/landed"), state, f"{base}/run")
+    after = fx.bars(spark, folder).filter(F.col("date") > Q.STATE_DAY)
+    return T.stream_ema(_land_in_order(spark, after, f"{base}/landed"), state, f"{base}/run")
+
+
+@query("stream_ema_any_order", with_ctes("bars", "SELECT * FROM state", state=Q.bootstrap_sql("bars")))
+def stream_ema_any_order(spark, folder):
+    """Bars after the state day in four deliveries of mixed dates: late ones rebuild their securities."""
+    base = new_folder(spark, "stream")
+    before = materialize(fx.bars(spark, folder).filter(F.col("date") <= Q.STATE_DAY), "before")
+    after = fx.bars(spark, folder).filter(F.col("date") > Q.STATE_DAY)
+    after.repartition(4, F.xxhash64("date")).write.parquet(f"{base}/landed")
+    stream = T.read_files_as_stream(spark, f"{base}/landed", BARS, files_per_trigger=1)
+    return T.stream_ema(stream, E.bootstrapped(before, True), f"{base}/run", history=before, compact_every=2)
 
 
 @query(
     "stream_finalize",
     with_ctes(
         "bars",
-        f"""SELECT CASE WHEN date > DATE '2001-10-31' THEN 'not_final' WHEN date <= DATE '2001-07-31' THEN 'late' ELSE 'final' END AS stream_class,
- count(*) AS bars, count(DISTINCT security_id) AS securities FROM bars WHERE date > DATE '{Q.STATE_DAY}' GROUP BY 1""",
+        """SELECT CASE WHEN date > DATE '2001-10-31' THEN 'not_final' WHEN date <= DATE '2001-07-31' THEN 'late' ELSE 'final' END AS stream_class,
+ count(*) AS bars, count(DISTINCT security_id) AS securities FROM bars GROUP BY 1""",
     ),
 )
 def stream_finalize(spark, folder):
     base = new_folder(spark, "stream")
     out = T.stream_finalize(
-        _land_in_order(spark, folder, f"{base}/landed"), f"{base}/run", date(2001, 10, 31), date(2001, 7, 31)
+        _land_in_order(spark, fx.bars(spark, folder), f"{base}/landed"), f"{base}/run", date(2001, 10, 31), date(2001, 7, 31)
     )
     return out.groupBy("stream_class").agg(
         F.count("*").alias("bars"), F.count_distinct("security_id").alias("securities")

@@ -75,6 +75,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` in whatever store it is; none where it is missing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(where):
+        return []
+    return [child.getPath().getName() for child in store.listStatus(where) if child.isDirectory()]
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session that was built elsewhere."""
     for key, value in SETTINGS.items():

@@ -70,6 +70,77 @@ def test_ema_stream_holds_unusable_bars(bars, spark, tmp_path):
     assert rows_of(spark.read.parquet(str(tmp_path / "run" / "held")), "security_id", "reason") == [("A", "invalid_source")]
 
 
+def test_undated_ticks_are_set_aside_in_both_forms(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1, 9)
+    df = spark.createDataFrame([(1, at, 0, 5.0), (1, None, 1, 9.0), (2, None, 2, 1.0)], T.TICKS)
+    df.write.parquet(str(tmp_path / "in"))
+    out = T.stream_daily_bars(T.read_files_as_stream(spark, str(tmp_path / "in"), T.TICKS), str(tmp_path / "run"))
+    assert rows_of(out) == rows_of(T.daily_bars(df)) == [(1, at.date(), 5.0, 5.0, 5.0, 5.0, 1)]
+    assert rows_of(spark.read.parquet(str(tmp_path / "run" / "undated")), "event_id") == [(1,), (2,)]
+
+
+def test_partial_bars_are_compacted(spark, tmp_path):
+    rng = random.Random(7)
+    ticks = [(rng.randrange(3), dt.datetime(2024, 1, 1 + rng.randrange(4), rng.randrange(24)), i, rng.random()) for i in range(90)]
+    df = spark.createDataFrame(ticks, T.TICKS)
+    for part in range(5):
+        df.filter(f"event_id % 5 = {part}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = T.read_files_as_stream(spark, str(tmp_path / "in"), T.TICKS, files_per_trigger=1)
+    out = T.stream_daily_bars(stream, str(tmp_path / "run"), compact_every=2)
+    assert rows_of(out) == rows_of(T.daily_bars(df))
+    assert sorted(p.name for p in (tmp_path / "run" / "parts").iterdir()) == ["2", "3", "4"]
+
+
+def shuffled(rows, parts, seed):
+    rng = random.Random(seed)
+    dealt = [[] for _ in range(parts)]
+    for row in rows:
+        dealt[rng.randrange(parts)].append(row)
+    return [d for d in dealt if d]
+
+
+def test_ema_stream_in_any_order_equals_batch(bars, spark, tmp_path):
+    series = {s: [bar(s, d, 50.0 + (i * k) % 11) for i, d in enumerate(days("2023-01-01", 230))] for s, k in (("A", 3), ("B", 7))}
+    new = [bar("C", d, 20.0 + i % 5) for i, d in enumerate(days("2023-02-01", 210))]
+    start = [r for rows in series.values() for r in rows[:200]]
+    rest = [r for rows in series.values() for r in rows[200:]] + new
+    path, run, history = str(tmp_path / "in"), str(tmp_path / "run"), bars(start)
+    deliveries = shuffled(rest, 5, 3)
+    read = lambda: T.read_files_as_stream(spark, path, BARS, files_per_trigger=1)
+    go = lambda: T.stream_ema(read(), E.bootstrapped(history), run, history=history, compact_every=2)
+    land(bars, path, *deliveries[:3])
+    go()
+    # after a stop the rest arrives, with bars that were there before
+    land(bars, path, *deliveries[3:], [dict(r, adj_close=1.0) for r in start[:3]])
+    out = go()
+    assert rows_of(out) == rows_of(E.bootstrapped(bars(start + rest)))
+    held = rows_of(spark.read.parquet(f"{run}/held"), "security_id", "reason")
+    assert {h for h in held} == {("C", "too_few_bars")}
+
+
+def test_ema_stream_writes_what_changed(bars, spark, tmp_path):
+    ids = [f"S{i:02d}" for i in range(20)]
+    rows = [bar(s, d, 30.0 + i % 7) for s in ids for i, d in enumerate(days("2023-01-01", 200))]
+    late = [bar(s, "2023-12-01", 31.0) for s in ("S03", "S07")]
+    land(bars, str(tmp_path / "in"), late)
+    stream = T.read_files_as_stream(spark, str(tmp_path / "in"), BARS)
+    out = T.stream_ema(stream, E.bootstrapped(bars(rows)), str(tmp_path / "run"))
+    assert rows_of(out) == rows_of(E.bootstrapped(bars(rows + late)))
+    changes = spark.read.parquet(str(tmp_path / "run" / "changes" / "0"))
+    assert rows_of(changes, "security_id") == [("S03",), ("S07",)]
+
+
+def test_ema_stream_refuses_repeats_and_keeps_the_state(bars, spark, tmp_path):
+    rows = [bar("A", d) for d in days("2023-01-01", 205)]
+    state, history = E.bootstrapped(bars(rows)), bars(rows)
+    twice = [bar("A", "2024-01-02", 11.0), bar("A", "2024-01-02", 12.0), bar("A", None)]
+    land(bars, str(tmp_path / "in"), twice)
+    out = T.stream_ema(T.read_files_as_stream(spark, str(tmp_path / "in"), BARS), state, str(tmp_path / "run"), history=history)
+    assert rows_of(out) == rows_of(state)
+    assert rows_of(spark.read.parquet(str(tmp_path / "run" / "held")), "security_id", "reason") == [("A", "duplicate_dates")]
+    assert rows_of(spark.read.parquet(str(tmp_path / "run" / "side")), "side") == [("no_date",)]
+
+
 def test_finalize_stream_classes(bars, spark, tmp_path):
     land(bars, str(tmp_path / "in"), [bar("A", d) for d in days("2024-01-01", 3)], [bar("A", d) for d in days("2024-01-04", 3)])
     stream = T.read_files_as_stream(spark, str(tmp_path / "in"), BARS)
