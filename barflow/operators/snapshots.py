@@ -341,3 +341,46 @@ def membership_diff(previous: DataFrame | None, current: DataFrame) -> DataFrame
     )
 
 
+
+
+def late_arrivals(epoch: DataFrame, rows: DataFrame, as_of: date, window: int) -> DataFrame:
+    """Rows dated up to ``as_of`` against the snapshot published for that date, each with a reason.
+
+    ``rows`` are bars with ``delivery``, the number of the delivery that brought
+    them; of a key delivered more than once, or twice at once, only the first
+    single one is more than ``duplicate_keys``. The reason is what the comparison
+    of the snapshot with a candidate that takes in this row alone would say;
+    ``detail`` names the changed column, or says why nothing moves: ``equal_bar``
+    or ``before_window``. Rows without a date are no late arrivals. Only the
+    epoch's rows of the delivered securities meet the rows; the bounds of the
+    windows are one row per security.
+    """
+    late = rows.filter(F.col("date") <= F.lit(as_of))
+    per_delivery = late.groupBy(*BAR_KEY, "delivery").agg(F.count("*").alias("times"))
+    firsts = per_delivery.groupBy(*BAR_KEY).agg(
+        F.min("delivery").alias("first_delivery"), F.min_by("times", "delivery").alias("times")
+    )
+    mine = epoch.join(late.select("security_id").distinct(), "security_id", "left_semi")
+    held = mine.select(*BAR_KEY, F.lit(True).alias("stored"), *[F.col(c).alias(f"o_{c}") for c in VALUES])
+    bounds = mine.groupBy("security_id").agg(F.min("date").alias("window_start"), F.count("*").alias("window_rows"))
+    new = late.select(*BAR_KEY, "delivery", *[F.col(c).alias(f"n_{c}") for c in VALUES])
+    joined = new.join(firsts, BAR_KEY).join(held, BAR_KEY, "left").join(bounds, "security_id", "left")
+    plain = lambda c: F.when(~F.isnan(c), F.col(c)) if c[2:] in VALUES[1:6] else F.col(c)
+    changed = F.coalesce(*[F.when(~plain(f"o_{c}").eqNullSafe(plain(f"n_{c}")), F.lit(c)) for c in VALUES])
+    repeated = (F.col("delivery") > F.col("first_delivery")) | (F.col("times") > 1)
+    reason = (
+        F.when(repeated, "duplicate_keys")
+        .when(F.col("window_rows").isNull(), "security_set_changed")
+        .when(F.col("stored") & changed.isNotNull(), "overlap_values_changed")
+        .when(F.col("stored"), "not_balanced_window_shift")
+        .when(F.col("window_rows") < window, "per_security_row_counts_changed")
+        .when(F.col("date") > F.col("window_start"), "pure_late_arrival_window_advance")
+        .otherwise("not_balanced_window_shift")
+    )
+    detail = F.when(reason == "overlap_values_changed", changed).when(
+        reason == "not_balanced_window_shift", F.when(F.col("stored"), "equal_bar").otherwise("before_window")
+    )
+    return joined.select(
+        F.lit(as_of).alias("as_of_date"), *BAR_KEY, "delivery", *[F.col(f"n_{c}").alias(c) for c in VALUES],
+        reason.alias("reason"), detail.alias("detail"),
+    )

@@ -20,6 +20,7 @@ from barflow.schemas import BAR_COLUMNS, BARS, EMA_STATE_COLUMNS, PRICES, Contra
 from barflow.session import materialize, new_folder
 from barflow.sinks import digests as D
 from barflow.sinks import publish as P
+from barflow.sinks import repair as RP
 from barflow.sinks import writers as S
 from barflow.sources import readers as R
 from barflow.streaming import streams as T
@@ -557,3 +558,108 @@ def stream_finalize(spark, folder):
     return out.groupBy("stream_class").agg(
         F.count("*").alias("bars"), F.count_distinct("security_id").alias("securities")
     )
+
+
+# Two snapshots that lack every seventh bar and every tenth security; then all bars
+# arrive, some with another close, and some of them a second time.
+LATE_DAYS = (date(1999, 6, 30), date(2001, 3, 31))
+LATE_WINDOW = 300
+_late_epoch = lambda day: f"""SELECT *, DATE '{day}' AS as_of_date FROM keyed_bars
+ WHERE date <= DATE '{day}' AND n % 7 <> 3 AND suppkey % 10 <> 9
+ QUALIFY row_number() OVER (PARTITION BY security_id ORDER BY date DESC) <= {LATE_WINDOW}"""
+
+
+@query(
+    "stream_late_arrivals",
+    with_ctes(
+        "keyed_bars",
+        f"""SELECT as_of_date, reason, detail, count(*) AS bars, count(DISTINCT security_id) AS securities FROM (
+ SELECT d.as_of_date, k.security_id, CASE WHEN b.w IS NULL THEN 'security_set_changed' WHEN e.security_id IS NOT NULL AND k.suppkey % 10 = 4 AND k.close <> 0 THEN 'overlap_values_changed'
+   WHEN e.security_id IS NOT NULL THEN 'not_balanced_window_shift' WHEN b.w < {LATE_WINDOW} THEN 'per_security_row_counts_changed'
+   WHEN k.date > b.f THEN 'pure_late_arrival_window_advance' ELSE 'not_balanced_window_shift' END AS reason,
+  CASE WHEN b.w IS NULL THEN NULL WHEN e.security_id IS NOT NULL AND k.suppkey % 10 = 4 AND k.close <> 0 THEN 'close' WHEN e.security_id IS NOT NULL THEN 'equal_bar'
+   WHEN b.w < {LATE_WINDOW} OR k.date > b.f THEN NULL ELSE 'before_window' END AS detail
+ FROM keyed_bars k JOIN days d ON k.date <= d.as_of_date LEFT JOIN epochs e ON e.as_of_date = d.as_of_date AND e.security_id = k.security_id AND e.date = k.date
+ LEFT JOIN (SELECT as_of_date, security_id, count(*) AS w, min(date) AS f FROM epochs GROUP BY 1, 2) b ON b.as_of_date = d.as_of_date AND b.security_id = k.security_id
+ UNION ALL SELECT d.as_of_date, k.security_id, 'duplicate_keys', NULL FROM keyed_bars k JOIN days d ON k.date <= d.as_of_date WHERE k.n % 11 = 5) GROUP BY 1, 2, 3""",
+        days=f"SELECT unnest([{', '.join(f"DATE '{d}'" for d in LATE_DAYS)}]) AS as_of_date",
+        epochs=" UNION ALL ".join(f"({_late_epoch(d)})" for d in LATE_DAYS),
+    ),
+)
+def stream_late_arrivals(spark, folder):
+    base = new_folder(spark, "stream")
+    keyed = materialize(fx.keyed_bars(spark, folder), "keyed")
+    epochs = {}
+    for day in LATE_DAYS:
+        held = keyed.filter((F.col("date") <= day) & (F.col("n") % 7 != 3) & (F.col("suppkey") % 10 != 9))
+        epochs[day] = materialize(W.rolling_tail(held.select(*BAR_COLUMNS), LATE_WINDOW), "epoch")
+    sent = keyed.withColumn("close", F.expr("CASE WHEN suppkey % 10 = 4 THEN close * 2 ELSE close END"))
+    for part in (sent, sent.filter("n % 11 = 5")):
+        part.select(*BAR_COLUMNS).repartition(2, F.xxhash64("security_id", "date")).write.mode("append").parquet(f"{base}/landed")
+    stream = T.read_files_as_stream(spark, f"{base}/landed", BARS, files_per_trigger=1)
+    out = T.stream_late_arrivals(stream, epochs, f"{base}/run", LATE_WINDOW)
+    return out.groupBy("as_of_date", "reason", "detail").agg(
+        F.count("*").alias("bars"), F.count_distinct("security_id").alias("securities")
+    )
+
+
+# --- a repair that stops half way
+_REPAIR_CTES = dict(
+    fresh=f"SELECT {NAMES} FROM provider_b WHERE date = DATE '{B.UPSERT_DAY}'",
+    old=f"SELECT {NAMES} FROM bars WHERE date = DATE '{B.UPSERT_DAY}'",
+    wanted="SELECT DISTINCT security_id FROM bars",
+)
+REPAIR_PARTS = 16
+
+
+def _stopped_repair(spark, folder):
+    """A repair of one day from the second provider, stopped between two steps and run again."""
+    base = new_folder(spark, "repair")
+    bars = materialize(fx.bars(spark, folder), "bars")
+    RP.write_parts(bars, f"{base}/history", REPAIR_PARTS)
+    fresh = fx.provider_b(spark, folder)
+
+    def run(stop=None):
+        ids = bars.select("security_id")
+        return RP.repair_session(spark, f"{base}/history", fresh, B.UPSERT_DAY, f"{base}/log", REPAIR_PARTS, 4, ids, stop)
+
+    class Stopped(Exception):
+        pass
+
+    def half_way(step):
+        if step.startswith("new"):
+            raise Stopped
+
+    try:
+        run(half_way)
+    except Stopped:
+        pass
+    return run(), RP.read_parts(spark, f"{base}/history").select(*BAR_COLUMNS)
+
+
+@query(
+    "repair_session",
+    with_ctes(
+        "bars provider_b",
+        f"SELECT {NAMES} FROM bars WHERE date <> DATE '{B.UPSERT_DAY}' UNION ALL SELECT {NAMES} FROM fresh"
+        f" UNION ALL SELECT {NAMES} FROM old WHERE security_id NOT IN (SELECT security_id FROM fresh)",
+        **_REPAIR_CTES,
+    ),
+)
+def repair_session(spark, folder):
+    return _stopped_repair(spark, folder)[1]
+
+
+@query(
+    "repair_session_report",
+    with_ctes(
+        "bars provider_b",
+        f"""SELECT security_id, CASE WHEN f.date IS NULL THEN 'missing_source' WHEN o.date IS NULL THEN 'added'
+ WHEN {' OR '.join(f'o.{c} IS DISTINCT FROM f.{c}' for c in BAR_COLUMNS if c != 'security_id')} THEN 'changed' ELSE 'same' END AS action,
+ o.close AS before_close, f.close AS after_close
+ FROM wanted LEFT JOIN fresh f USING (security_id) LEFT JOIN old o USING (security_id)""",
+        **_REPAIR_CTES,
+    ),
+)
+def repair_session_report(spark, folder):
+    return _stopped_repair(spark, folder)[0]

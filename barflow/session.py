@@ -75,6 +75,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder of this name in whatever store it is?"""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path`` in whatever store it is; none where it is missing."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass
 from datetime import UTC, date, datetime
 
@@ -14,6 +15,7 @@ from barflow.operators.continuity import terminal_summary
 from barflow.operators.ema import ema_state_checks
 from barflow.operators.snapshots import set_reduction_diff, window_advance_diff
 from barflow.schemas import BAR_COLUMNS, EMA_PERIODS, EMA_STATE_COLUMNS, ContractError
+from barflow.session import folder_names, path_exists
 
 SCHEMA_VERSION = 2
 _CHUNKS = 4
@@ -95,13 +97,10 @@ def fingerprint_frame(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def read_pointer(spark: SparkSession, root: str) -> Pointer | None:
     """The newest pointer below ``root``, or None before the first publication."""
-    try:
-        rows = spark.read.schema(POINTER).json(f"{root}/pointer/*")
-        newest = rows.orderBy(F.col("seq").desc()).first()
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return None
-        raise
+    if not folder_names(spark, f"{root}/pointer"):
+        return None
+    rows = spark.read.schema(POINTER).json(f"{root}/pointer/*")
+    newest = rows.orderBy(F.col("seq").desc()).first()
     return None if newest is None else Pointer(**newest.asDict())
 
 
@@ -143,7 +142,8 @@ def publish_snapshot(
     The fingerprint is observed while the run is written. A same-day candidate is
     only fingerprinted: it is reused when equal and refused when not, except with
     ``recovery`` (the published one is quarantined), which writes a new run named
-    by content. A run folder left by a failed attempt is adopted when it matches.
+    by content. A whole run folder left by a failed attempt is adopted when it
+    matches and refused when not; beside an unfinished one the run gets a name of its own.
     """
     columns = columns or BAR_COLUMNS
     current = read_pointer(spark, root)
@@ -155,21 +155,20 @@ def publish_snapshot(
             return Publication("REUSE", current)
     elif same_day:
         path = f"{path}-recovery-{fingerprint(df, columns)[1][:16]}"
-    try:
-        left_over = spark.read.parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
+    expected = None
+    if path_exists(spark, path):
+        expected = fingerprint(df, columns)[1]
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            # an attempt that stopped while it wrote stays as it is; this run gets a name of its own
+            path, expected = f"{path}-{uuid.uuid4().hex[:16]}", None
+    if expected is None:
         seen = Observation()
         rows = df.select(*columns)
         rows.observe(seen, *fingerprint_aggregates(columns)).write.mode("errorifexists").option(
             "compression", "zstd"
         ).parquet(path)
         expected = _digest(seen.get)
-        written = spark.read.parquet(path)
-    else:
-        expected = fingerprint(df, columns)[1]
-        written = left_over
+    written = spark.read.parquet(path)
     last = F.max(date_col).cast("string").alias("last")
     facts = written.agg(*fingerprint_aggregates(columns), last).first().asDict()
     actual = _digest(facts)

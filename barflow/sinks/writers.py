@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barflow.functions.keep import keep_last
 from barflow.schemas import BAR_COLUMNS, BARS, ContractError, require_columns
-from barflow.session import new_folder
+from barflow.session import new_folder, path_exists
 
 
 def write_bars(bars: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
@@ -39,13 +39,10 @@ def upsert_daily(spark: SparkSession, path: str, additions: DataFrame, order_col
     extra = [order_col] if order_col not in BAR_COLUMNS else []
     key = ["date", "security_id"]
     new = keep_last(additions.select(*BAR_COLUMNS, *extra), key, [order_col]).select(*BAR_COLUMNS)
-    try:
+    merged = new
+    # the first run has no folder yet
+    if path_exists(spark, path):
         stored = spark.read.schema(BARS).parquet(path)
-    except Exception as exc:  # the first run has no folder yet
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        merged = new
-    else:
         dates = new.select("date").distinct()
         touched = stored.join(dates, "date", "left_semi")
         kept = touched.join(new.select(*key), key, "left_anti")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from barflow.functions.keep import keep_first, keep_last
 from barflow.operators.ema import SOURCE_COLUMNS, ema_advance, ema_bootstrap
+from barflow.operators.snapshots import late_arrivals
 from barflow.schemas import BARS, EMA_STATE, EMA_STATE_COLUMNS
 from barflow.session import folder_names, remove_folder
 
@@ -266,3 +267,33 @@ def stream_finalize(bars: DataFrame, folder: str, cutoff: date, published: date
     query.awaitTermination()
     schema = T.StructType([*BARS.fields, T.StructField("stream_class", T.StringType())])
     return bars.sparkSession.read.schema(schema).parquet(f"{folder}/rows")
+
+
+def stream_late_arrivals(bars: DataFrame, epochs: dict[date, DataFrame], folder: str, window: int) -> DataFrame:
+    """Bars that arrive after the snapshots they belong to, per snapshot with its reason; see ``late_arrivals``.
+
+    ``epochs`` are the published snapshots by their date, some few that are still
+    in use. Rows newer than all of them pass. A batch compares its own rows and
+    reads of the earlier ones those with the same keys, so a key delivered again
+    is found whatever batch brought it first; the side table equals
+    ``late_arrivals`` of all deliveries at once.
+    """
+    spark = bars.sparkSession
+    last = max(epochs)
+    schema = T.StructType([*BARS.fields, T.StructField("delivery", T.LongType())])
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        late = batch.filter(F.col("date") <= F.lit(last)).select(*BARS.fieldNames())
+        late.write.mode("overwrite").parquet(f"{folder}/rows/delivery={batch_id}")
+        seen = spark.read.schema(schema).option("basePath", f"{folder}/rows").parquet(f"{folder}/rows")
+        keys = seen.filter(F.col("delivery") == batch_id).select("security_id", "date").distinct()
+        rows = seen.join(keys, ["security_id", "date"], "left_semi")
+        for as_of, epoch in epochs.items():
+            found = late_arrivals(epoch, rows, as_of, window).filter(F.col("delivery") == batch_id)
+            found.write.mode("overwrite").parquet(f"{folder}/late/{as_of.isoformat()}/{batch_id}")
+
+    _run(bars, folder, "append", save)
+    none = spark.createDataFrame([], schema)
+    side = late_arrivals(next(iter(epochs.values())), none, last, window).schema
+    paths = [f"{folder}/late/{d}/{n}" for d in folder_names(spark, f"{folder}/late") for n in folder_names(spark, f"{folder}/late/{d}")]
+    return _read_all(spark, paths, side)

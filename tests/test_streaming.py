@@ -2,8 +2,10 @@ import datetime as dt
 import random
 
 from conftest import bar, day, days, rows_of
+from pyspark.sql import functions as F
 
 from barflow.operators import ema as E
+from barflow.operators import snapshots as S
 from barflow.schemas import BARS, EMA_STATE_COLUMNS
 from barflow.streaming import streams as T
 
@@ -148,3 +150,34 @@ def test_finalize_stream_classes(bars, spark, tmp_path):
     assert rows_of(out, "date", "stream_class") == [
         (d, c) for d, c in zip(days("2024-01-01", 6), ["late", "late", "final", "final", "final", "not_final"])
     ]
+
+
+def test_late_rows_get_the_reason_of_the_snapshot_diff(bars, spark, tmp_path):
+    as_of, window = day("2024-01-12"), 5
+    epoch = [bar("A", d) for d in days("2024-01-02", 5, 2)] + [bar("B", d) for d in days("2024-01-03", 3)]
+    rows = [
+        bar("A", "2024-01-05"), bar("A", "2024-01-01"), bar("A", "2024-01-04", 99.0), bar("A", "2024-01-06"),
+        bar("B", "2024-01-09"), bar("NEW", "2024-01-09"), bar("A", "2024-01-12"), bar("A", "2024-02-01"),
+    ]
+    path, epochs = str(tmp_path / "in"), {as_of: bars(epoch)}
+    land(bars, path, rows[:3], rows[3:], [rows[0]])
+    stream = T.read_files_as_stream(spark, path, BARS, files_per_trigger=1)
+    side = T.stream_late_arrivals(stream, epochs, str(tmp_path / "run"), window)
+    got = {(r.security_id, r.date, r.delivery): (r.reason, r.detail) for r in side.collect()}
+    assert len(got) == 8 and got.pop(("A", day("2024-01-05"), 2)) == ("duplicate_keys", None)
+    assert got[("A", day("2024-01-04"), 0)] == ("overlap_values_changed", "open")
+    assert got[("A", day("2024-01-01"), 0)] == ("not_balanced_window_shift", "before_window")
+    assert got[("A", day("2024-01-06"), 1)] == ("not_balanced_window_shift", "equal_bar")
+    # each reason is that of the snapshot beside a candidate that takes in the row alone
+    for row in rows[:-1]:
+        after = {(r["security_id"], r["date"]): r for r in [*epoch, row]}
+        mine = sorted((r for r in after.values() if r["security_id"] == row["security_id"]), key=lambda r: r["date"])[-window:]
+        others = [r for r in after.values() if r["security_id"] != row["security_id"]]
+        verdict = S.window_advance_diff(epochs[as_of], bars(mine + others), as_of).first()
+        key = next(k for k in got if k[:2] == (row["security_id"], row["date"]))
+        assert got[key][0] == verdict["reason"], row
+    # the stream equals the comparison of all deliveries at once
+    again = bars(rows[:3]).withColumn("delivery", F.lit(0).cast("long"))
+    for n, part in ((1, rows[3:]), (2, [rows[0]])):
+        again = again.unionByName(bars(part).withColumn("delivery", F.lit(n).cast("long")))
+    assert rows_of(side) == rows_of(S.late_arrivals(epochs[as_of], again, as_of, window))
