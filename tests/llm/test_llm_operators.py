@@ -124,6 +124,25 @@ def test_bad_host_takes_its_documents_along(spark):
     assert {r.doc_id for r in kept.collect()} == {101, 102, *range(200, 270)}
 
 
+def test_host_verdicts_follow_the_fitted_prior(spark):
+    # many good hosts, one bad by much evidence, one by a single document only
+    counts = {f"good{i}": (40, i % 4) for i in range(12)} | {"bad": (40, 39), "few": (1, 1), "half": (40, 20)}
+    rows = []
+    for host, (n, failed) in counts.items():
+        rows += [(host, i < failed) for i in range(n)]
+    judged = spark.createDataFrame(rows, "host string, base_failed boolean")
+    rates = quality.host_rates(judged, {"base": "base_failed"})
+    got = {r.host: r.base_rate for r in rates.collect()}
+    raw = [f / n for n, f in counts.values()]
+    mean = sum(raw) / len(raw)
+    var = sum((r - mean) ** 2 for r in raw) / len(raw)
+    strength = mean * (1 - mean) / var - 1
+    for host, (n, failed) in counts.items():
+        assert abs(got[host] - (failed + mean * strength) / (n + strength)) < 1e-12
+    # all of the documents of "few" fail, but one does not condemn a host
+    assert counts["few"][1] == counts["few"][0] and got["few"] < quality.HOST_LIMIT < got["bad"]
+    assert [r.host for r in quality.rejected_hosts(rates, {"base": "base_failed"}).collect()] == ["bad"]
+
 # -- scores ------------------------------------------------------------------
 
 
