@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barflow.functions import exprs as X
 from barflow.functions.keep import keep_last
+from barflow.operators.corporate import lifecycle_gate
 from barflow.schemas import BAR_COLUMNS, BAR_KEY, BAR_VALUES, require_columns
 
 
@@ -139,6 +140,28 @@ def session_coverage(
     return out.withColumn("enough", F.col("present") >= floor)
 
 
+def allowed_coverage(members: DataFrame, registry: DataFrame, bars: DataFrame, session: date) -> DataFrame:
+    """One row: eligible members, those with history, those whose lifecycle allows a bar on ``session``, and of these present and absent.
+
+    ``members`` are the eligible ones. History is reduced to two facts per
+    security before it meets them, so it is read once and moved as one row each.
+    """
+    facts = bars.groupBy("security_id").agg(
+        F.coalesce(F.bool_or(F.col("date") == F.lit(session)), F.lit(False)).alias("present")
+    )
+    ids = members.select("security_id", "ticker").dropDuplicates(["security_id"])
+    gated = lifecycle_gate(ids, registry, session).select("security_id", F.col("allowed").alias("may"))
+    rows = gated.join(facts.withColumn("operational", F.lit(True)), "security_id", "left")
+    counted = F.col("operational") & F.col("may")
+    return rows.agg(
+        F.count("*").alias("eligible"),
+        F.count_if("operational").alias("operational"),
+        F.count_if(counted).alias("allowed"),
+        F.count_if(counted & F.col("present")).alias("present"),
+        F.count_if(counted & ~F.col("present")).alias("absent"),
+    )
+
+
 def gap_evidence(gaps: DataFrame, history: DataFrame) -> DataFrame:
     """For each gap: is the session in source history, with which values, and how far it goes.
 

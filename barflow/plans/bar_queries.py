@@ -795,6 +795,26 @@ def session_coverage(spark, folder):
     return C.session_coverage(fx.eligible_members(spark, folder), fx.bars(spark, folder), SESSION, 15)
 
 
+# late enough for most of the lifecycle events
+COVERAGE_DAY = date(2001, 9, 28)
+
+
+@query(
+    "session_coverage_allowed",
+    with_ctes(
+        "bars eligible_members lifecycle",
+        f"""SELECT count(*) AS eligible, count(h.security_id) AS operational, count(h.security_id) FILTER (WHERE may) AS allowed,
+ count(*) FILTER (WHERE may AND on_day) AS present, count(*) FILTER (WHERE may AND NOT on_day) AS absent
+ FROM (SELECT m.security_id, NOT coalesce(lifecycle_status IN ('VERIFIED_TERMINATED_PUBLIC_LISTING', 'VERIFIED_NONTRADABLE_PRIMARY_EXCHANGE') AND effective_date <= DATE '{COVERAGE_DAY}', false) AS may
+  FROM eligible_members m LEFT JOIN lifecycle USING (security_id)) m
+ LEFT JOIN (SELECT security_id, bool_or(date = DATE '{COVERAGE_DAY}') AS on_day FROM bars GROUP BY 1) h USING (security_id)""",
+    ),
+)
+def session_coverage_allowed(spark, folder):
+    bars = fx.bars(spark, folder)
+    return C.allowed_coverage(fx.eligible_members(spark, folder), fx.lifecycle(spark, folder), bars, COVERAGE_DAY)
+
+
 @query(
     "ready_selection",
     with_ctes(
