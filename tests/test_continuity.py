@@ -141,3 +141,18 @@ def test_repeated_history_does_not_multiply_gaps(bars, spark):
     gaps = spark.createDataFrame([("B", day("2024-01-08"))], "security_id string, missing_session date")
     history = bars([bar("B", "2024-01-08", 7.0), bar("B", "2024-01-08", 7.0)])
     assert rows_of(C.gap_evidence(gaps, history), "in_history", "close", "history_rows") == [(True, 7.0, 2)]
+
+
+def test_coverage_counts_only_what_the_lifecycle_allows(bars, spark):
+    on = day("2024-01-05")
+    held = bars([bar(s, d) for s in ("A", "B", "C", "D") for d in days("2024-01-01", 8) if (s, d) != ("B", on)] + [bar("A", None)])
+    members = spark.createDataFrame([(s, f"T{s}") for s in ("A", "B", "C", "D", "E", "A")], "security_id string, ticker string")
+    over = "VERIFIED_TERMINATED_PUBLIC_LISTING"
+    registry = spark.createDataFrame(
+        [("C", over, day("2024-01-02"), None), ("D", over, day("2024-02-01"), None), ("C", None, None, None)],
+        "security_id string, lifecycle_status string, effective_date date, successor_ticker string",
+    )
+    row = C.allowed_coverage(members, registry, held, on).first().asDict()
+    assert row == {"eligible": 5, "operational": 4, "allowed": 3, "present": 2, "absent": 1}
+    none = C.allowed_coverage(members, registry.limit(0), held.limit(0), on).first().asDict()
+    assert none == {"eligible": 5, "operational": 0, "allowed": 0, "present": 0, "absent": 0}

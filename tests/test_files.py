@@ -296,6 +296,17 @@ def test_left_over_run_is_adopted_or_refused(bars, spark, tmp_path):
     assert P.publish_snapshot(spark, df, root, day("2024-01-03")).decision == "CREATE"
 
 
+def test_unfinished_run_does_not_block_its_date(bars, spark, tmp_path):
+    root = str(tmp_path / "ready")
+    df = bars([bar("A", d) for d in days("2024-01-01", 3)])
+    df.limit(2).write.parquet(f"{root}/runs/2024-01-03")
+    (tmp_path / "ready" / "runs" / "2024-01-03" / "_SUCCESS").unlink()
+    done = P.publish_snapshot(spark, df, root, day("2024-01-03"))
+    assert done.decision == "CREATE" and done.pointer.path != f"{root}/runs/2024-01-03"
+    assert rows_of(P.load_snapshot(spark, root)[0]) == rows_of(df)
+    assert spark.read.parquet(f"{root}/runs/2024-01-03").count() == 2  # what the attempt left is untouched
+
+
 def test_load_rejects_tampered_content_and_late_dates(bars, spark, tmp_path):
     root = str(tmp_path / "ready")
     df = bars([bar("A", d) for d in days("2024-01-01", 3)])
