@@ -605,7 +605,9 @@ def stream_late_arrivals(spark, folder):
 
 # --- a repair that stops half way
 _REPAIR_CTES = dict(
-    fresh=f"SELECT {NAMES} FROM provider_b WHERE date = DATE '{B.UPSERT_DAY}'",
+    sent=f"SELECT {NAMES} FROM provider_b WHERE date = DATE '{B.UPSERT_DAY}'",
+    # the second provider's closes may leave the range of their bar, which is refused
+    fresh="SELECT * FROM sent WHERE low > 0 AND close BETWEEN low AND high AND open BETWEEN low AND high",
     old=f"SELECT {NAMES} FROM bars WHERE date = DATE '{B.UPSERT_DAY}'",
     wanted="SELECT DISTINCT security_id FROM bars",
 )
@@ -654,10 +656,10 @@ def repair_session(spark, folder):
     "repair_session_report",
     with_ctes(
         "bars provider_b",
-        f"""SELECT security_id, CASE WHEN f.date IS NULL THEN 'missing_source' WHEN o.date IS NULL THEN 'added'
+        f"""SELECT security_id, CASE WHEN s.date IS NULL THEN 'missing_source' WHEN f.date IS NULL THEN 'unsound_bar' WHEN o.date IS NULL THEN 'added'
  WHEN {' OR '.join(f'o.{c} IS DISTINCT FROM f.{c}' for c in BAR_COLUMNS if c != 'security_id')} THEN 'changed' ELSE 'same' END AS action,
  o.close AS before_close, f.close AS after_close
- FROM wanted LEFT JOIN fresh f USING (security_id) LEFT JOIN old o USING (security_id)""",
+ FROM wanted LEFT JOIN sent s USING (security_id) LEFT JOIN fresh f USING (security_id) LEFT JOIN old o USING (security_id)""",
         **_REPAIR_CTES,
     ),
 )
