@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 from llm_tables import SMALL, awkward, by_repr, docs_of, pairs, prose
 
-from barflow.llm import near_sets
+from barflow.llm import near_sets, simhash
 
 
 def plain_sets(docs):
@@ -92,3 +92,27 @@ def test_work_does_not_grow_with_the_square_of_a_shared_line(spark, monkeypatch)
     monkeypatch.setattr(near_sets, "staged", counted)
     assert near_sets.one_of_each(docs_of(spark, rows)).count() == len(rows)
     assert len(made) == 1 and made[0] < 50
+
+
+def apart(one, other):
+    return (simhash.fingerprint(one.encode())[0] ^ simhash.fingerprint(other.encode())[0]).bit_count()
+
+
+def test_forest_of_fingerprints_finds_copies_and_the_exact_check_follows(spark, monkeypatch):
+    """Without the search by shingles, near copies still meet by close fingerprints; unlike texts that meet so both stay."""
+    monkeypatch.setattr(near_sets, "prefix", lambda n: 0)
+    rows, close, unlike = [], [], []
+    for i in range(8):
+        base = prose(3000 + i, 400)
+        texts = [" ".join(base), " ".join(edited(base, i, 1))]
+        close.append(apart(*texts) <= simhash.CLOSE.radius)
+        rows += [(2 * i + k, text, "a") for k, text in enumerate(texts)]
+    for i in range(400):
+        base = prose(5000 + i, 60)
+        texts = [" ".join(base), " ".join(edited(base, i, 2))]
+        if apart(*texts) <= simhash.CLOSE.radius:
+            unlike += texts
+    rows += [(100 + i, text, "a") for i, text in enumerate(unlike)]
+    assert any(close) and unlike
+    gone = {r[0] for r in rows} - {r.doc_id for r in near_sets.one_of_each(docs_of(spark, rows)).collect()}
+    assert gone == {2 * i + 1 for i, near in enumerate(close) if near}
