@@ -14,12 +14,14 @@ from barflow.schemas import ContractError
 # Runtime settings every barflow plan relies on. Dates are derived from UTC
 # timestamps, so the session zone is pinned; AQE sizes the shuffles, splits
 # skewed join partitions and picks broadcast joins from measured sizes, which is
-# why no operator carries a broadcast hint.
+# why no operator carries a broadcast hint. Sides that are both dealt out by
+# security meet there, also where they are joined by security and date.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -65,10 +67,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     copy survives the loss of an executor.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clustered(df: DataFrame, label: str) -> DataFrame:
+    """Write bars below the shared folder in buckets of ``security_id`` and read them back as a table that knows them.
+
+    Groupings, windows and joins by security, or by security and date, then run
+    where the buckets lie, so bars that several of them read are shuffled once. A
+    security should have about one row a date, so that none outgrows its bucket.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_folder(spark, label)
+    name = re.sub(r"\W", "_", os.path.basename(path))
+    out = df.repartition(buckets, "security_id").write.format("parquet").option("compression", "zstd").option("path", path)
+    out.bucketBy(buckets, "security_id").sortBy("security_id", "date").saveAsTable(name)
+    return spark.table(name)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it is; a missing one is no error."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

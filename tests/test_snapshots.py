@@ -2,6 +2,7 @@ import pytest
 from conftest import bar, day, rows_of
 
 from barflow.operators import snapshots as S
+from barflow.session import clustered
 
 BASE = [("A", "2024-01-02", 10.0), ("A", "2024-01-03", 11.0), ("B", "2024-01-02", 20.0), ("B", "2024-01-03", 21.0)]
 
@@ -142,3 +143,16 @@ def test_diffs_hash_and_do_not_sort(bars):
     base = frame(bars, BASE)
     plan = S.window_advance_diff(base, base, day("2024-01-04"))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate(key=[security_id" not in plan
+
+
+def test_clustered_snapshots_are_compared_in_place(bars):
+    """Sides clustered by security meet without a shuffle; keys with a NULL are grouped as before."""
+    base = frame(bars, BASE)
+    one, other = clustered(base, "one"), clustered(base.limit(3), "other")
+    plan = S.window_advance_diff(one, other, day("2024-01-04"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(security_id, date" not in plan
+    odd = bars([bar("A", "2024-01-01"), bar("A", None), bar("A", None), bar(None, "2024-01-01")])
+    rows = S._key_rows(odd, odd.filter("security_id is not null"))
+    assert rows_of(rows, "security_id", "date", "old_n", "new_n") == sorted(
+        [("A", day("2024-01-01"), 1, 1), ("A", None, 2, 2), (None, day("2024-01-01"), 1, 0)], key=repr
+    )
