@@ -90,6 +90,24 @@ def bootstrapped(bars: DataFrame, unique_keys: bool = False) -> DataFrame:
     return ema_bootstrap(bars, unique_keys).filter(F.col("outcome") == "ok").select(*EMA_STATE_COLUMNS)
 
 
+def extended_bootstrap(base: DataFrame, added: DataFrame) -> DataFrame:
+    """``ema_bootstrap`` of a history and later bars, from the history's own bootstrap ``base``, carried on term by term.
+
+    ``base`` has the securities with outcome ``ok``; ``added`` one row (security_id,
+    date, ticker, adj_close, n) per key, all dates later than the base's.
+    """
+    flaws = added.select("security_id", F.col(PRICE).alias("px"), "n").groupBy("security_id").agg(
+        F.bool_or(_bad_price()).alias("bad_price"), F.bool_or(F.col("n") > 1).alias("dup")
+    )
+    anchors = base.select(F.col("as_of_date").alias("date"), "security_id", "ticker", F.col("last_price").alias(PRICE))
+    rows = added.select(*SOURCE_COLUMNS).unionByName(anchors)
+    moved = ema_advance(base.select(*EMA_STATE_COLUMNS), rows, True).join(flaws, "security_id")
+    outcome = F.when(F.col("bad_price"), "invalid_price").when(F.col("dup"), "duplicate_dates").otherwise("ok")
+    ok = outcome == "ok"
+    ticker = F.when(ok, F.col("ticker")).alias("ticker")
+    return moved.select("security_id", ticker, *[F.when(ok, F.col(c)).alias(c) for c in EMA_STATE_COLUMNS if c not in ("security_id", "ticker")], outcome.alias("outcome"))
+
+
 def _prior(state: DataFrame) -> DataFrame:
     require_columns(state, EMA_STATE_COLUMNS, "EMA state")
     return state.select(

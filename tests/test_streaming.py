@@ -120,6 +120,20 @@ def test_ema_stream_in_any_order_equals_batch(bars, spark, tmp_path):
     assert {h for h in held} == {("C", "too_few_bars")}
 
 
+def test_ema_stream_folds_history_once(bars, spark, tmp_path, monkeypatch):
+    """Deliveries of mixed dates later than history rebuild their securities from its one bootstrap."""
+    series = {s: [bar(s, d, 50.0 + (i * k) % 11) for i, d in enumerate(days("2023-01-01", 230))] for s, k in (("A", 3), ("B", 7))}
+    start = [r for rows in series.values() for r in rows[:200]]
+    rest = [r for rows in series.values() for r in rows[200:]]
+    folds, fold, history = [], T.ema_bootstrap, bars(start)
+    monkeypatch.setattr(T, "ema_bootstrap", lambda *a: folds.append(1) or fold(*a))
+    land(bars, str(tmp_path / "in"), *shuffled(rest, 3, 4))
+    stream = T.read_files_as_stream(spark, str(tmp_path / "in"), BARS, files_per_trigger=1)
+    out = T.stream_ema(stream, E.bootstrapped(history), str(tmp_path / "run"), history=history)
+    assert rows_of(out) == rows_of(E.bootstrapped(bars(start + rest)))
+    assert len(folds) == 1
+
+
 def test_ema_stream_writes_what_changed(bars, spark, tmp_path):
     ids = [f"S{i:02d}" for i in range(20)]
     rows = [bar(s, d, 30.0 + i % 7) for s in ids for i, d in enumerate(days("2023-01-01", 200))]
@@ -152,6 +166,26 @@ def test_finalize_stream_classes(bars, spark, tmp_path):
     ]
 
 
+def test_late_rows_of_several_snapshots_are_judged_by_each(bars, spark, tmp_path):
+    """Two snapshots, one of which holds a key twice: the same rows as of each snapshot by itself, stored once a bar."""
+    one, other = day("2024-01-06"), day("2024-01-12")
+    epochs = {
+        one: bars([bar("A", d) for d in days("2024-01-02", 4)] + [bar("A", "2024-01-03", 12.0)]),
+        other: bars([bar(s, d) for s in "AB" for d in days("2024-01-04", 5)]),
+    }
+    first = [bar("A", d) for d in days("2024-01-01", 12)] + [bar("B", "2024-01-05"), bar("C", "2024-01-02"), bar("A", None), bar(None, "2024-01-02")]
+    second = [bar("A", "2024-01-03"), bar("B", "2024-01-06", 3.0), bar("B", "2024-01-07"), bar("B", "2024-01-07")]
+    land(bars, str(tmp_path / "in"), first, second)
+    stream = T.read_files_as_stream(spark, str(tmp_path / "in"), BARS, files_per_trigger=1)
+    side = T.stream_late_arrivals(stream, epochs, str(tmp_path / "run"), 5)
+    sent = bars(first).withColumn("delivery", F.lit(0).cast("long")).unionByName(bars(second).withColumn("delivery", F.lit(1).cast("long")))
+    alone = [r for day_, epoch in epochs.items() for r in rows_of(S.late_arrivals(epoch, sent, day_, 5))]
+    assert rows_of(side) == sorted(alone, key=repr)
+    assert sum(r[0] == one and r[2] == day("2024-01-03") for r in alone) == 4
+    # each bar is written once for both snapshots
+    assert spark.read.parquet(str(tmp_path / "run" / "late" / "0")).filter("date = '2024-01-02'").count() == 2
+
+
 def test_late_rows_get_the_reason_of_the_snapshot_diff(bars, spark, tmp_path):
     as_of, window = day("2024-01-12"), 5
     epoch = [bar("A", d) for d in days("2024-01-02", 5, 2)] + [bar("B", d) for d in days("2024-01-03", 3)]
