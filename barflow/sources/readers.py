@@ -13,6 +13,7 @@ from barflow.functions.keep import keep_last
 from barflow.operators.merge import raise_on_rows
 from barflow.operators.universe import deferred_issues, eligible, review_registry_issues
 from barflow.schemas import BAR_COLUMNS, BARS, MEMBER, ContractError, require_columns
+from barflow.session import clustered, materialize
 
 
 def read_bars(spark: SparkSession, path: str, security_ids: DataFrame | None = None) -> DataFrame:
@@ -161,11 +162,13 @@ def file_label(path_parts: int = 1) -> Column:
     return F.array_join(F.slice(parts, -path_parts, path_parts), "/")
 
 
-def _rows_by_own_header(spark: SparkSession, path: str, path_parts: int, needed: list[str]) -> DataFrame:
-    """Comma-separated files whose column orders may differ: each value under its own file's header.
+def _rows_by_own_header(spark: SparkSession, path: str, path_parts: int, needed: list[str], listed: DataFrame) -> DataFrame:
+    """Rows of the ``listed`` comma-separated files, whose column orders may differ: each value under its own file's header.
 
     A header is the line that names the first needed column; names are compared
     without case, blanks and angle brackets. Raises when a file lacks a column.
+    The files, which may be many and small, are opened once; what follows reads
+    a copy of their lines.
     """
     lines = spark.read.text(path).select(
         F.split("value", ",").alias("cells"),
@@ -173,14 +176,16 @@ def _rows_by_own_header(spark: SparkSession, path: str, path_parts: int, needed:
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("src_ord"),
     )
     names = F.transform("cells", lambda c: F.upper(F.trim(F.translate(c, "<>", ""))))
-    lines = lines.withColumn("names", names).withColumn("is_header", F.array_contains(names, needed[0]))
+    lines = lines.withColumn("names", F.when(F.array_contains(names, needed[0]), names))
+    lines = materialize(lines, "archive-lines")
     # one short row per file
-    headers = lines.groupBy("filename").agg(F.max(F.when(F.col("is_header"), F.col("names"))).alias("header"))
+    headers = materialize(lines.groupBy("filename").agg(F.max("names").alias("header")), "archive-headers")
     lacking = F.array_except(F.array(*map(F.lit, needed)), F.coalesce("header", F.array().cast("array<string>")))
     raise_on_rows(headers.filter(F.size(lacking) > 0).select("filename", lacking.alias("lacks")), "bulk archive lacks columns")
-    rows = lines.filter(~F.col("is_header") & (F.trim(F.array_join("cells", "")) != "")).join(headers, "filename")
+    body = lines.filter(F.col("names").isNull() & (F.trim(F.array_join("cells", "")) != ""))
+    rows = body.join(headers.join(listed, "filename"), "filename")
     cell = lambda c: F.trim(F.get("cells", (F.array_position("header", c) - 1).cast("int")))
-    return rows.select(*[cell(c).alias(c) for c in needed], "filename", "src_ord")
+    return rows.select(*[cell(c).alias(c) for c in needed], *[c for c in listed.columns if c != "filename"], "src_ord")
 
 
 def read_bulk_archive(
@@ -193,10 +198,10 @@ def read_bulk_archive(
     reported as ``missing_file``.
     """
     needed = ["DATE", "OPEN", "HIGH", "LOW", "CLOSE", "VOL"]
-    raw = _rows_by_own_header(spark, path, path_parts, needed)
     listed = manifest.filter(F.upper("status") == "COPIED").select("security_id", "ticker", "filename")
+    raw = _rows_by_own_header(spark, path, path_parts, needed, listed)
     number = lambda c: F.col(c).try_cast("double")
-    rows = raw.join(listed, "filename").select(
+    rows = raw.select(
         F.try_to_date("DATE", "yyyyMMdd").alias("date"),
         "security_id",
         "ticker",
@@ -205,6 +210,7 @@ def read_bulk_archive(
         number("VOL").try_cast("long").alias("volume"),
         "src_ord",
     )
+    rows = clustered(rows, "archive-rows")
     absent = F.lit(False)
     for c in BAR_COLUMNS[3:]:
         absent = absent | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))

@@ -106,6 +106,15 @@ def test_bulk_archive_judges_per_security(spark, tmp_path):
     ]
 
 
+def test_bulk_archive_opens_its_files_once(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("<TICKER>,<DATE>,<OPEN>,<HIGH>,<LOW>,<CLOSE>,<VOL>\nX.US,20240102,10,11,9,10,5\n")
+    manifest = spark.createDataFrame([("A", "TA", "COPIED", "a.txt")], "security_id string, ticker string, status string, filename string")
+    out = R.read_bulk_archive(spark, str(tmp_path), manifest)
+    assert "FileScan text" not in out._jdf.queryExecution().executedPlan().toString()
+    (tmp_path / "a.txt").unlink()
+    assert rows_of(out, "security_id", "close", "verdict") == [("A", 10.0, "staged")]
+
+
 @pytest.mark.parametrize("order", ["symbol_first", "field_first"])
 def test_unpivot_provider(spark, order):
     name = (lambda s, f: f"{s}|{f}") if order == "symbol_first" else (lambda s, f: f"{f}|{s}")
