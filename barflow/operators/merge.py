@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions import exprs as X
-from barflow.functions.keep import keep_first, keep_last
+from barflow.functions.keep import keep_first
 from barflow.schemas import BAR_COLUMNS, BAR_KEY, BAR_VALUES, ContractError, require_columns
+from barflow.session import materialize
 
 
 def merge_append_rows(history: DataFrame, downloaded: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -265,31 +266,34 @@ def benchmark_verdicts(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def benchmark_input_checks(old: DataFrame, new: DataFrame) -> DataFrame:
     """Per benchmark of either side: does it hold an unsound bar, or a missing or repeated date?"""
-    side = lambda df, n: df.select(*BAR_COLUMNS, F.lit(n).alias("side"))
-    rows = side(old, 0).unionByName(side(new, 1)).withColumn("bad", ~X.is_sound())
-    per_date = rows.groupBy("security_id", "side", "date").agg(
-        F.count("*").alias("n"), F.bool_or("bad").alias("bad")
-    )
     flaw = F.col("bad") | (F.col("n") > 1) | F.col("date").isNull()
-    return per_date.groupBy("security_id").agg(F.bool_or(flaw).alias("invalid_input"))
+
+    def side(df: DataFrame) -> DataFrame:
+        rows = df.select(*BAR_COLUMNS).withColumn("bad", ~X.is_sound())
+        per_date = rows.groupBy(*BAR_KEY).agg(F.count("*").alias("n"), F.bool_or("bad").alias("bad"))
+        return per_date.groupBy("security_id").agg(F.bool_or(flaw).alias("invalid_input"))
+
+    return side(old).unionByName(side(new)).groupBy("security_id").agg(F.bool_or("invalid_input").alias("invalid_input"))
 
 
 def benchmark_merge(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Old and new benchmark bars of every accepted benchmark, new winning per date."""
+    """Old and new benchmark bars of every accepted benchmark, new winning per date.
+
+    Verdicts and the merged bars are written to the shared folder, so the check of
+    the result and its reader compute nothing twice. Dates of accepted benchmarks
+    are unique on either side.
+    """
     verdicts = benchmark_verdicts(old, new).filter(F.col("verdict").isin("append", "rebase"))
-    factor = verdicts.select("security_id", "rebase_factor", "verdict")
+    factor = materialize(verdicts.select("security_id", "rebase_factor", "verdict"), "verdicts")
     rebased = old.select(*BAR_COLUMNS).join(factor, "security_id").withColumn(
         "adj_close",
         F.when(F.col("verdict") == "rebase", F.col("adj_close") * F.col("rebase_factor")).otherwise(
             F.col("adj_close")
         ),
     )
-    rows = rebased.select(*BAR_COLUMNS, F.lit(0).alias("rank")).unionByName(
-        new.select(*BAR_COLUMNS).join(factor.select("security_id"), "security_id", "left_semi").select(
-            *BAR_COLUMNS, F.lit(1).alias("rank")
-        )
-    )
-    merged = keep_last(rows, BAR_KEY, ["rank"]).select(*BAR_COLUMNS)
+    kept = rebased.select(*BAR_COLUMNS).join(new.select(*BAR_KEY), BAR_KEY, "left_anti")
+    added = new.select(*BAR_COLUMNS).join(factor.select("security_id"), "security_id", "left_semi")
+    merged = materialize(kept.unionByName(added.select(*BAR_COLUMNS)), "merged")
     # a rebase can leave the range of sound prices
     bad = merged.filter(~X.is_sound()).select(*BAR_KEY)
     raise_on_rows(bad, "benchmark bars unsound after the merge")

@@ -164,3 +164,11 @@ def test_upsert_date_takes_exactly_one_fresh_row(bars):
         ("A", when, 10.0), ("B", when, 12.0), ("B", day("2024-01-03"), 10.0),
     ]
     assert rows_of(M.merge_upsert_date(stored, fresh, when, only_if_absent=True)) == rows_of(stored)
+
+
+def test_benchmark_merge_returns_written_bars(bars):
+    """The check of the result and its reader share one computation."""
+    old, new = bars([bar("B", f"2024-01-0{n}") for n in (1, 2, 3)]), bars([bar("B", f"2024-01-0{n}") for n in (2, 3, 4)])
+    merged = M.benchmark_merge(old, new)
+    assert "Join" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert [str(d) for (d,) in rows_of(merged, "date")] == [f"2024-01-0{n}" for n in (1, 2, 3, 4)]
