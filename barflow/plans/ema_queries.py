@@ -89,8 +89,9 @@ def trend_class(spark, folder):
 STATE_DAY = date(2001, 6, 30)
 
 
-def _old_state(spark, folder):
-    return E.bootstrapped(fx.bars(spark, folder).filter(F.col("date") <= STATE_DAY), UNIQUE)
+def _old_state(spark, folder, bars=None):
+    bars = fx.bars(spark, folder) if bars is None else bars
+    return E.bootstrapped(bars.filter(F.col("date") <= STATE_DAY), UNIQUE)
 
 
 _OLD = bootstrap_sql(f"(SELECT * FROM bars WHERE date <= DATE '{STATE_DAY}')")
@@ -118,9 +119,9 @@ def ema_advance(spark, folder):
     return E.ema_advance(_old_state(spark, folder), _ready(spark, folder), UNIQUE)
 
 
-def _mixed_state(spark, folder):
+def _mixed_state(spark, folder, bars=None):
     """State of the suppliers with history: some prices disagree, the rest is older or current."""
-    old = _old_state(spark, folder).join(fx.history_ids(spark, folder), "security_id", "left_semi")
+    old = _old_state(spark, folder, bars).join(fx.history_ids(spark, folder), "security_id", "left_semi")
     moved = F.col("last_price") > F.col("ema20") * 1.5
     return old.withColumn("last_price", F.when(moved, F.col("last_price") + 1).otherwise(F.col("last_price")))
 

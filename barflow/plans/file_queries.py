@@ -17,7 +17,7 @@ from barflow.plans import jobs
 from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
 from barflow.schemas import BAR_COLUMNS, BARS, EMA_STATE_COLUMNS, PRICES, ContractError
-from barflow.session import materialize, new_folder
+from barflow.session import clustered, materialize, new_folder
 from barflow.sinks import digests as D
 from barflow.sinks import publish as P
 from barflow.sinks import repair as RP
@@ -140,9 +140,11 @@ def read_bulk_archive(spark, folder):
         number("open").alias("<OPEN>"), number("high").alias("<HIGH>"), number("low").alias("<LOW>"),
         number("close").alias("<CLOSE>"), number("volume").alias("<VOL>"), F.lit("0").alias("<OPENINT>"),
     )
-    landed.repartition("dir").write.partitionBy("dir").option("header", "true").csv(path)
-    # the manifest names the file that holds each security
-    files = spark.read.option("header", "true").csv(path)
+    # tasks move their own files into place: one mover for all would take as long as they are many
+    out = landed.repartition("dir").write.partitionBy("dir").option("header", "true")
+    out.option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path)
+    # the manifest names the file that holds each security, from the listing of the files
+    files = spark.read.format("binaryFile").load(path)
     found = files.select(F.col("dir").alias("ticker"), R.file_label(2).alias("filename")).distinct()
     manifest = (
         fx.members(spark, folder)
@@ -150,6 +152,7 @@ def read_bulk_archive(spark, folder):
         .join(found, "ticker")
         .withColumn("status", F.lit("copied"))
     )
+    manifest = materialize(manifest, "manifest")
     out = R.read_bulk_archive(spark, path, manifest, path_parts=2)
     return out.groupBy("security_id", "verdict").agg(F.count("*").alias("bars"), F.max("date").alias("last_date"))
 
@@ -302,7 +305,7 @@ def load_snapshot(spark, folder):
 )
 def fingerprint(spark, folder):
     """Do the bars as they are, reordered, changed and repeated share one fingerprint?"""
-    bars = fx.bars(spark, folder)
+    bars = materialize(fx.bars(spark, folder), "bars")
     first = bars.agg(F.min("date")).scalar()
     variants = {
         "plain": bars,
@@ -360,24 +363,25 @@ def snapshot_load_years(spark, folder):
 
 
 # --- jobs
-def _provider_rows(spark, folder):
-    batch = fx.raw_rows(spark, folder).filter(F.col("date") >= B.OVERLAP_DAY)
-    single = fx.dirty_bars(spark, folder).filter(F.col("date") >= B.OVERLAP_DAY).withColumn("src_ord", F.lit(0))
+def _provider_rows(keyed):
+    batch = fx.raw_of(keyed).filter(F.col("date") >= B.OVERLAP_DAY)
+    single = fx.dirtied(keyed).filter(F.col("date") >= B.OVERLAP_DAY).withColumn("src_ord", F.lit(0))
     return batch, single
 
 
-def _update(spark, folder, stored=None):
-    batch, single = _provider_rows(spark, folder)
+def _update(spark, folder, incremental=False):
+    keyed = clustered(fx.keyed_bars(spark, folder), "keyed")
+    batch, single = _provider_rows(keyed)
+    history = B.history_of(keyed.select(*BAR_COLUMNS))
     return jobs.daily_update(
-        fx.eligible_members(spark, folder), B._history(spark, folder), batch, single,
-        fx.lifecycle(spark, folder), date(2001, 10, 31), 540, 500, stored,
+        fx.eligible_members(spark, folder), history, batch, single,
+        fx.lifecycle(spark, folder), date(2001, 10, 31), 540, 500, _stored_window(history) if incremental else None,
     )
 
 
-def _stored_window(spark, folder):
+def _stored_window(history):
     """The window and counts that an earlier update left."""
-    history = B._history(spark, folder)
-    return materialize(W.rolling_tail(history, 540), "tail"), materialize(TL.bar_counts(history), "counts")
+    return clustered(W.rolling_tail(history, 540), "tail"), materialize(TL.bar_counts(history), "counts")
 
 
 _RAW_NEW = B._RAW_COMPLETE.replace("FROM raw_rows", f"FROM (SELECT * FROM raw_rows WHERE date >= DATE '{B.OVERLAP_DAY}')")
@@ -417,7 +421,7 @@ def daily_update(spark, folder):
 @query("daily_update_incremental", _UPDATE_SQL)
 def daily_update_incremental(spark, folder):
     """The same facts from the stored window and counts."""
-    return _update_facts(_update(spark, folder, _stored_window(spark, folder)))
+    return _update_facts(_update(spark, folder, incremental=True))
 
 
 def _update_facts(u):
@@ -442,7 +446,7 @@ def daily_update_rolling(spark, folder):
 
 @query("daily_update_rolling_incremental", _ROLLING_SQL)
 def daily_update_rolling_incremental(spark, folder):
-    return _update(spark, folder, _stored_window(spark, folder)).rolling
+    return _update(spark, folder, incremental=True).rolling
 
 
 @query(
@@ -486,10 +490,11 @@ def update_benchmark(spark, folder):
 @query("ema_promotion", with_ctes("bars", "SELECT * FROM state", state=Q.bootstrap_sql("bars")))
 def ema_promotion(spark, folder):
     root = new_folder(spark, "ema")
-    ready = W.rolling_tail(fx.bars(spark, folder))
+    bars = clustered(fx.bars(spark, folder), "bars")
+    ready = clustered(W.rolling_tail(bars), "tail")
     last = ready.agg(F.max("date").alias("d")).first()["d"]
     jobs.build_and_promote_ema(
-        spark, ready, "source-1", fx.bars(spark, folder), Q._mixed_state(spark, folder),
+        spark, ready, "source-1", bars, Q._mixed_state(spark, folder, bars),
         f"{root}/published", f"{root}/candidate", last,
     )
     return P.load_ema_state(spark, f"{root}/published", "source-1").select(*EMA_STATE_COLUMNS)
@@ -535,7 +540,7 @@ def stream_ema(spark, folder):
 def stream_ema_any_order(spark, folder):
     """Bars after the state day in four deliveries of mixed dates: late ones rebuild their securities."""
     base = new_folder(spark, "stream")
-    before = materialize(fx.bars(spark, folder).filter(F.col("date") <= Q.STATE_DAY), "before")
+    before = clustered(fx.bars(spark, folder).filter(F.col("date") <= Q.STATE_DAY), "before")
     after = fx.bars(spark, folder).filter(F.col("date") > Q.STATE_DAY)
     after.repartition(4, F.xxhash64("date")).write.parquet(f"{base}/landed")
     stream = T.read_files_as_stream(spark, f"{base}/landed", BARS, files_per_trigger=1)
@@ -592,10 +597,10 @@ def stream_late_arrivals(spark, folder):
     epochs = {}
     for day in LATE_DAYS:
         held = keyed.filter((F.col("date") <= day) & (F.col("n") % 7 != 3) & (F.col("suppkey") % 10 != 9))
-        epochs[day] = materialize(W.rolling_tail(held.select(*BAR_COLUMNS), LATE_WINDOW), "epoch")
+        epochs[day] = W.rolling_tail(held.select(*BAR_COLUMNS), LATE_WINDOW)
     sent = keyed.withColumn("close", F.expr("CASE WHEN suppkey % 10 = 4 THEN close * 2 ELSE close END"))
     for part in (sent, sent.filter("n % 11 = 5")):
-        part.select(*BAR_COLUMNS).repartition(2, F.xxhash64("security_id", "date")).write.mode("append").parquet(f"{base}/landed")
+        part.select(*BAR_COLUMNS).coalesce(2).write.mode("append").option("compression", "zstd").parquet(f"{base}/landed")
     stream = T.read_files_as_stream(spark, f"{base}/landed", BARS, files_per_trigger=1)
     out = T.stream_late_arrivals(stream, epochs, f"{base}/run", LATE_WINDOW)
     return out.groupBy("as_of_date", "reason", "detail").agg(

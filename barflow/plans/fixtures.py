@@ -107,7 +107,11 @@ def _when(test: str, changed: str, column: str) -> Column:
 
 def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Bars with defects planted by ``n``: range, sign, volume, NULL and NaN."""
-    return keyed_bars(spark, folder).select(
+    return dirtied(keyed_bars(spark, folder))
+
+
+def dirtied(keyed: DataFrame) -> DataFrame:
+    return keyed.select(
         "date",
         "security_id",
         "ticker",
@@ -122,7 +126,10 @@ def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Source rows in provider order: repeated dates, incomplete rows, and some bad securities."""
-    k = keyed_bars(spark, folder)
+    return raw_of(keyed_bars(spark, folder))
+
+
+def raw_of(k: DataFrame) -> DataFrame:
     copies = F.when(F.col("n") % 13 == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = k.select("*", F.explode(copies).alias("copy"))
     return rows.select(

@@ -17,6 +17,7 @@ from barflow.plans import bar_queries as B
 from barflow.plans import fixtures as fx
 from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
+from barflow.session import clustered
 
 
 @query("eligible", with_ctes("members", "SELECT security_id, ticker FROM members WHERE sharia_compliance = 'COMPLIANT'"))
@@ -245,12 +246,12 @@ def set_algebra(spark, folder):
 
 def _stages(spark, folder):
     """History, rolling, READY and an older reference of the same members."""
-    bars = fx.bars(spark, folder)
+    bars = clustered(fx.bars(spark, folder), "bars")
     history = bars.join(fx.history_ids(spark, folder), "security_id", "left_semi")
     rolling = W.rolling_tail(bars.filter(F.col("date") <= date(2001, 11, 2)))
     ready = rolling.filter(F.col("date") <= date(2001, 10, 31))
     reference = bars.filter(F.col("date") <= date(2001, 10, 30))
-    declared = B.readiness_detail(spark, folder).filter(F.col("status") == "ready")
+    declared = B.readiness_detail(spark, folder, bars).filter(F.col("status") == "ready")
     rows = S.stage_reconcile(fx.eligible_members(spark, folder), history, rolling, ready, reference, declared)
     return S.freshness_flags(S.peer_lag(rows), 530)
 

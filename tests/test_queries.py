@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
-from barflow.plans import catalog
+from barflow.plans import catalog, fixtures
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -87,3 +87,18 @@ def test_every_oracle_has_a_query():
 
 def test_entry_runs(spark):
     assert {r["trend"] for r in spark_entry.entry(spark).collect()} <= {"STACKED_UP", "STACKED_DOWN", "MIXED"}
+
+
+ONCE = [
+    "benchmark_merge", "daily_update_rolling_incremental", "ema_promotion", "fingerprint", "freshness_flags", "merge_replace_bad",
+    "set_reduction_diff", "window_advance_diff",
+]
+
+
+@pytest.mark.parametrize("name", ONCE)
+def test_bars_are_derived_once(spark, monkeypatch, name):
+    """What reads the bars several times reads the written ones."""
+    derived, keyed = [], fixtures.keyed_bars
+    monkeypatch.setattr(fixtures, "keyed_bars", lambda *a: derived.append(1) or keyed(*a))
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert len(derived) == 1 and "l_extendedprice" not in plan
