@@ -490,7 +490,8 @@ def update_benchmark(spark, folder):
 @query("ema_promotion", with_ctes("bars", "SELECT * FROM state", state=Q.bootstrap_sql("bars")))
 def ema_promotion(spark, folder):
     root = new_folder(spark, "ema")
-    bars = clustered(fx.bars(spark, folder), "bars")
+    # state is made of these columns alone, so no others are derived, moved and written
+    bars = clustered(fx.bars(spark, folder).select(*E.SOURCE_COLUMNS), "bars")
     ready = clustered(W.rolling_tail(bars), "tail")
     last = ready.agg(F.max("date").alias("d")).first()["d"]
     jobs.build_and_promote_ema(

@@ -8,7 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
-from barflow.plans import catalog, fixtures
+from barflow import session
+from barflow.plans import catalog, file_queries, fixtures, universe_queries
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -102,3 +103,21 @@ def test_bars_are_derived_once(spark, monkeypatch, name):
     monkeypatch.setattr(fixtures, "keyed_bars", lambda *a: derived.append(1) or keyed(*a))
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert len(derived) == 1 and "l_extendedprice" not in plan
+
+
+NARROW = {"ema_promotion": ["date", "security_id", "ticker", "adj_close"]}
+
+
+@pytest.mark.parametrize("name", sorted(NARROW))
+def test_only_columns_in_use_are_written(spark, monkeypatch, name):
+    """Prices and volume that a query never reads are not derived, moved and written for it."""
+    written, keep = [], session.clustered
+
+    def noting(df, label):
+        written.append(df.columns)
+        return keep(df, label)
+
+    for module in (file_queries, universe_queries):
+        monkeypatch.setattr(module, "clustered", noting)
+    QUERIES[name](spark, FOLDER).collect()
+    assert written and all(set(columns) <= set(NARROW[name]) for columns in written)
