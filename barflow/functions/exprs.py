@@ -47,14 +47,20 @@ def _rules(pairs: Sequence[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in pairs]))
 
 
-def _gated_rules(fields: Sequence[str], missing: str, nonfinite: str, rules: Column) -> Column:
-    """Missing wins, then nonfinite, and only then are the range rules tested."""
+def _unusable(fields: Sequence[str]) -> tuple[Column, Column]:
+    """Is a field missing, and is one no finite number?"""
     values = [F.col(f).cast("double") for f in fields]
     absent = values[0].isNull()
     broken = ~is_finite(values[0])
     for value in values[1:]:
         absent = absent | value.isNull()
         broken = broken | ~is_finite(value)
+    return absent, broken
+
+
+def _gated_rules(fields: Sequence[str], missing: str, nonfinite: str, rules: Column) -> Column:
+    """Missing wins, then nonfinite, and only then are the range rules tested."""
+    absent, broken = _unusable(fields)
     return (
         F.when(absent, F.array(F.lit(missing)))
         .when(broken, F.array(F.lit(nonfinite)))
@@ -62,12 +68,7 @@ def _gated_rules(fields: Sequence[str], missing: str, nonfinite: str, rules: Col
     )
 
 
-def qc_issues(
-    fields: Sequence[str] = tuple(BAR_VALUES),
-    high_rule: str = "high_below_open_close_or_low",
-    low_rule: str = "low_above_open_close_or_high",
-) -> Column:
-    """Rule names a bar breaks, as ``array<string>``; empty when it is sound."""
+def _bar_rules(fields: Sequence[str], high_rule: str, low_rule: str) -> list[tuple[str, Column]]:
     prices = [F.col(f) for f in fields if f != "volume"]
     nonpositive = prices[0] <= 0
     for price in prices[1:]:
@@ -80,7 +81,17 @@ def qc_issues(
         (high_rule, h < F.greatest(o, c, lo)),
         (low_rule, lo > F.least(o, c, h)),
     ]
-    return _gated_rules(fields, "missing_or_nonnumeric", "nonfinite", _rules(pairs))
+    return pairs
+
+
+def qc_issues(
+    fields: Sequence[str] = tuple(BAR_VALUES),
+    high_rule: str = "high_below_open_close_or_low",
+    low_rule: str = "low_above_open_close_or_high",
+) -> Column:
+    """Rule names a bar breaks, as ``array<string>``; empty when it is sound."""
+    rules = _rules(_bar_rules(fields, high_rule, low_rule))
+    return _gated_rules(fields, "missing_or_nonnumeric", "nonfinite", rules)
 
 
 PROVIDER_FIELDS = ("open", "high", "low", "close", "volume")
@@ -110,7 +121,14 @@ def qc_range() -> Column:
 
 
 def is_sound(issues: Column | None = None) -> Column:
-    return F.size(issues if issues is not None else qc_issues()) == 0
+    """Does a bar break no rule? Without ``issues`` the rules are asked one after the other and no names are gathered."""
+    if issues is not None:
+        return F.size(issues) == 0
+    absent, broken = _unusable(BAR_VALUES)
+    flawed = absent | broken
+    for _, test in _bar_rules(BAR_VALUES, "high", "low"):
+        flawed = flawed | test
+    return ~flawed
 
 
 def finalized_through(ts: Column | str) -> Column:

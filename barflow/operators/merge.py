@@ -113,10 +113,13 @@ def merge_replace_bad_plan(bars: DataFrame, evidence: DataFrame, replacements: D
     evidence in all six values, and the replacement is sound. A stored bar that
     is already sound is ``unchanged``; the rest names the refusal. Evidence or a
     replacement given twice counts once; where the repeats differ, the bar is
-    refused (``conflicting_evidence``, ``conflicting_replacement``).
+    refused (``conflicting_evidence``, ``conflicting_replacement``). Of the stored
+    bars and the replacements, only those with a key of the evidence are grouped;
+    they are found by hashed keys, as sorting both sides would cost far more.
     """
-    old, new = _one_per_key(evidence, "ev"), _one_per_key(replacements, "new")
-    stored = bars.join(old.select(*BAR_KEY), BAR_KEY, "left_semi")
+    old, keys = _one_per_key(evidence, "ev"), evidence.select(*BAR_KEY).distinct().hint("shuffle_hash")
+    new = _one_per_key(replacements.join(keys, BAR_KEY, "left_semi"), "new")
+    stored = bars.join(keys, BAR_KEY, "left_semi")
     counts = stored.groupBy(*BAR_KEY).agg(
         F.count("*").alias("stored_rows"), F.min_by(F.struct(*BAR_VALUES), "ticker").alias("s")
     )

@@ -291,7 +291,7 @@ def adjusted_ohlc(bars: DataFrame) -> DataFrame:
 def qc_bad_bars(bars: DataFrame) -> DataFrame:
     """Bars that break at least one rule, with the rule names."""
     require_columns(bars, BAR_VALUES, "OHLCV QC")
-    return bars.withColumn("issues", X.qc_issues()).filter(F.size("issues") > 0)
+    return bars.filter(~X.is_sound()).withColumn("issues", X.qc_issues())
 
 
 def qc_gate(bars: DataFrame) -> DataFrame:

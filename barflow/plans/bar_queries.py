@@ -404,7 +404,8 @@ def preservation_check(spark, folder):
 def _bad_evidence(spark, folder):
     keyed = clustered(fx.keyed_bars(spark, folder), "keyed")
     dirty = fx.dirtied(keyed)
-    bad = N.qc_bad_bars(dirty).drop("issues")
+    # the few bad bars are judged and written once: evidence and plan read them several times
+    bad = materialize(N.qc_bad_bars(dirty).drop("issues"), "bad")
     # evidence of the negative-volume bars was taken before their close was corrected
     evidence = bad.withColumn("close", F.when(F.col("volume") < 0, F.col("close") + 1).otherwise(F.col("close")))
     # some evidence is handed in twice

@@ -126,3 +126,13 @@ def test_exact_quantiles_match_numpy(spark):
         assert per[(g, 0.5)] == pytest.approx(float(np.quantile(own, 0.5)), rel=1e-14)
     one = exact_quantiles(spark.createDataFrame([(2.5,)], "v double"), "v", [0.5, 0.95]).collect()
     assert {r["quantile"] for r in one} == {2.5}
+
+
+def test_is_sound_is_having_no_issue(spark, bars):
+    odd = [None, float("nan"), float("inf"), -float("inf"), -1.0, 0.0, 5.0, 50.0]
+    rows = [bar("A", "2024-01-02", **{c: v}) for c in ("open", "high", "low", "close", "adj_close") for v in odd]
+    rows += [bar("A", "2024-01-02", volume=v) for v in (None, -1, 0, 7)]
+    rows += [bar("A", "2024-01-02", **{c: None, "volume": -1}) for c in ("open", "adj_close")]
+    got = bars(rows).select(X.is_sound().alias("sound"), (F.size(X.qc_issues()) == 0).alias("named")).collect()
+    assert [r["sound"] for r in got] == [r["named"] for r in got]
+    assert {r["sound"] for r in got} == {True, False}

@@ -121,3 +121,9 @@ def test_only_columns_in_use_are_written(spark, monkeypatch, name):
         monkeypatch.setattr(module, "clustered", noting)
     QUERIES[name](spark, FOLDER).collect()
     assert written and all(set(columns) <= set(NARROW[name]) for columns in written)
+
+
+def test_bad_bars_are_judged_by_plain_conditions(spark):
+    """Rule names, which nobody reads there, are not gathered for every bar; only bars with evidence are grouped."""
+    plan = QUERIES["merge_replace_bad"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "nonpositive_price" not in plan and plan.count("LeftSemi") == 2
