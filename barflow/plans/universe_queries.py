@@ -17,6 +17,7 @@ from barflow.plans import bar_queries as B
 from barflow.plans import fixtures as fx
 from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
+from barflow.schemas import BAR_KEY
 from barflow.session import clustered
 
 
@@ -246,9 +247,10 @@ def set_algebra(spark, folder):
 
 def _stages(spark, folder):
     """History, rolling, READY and an older reference of the same members."""
-    bars = clustered(fx.bars(spark, folder), "bars")
+    # the stages compare keys alone; the ticker decides between bars of one date
+    bars = clustered(fx.bars(spark, folder).select(*BAR_KEY, "ticker"), "bars")
     history = bars.join(fx.history_ids(spark, folder), "security_id", "left_semi")
-    rolling = W.rolling_tail(bars.filter(F.col("date") <= date(2001, 11, 2)))
+    rolling = clustered(W.rolling_tail(bars.filter(F.col("date") <= date(2001, 11, 2))).select(*BAR_KEY), "rolling")
     ready = rolling.filter(F.col("date") <= date(2001, 10, 31))
     reference = bars.filter(F.col("date") <= date(2001, 10, 30))
     declared = B.readiness_detail(spark, folder, bars).filter(F.col("status") == "ready")

@@ -105,7 +105,7 @@ def test_bars_are_derived_once(spark, monkeypatch, name):
     assert len(derived) == 1 and "l_extendedprice" not in plan
 
 
-NARROW = {"ema_promotion": ["date", "security_id", "ticker", "adj_close"]}
+NARROW = {"ema_promotion": ["date", "security_id", "ticker", "adj_close"], "freshness_flags": ["date", "security_id", "ticker"]}
 
 
 @pytest.mark.parametrize("name", sorted(NARROW))
