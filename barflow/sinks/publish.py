@@ -65,13 +65,20 @@ def fingerprint_aggregates(columns: list[str]) -> list[Column]:
     """Count and sums of slices of each row's SHA-256.
 
     Sums merge in any order, so reordering or repartitioning changes nothing
-    while a changed, lost or repeated row does; no rows are gathered anywhere.
+    while a changed, lost or repeated row does; no rows are gathered anywhere. A
+    slice of 60 bits is summed as three long numbers of 20 bits, which no count of
+    rows below 2^43 overflows; decimals are made of the sums only.
     """
     h = _row_hash(columns)
     parts = []
     for i in range(_CHUNKS):
         digits = F.substring(h, 1 + i * _CHUNK_DIGITS, _CHUNK_DIGITS)
-        parts.append(F.sum(F.conv(digits, 16, 10).cast("decimal(20,0)").cast("decimal(38,0)")).alias(f"h{i}"))
+        number = F.conv(digits, 16, 10).cast("long")
+        whole = F.lit(0).cast("decimal(20,0)")
+        for shift in (40, 20, 0):
+            piece = F.sum(F.shiftright(number, shift).bitwiseAND(F.lit((1 << 20) - 1).cast("long")))
+            whole = whole + piece.cast("decimal(20,0)") * F.lit(1 << shift).cast("decimal(14,0)")
+        parts.append(whole.cast("decimal(38,0)").alias(f"h{i}"))
     return [F.count(F.lit(1)).alias("rows"), *parts]
 
 

@@ -275,6 +275,14 @@ def test_fingerprint_is_order_free_and_content_bound(bars):
     assert P.fingerprint(df.limit(0), BAR_COLUMNS)[0] == 0
 
 
+def test_fingerprint_sums_are_those_of_the_hashed_slices(bars):
+    df = bars([bar(s, d) for d in days("2024-01-01", 9) for s in "AB"])
+    texts = [r[0] for r in df.select(F.sha2(F.to_json(F.struct(*BAR_COLUMNS), {"ignoreNullFields": "false"}), 256)).collect()]
+    sums = df.agg(*P.fingerprint_aggregates(BAR_COLUMNS)).first()
+    assert [int(sums[f"h{i}"]) for i in range(4)] == [sum(int(t[15 * i : 15 * i + 15], 16) for t in texts) for i in range(4)]
+    assert dict(df.agg(*P.fingerprint_aggregates(BAR_COLUMNS)).dtypes)["h0"] == "decimal(38,0)"
+
+
 def test_publication_protocol(bars, spark, tmp_path):
     root = str(tmp_path / "ready")
     snap = lambda last, close=10.0: bars([bar(s, d, close) for s in "AB" for d in days("2024-01-01", last)])

@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as spark_entry
 from barflow import session
 from barflow.plans import catalog, file_queries, fixtures, universe_queries
+from barflow.sinks import publish
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -127,3 +128,17 @@ def test_bad_bars_are_judged_by_plain_conditions(spark):
     """Rule names, which nobody reads there, are not gathered for every bar; only bars with evidence are grouped."""
     plan = QUERIES["merge_replace_bad"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert "nonpositive_price" not in plan and plan.count("LeftSemi") == 2
+
+
+def test_fingerprint_variants_are_hashed_once_in_any_number_of_tasks(spark, monkeypatch):
+    plans, keep = [], publish.fingerprint_frame
+
+    def noting(df, columns):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, columns)
+
+    monkeypatch.setattr(publish, "fingerprint_frame", noting)
+    assert QUERIES["fingerprint"](spark, FOLDER).count() == 4
+    assert len(plans) == 4
+    dealt = [p for p in plans if "RepartitionByExpression [date" in p]
+    assert len(dealt) == 1 and not re.search(r"RepartitionByExpression \[date#\d+\], \d", dealt[0])
