@@ -17,7 +17,7 @@ from barflow.plans import jobs
 from barflow.plans.catalog import query
 from barflow.plans.fixtures import with_ctes
 from barflow.schemas import BAR_COLUMNS, BARS, EMA_STATE_COLUMNS, PRICES, ContractError
-from barflow.session import clustered, materialize, new_folder
+from barflow.session import clustered, many_small_files, materialize, new_folder
 from barflow.sinks import digests as D
 from barflow.sinks import publish as P
 from barflow.sinks import repair as RP
@@ -141,18 +141,21 @@ def read_bulk_archive(spark, folder):
         number("close").alias("<CLOSE>"), number("volume").alias("<VOL>"), F.lit("0").alias("<OPENINT>"),
     )
     # tasks move their own files into place: one mover for all would take as long as they are many
-    out = landed.repartition("dir").write.partitionBy("dir").option("header", "true")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a file takes longer than its bytes do, so tasks are not joined by their bytes
+    out = landed.repartition(tasks, "dir").write.partitionBy("dir").option("header", "true")
     out.option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(path)
     # the manifest names the file that holds each security, from the listing of the files
-    files = spark.read.format("binaryFile").load(path)
-    found = files.select(F.col("dir").alias("ticker"), R.file_label(2).alias("filename")).distinct()
-    manifest = (
-        fx.members(spark, folder)
-        .select("security_id", "ticker")
-        .join(found, "ticker")
-        .withColumn("status", F.lit("copied"))
-    )
-    manifest = materialize(manifest, "manifest")
+    with many_small_files(spark):
+        files = spark.read.format("binaryFile").load(path)
+        found = files.select(F.col("dir").alias("ticker"), R.file_label(2).alias("filename")).distinct()
+        manifest = (
+            fx.members(spark, folder)
+            .select("security_id", "ticker")
+            .join(found, "ticker")
+            .withColumn("status", F.lit("copied"))
+        )
+        manifest = materialize(manifest, "manifest")
     out = R.read_bulk_archive(spark, path, manifest, path_parts=2)
     return out.groupBy("security_id", "verdict").agg(F.count("*").alias("bars"), F.max("date").alias("last_date"))
 

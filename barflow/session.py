@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,6 +89,28 @@ def clustered(df: DataFrame, label: str) -> DataFrame:
     return spark.table(name)
 
 
+@contextmanager
+def many_small_files(spark: SparkSession) -> Iterator[None]:
+    """Folders of many small files are listed and read in few tasks inside; the settings are put back after.
+
+    By default Spark lists each folder in a task of its own, tries types on the
+    names of all, and reads no more than some thirty files in a task.
+    """
+    inside = {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+        "spark.sql.files.openCostInBytes": str(1 << 18),
+    }
+    before = {key: spark.conf.get(key) for key in inside}
+    try:
+        for key, value in inside.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it is; a missing one is no error."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

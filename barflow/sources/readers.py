@@ -13,7 +13,7 @@ from barflow.functions.keep import keep_last
 from barflow.operators.merge import raise_on_rows
 from barflow.operators.universe import deferred_issues, eligible, review_registry_issues
 from barflow.schemas import BAR_COLUMNS, BARS, MEMBER, ContractError, require_columns
-from barflow.session import clustered, materialize
+from barflow.session import clustered, many_small_files, materialize
 
 
 def read_bars(spark: SparkSession, path: str, security_ids: DataFrame | None = None) -> DataFrame:
@@ -162,30 +162,83 @@ def file_label(path_parts: int = 1) -> Column:
     return F.array_join(F.slice(parts, -path_parts, path_parts), "/")
 
 
+# Files of at most so many bytes are read whole, one row each. Longer ones are read line by line, as are those whose
+# ending may name a codec, which the reader of lines knows.
+WHOLE_FILE = 4 << 20
+PACKED = r"(?i)\.(bz2|deflate|gz|lz4|lzo|snappy|xz|z|zst|zstd)$"
+
+
+def _names(line: Column) -> Column:
+    """Cells of a line as column names."""
+    return F.transform(F.split(line, ","), lambda c: F.upper(F.trim(F.translate(c, "<>", ""))))
+
+
+def _may_name(line: Column, column: str) -> Column:
+    """False for nearly all lines that do not name the column, at little cost."""
+    return F.contains(F.upper(line), F.lit(column)) | F.contains(line, F.lit("<")) | F.contains(line, F.lit(">"))
+
+
+def _not_blank(line: Column) -> Column:
+    return line.rlike("[^ ,]")
+
+
+def _lacking(needed: list[str]) -> Column:
+    return F.array_except(F.array(*map(F.lit, needed)), F.coalesce("header", F.array().cast("array<string>")))
+
+
+def _whole_files(files: DataFrame, needed: list[str], listed: DataFrame) -> DataFrame:
+    """Lines of files (filename, text), a row each with its file's header; of a file that lacks columns one row, ``lacks`` them."""
+    first = needed[0]
+    lines = F.when(F.contains("text", F.lit("\r")), F.split("text", "\r\n|\r|\n")).otherwise(F.split("text", "\n"))
+    heads = F.filter(F.transform(F.filter(lines, lambda x: _may_name(x, first)), _names), lambda n: F.array_contains(n, first))
+    headed = files.filter(F.col("text") != "").withColumn("header", F.array_max(heads))
+    headed = headed.withColumn("lacks", F.when(F.size(_lacking(needed)) > 0, _lacking(needed)))
+    placed = headed.join(listed.withColumn("held", F.lit(True)), "filename", "left").filter("held OR lacks IS NOT NULL")
+    rows = placed.withColumn("value", F.explode(F.when(F.col("lacks").isNull(), lines).otherwise(F.array(F.lit("")))))
+    head = F.when(_may_name(F.col("value"), first), F.array_contains(_names(F.col("value")), first)).otherwise(False)
+    body = ~head & _not_blank(F.col("value"))
+    order = F.struct(F.lit(-1).cast("long").alias("block"), F.monotonically_increasing_id().alias("id"))
+    return rows.filter(body | F.col("lacks").isNotNull()).withColumn("src_ord", order).drop("text", "held")
+
+
+def _long_files(lines: DataFrame, needed: list[str], listed: DataFrame) -> DataFrame:
+    """The same of files given as lines (filename, block, value); raises when one lacks columns."""
+    first = needed[0]
+    names, order = _names(F.col("value")), F.struct("block", F.monotonically_increasing_id().alias("id"))
+    lines = lines.withColumns({"names": F.when(F.array_contains(names, first), names), "src_ord": order}).drop("block")
+    lines = materialize(lines, "archive-lines")
+    # one short row per file
+    headers = materialize(lines.groupBy("filename").agg(F.max("names").alias("header")), "archive-headers")
+    _raise_on_lacking(headers.withColumn("lacks", _lacking(needed)).filter(F.size("lacks") > 0))
+    body = lines.filter(F.col("names").isNull() & _not_blank(F.col("value"))).drop("names")
+    return body.join(headers.join(listed, "filename"), "filename").withColumn("lacks", F.lit(None).cast("array<string>"))
+
+
+def _raise_on_lacking(files: DataFrame) -> None:
+    raise_on_rows(files.select("filename", "lacks").distinct(), "bulk archive lacks columns")
+
+
 def _rows_by_own_header(spark: SparkSession, path: str, path_parts: int, needed: list[str], listed: DataFrame) -> DataFrame:
     """Rows of the ``listed`` comma-separated files, whose column orders may differ: each value under its own file's header.
 
     A header is the line that names the first needed column; names are compared
-    without case, blanks and angle brackets. Raises when a file lacks a column.
-    The files, which may be many and small, are opened once; what follows reads
-    a copy of their lines.
+    without case, blanks and angle brackets. A file that lacks a column has one
+    row, whose ``lacks`` names them. Files may be many and small: those of up to
+    ``WHOLE_FILE`` bytes meet their manifest rows and headers as one row each.
     """
-    lines = spark.read.text(path).select(
-        F.split("value", ",").alias("cells"),
-        file_label(path_parts).alias("filename"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("src_ord"),
-    )
-    names = F.transform("cells", lambda c: F.upper(F.trim(F.translate(c, "<>", ""))))
-    lines = lines.withColumn("names", F.when(F.array_contains(names, needed[0]), names))
-    lines = materialize(lines, "archive-lines")
-    # one short row per file
-    headers = materialize(lines.groupBy("filename").agg(F.max("names").alias("header")), "archive-headers")
-    lacking = F.array_except(F.array(*map(F.lit, needed)), F.coalesce("header", F.array().cast("array<string>")))
-    raise_on_rows(headers.filter(F.size(lacking) > 0).select("filename", lacking.alias("lacks")), "bulk archive lacks columns")
-    body = lines.filter(F.col("names").isNull() & (F.trim(F.array_join("cells", "")) != ""))
-    rows = body.join(headers.join(listed, "filename"), "filename")
+    whole = (F.col("_metadata.file_size") <= WHOLE_FILE) & ~F.col("_metadata.file_name").rlike(PACKED)
+    name, block = file_label(path_parts).alias("filename"), F.col("_metadata.file_block_start").alias("block")
+    files = spark.read.format("binaryFile").load(path)
+    text = F.col("content").cast("string")
+    # as the reader of lines does, without a byte order mark
+    text = F.when(F.startswith(text, F.lit("\ufeff")), F.substring(text, 2, WHOLE_FILE)).otherwise(text)
+    rows = _whole_files(files.filter(whole).select(name, text.alias("text")), needed, listed)
+    if not files.filter(~whole).select("length").isEmpty():
+        lines = spark.read.text(path).filter(~whole).select(name, block, "value")
+        rows = rows.unionByName(_long_files(lines, needed, listed))
+    rows = rows.withColumn("cells", F.split("value", ","))
     cell = lambda c: F.trim(F.get("cells", (F.array_position("header", c) - 1).cast("int")))
-    return rows.select(*[cell(c).alias(c) for c in needed], *[c for c in listed.columns if c != "filename"], "src_ord")
+    return rows.select(*[cell(c).alias(c) for c in needed], *listed.columns, "lacks", "src_ord")
 
 
 def read_bulk_archive(
@@ -199,9 +252,8 @@ def read_bulk_archive(
     """
     needed = ["DATE", "OPEN", "HIGH", "LOW", "CLOSE", "VOL"]
     listed = manifest.filter(F.upper("status") == "COPIED").select("security_id", "ticker", "filename")
-    raw = _rows_by_own_header(spark, path, path_parts, needed, listed)
     number = lambda c: F.col(c).try_cast("double")
-    rows = raw.select(
+    columns = [
         F.try_to_date("DATE", "yyyyMMdd").alias("date"),
         "security_id",
         "ticker",
@@ -209,8 +261,13 @@ def read_bulk_archive(
         number("CLOSE").alias("adj_close"),
         number("VOL").try_cast("long").alias("volume"),
         "src_ord",
-    )
-    rows = clustered(rows, "archive-rows")
+        "filename",
+        "lacks",
+    ]
+    with many_small_files(spark):
+        rows = clustered(_rows_by_own_header(spark, path, path_parts, needed, listed).select(*columns), "archive-rows")
+    _raise_on_lacking(rows.filter(F.col("lacks").isNotNull()))
+    rows = rows.filter(F.col("lacks").isNull()).drop("filename", "lacks")
     absent = F.lit(False)
     for c in BAR_COLUMNS[3:]:
         absent = absent | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))

@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -115,6 +116,63 @@ def test_bulk_archive_opens_its_files_once(spark, tmp_path):
     assert rows_of(out, "security_id", "close", "verdict") == [("A", 10.0, "staged")]
 
 
+MANIFEST = "security_id string, ticker string, status string, filename string"
+
+
+def test_bulk_archive_of_many_small_files_takes_few_tasks(spark, tmp_path):
+    names = [f"T{i}" for i in range(120)]
+    for name in names:
+        (tmp_path / f"dir={name}").mkdir()
+        (tmp_path / f"dir={name}" / "a.txt").write_text("<TICKER>,<DATE>,<OPEN>,<HIGH>,<LOW>,<CLOSE>,<VOL>\nX.US,20240102,10,11,9,10,5\n")
+    manifest = spark.createDataFrame([(n, n, "COPIED", f"dir={n}/a.txt") for n in names], MANIFEST)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    context = spark.sparkContext
+    context.setJobGroup("archive", "archive")
+    try:
+        out = R.read_bulk_archive(spark, str(tmp_path), manifest, path_parts=2)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup("archive") for s in tracker.getJobInfo(job).stageIds}
+    assert 0 < sum(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) < len(names)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    assert rows_of(out, "security_id", "close", "verdict") == sorted((n, 10.0, "staged") for n in names)
+
+
+@pytest.mark.parametrize("whole", [R.WHOLE_FILE, 0])
+def test_bulk_archive_lines_of_whole_long_and_packed_files(spark, tmp_path, monkeypatch, whole):
+    monkeypatch.setattr(R, "WHOLE_FILE", whole)
+    head, line = "<TICKER>,<DATE>,<OPEN>,<HIGH>,<LOW>,<CLOSE>,<VOL>", "X.US,2024010{},10,11,9,{},5"
+    two = [line.format(2, 10), line.format(3, 9.5)]
+    files = {
+        "ends.txt": "\r\n".join([head, *two, ""]),
+        "mark.txt": "\ufeff" + "\n".join([head[9:], *[x[5:] for x in two]]),
+        "blank.txt": "\n".join(["", head, " , ,", two[0], head.lower().replace("date", "D<ATE"), "", two[1], "\n"]),
+        "last.txt": "\n".join([head, line.format(2, 9), *two, line.format(3, 10)]),
+        "short.txt": "\n".join([head, *two, "X.US,20240104"]),
+    }
+    src = tmp_path / "src"
+    src.mkdir()
+    for name, text in files.items():
+        (src / name).write_bytes(text.encode())
+    (src / "empty.txt").write_bytes(b"")
+    (src / "packed.txt.gz").write_bytes(gzip.compress("\n".join([head, *two]).encode()))
+    named = [*files, "empty.txt", "packed.txt.gz"]
+    manifest = spark.createDataFrame([(n.split(".")[0], "T", "COPIED", n) for n in named] + [("again", "T", "COPIED", "ends.txt")], MANIFEST)
+    out = R.read_bulk_archive(spark, str(src), manifest)
+    sound = {n: [(day("2024-01-02"), 10.0, "staged"), (day("2024-01-03"), 9.5, "staged")] for n in ("ends", "mark", "blank", "again", "packed")}
+    sound["last"] = [(day("2024-01-02"), 10.0, "staged"), (day("2024-01-03"), 10.0, "staged")]
+    for name, rows in sound.items():
+        assert rows_of(out.filter(F.col("security_id") == name), "date", "close", "verdict") == rows
+    assert rows_of(out.filter("security_id IN ('empty', 'short')"), "security_id", "verdict") == [("empty", "missing_file")] + [("short", "null_or_non_numeric")] * 3
+    (src / "unlisted.txt").write_text("<DATE>,<OPEN>\n20240102,10\n")
+    with pytest.raises(ContractError, match="lacks columns"):
+        R.read_bulk_archive(spark, str(src), manifest)
+    (src / "unlisted.txt").write_text("no header\n")
+    with pytest.raises(ContractError, match="lacks columns"):
+        R.read_bulk_archive(spark, str(src), manifest)
+
+
 @pytest.mark.parametrize("order", ["symbol_first", "field_first"])
 def test_unpivot_provider(spark, order):
     name = (lambda s, f: f"{s}|{f}") if order == "symbol_first" else (lambda s, f: f"{f}|{s}")
