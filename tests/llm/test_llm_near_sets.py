@@ -116,3 +116,19 @@ def test_forest_of_fingerprints_finds_copies_and_the_exact_check_follows(spark,
     assert any(close) and unlike
     gone = {r[0] for r in rows} - {r.doc_id for r in near_sets.one_of_each(docs_of(spark, rows)).collect()}
     assert gone == {2 * i + 1 for i, near in enumerate(close) if near}
+
+
+def test_forest_searches_the_fingerprints_of_all_documents_of_a_set(spark, monkeypatch):
+    """Texts of equal sets may repeat other parts and so have other fingerprints; a copy that is near to one of them only is found."""
+    monkeypatch.setattr(near_sets, "prefix", lambda n: 0)
+    rows, found = [], set()
+    for i in range(12):
+        ring = prose(7000 + i, 300)
+        once, again = ring + ring[:4], ring + ring[:154]
+        texts = [" ".join(once), " ".join(again), " ".join([*again[:420], f"new{i}", *again[421:]])]
+        assert plain_sets([(0, texts[0])]) == plain_sets([(0, texts[1])])
+        if apart(texts[0], texts[2]) > simhash.CLOSE.radius >= apart(texts[1], texts[2]):
+            found.add(3 * i)
+            rows += [(3 * i + k, text, "a") for k, text in enumerate(texts)]
+    assert found
+    assert {r.doc_id for r in near_sets.one_of_each(docs_of(spark, rows)).collect()} == found
